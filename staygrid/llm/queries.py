@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm import huffman, packing
+from staygrid.llm import huffman, packing, simhash, substrings
 from staygrid.llm.common import read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -24,7 +24,21 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", F.col("length").cast("long"), "ids_crc32", "sequence_id", "offset")
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash.near_duplicates(docs)
+    return out.select("doc_id", simhash.fp_hex().alias("fingerprint"), "component_id")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.remove_repeats(docs)
+    return out.select("doc_id", "cut.n_words", "cut.n_removed", F.sha2(F.col("cut.kept"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op4_huffman_ids": op4_huffman_ids,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
