@@ -18,11 +18,12 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staygrid.llm.common import materialize, parallelism, tune
@@ -184,19 +185,18 @@ def global_code(blocks: DataFrame) -> np.ndarray:
 
 def write_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
     """The coded blocks, with `start`: ids of all blocks before; a table in the shared folder."""
+    # one number for each partition of tokenize_blocks, of which there are as many as it chose
+    totals = sorted(blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
+    bases = dict(zip([r["part"] for r in totals], accumulate((r["n"] for r in totals), initial=0), strict=False))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = Code(lengths)
         for batch in batches:
             content = [pack_block(code, list(d), list(s), np.frombuffer(i, "<u2")) for d, s, i in zip(batch["doc_ids"], batch["sizes"], batch["ids"], strict=True)]
-            yield batch[["part", "block", "first"]].assign(content=content)
-
-    coded = blocks.select("part", "block", "first", "doc_ids", "sizes", "ids").mapInPandas(run, "part int, block int, first long, content binary")
-    totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
-    bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    files = coded.join(bases, "part").select("part", "block", (F.col("base") + F.col("first")).alias("start"), "content")
-    return materialize(files, "huffman")
+            yield pd.DataFrame({"start": batch["part"].map(bases) + batch["first"], "content": content})
+
+    coded = blocks.select("part", "first", "doc_ids", "sizes", "ids").mapInPandas(run, "start long, content binary")
+    return materialize(coded, "huffman")
 
 
 def read_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import public_tokenizers
 import regex
@@ -45,6 +45,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
 
 
+class _Cache(dict):
+    """A dictionary that makes what it lacks."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = value = self.make(key)
+        return value
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned integers of `width` bytes (2 or 4).
 
@@ -62,9 +73,9 @@ class ChunkEncoder:
         self.packed = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pattern = regex.compile(WORD_PATTERN if words else BYTE_PATTERN)
         self.letters = _byte_letters()
-        self.chunk_ids: dict[str, bytes] = {}
-        self.led_ids: dict[str, bytes] = {}  # of chunks with a blank before them
-        self.piece_ids: dict[str, bytes] = {}
+        self.chunk_ids = _Cache(self._chunk)
+        self.led_ids = _Cache(lambda chunk: self._chunk(" " + chunk))  # of chunks with a blank before them
+        self.piece_ids = _Cache(self._piece)
 
     def chunks(self, text: str) -> list[str]:
         if _ODD_SPACE.search(text):
@@ -77,9 +88,7 @@ class ChunkEncoder:
             spelt = piece.replace(" ", "\u0120")  # the letter for a blank
         else:
             spelt = piece.encode().decode("latin-1").translate(self.letters)
-        ids = b"".join([self.packed[t.id] for t in self.model.tokenize(spelt)])
-        self.piece_ids[piece] = ids
-        return ids
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelt)])
 
     def _pieces(self, chunk: str) -> list[str]:
         """What the pre-tokenizer makes of a chunk; the shortcuts give what the pattern gives."""
@@ -96,13 +105,7 @@ class ChunkEncoder:
         if not chunk.isascii() and _COMMON.fullmatch(chunk) is None:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             return b"".join([self.packed[i] for i in ids])
-        get, piece = self.piece_ids.get, self._piece
-        return b"".join([get(p) or piece(p) for p in self._pieces(chunk)])
-
-    def _ids(self, parts: list[str], cache: dict[str, bytes], lead: str) -> bytes:
-        for part in set(parts).difference(cache):
-            cache[part] = self._chunk(lead + part)
-        return b"".join(map(cache.__getitem__, parts))
+        return b"".join(map(self.piece_ids.__getitem__, self._pieces(chunk)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """One bytes object for each text (null: empty)."""
@@ -113,9 +116,9 @@ class ChunkEncoder:
         for text in texts:
             if text and not self.words and _ONE_BLANK.search(text) is None and not _ODD_SPACE.search(text):
                 first, *rest = text.split(" ")
-                out.append(self._chunk(first) + self._ids(rest, self.led_ids, " "))
+                out.append(self._chunk(first) + b"".join(map(self.led_ids.__getitem__, rest)))
             else:
-                out.append(self._ids(self.chunks(text), self.chunk_ids, "") if text else b"")
+                out.append(b"".join(map(self.chunk_ids.__getitem__, self.chunks(text))) if text else b"")
         return out
 
 
