@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm import huffman, packing, simhash, substrings
-from staygrid.llm.common import read_table
+from staygrid.llm import huffman, language, packing, quality, simhash, substrings, vectors
+from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
 
@@ -36,7 +36,27 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "cut.n_words", "cut.n_removed", F.sha2(F.col("cut.kept"), 256).alias("kept_sha256"))
 
 
+def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    out = quality.score(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_language_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return out.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op7_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op7_collision_counting": op7_collision_counting,
+    "op2_quality_attention": op2_quality_attention,
+    "op5_language_unigrams": op5_language_unigrams,
     "op3_substring_dedup": op3_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op4_huffman_ids": op4_huffman_ids,
