@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm import huffman, language, packing, quality, simhash, substrings, vectors
+from staygrid.llm import huffman, language, media, packing, quality, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -53,7 +53,13 @@ def op7_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op1_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.store_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return media.digests(media.sniff_media(stored))
+
+
 QUERIES = {
+    "op1_media_sniffing": op1_media_sniffing,
     "op7_collision_counting": op7_collision_counting,
     "op2_quality_attention": op2_quality_attention,
     "op5_language_unigrams": op5_language_unigrams,
