@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm import huffman, language, media, packing, quality, simhash, substrings, vectors
+from staygrid.llm import chat, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -58,7 +58,24 @@ def op1_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.sniff_media(stored))
 
 
+def op8_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return out.select("doc_id", "mixed.domain", "lang", "source", "mixed.n_tokens", "mixed.n_selected")
+
+
+#: A conversation whose texts hold control strings.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
+    return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
+
+
 QUERIES = {
+    "op8_hierarchical_mixing": op8_hierarchical_mixing,
+    "op9_chat_templates": op9_chat_templates,
     "op1_media_sniffing": op1_media_sniffing,
     "op7_collision_counting": op7_collision_counting,
     "op2_quality_attention": op2_quality_attention,
@@ -68,4 +85,4 @@ QUERIES = {
     "op4_huffman_ids": op4_huffman_ids,
     "op6_best_fit_packing": op6_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_hierarchical_mixing": mixing.ORACLE}
