@@ -1,10 +1,9 @@
 """Exact tokenization of whole texts by encoding each distinct piece once.
 
-A public tokenizer's pre-tokenizer never joins a character that isn't white space to white
-space that follows it, so a text may be cut there: the ids of a text are the ids of its chunks,
-joined. A chunk of common letters is cut further into the pre-tokenizer's own pieces, which go
-to the library's BPE model directly. Chunks with anything else take the library's whole path.
-Bounded caches keep what is known; they change no result.
+A text of common letters is cut into the pre-tokenizer's own pieces, and each piece goes to the
+library's BPE model once. Texts with anything else are cut where a pre-tokenizer always cuts,
+before white space that follows something else, and parts that aren't common take the library's
+whole path. A bounded cache keeps the ids of pieces; it changes no result.
 """
 
 from __future__ import annotations
@@ -14,24 +13,18 @@ import re
 from collections.abc import Callable, Iterable
 
 import public_tokenizers
-import regex
 from tokenizers import Tokenizer
 
-#: White space other than blank and newline makes the plain cut unsafe.
-_ODD_SPACE = re.compile(r"[^\S \n]")
-_PLAIN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: Where a text can't simply be cut at each blank.
-_ONE_BLANK = re.compile(r"[ \n] |^ | $")
-_CAREFUL = re.compile(r"(?<=\S)(?=[ \n])")
-#: Chunks that normalisation leaves alone but for case: ASCII and precomposed Latin letters.
-_COMMON = re.compile(r"[\n\x20-\x7eÀ-įı-ſ]*")
-#: The pre-tokenizers' patterns, as the tokenizer files or the library give them (fixed values).
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries a worker's cache may hold.
-CACHE = 400_000
-#: A mark after a word, which no pattern joins to what precedes it.
-_MARKS = frozenset(".,;:!?|)")
+#: Texts that normalisation leaves alone but for case: ASCII and precomposed Latin letters.
+_LATIN = "a-zA-ZÀ-ÖØ-öø-įı-ſ"
+_COMMON = re.compile(rf"[\t-\r\x20-\x7e×÷{_LATIN}]*")
+#: What the tokenizer files' patterns cut, over common texts (letters first, which is faster to try).
+_FAST_WORDS = re.compile(rf"[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\s0-9{_LATIN}]+")
+_FAST_BYTES = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
+#: Where any text may be cut: before a blank or newline that follows something that isn't white space.
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: Pieces that a worker's cache may hold.
+CACHE = 300_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -71,17 +64,9 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.words = words
         self.packed = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.pattern = regex.compile(WORD_PATTERN if words else BYTE_PATTERN)
+        self.pieces = (_FAST_WORDS if words else _FAST_BYTES).findall
         self.letters = _byte_letters()
-        self.chunk_ids = _Cache(self._chunk)
-        self.led_ids = _Cache(lambda chunk: self._chunk(" " + chunk))  # of chunks with a blank before them
-        self.piece_ids = _Cache(self._piece)
-
-    def chunks(self, text: str) -> list[str]:
-        if _ODD_SPACE.search(text):
-            parts = _CAREFUL.split(text)
-            return [p.lstrip(" \n") for p in parts] if self.words else parts
-        return text.split() if self.words else _PLAIN.findall(text)
+        self.known = _Cache(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii() and (piece.isalnum() or piece[0] == " " and piece[1:].isalnum()):
@@ -90,36 +75,23 @@ class ChunkEncoder:
             spelt = piece.encode().decode("latin-1").translate(self.letters)
         return b"".join([self.packed[t.id] for t in self.model.tokenize(spelt)])
 
-    def _pieces(self, chunk: str) -> list[str]:
-        """What the pre-tokenizer makes of a chunk; the shortcuts give what the pattern gives."""
-        if self.words:
-            chunk = chunk.lower()
-        body = chunk if self.words or chunk[:1] != " " else chunk[1:]
-        if body.isalpha():
-            return [chunk]
-        if body[-1:] in _MARKS and body[:-1].isalpha():
-            return [chunk[:-1], body[-1]]
-        return self.pattern.findall(chunk)
-
-    def _chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() and _COMMON.fullmatch(chunk) is None:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            return b"".join([self.packed[i] for i in ids])
-        return b"".join(map(self.piece_ids.__getitem__, self._pieces(chunk)))
+    def _common(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, self.pieces(text.lower() if self.words else text)))
+
+    def _one(self, text: str) -> bytes:
+        if _COMMON.fullmatch(text):
+            return self._common(text)
+        whole = self.tokenizer.encode
+        return b"".join([
+            self._common(part) if _COMMON.fullmatch(part) else b"".join([self.packed[i] for i in whole(part, add_special_tokens=False).ids])
+            for part in _CUT.split(text)
+        ])
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """One bytes object for each text (null: empty)."""
-        for cache in (self.piece_ids, self.chunk_ids, self.led_ids):
-            if len(cache) > CACHE:
-                cache.clear()
-        out = []
-        for text in texts:
-            if text and not self.words and _ONE_BLANK.search(text) is None and not _ODD_SPACE.search(text):
-                first, *rest = text.split(" ")
-                out.append(self._chunk(first) + b"".join(map(self.led_ids.__getitem__, rest)))
-            else:
-                out.append(b"".join(map(self.chunk_ids.__getitem__, self.chunks(text))) if text else b"")
-        return out
+        if len(self.known) > CACHE:
+            self.known.clear()
+        return [self._one(text) if text else b"" for text in texts]
 
 
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
