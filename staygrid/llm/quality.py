@@ -190,8 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model
     return fit(bags, rows["quality"].to_numpy(np.float64))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with a column `score`: the probability of label 1."""
+def score(docs: DataFrame, model: Model, output: str = "score") -> DataFrame:
+    """`docs` with a column `output` (in place of any such): the probability of label 1."""
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -199,4 +199,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     tune(docs.sparkSession)
-    return docs.withColumn("score", F.pandas_udf(run, "double")(F.col("text").cast("string")))
+    return docs.withColumn(output, F.pandas_udf(run, "double")(F.col("text").cast("string")))

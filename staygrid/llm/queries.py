@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from staygrid.llm import chat, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
@@ -74,15 +75,16 @@ def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op8_hierarchical_mixing": op8_hierarchical_mixing,
-    "op9_chat_templates": op9_chat_templates,
     "op1_media_sniffing": op1_media_sniffing,
-    "op7_collision_counting": op7_collision_counting,
     "op2_quality_attention": op2_quality_attention,
-    "op5_language_unigrams": op5_language_unigrams,
     "op3_substring_dedup": op3_substring_dedup,
-    "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op4_huffman_ids": op4_huffman_ids,
+    "op5_language_unigrams": op5_language_unigrams,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_collision_counting": op7_collision_counting,
+    "op8_hierarchical_mixing": op8_hierarchical_mixing,
+    "op9_chat_templates": op9_chat_templates,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {"op8_hierarchical_mixing": mixing.ORACLE}
