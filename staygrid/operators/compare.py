@@ -119,12 +119,12 @@ def value_differences(candidate: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def worst_examples(candidate: DataFrame, reference: DataFrame, concept: str, n: int = 20) -> DataFrame:
-    """The `n` largest differences of one concept; ties by key."""
+    """The `n` largest differences of one concept; ties (to nine decimals) by key."""
     joined = on_common_keys(candidate, reference, [concept])
     a, b = F.col(f"`{concept}`"), F.col(f"`{concept}_ref`")
     rows = joined.where(a.isNotNull() & b.isNotNull())
     rows = rows.select(*KEYS, a.alias("candidate_value"), b.alias("reference_value"), F.abs(a - b).alias("abs_diff"))
-    return rows.orderBy(F.desc_nulls_last("abs_diff"), *KEYS).limit(n)
+    return rows.orderBy(F.round("abs_diff", 9).desc_nulls_last(), *KEYS).limit(n)
 
 
 def to_long(wide: DataFrame, concepts: Sequence[str] | None = None) -> DataFrame:

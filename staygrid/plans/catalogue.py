@@ -134,7 +134,7 @@ def _agg_sql(name: str, where: str = "") -> str:
     return {
         "mean": f"avg(numeric_value){f}", "median": f"median(numeric_value){f}", "min": f"min(numeric_value){f}", "max": f"max(numeric_value){f}",
         "sum": f"CASE WHEN count(*){f} > 0 THEN coalesce(sum(numeric_value){f}, 0) END",
-        "first": f"arg_min(numeric_value, struct_pack(a := at, b := numeric_value)){f}", "last": f"arg_max(numeric_value, struct_pack(a := at, b := numeric_value)){f}",
+        "first": f'arg_min(numeric_value, struct_pack(a := "at", b := numeric_value)){f}', "last": f'arg_max(numeric_value, struct_pack(a := "at", b := numeric_value)){f}',
     }[name]
 
 
@@ -398,7 +398,7 @@ def value_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""WITH {JOINED} SELECT stay_id, time, round(click, 6) AS candidate_value, round(click_ref, 6) AS reference_value, round(abs(click - click_ref), 6) AS abs_diff
-FROM j WHERE click IS NOT NULL AND click_ref IS NOT NULL ORDER BY round(abs(click - click_ref), 6) DESC, stay_id, time LIMIT 20""")
+FROM j WHERE click IS NOT NULL AND click_ref IS NOT NULL ORDER BY round(abs(round(click, 6) - round(click_ref, 6)), 9) DESC, stay_id, time LIMIT 20""")
 def worst_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.worst_examples(_rounded(_wide_a(spark, sf_dir), "click"), _rounded(_wide_b(spark, sf_dir), "click"), "click").withColumn("abs_diff", F.round("abs_diff", 6))
 
