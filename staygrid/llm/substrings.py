@@ -1,13 +1,13 @@
 """Operator 3: removing repeated 50-word passages by super-k-mer partitioning.
 
-Consecutive windows that share a minimiser (their smallest hashed GRAM words) form a super-k-mer
-and travel as one packed string to the minimiser's bucket, where sorting the windows finds each
-one's smallest document exactly.
-
-1. Only (minimiser, document) goes round first; minimisers of a single document can't repeat.
-2. Super-k-mers of the others travel to buckets. A minimiser in over HOT documents would fill
-   one task: its equal strings are merged first, and their windows are then dealt out one by one
-   (by 128-bit digest), so no group ever holds more than one window's rows.
+Consecutive windows that share a minimiser (the smallest hash of GRAM words in each) form a
+super-k-mer and travel as one packed string to the minimiser's bucket, where sorting the windows
+finds each one's smallest document exactly. A stretch that repeats itself is one super-k-mer.
+
+1. Only (minimiser, document, windows) goes round first; minimisers of one document can't repeat.
+2. Super-k-mers of the others travel to buckets. A minimiser of over HOT windows would fill one
+   task: its equal strings are merged first, and their windows are then dealt out one by one (by
+   128-bit digest), so no group ever holds more than one window's rows.
 3. Runs of flagged windows return to their documents.
 
 Defined cases: null, empty and short texts lose nothing; a document never flags itself nor rows
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from staygrid.llm.common import materialize, mix64, parallelism, tune, utf8, word_hashes
 
-WINDOW, GRAM, HOT = 50, 8, 2000
+WINDOW, GRAM, HOT = 50, 8, 40_000
+#: A run of windows is start * RUN + length.
+RUN = 1 << 31
 _SUPER = "anchor long, doc_id long, key long, pos long, n_windows int, packed binary, hot boolean"
 
 
@@ -53,11 +55,11 @@ class SuperKmers:
                 grams = grams * np.uint64(0x100000001B3) + hashes[k : k + len(grams)]
         grams = mix64(grams)
         reach = WINDOW - GRAM + 1
-        lowest = np.concatenate([part.argmin(1) for part in np.array_split(sliding_window_view(grams, reach), -(-len(grams) // 65536))])
-        lowest = lowest + np.arange(len(lowest))
-        self.first = np.flatnonzero(np.diff(lowest, prepend=-1))
+        views = sliding_window_view(grams, reach)
+        lowest = np.concatenate([part.min(1) for part in np.array_split(views, -(-len(views) // 65536))])
+        self.first = np.flatnonzero(np.concatenate(([True], lowest[1:] != lowest[:-1])))
         self.size = np.diff(self.first, append=len(lowest))
-        self.anchor = grams[lowest[self.first]].view(np.int64)
+        self.anchor = lowest[self.first].view(np.int64)
 
     def packed(self, k: int) -> bytes:
         begin = self.first[k]
@@ -72,12 +74,18 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [np.unique(SuperKmers(t).anchor) for t in batch["text"]]
-        n = [len(x) for x in found]
+        found, windows, n = [], [], []
+        for text in batch["text"]:
+            supers = SuperKmers(text)
+            anchor, at = np.unique(supers.anchor, return_inverse=True)
+            found.append(anchor)
+            windows.append(np.bincount(at, supers.size, len(anchor)).astype(np.int64))
+            n.append(len(anchor))
         yield pd.DataFrame({
             "anchor": np.concatenate(found) if found else np.zeros(0, np.int64),
             "doc_id": np.repeat(batch["doc_id"].to_numpy(), n),
             "key": np.repeat(batch["key"].to_numpy(), n),
+            "windows": np.concatenate(windows) if found else np.zeros(0, np.int64),
         })
 
 
@@ -95,7 +103,7 @@ def _supers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def windows(packed: bytes) -> list[bytes]:
     """The windows of a packed string."""
-    ends = [i for i, c in enumerate(packed) if c == 32] if len(packed) < 64 else np.flatnonzero(np.frombuffer(packed, np.uint8) == 32).tolist()
+    ends = np.flatnonzero(np.frombuffer(packed, np.uint8) == 32).tolist()
     begins = [0, *(e + 1 for e in ends)]
     ends.append(len(packed))
     return [packed[b:e] for b, e in zip(begins, ends[WINDOW - 1 :], strict=False)]
@@ -116,7 +124,7 @@ def _runs(flags: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def _judge(rows: list[tuple]) -> list[tuple]:
-    """Of one bucket (doc_id, key, pos, packed): runs of windows that a smaller document has too."""
+    """Of a minimiser's rows (doc_id, key, pos, packed): runs of windows that a smaller document has too."""
     seen = [(w, row[0], r, i) for r, row in enumerate(rows) for i, w in enumerate(windows(row[3]))]
     seen.sort()
     flagged: dict[int, list[int]] = {}
@@ -126,13 +134,13 @@ def _judge(rows: list[tuple]) -> list[tuple]:
             window, smallest = w, doc_id
         if doc_id > smallest:
             flagged.setdefault(r, []).append(i)
-    return [(rows[r][0], rows[r][1], rows[r][2] + at, n) for r, found in flagged.items() for at, n in _runs(sorted(found))]
+    return [(rows[r][0], rows[r][1], [(rows[r][2] + at) * RUN + n for at, n in _runs(sorted(found))]) for r, found in flagged.items()]
 
 
 def _bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Buckets come whole and one after another; one is held at a time."""
+    """A minimiser's rows come whole and one after another; one minimiser's are held at a time."""
     anchor, held = None, []
-    columns = ["doc_id", "key", "start", "n"]
+    columns = ["doc_id", "key", "runs"]
     for batch in batches:
         out = []
         for a, *row in zip(batch["anchor"], batch["doc_id"], batch["key"], batch["pos"], batch["packed"], strict=True):
@@ -145,30 +153,35 @@ def _bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each different window of each string, and where it is in there."""
     for batch in batches:
-        rows = [(c, m, i, hashlib.blake2b(w, digest_size=16).digest()) for c, m, p in zip(batch["content"], batch["first"], batch["packed"], strict=True) for i, w in enumerate(windows(p))]
-        yield pd.DataFrame(rows, columns=["content", "first", "i", "window"])
+        for content, first, packed in zip(batch["content"], batch["first"], batch["packed"], strict=True):
+            places: dict[bytes, list[int]] = {}
+            for i, window in enumerate(windows(packed)):
+                places.setdefault(hashlib.blake2b(window, digest_size=16).digest(), []).append(i)
+            yield pd.DataFrame({"content": content, "first": first, "window": list(places), "at": list(places.values())})
 
 
 def _flag_hot(supers: DataFrame) -> DataFrame:
-    """Flags of the windows of minimisers that many documents share, window by window."""
+    """Flags of the windows of minimisers that have very many, window by window."""
     supers = supers.withColumn("content", F.md5("packed"))
     contents = supers.groupBy("content").agg(F.first("packed").alias("packed"), F.min("doc_id").alias("first"))
-    each = contents.mapInPandas(_digests, "content string, first long, i int, window binary")
+    each = contents.mapInPandas(_digests, "content string, first long, window binary, at array<int>")
     lowest = each.groupBy("window").agg(F.min("first").alias("lowest"))
-    early = each.join(lowest, "window").where("lowest < first").groupBy("content", "first").agg(F.collect_set("i").alias("at"))
+    early = each.join(lowest, "window").where("lowest < first").groupBy("content", "first").agg(F.flatten(F.collect_list("at")).alias("at"))
     places = supers.select("content", "doc_id", "key", "pos", "n_windows")
     later = places.join(contents.select("content", "first"), "content").where("doc_id > first")
-    first = places.join(early, "content").where("doc_id = first").select("doc_id", "key", "pos", F.explode("at").alias("i"))
-    return later.select("doc_id", "key", F.col("pos").alias("start"), "n_windows").unionByName(first.select("doc_id", "key", (F.col("pos") + F.col("i")).alias("start"), F.lit(1).alias("n_windows")))
+    first = places.join(early, "content").where("doc_id = first")
+    one = F.transform("at", lambda i: (F.col("pos") + i) * F.lit(RUN) + 1)
+    return later.select("doc_id", "key", F.array(F.col("pos") * F.lit(RUN) + F.col("n_windows")).alias("runs")).unionByName(first.select("doc_id", "key", one.alias("runs")))
 
 
 def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, key, runs: for each document, runs of flagged windows as start * 256 + length."""
+    """doc_id, key, runs: for each document, runs of flagged windows as start * RUN + length."""
     tune(docs.sparkSession)
     keyed = _with_key(docs)
-    anchors = materialize(keyed.mapInPandas(_anchors, "anchor long, doc_id long, key long"), "minimisers")
-    counts = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b")
+    anchors = materialize(keyed.mapInPandas(_anchors, "anchor long, doc_id long, key long, windows long"), "minimisers")
+    counts = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.sum("windows").alias("n")).where("a < b")
     shared = anchors.join(counts.select("anchor", "n"), "anchor")
     wanted = shared.groupBy("doc_id", "key").agg(
         F.collect_list(F.when(F.col("n") <= hot, F.col("anchor"))).alias("cold"),
@@ -177,9 +190,8 @@ def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
     supers = materialize(keyed.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "text", "cold", "hot").mapInPandas(_supers, _SUPER), "superkmers")
     cold = supers.where("not hot").select("anchor", "doc_id", "key", "pos", "packed")
     cold = cold.repartition(parallelism(docs), "anchor").sortWithinPartitions("anchor")
-    flags = cold.mapInPandas(_bucket, "doc_id long, key long, start long, n int")
-    flags = flags.unionByName(_flag_hot(supers.where("hot")).withColumnRenamed("n_windows", "n"))
-    return flags.groupBy("doc_id", "key").agg(F.collect_list(F.col("start") * 256 + F.col("n")).alias("runs"))
+    flags = cold.mapInPandas(_bucket, "doc_id long, key long, runs array<long>").unionByName(_flag_hot(supers.where("hot")))
+    return flags.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def _cut_out(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
@@ -190,7 +202,7 @@ def _cut_out(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
             rows.append((len(words), 0, b" ".join(words).decode()))
             continue
         edges = np.zeros(len(words) + 1, np.int64)
-        starts, n = np.divmod(np.asarray(codes, np.int64), 256)
+        starts, n = np.divmod(np.asarray(codes, np.int64), RUN)
         np.add.at(edges, starts, 1)
         np.add.at(edges, starts + n + WINDOW - 1, -1)
         covered = np.cumsum(edges[:-1]) > 0
