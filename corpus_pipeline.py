@@ -49,19 +49,19 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeats(docs)
-    cut = cut.where("cut.n_removed = 0 or cut.n_removed < cut.n_words")
-    changed = F.col("cut.n_removed") > 0
-    out = cut.withColumn("text", F.when(changed, F.col("cut.kept")).otherwise(F.col("text")))
+    cut = substrings.remove_repeats(docs, output="_cut")
+    cut = cut.where("_cut.n_removed = 0 or _cut.n_removed < _cut.n_words")
+    changed = F.col("_cut.n_removed") > 0
+    out = cut.withColumn("text", F.when(changed, F.col("_cut.kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return _columns(docs, out)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, share=MIX_SHARE)
-    times = F.explode(F.expr("sequence(1L, mixed.n_selected)"))
-    return _columns(docs, mixed.where("mixed.n_selected > 0").withColumn("_time", times))
+    mixed = mixing.mix(docs, share=MIX_SHARE, output="_mixed")
+    times = F.explode(F.expr("sequence(1L, _mixed.n_selected)"))
+    return _columns(docs, mixed.where("_mixed.n_selected > 0").withColumn("_time", times))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from staygrid.llm.common import materialize, parallelism, tune
 from staygrid.llm.tokens import encoder
 
 MAGIC, STRIDE, BLOCK_IDS, MAX_BITS = b"SGH1", 64, 1 << 16, 16
-_TOKENS = "part int, block int, first long, n_ids long, doc_ids array<long>, sizes array<long>, ids binary"
+_TOKENS = "part int, first long, n_ids long, n_docs int, head binary, ids binary"
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -109,11 +109,14 @@ class Code:
         return out.T.reshape(-1)[:n]
 
 
-def pack_block(code: Code, doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> bytes:
+def pack_head(doc_ids: list[int | None], sizes: list[int]) -> bytes:
     known = np.array([d if d is not None else 0 for d in doc_ids], "<i8")
-    head = zlib.compress(known.tobytes() + bytes(d is None for d in doc_ids) + np.array(sizes, "<u4").tobytes(), 6)
+    return zlib.compress(known.tobytes() + bytes(d is None for d in doc_ids) + np.array(sizes, "<u4").tobytes(), 6)
+
+
+def pack_block(code: Code, n_docs: int, head: bytes, ids: np.ndarray) -> bytes:
     strides, data = code.pack(ids)
-    return MAGIC + struct.pack("<IIII", len(doc_ids), len(ids), code.check, len(head)) + head + strides.tobytes() + data
+    return MAGIC + struct.pack("<IIII", n_docs, len(ids), code.check, len(head)) + head + strides.tobytes() + data
 
 
 def unpack_block(code: Code, block: bytes) -> tuple[list[int | None], list[int], np.ndarray]:
@@ -133,20 +136,20 @@ def _tokenize(path: str, words: bool, end_id: int) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path, 2, words).encode
         end, part = end_id.to_bytes(2, "little"), TaskContext.get().partitionId()
-        block, first, ids, doc_ids, sizes, size = 0, 0, [], [], [], 0
+        first, size, ids, doc_ids, sizes = 0, 0, [], [], []
 
         def row() -> pd.DataFrame:
-            return pd.DataFrame([[part, block, first, size, doc_ids, sizes, b"".join(ids)]], columns=["part", "block", "first", "n_ids", "doc_ids", "sizes", "ids"])
+            return pd.DataFrame([[part, first, size, len(doc_ids), pack_head(doc_ids, sizes), b"".join(ids)]], columns=["part", "first", "n_ids", "n_docs", "head", "ids"])
 
         for batch in batches:
-            for doc_id, data in zip(batch["doc_id"], encode(batch["text"]), strict=True):
+            for doc_id, missing, data in zip(batch["doc_id"].tolist(), batch["missing"], encode(batch["text"]), strict=True):
                 ids.append(data + end)
-                doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
+                doc_ids.append(None if missing else doc_id)
                 sizes.append(len(data) // 2 + 1)
                 size += sizes[-1]
                 if size >= BLOCK_IDS:
                     yield row()
-                    block, first, ids, doc_ids, sizes, size = block + 1, first + size, [], [], [], 0
+                    first, size, ids, doc_ids, sizes = first + size, 0, [], [], []
         if doc_ids:
             yield row()
 
@@ -162,7 +165,9 @@ def tokenize_blocks(docs: DataFrame, path: str, words: bool, end_id: int) -> Dat
     ranged = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ranged = ranged.repartitionByRange(parallelism(docs), F.col("doc_id").asc_nulls_first())
     ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return materialize(ranged.mapInPandas(_tokenize(path, words, end_id), _TOKENS), "ids")
+    # without nulls pandas keeps ids whole
+    plain = ranged.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "text")
+    return materialize(plain.mapInPandas(_tokenize(path, words, end_id), _TOKENS), "ids")
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,10 +197,10 @@ def write_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = Code(lengths)
         for batch in batches:
-            content = [pack_block(code, list(d), list(s), np.frombuffer(i, "<u2")) for d, s, i in zip(batch["doc_ids"], batch["sizes"], batch["ids"], strict=True)]
+            content = [pack_block(code, d, h, np.frombuffer(i, "<u2")) for d, h, i in zip(batch["n_docs"], batch["head"], batch["ids"], strict=True)]
             yield pd.DataFrame({"start": batch["part"].map(bases) + batch["first"], "content": content})
 
-    coded = blocks.select("part", "first", "doc_ids", "sizes", "ids").mapInPandas(run, "start long, content binary")
+    coded = blocks.select("part", "first", "n_docs", "head", "ids").mapInPandas(run, "start long, content binary")
     return materialize(coded, "huffman")
 
 

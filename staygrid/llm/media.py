@@ -189,15 +189,14 @@ def samples(blob: bytes) -> bytes:
 def store_texts(docs: DataFrame, declared: str = "application/octet-stream") -> DataFrame:
     """doc_id, n_bytes, declared and media: each whole text as a WAVE file, in the shared folder."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [utf8(t) for t in batch["text"]]
-            media = [wave(r.ljust(max(-(-len(r) // BLOCK), 1) * BLOCK)) for r in raw]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_bytes": [len(r) for r in raw], "media": media})
+    def run(texts: pd.Series) -> pd.DataFrame:
+        raw = [utf8(t) for t in texts]
+        return pd.DataFrame({"n_bytes": [len(r) for r in raw], "media": [wave(r.ljust(max(-(-len(r) // BLOCK), 1) * BLOCK)) for r in raw]})
 
     tune(docs.sparkSession)
-    made = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, n_bytes long, media binary")
-    return materialize(made.withColumn("declared", F.lit(declared)), "media")
+    stored = F.pandas_udf(run, "n_bytes long, media binary")(F.col("text").cast("string")).alias("stored")
+    made = docs.select(F.col("doc_id").cast("long"), stored).select("doc_id", "stored.n_bytes", "stored.media", F.lit(declared).alias("declared"))
+    return materialize(made, "media")
 
 
 def sniff_media(rows: DataFrame, media: str = "media") -> DataFrame:

@@ -11,7 +11,8 @@ first, so no task ever holds a leaf.
 
 Defined cases: null language or source is 'none', null text has no tokens; rows of one doc_id
 in a leaf are taken or left together; a null doc_id counts as one id; fractions of a token that
-rounding leaves over go to nobody; extra columns are kept; no rows give no rows. Weights are
+rounding leaves over go to nobody; extra columns are kept, but
+one with the output's name is replaced; no rows give no rows. Weights are
 whole numbers of at least 1 that sum to at most 10,000 among siblings.
 """
 
@@ -26,7 +27,7 @@ SEED, EPOCHS, SHARE = "mix-1", 2, (1, 2)
 DOMAIN_WEIGHTS = {"web": 5, "books": 3, "forum": 2, "other": 1}
 LANG_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 1}
 WORD = r"[^\x20\x09-\x0D]+"
-_LEAF = ["_domain", "_lang", "_source"]
+_LEAF = ["_mix_domain", "_mix_lang", "_mix_source"]
 
 
 def domain_of(source: Column) -> Column:
@@ -61,21 +62,21 @@ def share_out(nodes: DataFrame, parent: list[str], name: str, budget: str) -> Da
 
 
 def leaf_budgets(leaves: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, domains: dict[str, int] | None = None, langs: dict[str, int] | None = None) -> DataFrame:
-    """Tokens for each leaf of `leaves` (_domain, _lang, _source, tokens): `got`."""
-    domain, lang = _weight(F.col("_domain"), domains or DOMAIN_WEIGHTS), _weight(F.col("_lang"), langs or LANG_WEIGHTS)
+    """Tokens for each leaf of `leaves` (_mix_domain, _mix_lang, _mix_source, tokens): `got`."""
+    domain, lang = _weight(F.col("_mix_domain"), domains or DOMAIN_WEIGHTS), _weight(F.col("_mix_lang"), langs or LANG_WEIGHTS)
     leaves = leaves.withColumn("capacity", F.col("tokens") * epochs)
-    langs_of = leaves.groupBy("_domain", "_lang").agg(F.sum("capacity").alias("capacity"))
-    top = langs_of.groupBy("_domain").agg(F.sum("capacity").alias("capacity"))
+    langs_of = leaves.groupBy("_mix_domain", "_mix_lang").agg(F.sum("capacity").alias("capacity"))
+    top = langs_of.groupBy("_mix_domain").agg(F.sum("capacity").alias("capacity"))
     whole = leaves.agg(F.expr(f"sum(tokens) * {share[0]} div {share[1]}").alias("budget"))  # one row
-    top = share_out(top.join(whole).withColumns({"weight": domain, "all": F.lit(1)}), ["all"], "_domain", "budget")
-    middle = langs_of.join(top.select("_domain", F.col("got").alias("budget")), "_domain").withColumn("weight", lang)
-    middle = share_out(middle, ["_domain"], "_lang", "budget")
-    bottom = leaves.join(middle.select("_domain", "_lang", F.col("got").alias("budget")), ["_domain", "_lang"]).withColumn("weight", F.lit(1).cast("long"))
-    return share_out(bottom, ["_domain", "_lang"], "_source", "budget").select(*_LEAF, "tokens", "got")
+    top = share_out(top.join(whole).withColumns({"weight": domain, "all": F.lit(1)}), ["all"], "_mix_domain", "budget")
+    middle = langs_of.join(top.select("_mix_domain", F.col("got").alias("budget")), "_mix_domain").withColumn("weight", lang)
+    middle = share_out(middle, ["_mix_domain"], "_mix_lang", "budget")
+    bottom = leaves.join(middle.select("_mix_domain", "_mix_lang", F.col("got").alias("budget")), ["_mix_domain", "_mix_lang"]).withColumn("weight", F.lit(1).cast("long"))
+    return share_out(bottom, ["_mix_domain", "_mix_lang"], "_mix_source", "budget").select(*_LEAF, "tokens", "got")
 
 
 def _order(epoch: str) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(SEED), F.col(epoch).cast("string"), F.coalesce(F.col("_id"), F.lit(""))))
+    return F.md5(F.concat_ws(":", F.lit(SEED), F.col(epoch).cast("string"), F.coalesce(F.col("_mix_id"), F.lit(""))))
 
 
 def _cuts(units: DataFrame, plan: DataFrame) -> DataFrame:
@@ -92,22 +93,22 @@ def _cuts(units: DataFrame, plan: DataFrame) -> DataFrame:
     return whole.unionByName(inside).groupBy(*_LEAF).agg(F.max("last").alias("cut"))
 
 
-def mix(docs: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, domains: dict[str, int] | None = None, langs: dict[str, int] | None = None) -> DataFrame:
-    """`docs` (doc_id, text, lang, source) with a struct `mixed`: domain, n_tokens and n_selected."""
+def mix(docs: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, domains: dict[str, int] | None = None, langs: dict[str, int] | None = None, output: str = "mixed") -> DataFrame:
+    """`docs` (doc_id, text, lang, source) with a struct `output`: domain, n_tokens and n_selected."""
     text, source = F.col("text").cast("string"), F.coalesce(F.col("source").cast("string"), F.lit("none"))
     named = docs.withColumns({
-        "_id": F.col("doc_id").cast("string"), "_domain": domain_of(source), "_lang": F.coalesce(F.col("lang").cast("string"), F.lit("none")),
-        "_source": source, "_tokens": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
+        "_mix_id": F.col("doc_id").cast("string"), "_mix_domain": domain_of(source), "_mix_lang": F.coalesce(F.col("lang").cast("string"), F.lit("none")),
+        "_mix_source": source, "_mix_tokens": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
     })
-    units = materialize(named.groupBy(*_LEAF, "_id").agg(F.sum("_tokens").alias("tokens")), "units")
+    units = materialize(named.groupBy(*_LEAF, "_mix_id").agg(F.sum("_mix_tokens").alias("tokens")), "units")
     plan = leaf_budgets(units.groupBy(*_LEAF).agg(F.sum("tokens").alias("tokens")), share, epochs, domains, langs)
     plan = plan.withColumn("epochs", F.expr("if(tokens = 0, 0, got div tokens)")).withColumn("rest", F.expr("got - epochs * tokens"))
     plan = materialize(plan, "plan")
-    plan = materialize(plan.join(_cuts(units, plan), _LEAF, "left"), "cuts").select(*_LEAF, "epochs", "cut")
+    plan = materialize(plan.join(_cuts(units, plan), _LEAF, "left"), "cuts").select(*_LEAF, F.col("epochs").alias("_mix_epochs"), F.col("cut").alias("_mix_cut"))
     joined = named.join(plan, _LEAF)
-    more = F.coalesce((_order("epochs") <= F.col("cut")).cast("long"), F.lit(0))
-    mixed = F.struct(F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), (F.col("epochs") + more).alias("n_selected"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias("mixed"))
+    more = F.coalesce((_order("_mix_epochs") <= F.col("_mix_cut")).cast("long"), F.lit(0))
+    mixed = F.struct(F.col("_mix_domain").alias("domain"), F.col("_mix_tokens").alias("n_tokens"), (F.col("_mix_epochs") + more).alias("n_selected"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns if c != output], mixed.alias(output))
 
 
 _SHARE_SQL = """

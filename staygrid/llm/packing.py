@@ -23,7 +23,7 @@ from staygrid.llm.common import materialize, tune
 from staygrid.llm.tokens import encoder
 
 CAPACITY = 1024
-_PIECES = "part int, doc_id long, piece int, start long, length int, rank long, ids binary"
+_PIECES = "part int, doc_id long, missing boolean, piece int, start long, length int, rank long, ids binary"
 
 
 def _exact(counts: np.ndarray, gap: int, used: int) -> tuple[int, ...] | None:
@@ -108,16 +108,15 @@ def _cut(path: str, end_id: int, capacity: int) -> Callable:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
-            for doc_id, data in zip(batch["doc_id"], encode(batch["text"]), strict=True):
+            for doc_id, missing, data in zip(batch["doc_id"].tolist(), batch["missing"].tolist(), encode(batch["text"]), strict=True):
                 data, begin, piece = data + end, 0, 0
                 n = len(data) // 4
                 while begin < n:
                     length = (n - begin) % capacity or capacity  # only the first can be shorter
-                    rows.append((part, doc_id, piece, begin, length, seen[length], data[4 * begin : 4 * (begin + length)]))
+                    rows.append((part, doc_id, missing, piece, begin, length, seen[length], data[4 * begin : 4 * (begin + length)]))
                     seen[length] += 1
                     begin, piece = begin + length, piece + 1
-            out = pd.DataFrame(rows, columns=["part", "doc_id", "piece", "start", "length", "rank", "ids"])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            yield pd.DataFrame(rows, columns=["part", "doc_id", "missing", "piece", "start", "length", "rank", "ids"])
 
     return run
 
@@ -125,12 +124,14 @@ def _cut(path: str, end_id: int, capacity: int) -> Callable:
 def cut_pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """Token pieces of all documents (ids little-endian unsigned 32-bit), in the shared folder."""
     tune(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    doc_id = F.col("doc_id").cast("long")
+    # without nulls pandas keeps ids whole
+    narrow = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("missing"), F.col("text").cast("string"))
     return materialize(narrow.mapInPandas(_cut(path, end_id, capacity), _PIECES), "pieces")
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to pieces that have part, length and rank (within the two)."""
+    """Places for pieces as `cut_pieces` makes them (ids may be left out): adds sequence_id and offset."""
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = _slots(solve(histogram, capacity))
@@ -151,7 +152,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     kept = [f for f in pieces.schema.fields if f.name not in ("part", "rank")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
-    return pieces.join(bases, ["part", "length"]).select(*[f.name for f in kept], "part", "rank", "base").mapInPandas(place, schema)
+    placed = pieces.join(bases, ["part", "length"]).select(*[f.name for f in kept], "part", "rank", "base").mapInPandas(place, schema)
+    return placed.withColumn("doc_id", F.when(~F.col("missing"), F.col("doc_id"))).drop("missing")
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from staygrid.llm.common import held_out, tune, utf8, word_hashes, word_spans
 
 PASSAGE, TRAIN_DOCS, HIDDEN, GATE = 64, 6000, 32, 16
-EPOCHS, BAGS, RATE, DECAY, THRESHOLD = 16, 128, 3e-3, 1e-4, 0.7
+EPOCHS, STEPS, BAGS, RATE, DECAY, THRESHOLD = 16, 600, 128, 3e-3, 1e-4, 0.7
 #: Bytes of text described at once.
 CHUNK = 1 << 21
 BUCKETS = 32
@@ -149,7 +149,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     }
     model, learned = Model(w), ["enc", "enc0", "v", "u", "w", "out", "out0"]
     m1, m2, step = {k: np.zeros_like(w[k]) for k in learned}, {k: np.zeros_like(w[k]) for k in learned}, 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, STEPS * BAGS // len(bags))):  # few bags: at least so many steps
         order = rng.permutation(len(bags))
         for i in range(0, len(order), BAGS):
             pick = order[i : i + BAGS]

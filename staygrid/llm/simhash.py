@@ -50,13 +50,11 @@ def fingerprint(text: str | None) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = np.array([fingerprint(t) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": fps})
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
     tune(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.pandas_udf(run, "long")(F.col("text").cast("string")).alias("fp"))
 
 
 def _middle(leaves: np.ndarray, begin: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:

@@ -12,7 +12,7 @@ finds each one's smallest document exactly. A stretch that repeats itself is one
 
 Defined cases: null, empty and short texts lose nothing; a document never flags itself nor rows
 of the same doc_id; a null doc_id neither flags nor loses anything; repeated rows are judged
-each; other columns are kept as they are; no rows give no rows. Hash collisions only merge buckets.
+each; other columns are kept, but one with the output's name is replaced; no rows give no rows. Hash collisions only merge buckets.
 """
 
 from __future__ import annotations
@@ -211,11 +211,11 @@ def _cut_out(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """`docs` with a struct column `cut`: n_words, n_removed and kept (words joined by one space)."""
-    runs = repeated_windows(docs, hot).withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
+def remove_repeats(docs: DataFrame, hot: int = HOT, output: str = "cut") -> DataFrame:
+    """`docs` with a struct `output`: n_words, n_removed and kept (words joined by one space)."""
+    runs = repeated_windows(docs, hot).withColumnsRenamed({"doc_id": "_cut_doc", "key": "_cut_key", "runs": "_cut_runs"})
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    keyed = docs.withColumns({"_id": doc_id, "_own": F.xxhash64(doc_id, text)})
-    joined = keyed.join(runs, (keyed["_id"] == runs["_doc"]) & (keyed["_own"] == runs["_key"]), "left")
+    keyed = docs.withColumns({"_cut_id": doc_id, "_cut_own": F.xxhash64(doc_id, text)})
+    joined = keyed.join(runs, (F.col("_cut_id") == F.col("_cut_doc")) & (F.col("_cut_own") == F.col("_cut_key")), "left")
     cut_out = F.pandas_udf(_cut_out, "n_words long, n_removed long, kept string")
-    return joined.select(*[docs[c] for c in docs.columns], cut_out(text, "runs").alias("cut"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns if c != output], cut_out(text, "_cut_runs").alias(output))
