@@ -26,8 +26,8 @@ CAPACITY = 1024
 _PIECES = "part int, doc_id long, missing boolean, piece int, start long, length int, rank long, ids binary"
 
 
-def _exact(counts: np.ndarray, gap: int, used: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to `gap`, largest first; `used` holds one already."""
+def _exact(counts: np.ndarray, gap: int, used: int, most: int) -> tuple[int, ...] | None:
+    """One, two or three (at most `most`) available lengths that sum to `gap`; `used` holds one already."""
     left = counts.copy()
     left[used] -= 1
     if gap < len(left) and left[gap] > 0:
@@ -41,9 +41,9 @@ def _exact(counts: np.ndarray, gap: int, used: int) -> tuple[int, ...] | None:
         found = np.flatnonzero(fits)
         return (int(total - low[found[0]]), int(low[found[0]])) if len(found) else None
 
-    if two := pair(gap):
+    if most > 1 and (two := pair(gap)):
         return two
-    for a in range(gap - 2, 0, -1):
+    for a in range(gap - 2, 0, -1) if most > 2 else ():
         if left[a] > 0:
             left[a] -= 1
             two = pair(gap - a)
@@ -54,7 +54,19 @@ def _exact(counts: np.ndarray, gap: int, used: int) -> tuple[int, ...] | None:
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths in one sequence) and how often each is used."""
+    """Patterns (lengths in one sequence) and how often each is used: the best of a few plans.
+
+    Combinations that fill a gap exactly also use up short pieces that best fit could have put
+    into many gaps. So plans differ in how many pieces an exact filling may have, and from which
+    length on gaps are filled by more than one; the plan of the fewest sequences counts.
+    """
+    choices = [(3, 1), *((most, capacity * part // 8) for most in (3, 2) for part in (4, 6, 7)), (1, 1)]
+    plans = [_plan(histogram, capacity, most, floor) for most, floor in choices]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _plan(histogram: dict[int, int], capacity: int, most: int, floor: int) -> list[tuple[tuple[int, ...], int]]:
+    """Exact fillings of at most `most` pieces (of one below length `floor`), then best fit of what is left."""
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
@@ -63,7 +75,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
         patterns.append(((capacity,), int(counts[capacity])))
         counts[capacity] = 0
     for length in range(capacity - 1, 0, -1):
-        while counts[length] and (rest := _exact(counts, capacity - length, length)):
+        while counts[length] and (rest := _exact(counts, capacity - length, length, most if length >= floor else 1)):
             pattern = (length, *rest)
             need = Counter(pattern)
             times = min(int(counts[x]) // n for x, n in need.items())
