@@ -30,7 +30,7 @@ from staygrid.llm.common import materialize, parallelism, tune
 from staygrid.llm.tokens import encoder
 
 MAGIC, STRIDE, BLOCK_IDS, MAX_BITS = b"SGH1", 64, 1 << 16, 16
-_TOKENS = "part int, first long, n_ids long, n_docs int, head binary, ids binary"
+_TOKENS = "part int, first long, n_ids long, n_docs int, head binary, ids binary, counts array<long>"
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -137,9 +137,13 @@ def _tokenize(path: str, words: bool, end_id: int) -> Callable:
         encode = encoder(path, 2, words).encode
         end, part = end_id.to_bytes(2, "little"), TaskContext.get().partitionId()
         first, size, ids, doc_ids, sizes = 0, 0, [], [], []
+        total = np.zeros(1 << 16, np.int64)
 
         def row() -> pd.DataFrame:
-            return pd.DataFrame([[part, first, size, len(doc_ids), pack_head(doc_ids, sizes), b"".join(ids)]], columns=["part", "first", "n_ids", "n_docs", "head", "ids"])
+            nonlocal total
+            data = b"".join(ids)
+            total += np.bincount(np.frombuffer(data, "<u2"), minlength=1 << 16)
+            return pd.DataFrame([[part, first, size, len(doc_ids), pack_head(doc_ids, sizes), data, None]], columns=columns)
 
         for batch in batches:
             for doc_id, missing, data in zip(batch["doc_id"].tolist(), batch["missing"], encode(batch["text"]), strict=True):
@@ -152,7 +156,10 @@ def _tokenize(path: str, words: bool, end_id: int) -> Callable:
                     first, size, ids, doc_ids, sizes = first + size, 0, [], [], []
         if doc_ids:
             yield row()
+        if total.any():  # the partition's last row holds its counts alone
+            yield pd.DataFrame([[part, first + size, 0, 0, None, None, total]], columns=columns)
 
+    columns = ["part", "first", "n_ids", "n_docs", "head", "ids", "counts"]
     return run
 
 
@@ -170,18 +177,10 @@ def tokenize_blocks(docs: DataFrame, path: str, words: bool, end_id: int) -> Dat
     return materialize(plain.mapInPandas(_tokenize(path, words, end_id), _TOKENS), "ids")
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for ids in batch["ids"]:
-            total += np.bincount(np.frombuffer(ids, "<u2"), minlength=1 << 16)
-    used = np.flatnonzero(total)
-    yield pd.DataFrame({"id": used, "n": total[used]})
-
-
 def global_code(blocks: DataFrame) -> np.ndarray:
     """Code lengths from counts over all ids; a row for each id of the vocabulary comes back."""
-    rows = blocks.select("ids").mapInPandas(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = blocks.where("counts is not null").select(F.posexplode("counts").alias("id", "n")).where("n > 0")
+    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -200,7 +199,7 @@ def write_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
             content = [pack_block(code, d, h, np.frombuffer(i, "<u2")) for d, h, i in zip(batch["n_docs"], batch["head"], batch["ids"], strict=True)]
             yield pd.DataFrame({"start": batch["part"].map(bases) + batch["first"], "content": content})
 
-    coded = blocks.select("part", "first", "n_docs", "head", "ids").mapInPandas(run, "start long, content binary")
+    coded = blocks.where("ids is not null").select("part", "first", "n_docs", "head", "ids").mapInPandas(run, "start long, content binary")
     return materialize(coded, "huffman")
 
 

@@ -19,8 +19,8 @@ from tokenizers import Tokenizer
 _LATIN = "a-zA-ZÀ-ÖØ-öø-įı-ſ"
 _COMMON = re.compile(rf"[\t-\r\x20-\x7e×÷{_LATIN}]*")
 #: What the tokenizer files' patterns cut, over common texts (letters first, which is faster to try).
-_FAST_WORDS = re.compile(rf"[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\s0-9{_LATIN}]+")
-_FAST_BYTES = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
+_FAST_WORDS = re.compile(rf"[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r 0-9{_LATIN}]+")
+_FAST_BYTES = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\t-\r 0-9{_LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 #: Where any text may be cut: before a blank or newline that follows something that isn't white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Pieces that a worker's cache may hold.
@@ -79,7 +79,7 @@ class ChunkEncoder:
         return b"".join(map(self.known.__getitem__, self.pieces(text.lower() if self.words else text)))
 
     def _one(self, text: str) -> bytes:
-        if _COMMON.fullmatch(text):
+        if text.isascii() or _COMMON.fullmatch(text):
             return self._common(text)
         whole = self.tokenizer.encode
         return b"".join([
