@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staygrid.llm import chat, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
+from staygrid.llm import chat, huffman, language, media, mixing, oracles, packing, quality, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -87,4 +87,9 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {"op8_hierarchical_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": oracles.SUBSTRINGS,
+    "op7_collision_counting": oracles.VECTORS,
+    "op8_hierarchical_mixing": mixing.ORACLE,
+    "op9_chat_templates": oracles.CHAT,
+}

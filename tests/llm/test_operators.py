@@ -493,6 +493,22 @@ def test_pipeline_stages(spark):
     assert out.count() > 0 and out.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+@pytest.mark.parametrize("name", ["op3_substring_dedup", "op7_collision_counting", "op8_hierarchical_mixing", "op9_chat_templates"])
+def test_query_equals_sql(spark, name):
+    import duckdb
+
+    from staygrid.llm import queries
+
+    data, con = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
+    df = queries.QUERIES[name](spark, data)
+    columns = sorted(df.columns)
+    want = con.sql(queries.ORACLE_SQL[name])
+    at = [list(want.columns).index(c) for c in columns]
+    assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=str)
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
