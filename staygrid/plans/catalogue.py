@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import compare, grid, items, mapping, validate, wide
 from staygrid.plans import identifiers, scope
+from staygrid.registry import stay_spec
 from staygrid.session import use_utc
 from staygrid.sources import events as ev
 from staygrid.sources import reference as ref
@@ -248,6 +249,19 @@ def identity_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_identity(minutes).select("stay_id", "time", "event_id", "numeric_value")
 
 
+_PATIENTS = [(141179, 128927, 2015, "08:56:00", -22, 2042), (141194, 128941, 2014, "23:59:30", 0, 59), (141196, 128927, 2015, "00:00:00", 1440, -5)]
+
+
+@_query(
+    "SELECT subject_id, stay_id, round(h, 6) AS intime_hours, round(h + span / 60.0, 6) AS outtime_hours FROM (SELECT stay_id, subject_id, span, epoch_us(CAST(y || '-01-01 ' || t AS TIMESTAMP)) // 1000 / 3600000.0 - off / 60.0 AS h FROM (VALUES "
+    + ", ".join(map(str, _PATIENTS)) + ") p(stay_id, subject_id, y, t, off, span))"
+)
+def eicu_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission made of the discharge year, the time of day and an offset in minutes."""
+    table = spark.createDataFrame(_PATIENTS, "patientunitstayid long, patienthealthsystemstayid long, hospitaldischargeyear int, hospitaladmittime24 string, hospitaladmitoffset long, unitdischargeoffset long")
+    return _rounded(st.normalized_stays(table, stay_spec("eicu")))
+
+
 # --- aggregates -----------------------------------------------------------------------------
 
 

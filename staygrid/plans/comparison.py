@@ -144,3 +144,13 @@ def overview(result: Comparison, n: int = 20) -> dict[str, DataFrame]:
     """The heads of the reports, the worst first."""
     order = {"value_diff": F.desc_nulls_first("mean_abs_diff"), "per_stay_reproduction": F.desc_nulls_first("row_count_absolute_relative_error"), "coverage": F.desc_nulls_first(F.abs("diff_non_null"))}
     return {name: (df.orderBy(order[name]) if name in order else df).limit(n) for name, df in result.reports.items()}
+
+
+def write_plain_reports(candidate: DataFrame, reference: DataFrame, folder: str | Path) -> list[Path]:
+    """Six reports of two wide tables as CSV, without versions, windows or scope."""
+    reports = {
+        "table_summary": compare.table_summary(candidate, "candidate").unionByName(compare.table_summary(reference, "reference")),
+        "key_overlap": compare.key_overlap(candidate, reference), "stay_overlap": compare.stay_overlap(candidate, reference), "coverage": compare.coverage(candidate, reference),
+        "missingness": compare.missingness(candidate, reference), "value_diff": compare.value_differences(candidate, reference),
+    }
+    return [sinks.write_report(df, folder, name) for name, df in reports.items()]

@@ -172,3 +172,26 @@ def test_command_line_needs_paths():
     assert cli.parser().parse_args(["--max-hours", "-1"]).max_hours == -1
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["--aggregation-mode", "mode"])
+
+
+def test_default_paths(tmp_path):
+    from staygrid.plans.paths import default_paths
+
+    env = {"STAYGRID_OUTPUT_ROOT": str(tmp_path), "STAYGRID_MIMIC_IV_STAYS": str(tmp_path / "x.csv")}
+    paths = default_paths("mimic-iv", concept_root=tmp_path, environment=env)
+    assert paths.output_root == tmp_path and paths.stay_table == tmp_path / "x.csv" and paths.reference.name == "reference_dynamic_vars_miiv.parquet"
+    with pytest.raises(ValueError):
+        default_paths("mimic-iv", environment=env)
+
+
+def test_plain_reports(spark, tmp_path):
+    from staygrid.plans.comparison import write_plain_reports
+
+    a = spark.createDataFrame([(1, 0, 1.0)], "stay_id long, time long, hr double")
+    assert len(write_plain_reports(a, a, tmp_path)) == 6 and (tmp_path / "value_diff.csv").is_file()
+
+
+def test_public_names():
+    import staygrid
+
+    assert {"wide_table", "compare_tables", "build_review", "StayIds", "hourly_stream"} <= set(staygrid.__all__) and len(staygrid.__all__) >= 50
