@@ -177,9 +177,19 @@ def tokenize_blocks(docs: DataFrame, path: str, words: bool, end_id: int) -> Dat
     return materialize(plain.mapInPandas(_tokenize(path, words, end_id), _TOKENS), "ids")
 
 
+def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sums of a task's counts, a row for each id that occurs."""
+    total = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for counts in batch["counts"]:
+            total += counts
+    used = np.flatnonzero(total)
+    yield pd.DataFrame({"id": used, "n": total[used]})
+
+
 def global_code(blocks: DataFrame) -> np.ndarray:
     """Code lengths from counts over all ids; a row for each id of the vocabulary comes back."""
-    counted = blocks.where("counts is not null").select(F.posexplode("counts").alias("id", "n")).where("n > 0")
+    counted = blocks.where("counts is not null").select("counts").mapInPandas(_merge, "id int, n long")
     rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
