@@ -67,8 +67,9 @@ def leaf_budgets(leaves: DataFrame, share: tuple[int, int] = SHARE, epochs: int
     leaves = leaves.withColumn("capacity", F.col("tokens") * epochs)
     langs_of = leaves.groupBy("_mix_domain", "_mix_lang").agg(F.sum("capacity").alias("capacity"))
     top = langs_of.groupBy("_mix_domain").agg(F.sum("capacity").alias("capacity"))
-    whole = leaves.agg(F.expr(f"sum(tokens) * {share[0]} div {share[1]}").alias("budget"))  # one row
-    top = share_out(top.join(whole).withColumns({"weight": domain, "all": F.lit(1)}), ["all"], "_mix_domain", "budget")
+    top = top.withColumns({"weight": domain, "every": F.lit(1)})  # a row for each domain
+    top = top.withColumn("budget", F.expr(f"sum(capacity) over (partition by every) div {epochs} * {share[0]} div {share[1]}"))
+    top = share_out(top, ["every"], "_mix_domain", "budget")
     middle = langs_of.join(top.select("_mix_domain", F.col("got").alias("budget")), "_mix_domain").withColumn("weight", lang)
     middle = share_out(middle, ["_mix_domain"], "_mix_lang", "budget")
     bottom = leaves.join(middle.select("_mix_domain", "_mix_lang", F.col("got").alias("budget")), ["_mix_domain", "_mix_lang"]).withColumn("weight", F.lit(1).cast("long"))
