@@ -76,7 +76,9 @@ def compare_tables(
     kept = [c for c in concepts if full or c in mine.columns and c in theirs.columns]
     a, b = (df.join(chosen, "stay_id", "left_semi").select(*KEYS, *[c for c in kept if c in df.columns]) for df in (mine, theirs))
     per_stay = compare.per_stay_reproduction(a, b)
-    accuracy = _row(spark, header).crossJoin(compare.reproduction_accuracy(per_stay))  # one row each
+    scores = compare.reproduction_accuracy(per_stay)
+    kinds = dict(_row(spark, header).dtypes)
+    accuracy = scores.select(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in header.items()], *scores.columns)
     reports |= {
         "per_stay_reproduction": per_stay, "reproduction_accuracy": accuracy, "key_overlap": compare.key_overlap(a, b), "stay_overlap": compare.stay_overlap(a, b),
         "table_summary": compare.table_summary(a, "candidate").unionByName(compare.table_summary(b, "reference")), "coverage": compare.coverage(a, b),
