@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import compare, grid, items, mapping, validate, wide
 from staygrid.plans import identifiers, scope
+from staygrid.plans.comparison import compare_tables
+from staygrid.plans.versions import DatasetVersion, VersionPair
 from staygrid.registry import stay_spec
 from staygrid.session import use_utc
 from staygrid.sources import events as ev
@@ -562,6 +564,49 @@ def versions_in_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(v,) for v in ev.dataset_versions([e])], "dataset_version string")
 
 
+@_query(f"WITH {WINDOWS} SELECT * FROM rw2")
+def reference_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reference_windows(spark, sf_dir)
+
+
+@_query("SELECT o_custkey AS subject_id, o_orderkey AS hadm_id, o_orderkey + 1 AS stay_id, o_orderdate AS intime, o_orderdate + INTERVAL 90 DAY AS outtime FROM orders")
+def scan_datetime_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _table(spark, sf_dir, "orders")
+    return st.datetime_stays(o.select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id"), (F.col("o_orderkey") + 1).alias("stay_id"), F.col("o_orderdate").alias("intime"), F.expr("o_orderdate + interval 90 days").alias("outtime")))
+
+
+@_query(f"WITH {WIDE_A} SELECT stay_id, time, {', '.join(f'round(CAST(CAST(round({c}, 6) AS FLOAT) AS DOUBLE), 3) AS {c}' for c in CONCEPTS)} FROM a")
+def comparable_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    narrow = ref.comparable_types(_rounded(_wide_a(spark, sf_dir)), CONCEPTS)
+    return narrow.withColumns({c: F.round(F.col(c).cast("double"), 3) for c in CONCEPTS})
+
+
+@_query("SELECT * FROM (VALUES ('missing_reference', 'view'), ('common', 'click'), ('common', 'error'), ('common', 'purchase'), ('common', 'signup')) t(kind, concept)")
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = compare.schema_report(_wide_a(spark, sf_dir), _wide_b(spark, sf_dir), CONCEPTS)
+    return spark.createDataFrame([(kind, c) for kind, names in report.items() for c in names], "kind string, concept string")
+
+
+_F = ", ".join(f"CAST(round({c}, 6) AS FLOAT) AS {c}" for c in _B)
+
+
+@_query(f"""WITH {BOTH}, {WINDOWS.removeprefix(WIDE_A + ', ')}, chosen AS (SELECT stay_id FROM rw2 WHERE reference_end IS NOT NULL INTERSECT SELECT stay_id FROM a WHERE time <= 500),
+a2 AS (SELECT stay_id, time, {_F} FROM a WHERE time <= 500 AND stay_id IN (FROM chosen)),
+b2 AS (SELECT b.stay_id, time, {_F} FROM b JOIN rw2 ON b.stay_id = rw2.stay_id WHERE time BETWEEN reference_start AND reference_end AND b.stay_id IN (FROM chosen)),
+f AS (SELECT coalesce(a2.stay_id, b2.stay_id) AS stay_id, a2.stay_id IS NOT NULL AS l, b2.stay_id IS NOT NULL AS r, {" AND ".join(f"a2.{c} IS NOT DISTINCT FROM b2.{c}" for c in _B)} AS eq
+  FROM a2 FULL JOIN b2 ON a2.stay_id = b2.stay_id AND a2.time = b2.time)
+SELECT 'shared_subset' AS comparison_scope, 'shared_subset_cross_version' AS validation_level, count(DISTINCT stay_id) FILTER (l) AS n_stays_candidate, count(*) FILTER (l AND r) AS n_common_rows,
+count(*) FILTER (l AND NOT r) AS n_only_candidate_rows, count(*) FILTER (r AND NOT l) AS n_only_reference_rows, count(*) FILTER (l AND r AND eq) AS n_equal_rows FROM f""")
+def comparison_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole comparison of two verified versions in one identifier space."""
+    stays = _stays(spark, sf_dir).where("stay_id % 4 <> 0")
+    end = F.floor((F.unix_micros(F.col("outtime").cast("timestamp")) - F.unix_micros(F.col("intime").cast("timestamp"))) / F.lit(3.6e9))
+    windows = stays.select("stay_id", F.lit(0.0).alias("start"), F.when(F.col("stay_id") % 9 != 0, end.cast("double")).alias("end"))
+    pair = VersionPair(DatasetVersion("x", "3.1", "explicit"), DatasetVersion("reference:x", "2.2", "explicit"))
+    out = compare_tables(_rounded(_wide_a(spark, sf_dir)), _rounded(_wide_b(spark, sf_dir)), windows, CONCEPTS, max_hours=500, versions=pair, stay_ids=identifiers.StayIds("x", "x"))
+    return out.reports["reproduction_accuracy"].select("comparison_scope", "validation_level", "n_stays_candidate", "n_common_rows", "n_only_candidate_rows", "n_only_reference_rows", "n_equal_rows")
+
+
 # --- validation and items -------------------------------------------------------------------
 
 
