@@ -195,3 +195,79 @@ def test_public_names():
     import staygrid
 
     assert {"wide_table", "compare_tables", "build_review", "StayIds", "hourly_stream"} <= set(staygrid.__all__) and len(staygrid.__all__) >= 50
+
+
+def test_csv_stay_table(spark, tmp_path):
+    import gzip
+
+    path = tmp_path / "mimiciv" / "2.2" / "icu" / "icustays.csv.gz"
+    path.parent.mkdir(parents=True)
+    with gzip.open(path, "wt") as f:
+        f.write("subject_id,hadm_id,stay_id,intime,outtime\n1,10,100,2150-01-01 00:00:00,2150-01-01 10:00:00\n")
+    table = spark.createDataFrame([(1, T0 + timedelta(hours=3, minutes=59), 70.0, "2.2"), (1, T0 + timedelta(hours=11), 1.0, "2.2")], EVENT)
+    stays = build.resolve_stays(spark, "mimic-iv", tmp_path, path, "2.2", [table])
+    assert stays.source == "raw_table" and stays.notes["stay_table_version"] == "2.2"
+    out = build.build_variables({"hr": table}, stays, "mimic-iv", grid=True)
+    rows = {r["time"]: r["hr"] for r in out.collect()}
+    assert len(rows) == 11 and rows[3] == 70.0 and sum(v is not None for v in rows.values()) == 1
+
+
+def test_visits_choose_the_stay(spark, tmp_path):
+    ws = tmp_path / "workspace"
+    visit = "subject_id long, time timestamp_ntz, visit_occurrence_id long"
+    _write(spark, ws / "extraction/aumc/1.5.0/visit/VISIT_START.parquet", [(1, T0, 10), (1, T0 + timedelta(hours=24), 11)], visit)
+    _write(spark, ws / "extraction/aumc/1.5.0/visit/VISIT_END.parquet", [(1, T0 + timedelta(hours=5), 10), (1, T0 + timedelta(hours=27, minutes=30), 11)], visit)
+    rows = [(1, T0 + timedelta(hours=1, minutes=30), 80.0, "10"), (1, T0 + timedelta(hours=25, minutes=10), 90.0, "11"), (1, T0 + timedelta(hours=25, minutes=20), 999.0, "10")]
+    table = spark.createDataFrame(rows, "subject_id long, time timestamp_ntz, numeric_value float, visit_occurrence_id string")
+    stays = build.resolve_stays(spark, "aumc", ws, None, None, [table])
+    out = build.build_variables({"hr": table}, stays, "aumc", grid=True).collect()
+    assert {(r["stay_id"], r["time"]): r["hr"] for r in out if r["hr"] is not None} == {(10, 1): 80.0, (11, 1): 90.0}
+    assert [sum(r["stay_id"] == s for r in out) for s in (10, 11)] == [6, 4]
+
+
+def test_cases_choose_the_stay(spark, tmp_path):
+    ws = tmp_path / "workspace"
+    case = "subject_id long, time timestamp_ntz, case_id long"
+    starts = [(7, T0, 7), (7, T0 + timedelta(days=40), 8), (8, T0, 20)]
+    ends = [(7, T0 + timedelta(hours=5), 7), (7, T0 + timedelta(days=40, hours=200), 8), (8, T0 + timedelta(hours=3), 20)]
+    _write(spark, ws / "extraction/sic/1.0.6/cases/ICU_ADMISSION.parquet", starts, case)
+    _write(spark, ws / "extraction/sic/1.0.6/cases/OBSERVATION.parquet", ends, case)
+    rows = [(7, T0 + timedelta(minutes=30), 80.0, "7"), (7, T0 + timedelta(hours=2, minutes=10), 82.0, "7"), (7, T0 + timedelta(days=40, hours=1), 90.0, "8"), (7, T0 + timedelta(days=40, hours=170), 91.0, "8"), (8, T0 + timedelta(hours=1), 70.0, "20")]
+    table = spark.createDataFrame(rows, "subject_id long, time timestamp_ntz, numeric_value float, case_id string")
+    stays = build.resolve_stays(spark, "sicdb", ws, None, None, [table])
+    out = build.build_variables({"hr": table}, stays, "sicdb", grid=True).collect()
+    assert {(r["stay_id"], r["time"], r["hr"]) for r in out if r["hr"] is not None} == {(7, 0, 80.0), (7, 2, 82.0), (8, 1, 90.0), (20, 1, 70.0)}
+    assert [sum(r["stay_id"] == s for r in out) for s in (7, 8, 20)] == [6, 169, 4]
+    with pytest.raises(ValueError):
+        build.resolve_stays(spark, "sic", ws, None, None, [table.drop("case_id")])
+
+
+def test_reference_times(spark):
+    from staygrid.sources.reference import reference_wide, reference_windows
+
+    hours = spark.createDataFrame([(1, 0.0, 59.0), (2, 0.0, 200.0), (3, 0.0, None)], "patientunitstayid long, start double, end double")
+    got = {r["stay_id"]: (r["reference_end"], r["reference_expected_n_timepoints"]) for r in reference_windows(hours).collect()}
+    assert got == {1: (59, 60), 2: (168, 169), 3: (None, None)}
+    millis = spark.createDataFrame([(1, 0, 604_800_000)], "admissionid long, start long, end long")
+    assert reference_windows(millis).first()["reference_end"] == 168
+    seconds = spark.createDataFrame([(1, 0, 604_800)], "admissionid long, start long, end long")
+    assert reference_windows(seconds, None, unit="s").first()["reference_end"] == 168
+    wide = spark.createDataFrame([(1, 0.0, 80.0), (1, 1.0, 81.0), (1, 60.0, 9.0), (9, 0.0, 1.0)], "PatientUnitStayID long, labresultoffset double, hr double")
+    rows = reference_wide(wide, reference_windows(hours), ["hr", "temp"])
+    assert rows.columns == ["stay_id", "time", "hr"] and {tuple(r) for r in rows.collect()} == {(1, 0, 80.0), (1, 1, 81.0)}
+
+
+def test_comparison_of_files(spark, tmp_path):
+    from staygrid.plans.comparison import compare_files
+
+    table = spark.createDataFrame([(1, t, 80.0 + t) for t in range(3)], "stay_id long, time long, hr double")
+    sinks.write_table(table, tmp_path / "wide.parquet", {"dataset": "mimic-iv", "version": "2.2", "source": "explicit", "representation": None, "stay_id_space": "mimic-iv:icustays.stay_id"})
+    table.write.parquet(str(tmp_path / "ref.parquet"))
+    spark.createDataFrame([(1, 0.0, 2.0)], "stay_id long, start double, end double").write.parquet(str(tmp_path / "win.parquet"))
+    out, folder = compare_files(spark, "miiv", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet", output_root=tmp_path, reference_version="2.2", concepts=["hr"])
+    assert out.claims["validation_level"] == "full_same_version" and (folder / "value_diff.csv").is_file() and folder.name == "candidate-2.2__reference-miiv-2.2"
+    assert out.reports["reproduction_accuracy"].first()["exact_stay_match_rate"] == 1.0
+    with pytest.raises(ValueError):
+        compare_files(spark, "miiv", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet", candidate_version="3.1")
+    with pytest.raises(ValueError):
+        compare_files(spark, "hirid", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet")
