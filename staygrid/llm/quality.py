@@ -26,7 +26,7 @@ from staygrid.llm.common import held_out, tune, utf8, word_hashes, word_spans
 PASSAGE, TRAIN_DOCS, HIDDEN, GATE = 64, 6000, 32, 16
 EPOCHS, STEPS, BAGS, RATE, DECAY, THRESHOLD = 16, 600, 128, 3e-3, 1e-4, 0.7
 #: Bytes of text described at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 BUCKETS = 32
 
 

@@ -24,7 +24,7 @@ _FAST_BYTES = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\t-
 #: Where any text may be cut: before a blank or newline that follows something that isn't white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Pieces that a worker's cache may hold.
-CACHE = 300_000
+CACHE = 250_000
 
 
 def tokenizer_path(name: str) -> str:
