@@ -5,7 +5,8 @@ bytes and words, encoded by a small network, and weighted by gated attention tha
 from document labels alone; the weighted sum of the encodings gives the score.
 
 Learning takes a bounded sample: TRAIN_DOCS labelled documents, chosen by a hash of doc_id among
-those that aren't held out. Scoring reads every passage of every text.
+those that aren't held out, and of very long ones TRAIN_PASSAGES passages, evenly spread. Scoring
+reads every passage of every text.
 
 Defined cases: a text without words is one passage without words and is scored like any other;
 repeated rows get equal scores; without labels of both kinds every score is the labels' mean
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from staygrid.llm.common import held_out, tune, utf8, word_hashes, word_spans
 
-PASSAGE, TRAIN_DOCS, HIDDEN, GATE = 64, 6000, 32, 16
+PASSAGE, TRAIN_DOCS, TRAIN_PASSAGES, HIDDEN, GATE = 64, 6000, 200, 32, 16
 EPOCHS, STEPS, BAGS, RATE, DECAY, THRESHOLD = 16, 600, 128, 3e-3, 1e-4, 0.7
 #: Bytes of text described at once.
 CHUNK = 1 << 18
@@ -173,7 +174,9 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
 
 def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        bags = [part.tobytes() for x, sizes in describe(list(batch["text"])) for part in np.split(x, np.cumsum(sizes)[:-1])]
+        parts = [part for x, sizes in describe(list(batch["text"])) for part in np.split(x, np.cumsum(sizes)[:-1])]
+        spread = lambda n: np.unique(np.linspace(0, n - 1, min(n, TRAIN_PASSAGES)).astype(np.int64))
+        bags = [part[spread(len(part))].tobytes() for part in parts]
         yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "bag": bags})
 
 
