@@ -49,6 +49,15 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % 4 == 2, F.lit(False))
 
 
+def about(key: str, wanted: int, total: Column | int) -> Column:
+    """True for about four times `wanted` of `total` rows, or all if there are fewer, by a hash of `key`.
+
+    What is then sorted for an exact choice of `wanted` rows doesn't grow with the input.
+    """
+    share = F.lit(4.0 * wanted) / (F.lit(total) if isinstance(total, int) else total)
+    return F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 20)) < share * (1 << 20)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

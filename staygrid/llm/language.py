@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import held_out, tune
+from staygrid.llm.common import about, held_out, tune
 
 DOCS_PER_LANG, ROUNDS, LONGEST, PIECE, FLOOR, CACHE = 400, 4, 24, 8, 1e-7, 200_000
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
@@ -156,12 +156,14 @@ def train(docs: DataFrame, path: str | None = None, per_lang: int = DOCS_PER_LAN
     learnable = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     learnable = learnable.where("lang is not null and text is not null").where(~held_out())
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = learnable.select("doc_id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id", "lang").distinct()
+    counts = learnable.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language
+    few = learnable.select("doc_id", "lang").join(counts, "lang").where(about("doc_id", per_lang, F.col("n"))).select("doc_id", "lang")
+    chosen = few.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id", "lang").distinct()
     rows = learnable.join(F.broadcast(chosen), ["doc_id", "lang"]).mapInPandas(_count, "lang string, word string, n long")
-    counts: dict[str, dict[str, int]] = {}
+    seen: dict[str, dict[str, int]] = {}
     for r in rows.groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    return fit(path, counts) if counts else None
+        seen.setdefault(r["lang"], {})[r["word"]] = r["n"]
+    return fit(path, seen) if seen else None
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import held_out, tune, utf8, word_hashes, word_spans
+from staygrid.llm.common import about, held_out, tune, utf8, word_hashes, word_spans
 
 PASSAGE, TRAIN_DOCS, TRAIN_PASSAGES, HIDDEN, GATE = 64, 6000, 200, 32, 16
 EPOCHS, STEPS, BAGS, RATE, DECAY, THRESHOLD = 16, 600, 128, 3e-3, 1e-4, 0.7
@@ -184,6 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model
     """Fit on at most `sample` labelled documents (doc_id, quality) that aren't held out."""
     tune(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1) and doc_id is not null").where(~held_out())
+    known = known.where(about("doc_id", sample, max(known.count(), 1)))
     # labelled twice: the lower label; the sample's size is bounded by the parameter
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
