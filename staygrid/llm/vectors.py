@@ -17,7 +17,7 @@ different lengths don't link; a null vec_id is kept without links; extra columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import acos, ceil, comb, erf, log, log2, pi, sqrt
 
 import numpy as np
@@ -78,8 +78,8 @@ def _cells(dim: int, signs: int, tables: int, points: np.ndarray) -> np.ndarray:
     return bits @ (np.int64(1) << np.arange(signs, dtype=np.int64)) if signs else np.zeros((len(points), tables), np.int64)
 
 
-def _deal(signs: int, tables: int) -> object:
-    """A row for each point and table: its cell there, and its cells in all tables."""
+def _deal(signs: int, tables: int, whole: bool = True) -> Callable:
+    """A row for each point and table: its cell there (and, if `whole`, the point and its cells in all tables)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -87,7 +87,7 @@ def _deal(signs: int, tables: int) -> object:
             for dim in dims.unique():
                 rows = batch[dims == dim]
                 cells = _cells(int(dim) // 8, signs, tables, np.frombuffer(b"".join(rows["unit"]), "<f8").reshape(len(rows), -1))
-                rows = rows.assign(dim=int(dim), cells=[c.tobytes() for c in cells])
+                rows = rows.assign(dim=int(dim), cells=[c.tobytes() for c in cells]) if whole else rows[["label"]].assign(dim=int(dim))
                 for table in range(tables):
                     yield rows.assign(table=table, cell=cells[:, table])
 
@@ -146,9 +146,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL
     usable = F.col("unit").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     points = materialize(rows.where(usable).groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "points")
     signs, tables = plan(points.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0], cosine)
-    dealt = materialize(points.mapInPandas(_deal(signs, tables), "label long, unit binary, vec_id long, copies long, dim int, cells binary, table int, cell long"), "cells")
+    dealt = points.mapInPandas(_deal(signs, tables), "label long, unit binary, vec_id long, copies long, dim int, cells binary, table int, cell long")
     keys = ["label", "dim", "table", "cell"]
-    large = dealt.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > cell)
+    cells = points.select("label", "unit").mapInPandas(_deal(signs, tables, False), "label long, dim int, table int, cell long")
+    large = cells.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > cell)
     parts = F.coalesce(F.ceil(F.col("n") / cell), F.lit(1)).cast("int")
     blocks = dealt.join(large, keys, "left").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
     met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
