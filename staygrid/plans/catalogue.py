@@ -255,7 +255,7 @@ _PATIENTS = [(141179, 128927, 2015, "08:56:00", -22, 2042), (141194, 128941, 201
 
 
 @_query(
-    "SELECT subject_id, stay_id, round(h, 6) AS intime_hours, round(h + span / 60.0, 6) AS outtime_hours FROM (SELECT stay_id, subject_id, span, epoch_us(CAST(y || '-01-01 ' || t AS TIMESTAMP)) // 1000 / 3600000.0 - off / 60.0 AS h FROM (VALUES "
+    "SELECT CAST(subject_id AS BIGINT) AS subject_id, CAST(stay_id AS BIGINT) AS stay_id, round(h, 6) AS intime_hours, round(h + span / 60.0, 6) AS outtime_hours FROM (SELECT stay_id, subject_id, span, epoch_us(CAST(y || '-01-01 ' || t AS TIMESTAMP)) // 1000 / 3600000.0 - off / 60.0 AS h FROM (VALUES "
     + ", ".join(map(str, _PATIENTS)) + ") p(stay_id, subject_id, y, t, off, span))"
 )
 def eicu_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
