@@ -5,7 +5,8 @@ written as Parquet and read again as the next one's docs. All but the last retur
 `docs`. Stages decide:
 
 - quality: documents that the classifier rejects go (labels of `labels`, never of held-out rows);
-- near_dedup: of each group of linked fingerprints the document of the smallest doc_id stays;
+- near_dedup: of each group of linked documents (fingerprints within simhash.WIDE bits and
+  Jaccard similarity of the five-word shingles 0.8 or more) that of the smallest doc_id stays;
   rows that share a doc_id are one document, of which the row of the smallest text stays;
 - substring_dedup: repeated passages are cut out of texts (their words then joined by one
   blank); texts without any stay as they are, and documents that lose every word go;
@@ -38,7 +39,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = simhash.near_duplicates(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+    rows = simhash.similar_documents(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
     marks = rows.agg(F.min("component_id").alias("_component"), F.count("*").alias("_rows"))
     marks = materialize(marks.where("_component <> _id or _rows > 1"), "marks")
     joined = docs.join(marks, docs["doc_id"] == marks["_id"], "left")

@@ -5,6 +5,11 @@ two subtrees whose prefixes differ in at most `budget` bits and walks their node
 by bit, adding up differing bits and leaving a pair of nodes as soon as the budget is exceeded.
 A task returns a spanning forest of what it linked, never the pairs.
 
+`similar_documents` links only what is also similar: the same walk with a wider budget marks
+leaves with a partner; the sets of longer shingles of these alone go to the tasks that found
+them, where a pair not yet connected is checked by the Jaccard similarity of its sets. The
+fingerprints stay those of short shingles, which an edit changes less than those of long ones.
+
 Defined cases: null, empty and blank texts have fingerprint zero and link with one another;
 repeated rows and equal texts share a component; a null doc_id is kept, never a component's
 smallest id unless all its ids are null; extra columns are ignored; no rows give no rows.
@@ -24,21 +29,31 @@ from staygrid.llm.common import materialize, tune, utf8
 from staygrid.llm.components import connected_components, merge_labels
 
 SHINGLE, SEED, BUDGET = 3, 42, 2
+#: Of `similar_documents`: words in a shingle of the sets, differing bits and least Jaccard similarity.
+LONG, WIDE, SIMILAR = 5, 5, 0.8
 #: Fingerprints in one subtree, above which the trie is dealt out one bit deeper.
 SUBTREE, DEEPEST = 16_384, 16
 #: Pairs of leaves below which a pair of nodes is compared at once; node pairs held at a time.
-LEAF_PAIRS, FRONTIER = 32, 1 << 17
+LEAF_PAIRS, FRONTIER, AT_ONCE = 32, 1 << 17, 1 << 15
+#: Subtrees into which a large trie is cut at first by `similar_documents`, and its largest subtree.
+SUBTREES, LARGEST = 64, 1 << 18
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
-def fingerprint(text: str | None) -> int:
-    """The 64-bit majority of the XXH64 values of a text's word shingles, unsigned."""
+def _shingles(text: str | None, shingle: int) -> bytes:
+    """The XXH64 values of a text's word shingles, one after another."""
     words = utf8(text).lower().split()
     if not words:
-        return 0
-    grams = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False)) if len(words) >= SHINGLE else [b" ".join(words)]
+        return b""
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
     digest = xxhash.xxh64_digest
-    raw = np.frombuffer(b"".join([digest(g, SEED) for g in grams]), np.uint8).reshape(-1, 8)
+    return b"".join([digest(g, SEED) for g in grams])
+
+
+def _majority(shingles: bytes) -> int:
+    if not shingles:
+        return 0
+    raw = np.frombuffer(shingles, np.uint8).reshape(-1, 8)
     votes = np.zeros(64, np.int64)
     for i in range(0, len(raw), 1 << 16):
         spread = _SPREAD[raw[i : i + (1 << 16)]]
@@ -47,6 +62,11 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(raw)).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit majority of the XXH64 values of a text's word shingles, unsigned."""
+    return _majority(_shingles(text, shingle))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
 
@@ -93,12 +113,14 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int) -> I
         small = (a1 - a0) * (b1 - b0) <= LEAF_PAIRS
         if depth == 64:
             small[:] = True
-        i, j = _leaf_pairs(nodes[:, small])
-        near = np.bitwise_count(a[i] ^ b[j]) <= budget
-        if same:
-            near &= i < j
-        if near.any():
-            yield i[near], j[near]
+        few = nodes[:, small]
+        for at in range(0, few.shape[1], AT_ONCE):
+            i, j = _leaf_pairs(few[:, at : at + AT_ONCE])
+            near = np.bitwise_count(a[i] ^ b[j]) <= budget
+            if same:
+                near &= i < j
+            if near.any():
+                yield i[near], j[near]
         if small.all():
             continue
         a0, a1, b0, b1, bits = nodes[:, ~small]
@@ -112,32 +134,44 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int) -> I
             stack.append((depth + 1, nodes[:, alive]))
 
 
+def _meet(low: int, high: int, depth: int, budget: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in `fps` (unsigned) of pairs of leaves of two subtrees within the budget."""
+    prefix = (fps >> np.uint64(64 - depth)).astype(np.int64) if depth else np.zeros(len(fps), np.int64)
+    sides = [np.flatnonzero(prefix == x) for x in ((low,) if low == high else (low, high))]
+    sides = [side[np.argsort(fps[side])] for side in sides]
+    for i, j in walk(fps[sides[0]], fps[sides[-1]], low == high, depth, budget):
+        yield sides[0][i], sides[-1][j]
+
+
 def _forest(low: int, high: int, depth: int, budget: int, group: pd.DataFrame) -> pd.DataFrame:
     """Links of two subtrees, as a forest of (a, b) with b the smallest id."""
     group = group.sort_values("rep")
     ids, fps = group["rep"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
-    prefix = (fps >> np.uint64(64 - depth)).astype(np.int64) if depth else np.zeros(len(fps), np.int64)
-    sides = [np.flatnonzero(prefix == x) for x in ((low,) if low == high else (low, high))]
-    sides = [side[np.argsort(fps[side])] for side in sides]
     labels = np.arange(len(ids))
-    for i, j in walk(fps[sides[0]], fps[sides[-1]], low == high, depth, budget):
-        labels = merge_labels(labels, sides[0][i], sides[-1][j])
+    for i, j in _meet(low, high, depth, budget, fps):
+        labels = merge_labels(labels, i, j)
     linked = labels != np.arange(len(ids))
     return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
 
-def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE) -> DataFrame:
-    """A table (a, b) of links that connects what `leaves` (fp, rep; fp distinct) has within the budget."""
+def _deal(leaves: DataFrame, budget: int, subtree: int | None) -> tuple[DataFrame, int]:
+    """`leaves` (fp, rep) once for each pair (low, high) of subtrees that it is in, and the subtrees' depth."""
     top = leaves.groupBy(F.shiftrightunsigned("fp", 64 - DEEPEST).alias("p")).agg(F.count("*").alias("n"))
     counts = np.zeros(1 << DEEPEST, np.int64)
     for r in top.collect():  # at most 2 ** DEEPEST rows
         counts[r["p"]] = r["n"]
+    subtree = subtree or int(np.clip(counts.sum() // SUBTREES, SUBTREE, LARGEST))
     depth = next((d for d in range(1, DEEPEST) if counts.reshape(1 << d, -1).sum(1).max() <= subtree), DEEPEST)
     masks = [m for m in range(1 << depth) if m.bit_count() <= budget]
     own = F.shiftrightunsigned("fp", 64 - depth)
     dealt = leaves.select("fp", "rep", own.alias("own"), F.explode(F.array(*map(F.lit, masks))).alias("mask"))
     other = F.col("own").bitwiseXOR(F.col("mask"))
-    dealt = dealt.select("fp", "rep", F.least("own", other).alias("low"), F.greatest("own", other).alias("high"))
+    return dealt.select("fp", "rep", F.least("own", other).alias("low"), F.greatest("own", other).alias("high")), depth
+
+
+def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE) -> DataFrame:
+    """A table (a, b) of links that connects what `leaves` (fp, rep; fp distinct) has within the budget."""
+    dealt, depth = _deal(leaves, budget, subtree)
 
     def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return _forest(int(key[0]), int(key[1]), depth, budget, group)
@@ -154,5 +188,103 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     return fps.join(roots, "fp").select("doc_id", "fp", "component_id")
 
 
+def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets have at least this Jaccard similarity."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or len(a) < least * len(b):
+        return len(b) == 0
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return common >= least * (len(a) + len(b) - common)
+
+
+def _verified(low: int, high: int, depth: int, budget: int, least: float, group: pd.DataFrame) -> pd.DataFrame:
+    """Links of two subtrees between texts whose sets are similar, as a forest of (a, b) with b the smallest id."""
+    group = group.sort_values(["rep", "content"])
+    ids, all_fps = group["rep"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
+    sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+    fps, leaf = np.unique(all_fps, return_inverse=True)
+    texts: list[list[int]] = [[] for _ in fps]
+    labels = np.arange(len(ids))
+
+    def check(x: int, y: int) -> None:
+        nonlocal labels
+        if labels[x] != labels[y] and _similar(sets[x], sets[y], least):
+            labels = np.where(labels == max(labels[x], labels[y]), min(labels[x], labels[y]), labels)
+
+    for x, k in enumerate(leaf.tolist()):
+        if low == high:  # texts of one leaf meet in its own subtree alone
+            for y in texts[k]:
+                check(x, y)
+        texts[k].append(x)
+    single, first = np.array([len(t) == 1 for t in texts]), np.array([t[0] for t in texts])
+    for i, j in _meet(low, high, depth, budget, fps):
+        while len(i):  # pairs connected meanwhile are left out every so often
+            apart = ~(single[i] & single[j]) | (labels[first[i]] != labels[first[j]])
+            i, j = i[apart], j[apart]
+            for p, q in zip(i[:4096].tolist(), j[:4096].tolist(), strict=True):
+                for x in texts[p]:
+                    for y in texts[q]:
+                        check(x, y)
+            i, j = i[4096:], j[4096:]
+    linked = labels != np.arange(len(ids))
+    return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
+
+
+def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHINGLE, words: int = LONG, least: float = SIMILAR, subtree: int | None = None) -> DataFrame:
+    """doc_id and component_id for each row, as of `near_duplicates`, with links between texts alone that are
+    within `budget` bits and whose sets of shingles of `words` words have a Jaccard similarity of at least `least`.
+
+    Texts that are equal but for case and white space link without a check.
+    """
+
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fps = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64).view(np.int64)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps, "content": [_content(t) for t in batch["text"]]})
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[[_content(t) == c for t, c in zip(batch["text"], batch["content"], strict=True)]]
+            found = [np.unique(np.frombuffer(_shingles(t, words), np.uint64)).tobytes() for t in batch["text"]]
+            yield batch[["fp", "rep", "content"]].assign(shingles=found)
+
+    tune(docs.sparkSession)
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    fps = materialize(narrow.mapInPandas(describe, "doc_id long, fp long, content binary"), "fingerprints")
+    texts = materialize(fps.groupBy("fp", "content").agg(F.min("doc_id").alias("rep")), "texts")
+    known = texts.where("rep is not null")
+    leaves = known.groupBy("fp").agg(F.min("rep").alias("rep"), F.count("*").alias("n"))
+    dealt, depth = _deal(leaves, budget, subtree)
+
+    def mark(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        of = group["fp"].to_numpy()
+        near = np.zeros(len(of), bool)
+        for i, j in _meet(int(key[0]), int(key[1]), depth, budget, of.view(np.uint64)):
+            near[i] = near[j] = True
+        return pd.DataFrame({"low": int(key[0]), "high": int(key[1]), "fp": of[near]})
+
+    def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return _verified(int(key[0]), int(key[1]), depth, budget, least, group)
+
+    own = F.shiftrightunsigned("fp", 64 - depth)
+    near = dealt.groupBy("low", "high").applyInPandas(mark, "low long, high long, fp long")
+    near = near.unionByName(leaves.where("n > 1").select(own.alias("low"), own.alias("high"), "fp")).distinct()
+    near = materialize(near, "near")
+    wanted = known.join(near.select("fp").distinct(), "fp")
+    found = narrow.join(wanted, narrow["doc_id"] == wanted["rep"]).select("fp", "rep", "content", "text")
+    found = found.mapInPandas(sets, "fp long, rep long, content binary, shingles binary").dropDuplicates(["fp", "content"])
+    links = near.join(found, "fp").groupBy("low", "high").applyInPandas(check, "a long, b long")
+    roots = connected_components(links)
+    roots = texts.join(roots, texts["rep"] == roots["node"], "left").select("fp", "content", F.coalesce("root", "rep").alias("component_id"))
+    return fps.join(roots, ["fp", "content"]).select("doc_id", "component_id")
+
+
+def _content(text: str | None) -> bytes:
+    """A digest of a text's words in lower case."""
+    return xxhash.xxh3_128_digest(b" ".join(utf8(text).lower().split()))
+
+
 def fp_hex(column: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))

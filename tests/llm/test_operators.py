@@ -459,6 +459,45 @@ def test_trie_join_equals_brute_force(spark, subtree):
     assert [got.get(i, i) for i in range(len(fps))] == [low[k] for k in roots]
 
 
+def _similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (t.lower().split() for t in (a, b)))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("subtree", [None, 20])
+def test_similar_documents_equal_brute_force(spark, subtree):
+    import corpus_pipeline
+
+    r = random.Random(12)
+    rows = []
+    for d in range(40):
+        words = [f"w{r.randrange(500)}" for _ in range(r.randrange(30, 400))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(3):
+            near = list(words)
+            for _ in range(r.randrange(1, 4)):
+                near[r.randrange(len(near))] = "new"
+            rows.append((len(rows), " ".join(near)))
+    same = "x " * 400  # nearly all shingles are equal, and so are fingerprints, but not the sets
+    rows += [(len(rows) + k, same + " ".join(f"{k}y{i}" for i in range(30))) for k in range(3)]
+    rows += [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, rows[0][1].upper())]
+    fps = [simhash.fingerprint(t) for _, t in rows]
+    parent = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= simhash.WIDE and _similarity(rows[i][1] or "", rows[j][1] or "") >= 0.8 and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    assert (fps[160] ^ fps[161]).bit_count() <= simhash.WIDE and parent[160:163] == [160, 161, 162]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dict(simhash.similar_documents(docs, subtree=subtree).collect())
+    assert [got[i] for i in range(len(rows))] == parent
+    old = {x["component_id"] for x in simhash.near_duplicates(docs).collect()}
+    kept = {x["doc_id"] for x in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
+    assert kept == set(parent) and len([d for d in old if d not in kept]) > 20
+    assert simhash.similar_documents(docs.where("false")).count() == 0
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
