@@ -72,14 +72,20 @@ def _describe(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     passage = base[doc] + rank // PASSAGE
     n = int(passages.sum())
     out = np.zeros((n, FEATURES), np.float32)
-    if len(starts):
+    if len(data):
+        # a byte belongs to its own text's passage of the last word begun, or the first one before any
         lead = np.flatnonzero(np.diff(passage, prepend=-1))
-        owner = np.zeros(len(data), np.int64)
-        owner[starts[lead]] = np.diff(passage[lead], prepend=0)
-        owner = np.cumsum(owner)  # a byte belongs to the passage of the last word begun
-        bytes_of = np.bincount(owner * _CLASSES + _CLASS[data], minlength=n * _CLASSES).reshape(n, _CLASSES)
+        owner = np.zeros(len(data) + 1, np.int64)
+        owner[starts[lead]] = rank[lead] > 0
+        owner[origin[1:]] = 1
+        owner = np.cumsum(owner[:-1])
+        own = np.ones(len(data), bool)
+        own[origin[1:] - 1] = False  # blanks that join texts
+        bytes_of = np.bincount(owner[own] * _CLASSES + _CLASS[data[own]], minlength=n * _CLASSES).reshape(n, _CLASSES)
         out[:, :_CLASSES] = bytes_of / np.maximum(bytes_of.sum(1, keepdims=True), 1)
-        count = np.maximum(np.bincount(passage, minlength=n), 1)
+    if len(starts):
+        held = np.bincount(passage, minlength=n)
+        count = np.maximum(held, 1)
         hashes = word_hashes(data, starts, ends)
         pair = hashes[:-1] * np.uint64(31) + hashes[1:]
         joined = passage[1:] == passage[:-1]
@@ -89,7 +95,7 @@ def _describe(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         pairs, _ = _most(pair[joined], passage[1:][joined], n) if joined.any() else (np.zeros(n), None)
         sums = lambda x: np.bincount(passage, x, n) / count
         extra = (
-            np.log1p(count), sums(ends - starts) / 10, distinct / count, most / count, pairs / count,
+            np.log1p(held), sums(ends - starts) / 10, distinct / count, most / count, pairs / count,
             np.bincount(passage[1:][joined & (hashes[1:] == hashes[:-1])], minlength=n) / count,
             sums(capital), sums((upper >= 2) & (upper * 2 >= ends - starts)), sums(_CLASS[data[ends - 1]] > 4),
         )

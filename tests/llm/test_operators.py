@@ -106,6 +106,18 @@ def test_quality_learns_and_holds_out(spark):
     assert quality.score(docs, none).first()["score"] == 0.5
 
 
+def test_quality_of_a_text_whatever_its_neighbours():
+    texts = ["short text", " \n" * 3000, "", "  lead and trail\t\t", "word " * 200, None, "\n\nA b!", "é", ""]
+    alone = [quality._describe([(t or "").encode()]) for t in texts]
+    for order in (range(9), range(8, -1, -1), (0, 1, 4, 1, 4, 0), (2, 2, 0), (0, 3, 2), (1,)):
+        x, sizes = quality._describe([(texts[k] or "").encode() for k in order])
+        assert sizes.tolist() == [alone[k][1][0] for k in order]
+        assert (x == np.concatenate([alone[k][0] for k in order])).all()
+    blank, lead = quality._CLASS[32], quality._CLASS[10]
+    assert alone[1][0][0, [blank, lead]].tolist() == [0.5, 0.5] and alone[6][0][0, lead] == np.float32(2 / 6)
+    assert alone[0][0][0, blank] == np.float32(1 / 10)
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(n, 5)).astype(np.float32) for n in (1, 3, 2, 5) * 30]
