@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from staygrid.llm.common import materialize, mix64, parallelism, tune, utf8, word_hashes
 
 WINDOW, GRAM, HOT = 50, 8, 40_000
+#: Windows of a string held at a time.
+CHUNK = 4096
 #: A run of windows is start * RUN + length.
 RUN = 1 << 31
 _SUPER = "anchor long, doc_id long, key long, pos long, n_windows int, packed binary, hot boolean"
@@ -101,12 +104,18 @@ def _supers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["anchor", "doc_id", "key", "pos", "n_windows", "packed", "hot"])
 
 
-def windows(packed: bytes) -> list[bytes]:
-    """The windows of a packed string."""
-    ends = np.flatnonzero(np.frombuffer(packed, np.uint8) == 32).tolist()
-    begins = [0, *(e + 1 for e in ends)]
-    ends.append(len(packed))
-    return [packed[b:e] for b, e in zip(begins, ends[WINDOW - 1 :], strict=False)]
+def windows(packed: bytes) -> Iterator[bytes]:
+    """The windows of a packed string, one after another."""
+    blanks = np.flatnonzero(np.frombuffer(packed, np.uint8) == 32)
+    n = len(blanks) + 1 - (WINDOW - 1)
+    for at in range(0, n, CHUNK):
+        upto = min(at + CHUNK, n)
+        begins = [0, *(blanks[: upto - 1] + 1).tolist()] if at == 0 else (blanks[at - 1 : upto - 1] + 1).tolist()
+        ends = blanks[at + WINDOW - 1 : upto + WINDOW - 1].tolist()
+        if upto == n:
+            ends.append(len(packed))
+        for b, e in zip(begins, ends, strict=True):
+            yield packed[b:e]
 
 
 def _runs(flags: list[int]) -> Iterator[tuple[int, int]]:
@@ -153,13 +162,16 @@ def _bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each different window of each string, and where it is in there."""
+    """Each different window of a stretch of CHUNK windows of a string, and where it is in there."""
     for batch in batches:
         for content, first, packed in zip(batch["content"], batch["first"], batch["packed"], strict=True):
-            places: dict[bytes, list[int]] = {}
-            for i, window in enumerate(windows(packed)):
-                places.setdefault(hashlib.blake2b(window, digest_size=16).digest(), []).append(i)
-            yield pd.DataFrame({"content": content, "first": first, "window": list(places), "at": list(places.values())})
+            every, begin = windows(packed), 0
+            while some := list(islice(every, CHUNK)):
+                places: dict[bytes, list[int]] = {}
+                for i, window in enumerate(some, begin):
+                    places.setdefault(hashlib.blake2b(window, digest_size=16).digest(), []).append(i)
+                yield pd.DataFrame({"content": content, "first": first, "window": list(places), "at": list(places.values())})
+                begin += len(some)
 
 
 def _flag_hot(supers: DataFrame) -> DataFrame:

@@ -161,6 +161,20 @@ def test_substrings_equal_brute_force(spark, hot):
     assert got == _cut(rows) and sum(g[2] for g in got) > 0
 
 
+def test_long_repetition_comes_in_chunks(spark):
+    import pandas as pd
+
+    n = 3 * substrings.CHUNK
+    packed = b" ".join([b"x"] * (n + 49 + 5))
+    parts = list(substrings._digests(iter([pd.DataFrame({"content": ["c"], "first": [1], "packed": [packed]})])))
+    assert [sum(map(len, p["at"])) for p in parts] == [substrings.CHUNK] * 3 + [5]
+    assert sorted(i for p in parts for at in p["at"] for i in at) == list(range(n + 5))
+    rows = [(1, "a " + "x " * (2 * substrings.CHUNK)), (2, "x " * substrings.CHUNK + "b"), (3, "x " * 49 + "c"), (4, "y " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], *r["cut"]) for r in substrings.remove_repeats(docs, 200).collect())
+    assert got == _cut(rows) and got[1][2:] == (substrings.CHUNK, "b")
+
+
 def test_substrings_of_nothing(spark):
     assert substrings.remove_repeats(_empty(spark)).count() == 0
 
