@@ -25,6 +25,10 @@ from staygrid.sources import reference as ref
 from staygrid.sources import sinks
 
 
+#: Reports of up to a row for each stay.
+PER_STAY = frozenset({"per_stay_reproduction", "window_differences", "scope_differences"})
+
+
 @dataclass(frozen=True)
 class Comparison:
     """Claims of a comparison, and its reports by name (those without meaning are absent)."""
@@ -125,7 +129,7 @@ def compare_files(
     spark: SparkSession, dataset: str, candidate_path: str | Path, reference_path: str | Path, windows_path: str | Path, *, output_root: str | Path | None = None, max_hours: int | None = 168,
     concepts: Sequence[str] | None = None, candidate_version: str | None = None, reference_version: str | None = None, crosswalk: DataFrame | None = None, unit: str | None = None,
 ) -> tuple[Comparison, Path | None]:
-    """Compare tables on disk; with `output_root` write a CSV of each report and the normalised reference."""
+    """Compare tables on disk; with `output_root` write a CSV of each report (of PER_STAY a folder) and the normalised reference."""
     versions = versions_of(spark, dataset, candidate_path, reference_path, candidate_version, reference_version)
     source = registry.reference_source(dataset)
     ids = stay_ids_of(spark, candidate_path, reference_path, source, crosswalk)
@@ -136,7 +140,7 @@ def compare_files(
         return result, None
     folder = reports_folder(output_root, max_hours, scope_label(versions, source))
     for name, df in result.reports.items():
-        sinks.write_report(df, folder, name)
+        (sinks.write_rows if name in PER_STAY else sinks.write_report)(df, folder, name)
     sinks.write_table(result.reference, folder / "reference_normalized.parquet", None)
     sinks.write_table(result.windows, folder / "windows_normalized.parquet", None)
     return result, folder

@@ -68,8 +68,15 @@ def read_provenance(spark: SparkSession, data_path: str | Path, verified: bool =
     return notes
 
 
+def write_rows(df: DataFrame, folder: str | Path, name: str) -> Path:
+    """A report of any number of rows as a folder of CSV files with headers, written by the executors."""
+    path = Path(folder) / f"{name}.csv"
+    df.write.mode("overwrite").csv(str(path), header=True, escape='"')
+    return path
+
+
 def write_report(df: DataFrame, folder: str | Path, name: str) -> Path:
-    """A report of few rows as one CSV file with a header."""
+    """A report of few rows, which go through the driver, as one CSV file with a header."""
     path = Path(folder) / f"{name}.csv"
     path.parent.mkdir(parents=True, exist_ok=True)
     df.toPandas().to_csv(path, index=False)

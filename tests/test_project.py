@@ -271,3 +271,21 @@ def test_comparison_of_files(spark, tmp_path):
         compare_files(spark, "miiv", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet", candidate_version="3.1")
     with pytest.raises(ValueError):
         compare_files(spark, "hirid", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet")
+
+
+def test_reports_of_stays_bypass_the_driver(spark, tmp_path, monkeypatch):
+    from staygrid.plans import comparison
+
+    large = []
+    monkeypatch.setattr(comparison.sinks, "write_report", lambda df, folder, name: large.append(name) if "stay_id" in df.columns else None)
+    table = spark.createDataFrame([(s, t, 80.0 + t) for s in range(30) for t in range(3)], "stay_id long, time long, hr double")
+    sinks.write_table(table, tmp_path / "wide.parquet", {"dataset": "mimic-iv", "version": "2.2", "source": "explicit", "representation": None, "stay_id_space": "mimic-iv:icustays.stay_id"})
+    table.write.parquet(str(tmp_path / "ref.parquet"))
+    spark.createDataFrame([(s, 0.0, 2.0) for s in range(29)], "stay_id long, start double, end double").write.parquet(str(tmp_path / "win.parquet"))
+    for _ in range(2):  # written again over the first
+        out, folder = comparison.compare_files(spark, "miiv", tmp_path / "wide.parquet", tmp_path / "ref.parquet", tmp_path / "win.parquet", output_root=tmp_path, reference_version="2.2", concepts=["hr"])
+    assert not large
+    for name in comparison.PER_STAY & set(out.reports):
+        back = spark.read.csv(str(folder / f"{name}.csv"), header=True, escape='"')
+        assert (folder / f"{name}.csv").is_dir() and back.columns == out.reports[name].columns and back.count() == out.reports[name].count()
+    assert "per_stay_reproduction" in out.reports and out.reports["per_stay_reproduction"].count() >= 29
