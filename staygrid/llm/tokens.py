@@ -3,11 +3,14 @@
 A text of common letters is cut into the pre-tokenizer's own pieces, and each piece goes to the
 library's BPE model once. Texts with anything else are cut where a pre-tokenizer always cuts,
 before white space that follows something else, and parts that aren't common take the library's
-whole path. A bounded cache keeps the ids of pieces; it changes no result.
+whole path. So do texts that hold a special token's string, which the library reads as that token,
+and all texts of a tokenizer file whose normaliser or pre-tokenizer isn't one of those known here.
+A bounded cache keeps the ids of pieces; it changes no result.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterable
@@ -21,6 +24,18 @@ _COMMON = re.compile(rf"[\t-\r\x20-\x7e×÷{_LATIN}]*")
 #: What the tokenizer files' patterns cut, over common texts (letters first, which is faster to try).
 _FAST_WORDS = re.compile(rf"[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r 0-9{_LATIN}]+")
 _FAST_BYTES = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\t-\r 0-9{_LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+# The normalisers and pre-tokenizers that the two patterns above spell out.
+_WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KNOWN = {
+    False: (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
+    True: (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _WORD_RULE}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    ),
+}
 #: Where any text may be cut: before a blank or newline that follows something that isn't white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Pieces that a worker's cache may hold.
@@ -52,17 +67,21 @@ class _Cache(dict):
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned integers of `width` bytes (2 or 4).
 
-    `words`: the tokenizer lower-cases and ignores white space. Special tokens' strings in a
-    text are ordinary text.
+    They are the ids of the library's `encode(text, add_special_tokens=False)`. `words`: the
+    tokenizer lower-cases and ignores white space.
     """
 
     def __init__(self, path: str, width: int = 4, words: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.words = words
+        spelt = json.loads(self.tokenizer.to_str())
+        self.known_rules = (spelt.get("normalizer"), spelt.get("pre_tokenizer")) == _KNOWN[words] and spelt["model"]["type"] == "BPE"
+        self.special = [t["content"] for t in spelt.get("added_tokens", [])]
+        self.known_rules &= not any(t["normalized"] for t in spelt.get("added_tokens", []))
         self.packed = [i.to_bytes(width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pieces = (_FAST_WORDS if words else _FAST_BYTES).findall
         self.letters = _byte_letters()
@@ -78,14 +97,15 @@ class ChunkEncoder:
     def _common(self, text: str) -> bytes:
         return b"".join(map(self.known.__getitem__, self.pieces(text.lower() if self.words else text)))
 
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
     def _one(self, text: str) -> bytes:
+        if not self.known_rules or any(s in text for s in self.special):
+            return self._whole(text)
         if text.isascii() or _COMMON.fullmatch(text):
             return self._common(text)
-        whole = self.tokenizer.encode
-        return b"".join([
-            self._common(part) if _COMMON.fullmatch(part) else b"".join([self.packed[i] for i in whole(part, add_special_tokens=False).ids])
-            for part in _CUT.split(text)
-        ])
+        return b"".join([self._common(part) if _COMMON.fullmatch(part) else self._whole(part) for part in _CUT.split(text)])
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """One bytes object for each text (null: empty)."""

@@ -42,11 +42,24 @@ def _empty(spark):
 @pytest.mark.parametrize(("name", "words"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
 def test_tokens_equal_the_library(name, words):
     mine, library = ChunkEncoder(tokenizer_path(name), 4, words), Tokenizer.from_file(tokenizer_path(name))
-    library.encode_special_tokens = True
-    for text, ids in zip(ODD, mine.encode(ODD), strict=True):
+    special = [f"{a}{t}{b}" for t in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>") for a in ("", "A ", "é", "日本") for b in ("", " b", "\n\n c é")]
+    assert mine.known_rules
+    for text, ids in zip([*ODD, *special], mine.encode([*ODD, *special]), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_unknown_tokenizer_files_take_the_library_path(tmp_path):
+    import json
+
+    spelt = json.loads(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")).to_str())
+    spelt["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, spelt["pre_tokenizer"]]}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spelt))
+    mine, library = ChunkEncoder(str(path)), Tokenizer.from_file(str(path))
+    assert not mine.known_rules
+    assert np.frombuffer(mine.encode(["room 1234"])[0], "<u4").tolist() == library.encode("room 1234", add_special_tokens=False).ids
+
+
 # --- op1 ------------------------------------------------------------------------------------
 
 
