@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,36 +13,77 @@ from pyspark.sql import functions as F
 
 #: Rows an Arrow batch carries into Python; texts may be long, so it is small.
 BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for workers of a few hundred MB."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Keep Arrow batches small enough for workers of a few hundred MB.
+
+    A plan takes this setting when it runs, after the operator has returned it, so it stays set;
+    `restored` puts it back once results are written.
+    """
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+@contextmanager
+def restored(spark: SparkSession, keep: Callable[[], DataFrame | None] = lambda: None) -> Iterator[None]:
+    """Put back what `tune` set, and delete tables written meanwhile but those that `keep()` reads."""
+    before, made = spark.conf.get(_BATCH, None), _made(spark)
+    mark = len(made)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+        kept = keep()
+        inside = [f.rsplit("/", 1)[0] for f in kept.inputFiles()] if kept is not None else []
+        for path in made[mark:]:
+            if not any(i.split(":")[-1].lstrip("/") == path.split(":")[-1].lstrip("/") for i in inside):
+                delete(spark, path)
+                made.remove(path)
+
+
+def _made(spark: SparkSession) -> list[str]:
+    """Folders that operators of this session wrote."""
+    if not hasattr(spark, "_staygrid_made"):
+        spark._staygrid_made = []
+    return spark._staygrid_made
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none."""
+    """The folder all executors share, spark.checkpoint.dir; one of our own only in local mode."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = getattr(spark, "_staygrid_dir", None) or "file://" + tempfile.mkdtemp(prefix="staygrid-")
         spark._staygrid_dir = where
     return where.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made(spark).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a Parquet table in the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing reads any more."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, folder)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

@@ -4,6 +4,9 @@ Ids are counted over all documents, one canonical code is made from the counts,
 in ascending `doc_id` order are coded in independent blocks. A block holds whole documents and
 a bit offset for every STRIDE ids, so a reader decodes many places of it at once by table.
 
+A file is a folder: `code`, one row with the code (b"SGC1", ids of the vocabulary u32, zlib of a
+code length u8 for each), and `blocks`. Whoever has the folder can decode it; nothing else is needed.
+
 Block format (little-endian): b"SGH1", documents u32, ids u32, CRC-32 of the code lengths u32,
 then zlib of doc_id i64[], null flags u8[] and sizes u32[] preceded by its length u32, bit
 lengths of the strides u16[] and the coded bits (big-endian, most significant bit first).
@@ -23,13 +26,13 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import materialize, parallelism, tune
+from staygrid.llm.common import materialize, parallelism, scratch, tune
 from staygrid.llm.tokens import encoder
 
-MAGIC, STRIDE, BLOCK_IDS, MAX_BITS = b"SGH1", 64, 1 << 16, 16
+MAGIC, CODE_MAGIC, STRIDE, BLOCK_IDS, MAX_BITS = b"SGH1", b"SGC1", 64, 1 << 16, 16
 _TOKENS = "part int, first long, n_ids long, n_docs int, head binary, ids binary, counts array<long>"
 
 
@@ -109,6 +112,17 @@ class Code:
         return out.T.reshape(-1)[:n]
 
 
+def pack_code(lengths: np.ndarray) -> bytes:
+    return CODE_MAGIC + struct.pack("<I", len(lengths)) + zlib.compress(lengths.astype(np.uint8).tobytes(), 9)
+
+
+def unpack_code(data: bytes) -> np.ndarray:
+    lengths = np.frombuffer(zlib.decompress(data[8:]), np.uint8)
+    if data[:4] != CODE_MAGIC or struct.unpack_from("<I", data, 4)[0] != len(lengths):
+        raise ValueError("not a code")
+    return lengths
+
+
 def pack_head(doc_ids: list[int | None], sizes: list[int]) -> bytes:
     known = np.array([d if d is not None else 0 for d in doc_ids], "<i8")
     return zlib.compress(known.tobytes() + bytes(d is None for d in doc_ids) + np.array(sizes, "<u4").tobytes(), 6)
@@ -197,8 +211,8 @@ def global_code(blocks: DataFrame) -> np.ndarray:
     return code_lengths(counts)
 
 
-def write_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """The coded blocks, with `start`: ids of all blocks before; a table in the shared folder."""
+def write_files(blocks: DataFrame, lengths: np.ndarray, path: str) -> str:
+    """Write the code and the coded blocks, with `start` (ids of all blocks before), below `path`."""
     # one number for each partition of tokenize_blocks, of which there are as many as it chose
     totals = sorted(blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     bases = dict(zip([r["part"] for r in totals], accumulate((r["n"] for r in totals), initial=0), strict=False))
@@ -210,11 +224,15 @@ def write_files(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
             yield pd.DataFrame({"start": batch["part"].map(bases) + batch["first"], "content": content})
 
     coded = blocks.where("ids is not null").select("part", "first", "n_docs", "head", "ids").mapInPandas(run, "start long, content binary")
-    return materialize(coded, "huffman")
+    coded.write.parquet(f"{path}/blocks", compression="none")
+    blocks.sparkSession.createDataFrame([(bytearray(pack_code(lengths)),)], "code binary").coalesce(1).write.parquet(f"{path}/code")
+    return path
 
 
-def read_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """doc_id, start and ids (little-endian unsigned 32-bit) of each document in the files."""
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start and ids (little-endian unsigned 32-bit) of each document in the files below `path`."""
+    lengths = unpack_code(bytes(spark.read.parquet(f"{path}/code").first()["code"]))  # as large as the vocabulary
+    files = spark.read.schema("start long, content binary").parquet(f"{path}/blocks")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = Code(lengths)
@@ -235,5 +253,5 @@ def read_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:
 def huffman_round_trip(docs: DataFrame, path: str, words: bool = True, end_id: int = 1) -> DataFrame:
     """Write the ids of `docs` as files and read them back: doc_id, start, ids."""
     blocks = tokenize_blocks(docs, path, words, end_id)
-    lengths = global_code(blocks)
-    return read_files(write_files(blocks, lengths), lengths)
+    where = write_files(blocks, global_code(blocks), scratch(docs.sparkSession, "huffman"))
+    return read_files(docs.sparkSession, where)

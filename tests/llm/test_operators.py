@@ -209,6 +209,31 @@ def test_huffman_round_trip(spark):
     assert huffman.huffman_round_trip(_empty(spark), tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
+def test_files_decode_elsewhere(spark, tmp_path):
+    import subprocess
+    import sys
+
+    rows, docs = _documents(spark)
+    blocks = huffman.tokenize_blocks(docs, tokenizer_path("word_bpe_49k.json"), True, 1)
+    path = huffman.write_files(blocks, huffman.global_code(blocks), f"file://{tmp_path}/ids")
+    alone = f"""
+import glob, pyarrow.parquet as pq
+from staygrid.llm import huffman
+code = huffman.Code(huffman.unpack_code(pq.read_table(glob.glob("{tmp_path}/ids/code/*.parquet")[0])["code"][0].as_py()))
+n = 0
+for f in glob.glob("{tmp_path}/ids/blocks/*.parquet"):
+    for block in pq.read_table(f)["content"].to_pylist():
+        docs, sizes, ids = huffman.unpack_block(code, block)
+        n += len(docs)
+        assert sum(sizes) == len(ids) and ids[sum(sizes) - 1] == 1
+print(n)
+"""
+    out = subprocess.run([sys.executable, "-c", alone], capture_output=True, text=True, check=True)
+    assert int(out.stdout) == len(rows) == huffman.read_files(spark, path).count()
+    with pytest.raises(ValueError):
+        huffman.unpack_code(b"SGC0" + huffman.pack_code(np.ones(4, np.uint8))[4:])
+
+
 def test_code_lengths_are_optimal_within_the_limit():
     rng = np.random.default_rng(1)
     for counts in ([5], [0, 3], [1, 1], [1, 2, 4, 8, 16, 32, 64], rng.integers(0, 1000, 300).tolist(), [2**i for i in range(40)]):
