@@ -3,11 +3,16 @@
 Each language has a probability for every piece of a fixed public vocabulary. A word's
 probability is the sum over all its segmentations into pieces, by the forward algorithm; a
 text's is the product over its words. Piece probabilities are learned by expectation-
-maximisation from the words of a bounded sample: DOCS_PER_LANG documents of each language.
+maximisation from the words of a bounded sample: DOCS_PER_LANG documents of each language, of
+the MAX_LANGS languages that most documents have.
 
-Defined cases: a text that is null or has no letter is `und` with score 0; words longer than
-LONGEST letters are cut there; ties go to the language that sorts first; repeated rows get equal
-answers; without any language to learn every text is `und`; extra columns are kept.
+Words are whole runs of letters, and pieces all of the vocabulary that such words can hold. Words
+of over LONG letters (rare, but for scripts without blanks and junk) go letter by letter with
+rescaling instead of beside others of their length, and aren't learned from.
+
+Defined cases: a text that is null or has no letter is `und` with score 0; ties go to the
+language that sorts first; repeated rows get equal answers; without any language to learn every
+text is `und`; extra columns are kept, but one with the output's name is replaced.
 """
 
 from __future__ import annotations
@@ -25,18 +30,18 @@ from pyspark.sql import functions as F
 
 from staygrid.llm.common import about, held_out, tune
 
-DOCS_PER_LANG, ROUNDS, LONGEST, PIECE, FLOOR, CACHE = 400, 4, 24, 8, 1e-7, 200_000
+DOCS_PER_LANG, MAX_LANGS, ROUNDS, LONG, FLOOR, CACHE = 400, 256, 4, 40, 1e-7, 200_000
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
+_PIECE = regex.compile(r"\u2581?[\p{L}\p{M}]*")
+#: Letters of a long word that are looked up at a time, and sums below which they are rescaled.
+STRETCH, SMALL = 4096, 1e-100
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case runs of letters, in parts of at most LONGEST."""
-    found = _WORD.findall(text.lower())
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
+    """Lower-case runs of letters."""
+    return _WORD.findall(text.lower())
 
 
 def _hash_steps(n: int) -> np.ndarray:
@@ -45,41 +50,57 @@ def _hash_steps(n: int) -> np.ndarray:
 
 
 class Pieces:
-    """The vocabulary's pieces of at most PIECE characters, found by the hash of their characters."""
+    """The vocabulary's pieces of letters (and a word's beginning), found by the hash of their characters."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-        pieces = sorted(p for p in pieces if 0 < len(p) <= PIECE)
-        self.size = len(pieces)
-        steps = _hash_steps(PIECE)
+        every = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+        self.texts = sorted(p for p in every if p and _PIECE.fullmatch(p))
+        self.size, self.longest = len(self.texts), max(map(len, self.texts))
+        steps = _hash_steps(self.longest)
         with np.errstate(over="ignore"):
-            hashes = np.array([int((np.array([*map(ord, p)], np.uint64) * steps[: len(p)]).sum()) for p in pieces], np.uint64)
+            hashes = np.array([int((np.array([*map(ord, p)], np.uint64) * steps[: len(p)]).sum()) for p in self.texts], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], order
+        # a bit for the low bits of each piece's hash: most places hold no piece, which this tells at once
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(hashes.shape, -1, np.int64)
+        likely = np.nonzero(self.maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        some = hashes[likely]
+        at = np.minimum(np.searchsorted(self.hashes, some), self.size - 1)
+        out[likely] = np.where(self.hashes[at] == some, self.ids[at], -1)
+        return out
 
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        """For words of one length: for each piece length, the piece at each place (-1: none)."""
-        text = "".join("▁" + w for w in words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), -1)
-        n, steps, out = codes.shape[1], _hash_steps(PIECE), []
+    def of(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For rows of characters: for each piece length, the piece at each place (-1: none)."""
+        n, steps, out = codes.shape[1], _hash_steps(self.longest), []
         hashes = np.zeros_like(codes)
         with np.errstate(over="ignore"):
-            for size in range(1, min(PIECE, n) + 1):
+            for size in range(1, min(self.longest, n) + 1):
                 hashes = hashes[:, : n - size + 1] + codes[:, size - 1 :] * steps[size - 1]
-                at = np.minimum(np.searchsorted(self.hashes, hashes), self.size - 1)
-                out.append(np.where(self.hashes[at] == hashes, self.ids[at], -1))
+                out.append(self._find(hashes))
         return out
 
 
+def characters(words: list[str]) -> np.ndarray:
+    """A row of code points for each of some words of one length, the mark of a word's beginning first."""
+    text = "".join("▁" + w for w in words)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), -1)
+
+
 def _forward(found: list[np.ndarray], probability: np.ndarray) -> np.ndarray:
     """alpha[place, word, language]: the sum over segmentations of the characters before place."""
     words, n = found[0].shape
     alpha = np.zeros((n + 1, words, probability.shape[1]))
     alpha[0] = 1
+    held = [(ids >= 0).any(0) for ids in found]
     for end in range(1, n + 1):
-        for size in range(1, min(PIECE, end) + 1):
-            alpha[end] += alpha[end - size] * probability[found[size - 1][:, end - size]]
+        for size in range(1, min(len(found), end) + 1):
+            if held[size - 1][end - size]:
+                alpha[end] += alpha[end - size] * probability[found[size - 1][:, end - size]]
         alpha[end] += alpha[end - 1] * (FLOOR * (found[0][:, end - 1] < 0))[:, None]
     return alpha
 
@@ -104,17 +125,44 @@ class Model:
         """Log probability of each word in each language."""
         self.pieces = self.pieces or Pieces(self.path)
         out = np.zeros((len(words), len(self.langs)))
-        for at in _by_length(words):
-            out[at] = np.log(_forward(self.pieces.of([words[i] for i in at]), self.probability)[-1])
+        short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], np.int64)
+        for at in _by_length([words[i] for i in short]):
+            at = short[at]
+            out[at] = np.log(_forward(self.pieces.of(characters([words[i] for i in at])), self.probability)[-1])
+        for i in np.setdiff1d(np.arange(len(words)), short):
+            out[i] = self._long(words[i])
         return out
 
+    def _long(self, word: str) -> np.ndarray:
+        """`word_scores` of one word: sums of the places ahead alone, rescaled for each language as they get small."""
+        codes, ring = characters([word]), self.pieces.longest + 1
+        ahead, total = np.zeros((ring, len(self.langs))), np.zeros(len(self.langs))
+        ahead[0] = 1
+        for begin in range(0, codes.shape[1], STRETCH):
+            found = self.pieces.of(codes[:, begin : begin + STRETCH + ring - 2])
+            hits: list[list[tuple[int, int]]] = [[] for _ in range(min(STRETCH, codes.shape[1] - begin))]
+            for size, ids in enumerate(found, 1):
+                for place in np.flatnonzero(ids[0, : len(hits)] >= 0).tolist():
+                    hits[place].append((size, ids[0, place]))
+            for place, pieces in enumerate(hits, begin):
+                here = ahead[place % ring].copy()
+                ahead[place % ring] = 0
+                if here.min() < SMALL:
+                    factor = np.where(here < SMALL, 1 / SMALL, 1.0)
+                    here, ahead, total = here * factor, ahead * factor, total - np.log(factor)
+                if not pieces or pieces[0][0] > 1:
+                    ahead[(place + 1) % ring] += here * FLOOR
+                for size, piece in pieces:
+                    ahead[(place + size) % ring] += here * self.probability[piece]
+        return total + np.log(ahead[codes.shape[1] % ring])
+
 
 def fit(path: str, counts: dict[str, dict[str, int]], rounds: int = ROUNDS) -> Model:
     """Expectation-maximisation from word counts of each language."""
     langs, pieces = sorted(counts), Pieces(path)
-    words = sorted({w for c in counts.values() for w in c})
+    words = sorted({w for c in counts.values() for w in c if len(w) <= LONG})
     weight = np.array([[counts[g].get(w, 0) for g in langs] for w in words], np.float64).reshape(len(words), len(langs))
-    groups = [(at, pieces.of([words[i] for i in at])) for at in _by_length(words)]
+    groups = [(at, pieces.of(characters([words[i] for i in at]))) for at in _by_length(words)]
 
     def normal(expected: np.ndarray) -> np.ndarray:
         smooth = expected[:-1] + 0.05
@@ -133,8 +181,10 @@ def fit(path: str, counts: dict[str, dict[str, int]], rounds: int = ROUNDS) -> M
             beta = np.zeros_like(alpha)
             beta[n] = weight[at] / alpha[n]
             for begin in range(n - 1, -1, -1):
-                for size in range(1, min(PIECE, n - begin) + 1):
+                for size in range(1, min(len(found), n - begin) + 1):
                     ids = found[size - 1][:, begin]
+                    if ids.max() < 0:
+                        continue
                     share = probability[ids] * beta[begin + size]
                     beta[begin] += share
                     np.add.at(expected, ids, alpha[begin] * share)
@@ -156,8 +206,8 @@ def train(docs: DataFrame, path: str | None = None, per_lang: int = DOCS_PER_LAN
     learnable = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     learnable = learnable.where("lang is not null and text is not null").where(~held_out())
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    counts = learnable.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language
-    few = learnable.select("doc_id", "lang").join(counts, "lang").where(about("doc_id", per_lang, F.col("n"))).select("doc_id", "lang")
+    counts = learnable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    few = learnable.select("doc_id", "lang").join(F.broadcast(counts), "lang").where(about("doc_id", per_lang, F.col("n"))).select("doc_id", "lang")
     chosen = few.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id", "lang").distinct()
     rows = learnable.join(F.broadcast(chosen), ["doc_id", "lang"]).mapInPandas(_count, "lang string, word string, n long")
     seen: dict[str, dict[str, int]] = {}
@@ -166,8 +216,8 @@ def train(docs: DataFrame, path: str | None = None, per_lang: int = DOCS_PER_LAN
     return fit(path, seen) if seen else None
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """`docs` with a struct column `language`: lang_pred and score, its posterior probability."""
+def identify(docs: DataFrame, model: Model | None, output: str = "language") -> DataFrame:
+    """`docs` with a struct column `output`: lang_pred and score, its posterior probability."""
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -176,7 +226,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             if len(known) > CACHE:
                 known, table = {}, table[:0]
             lists = [words_of(t) if model and t and _LETTER.search(t) else [] for t in batch]
-            new = list({w for ws in lists for w in ws if w not in known})
+            new = list({w for ws in lists for w in ws if len(w) <= LONG and w not in known})
             if new:
                 known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
                 table = np.concatenate((table, model.word_scores(new)))
@@ -186,7 +236,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                     langs.append("und")
                     scores.append(0.0)
                     continue
-                total = table[[known[w] for w in ws]].sum(0)
+                total = table[[known[w] for w in ws if len(w) <= LONG]].sum(0)
+                if long := [w for w in ws if len(w) > LONG]:
+                    total = total + model.word_scores(long).sum(0)
                 best = int(total.argmax())
                 langs.append(model.langs[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))
@@ -194,4 +246,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     tune(docs.sparkSession)
     predict = F.pandas_udf(run, "lang_pred string, score double")
-    return docs.withColumn("language", predict(F.col("text").cast("string")))
+    return docs.withColumn(output, predict(F.col("text").cast("string")))

@@ -261,39 +261,56 @@ def test_code_lengths_are_optimal_within_the_limit():
 
 
 def test_forward_sums_all_segmentations():
-    model = language.fit(tokenizer_path("piece_bpe_32k.model"), {"a": {"the": 5, "then": 2, "hat": 1}, "b": {"die": 3, "dann": 2}})
-    pieces = language.Pieces(tokenizer_path("piece_bpe_32k.model"))
-
-    def total(text, column):
-        if not text:
-            return 1.0
-        out = 0.0
-        for n in range(1, min(language.PIECE, len(text)) + 1):
-            codes = np.array([*map(ord, text[:n])], np.uint64)
-            with np.errstate(over="ignore"):
-                h = (codes * language._hash_steps(language.PIECE)[:n]).sum()
-            at = np.searchsorted(pieces.hashes, h)
-            if at < pieces.size and pieces.hashes[at] == h:
-                out += model.probability[pieces.ids[at], column] * total(text[n:], column)
-            elif n == 1:
-                out += language.FLOOR * total(text[1:], column)
-        return out
-
-    for word in ("then", "dann", "x", "一a"):
+    """Against every segmentation, with pieces taken from the vocabulary file itself."""
+    import math
+    from functools import cache
+
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    model = language.fit(path, {"a": {"the": 5, "then": 2, "hat": 1, "representation": 3}, "b": {"die": 3, "dann": 2}})
+    of = {p: i for i, p in enumerate(language.Pieces(path).texts)}
+    file = sentencepiece.SentencePieceProcessor(model_file=path)
+    vocabulary = {file.id_to_piece(i).lower() for i in range(3, file.get_piece_size()) if not file.is_byte(i)}
+    assert max(map(len, of)) == 16 and "▁representation" in of
+
+    def total(word, column):
+        text = "▁" + word
+
+        @cache
+        def log_from(at):
+            if at == len(text):
+                return 0.0
+            terms = [math.log(model.probability[of[p], column]) + log_from(at + n) for n in range(1, 40) if at + n <= len(text) and (p := text[at : at + n]) in vocabulary]
+            if text[at] not in vocabulary:
+                terms.append(math.log(language.FLOOR) + log_from(at + 1))
+            top = max(terms)
+            return top + math.log(sum(math.exp(t - top) for t in terms))
+
+        for at in range(len(text), -1, -20):  # shallow recursion
+            log_from(at)
+        return log_from(0)
+
+    for word in ("then", "dann", "x", "一a", "representation", "the" * 13, "hat" * 14, "representation" * 9, "ж" * 300 + "the", "thedie" * 1500):
+        scores = model.word_scores([word, "x", word])
+        assert (scores[0] == scores[2]).all()
         for column in (0, 1):
-            assert model.word_scores([word])[0, column] == pytest.approx(np.log(total("▁" + word, column)))
+            assert scores[0, column] == pytest.approx(total(word, column), rel=1e-9), word
 
 
 def test_language_learns(spark):
     r = random.Random(2)
     parts = {"en": ["the", "ing", "and", "tion", "er"], "de": ["der", "ung", "sch", "ein", "ich"], "es": ["ción", "que", "ado", "los"]}
     rows = [(d, " ".join("".join(r.choice(parts[g]) for _ in range(r.randrange(1, 4))) for _ in range(r.randrange(3, 60))), g) for d in range(240) for g in [r.choice(list(parts))]]
-    rows += [(900, None, "en"), (901, "", "de"), (902, "123 !!", "en"), (903, "THE AND" + "x" * 200, None)]
+    rows += [(900, None, "en"), (901, "", "de"), (902, "123 !!", "en"), (903, "THE AND" + "x" * 200, None), (904, "the " * 30000 + "ing" * 3000, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     out = {r["doc_id"]: r["language"] for r in language.identify(docs, language.train(docs)).collect()}
     assert np.mean([out[d]["lang_pred"] == g for d, _, g in rows[:240] if zlib.crc32(str(d).encode()) % 4 == 2]) > 0.97
     assert all(out[d]["lang_pred"] == "und" for d in (900, 901, 902)) and out[903]["lang_pred"] == "en"
-    assert all(0 <= x["score"] <= 1 for x in out.values())
+    assert out[904]["lang_pred"] == "en" and all(0 <= x["score"] <= 1 for x in out.values())
+    clash = language.identify(docs.withColumn("language", docs["lang"]).withColumn("score", docs["doc_id"]), language.train(docs))
+    assert clash.columns == ["doc_id", "text", "lang", "language", "score"] and clash.where("language.lang_pred = 'und'").count() == 3
+    assert language.identify(docs.where("false"), language.train(docs)).count() == 0
     nothing = docs.withColumn("lang", docs["lang"].substr(99, 1)).where("false")
     assert language.train(nothing) is None and language.identify(docs, None).first()["language"]["lang_pred"] == "und"
 
