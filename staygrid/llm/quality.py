@@ -4,9 +4,10 @@ A document is a bag of passages of PASSAGE words. Each passage is described by c
 bytes and words, encoded by a small network, and weighted by gated attention that is learned
 from document labels alone; the weighted sum of the encodings gives the score.
 
-Learning takes a bounded sample: TRAIN_DOCS labelled documents, chosen by a hash of doc_id among
-those that aren't held out, and of very long ones TRAIN_PASSAGES passages, evenly spread. Scoring
-reads every passage of every text.
+Learning takes a bounded sample of labelled rows, chosen by a hash of doc_id among those that
+aren't held out: at most TRAIN_DOCS documents, as far as they have at most TRAIN_PASSAGES passages
+together (a document that doesn't fit any more is left out as a whole). All passages of a sampled
+document count. Scoring reads every passage of every text, a bounded number of bytes at a time.
 
 Defined cases: a text without words is one passage without words and is scored like any other;
 repeated rows get equal scores; without labels of both kinds every score is the labels' mean
@@ -19,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import about, held_out, tune, utf8, word_hashes, word_spans
+from staygrid.llm.common import about, held_out, materialize, tune, utf8, word_hashes, word_spans
 
-PASSAGE, TRAIN_DOCS, TRAIN_PASSAGES, HIDDEN, GATE = 64, 6000, 200, 32, 16
+PASSAGE, TRAIN_DOCS, TRAIN_PASSAGES, HIDDEN, GATE = 64, 6000, 200_000, 32, 16
 EPOCHS, STEPS, BAGS, RATE, DECAY, THRESHOLD = 16, 600, 128, 3e-3, 1e-4, 0.7
 #: Bytes of text described at once.
 CHUNK = 1 << 18
@@ -104,15 +105,38 @@ def _describe(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, passages
 
 
-def describe(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """`_describe` of all texts, a bounded number of bytes at a time."""
+def _parts(blob: bytes, size: int) -> Iterator[bytes]:
+    """A text in parts of about `size` bytes, each but the last of whole passages.
+
+    A part begins with its first passage's first word (the text's first part may begin with white
+    space), so that the parts' features are the text's.
+    """
+    begin, reach = 0, size
+    while begin + reach < len(blob):
+        starts, _ = word_spans(np.frombuffer(blob, np.uint8, reach, begin))
+        whole = (len(starts) - 1) // PASSAGE * PASSAGE
+        if whole > 0:
+            yield blob[begin : begin + int(starts[whole])]
+            begin, reach = begin + int(starts[whole]), size
+        else:  # fewer words than a passage has
+            reach *= 2
+    yield blob[begin:]
+
+
+def describe(texts: list[str | None], chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`_describe` of all texts, at most about `chunk` bytes at a time; long texts are described in parts."""
     held, size = [], 0
     for text in texts:
-        held.append(utf8(text))
-        size += len(held[-1])
-        if size >= CHUNK:
+        blob = utf8(text)
+        if held and size + len(blob) >= chunk:
             yield _describe(held)
             held, size = [], 0
+        if len(blob) >= chunk:
+            parts = [_describe([part])[0] for part in _parts(blob, chunk)]
+            yield np.concatenate(parts), np.array([sum(map(len, parts))])
+            continue
+        held.append(blob)
+        size += len(blob)
     if held:
         yield _describe(held)
 
@@ -143,6 +167,19 @@ class Model:
         return self.forward(x, sizes)["p"]
 
 
+def gradient(model: Model, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean log loss of labels `y` over bags of `sizes` passages."""
+    w, f = model.weights, model.forward(x, sizes)
+    e = (f["p"] - y) / len(y)
+    dz = np.repeat(np.outer(e, w["out"]), sizes, axis=0)
+    da = (dz * f["h"]).sum(1)
+    da = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, np.cumsum(sizes) - sizes), sizes))
+    dt, dg = np.outer(da, w["w"]) * f["g"] * (1 - f["t"] ** 2), np.outer(da, w["w"]) * f["t"] * f["g"] * (1 - f["g"])
+    dh = (dz * f["a"][:, None] + dt @ w["v"].T + dg @ w["u"].T) * (1 - f["h"] ** 2)
+    xs = (x - w["mean"]) / w["scale"]
+    return {"enc": xs.T @ dh, "enc0": dh.sum(0), "v": f["h"].T @ dt, "u": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ da, "out": f["z"].T @ e, "out0": np.array([e.sum()])}
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Train by Adam on the log loss of document labels."""
     if not len(labels) or labels.min() == labels.max():
@@ -161,15 +198,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
         for i in range(0, len(order), BAGS):
             pick = order[i : i + BAGS]
             x, sizes, y = np.concatenate([bags[k] for k in pick]), np.array([len(bags[k]) for k in pick]), labels[pick]
-            f = model.forward(x, sizes)
-            e = (f["p"] - y) / len(pick)
-            dz = np.repeat(np.outer(e, w["out"]), sizes, axis=0)
-            da = (dz * f["h"]).sum(1)
-            da = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, np.cumsum(sizes) - sizes), sizes))
-            dt, dg = np.outer(da, w["w"]) * f["g"] * (1 - f["t"] ** 2), np.outer(da, w["w"]) * f["t"] * f["g"] * (1 - f["g"])
-            dh = (dz * f["a"][:, None] + dt @ w["v"].T + dg @ w["u"].T) * (1 - f["h"] ** 2)
-            xs = (x - w["mean"]) / w["scale"]
-            grad = {"enc": xs.T @ dh, "enc0": dh.sum(0), "v": f["h"].T @ dt, "u": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ da, "out": f["z"].T @ e, "out0": np.array([e.sum()])}
+            grad = gradient(model, x, sizes, y)
             step += 1
             for k in learned:
                 m1[k] = 0.9 * m1[k] + 0.1 * grad[k]
@@ -181,23 +210,25 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
 def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         parts = [part for x, sizes in describe(list(batch["text"])) for part in np.split(x, np.cumsum(sizes)[:-1])]
-        spread = lambda n: np.unique(np.linspace(0, n - 1, min(n, TRAIN_PASSAGES)).astype(np.int64))
-        bags = [part[spread(len(part))].tobytes() for part in parts]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "bag": bags})
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "passages": [len(p) for p in parts], "bag": [p.tobytes() for p in parts]})
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model:
-    """Fit on at most `sample` labelled documents (doc_id, quality) that aren't held out."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS, passages: int = TRAIN_PASSAGES) -> Model:
+    """Fit on at most `sample` labelled documents (doc_id, quality) that aren't held out, of at most `passages` passages."""
     tune(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1) and doc_id is not null").where(~held_out())
     known = known.where(about("doc_id", sample, max(known.count(), 1)))
     # labelled twice: the lower label; the sample's size is bounded by the parameter
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = texts.join(F.broadcast(known), "doc_id").mapInPandas(_bags, "doc_id long, quality int, bag binary").toPandas()
-    rows = rows.sort_values(["doc_id", "bag"]).drop_duplicates("doc_id")
-    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["bag"]]
-    return fit(bags, rows["quality"].to_numpy(np.float64))
+    rows = texts.join(F.broadcast(known), "doc_id").mapInPandas(_bags, "doc_id long, quality int, passages long, bag binary")
+    # of rows that share a doc_id one counts, before any goes to the driver
+    rows = materialize(rows.groupBy("doc_id", "quality").agg(F.min(F.struct("passages", "bag")).alias("_row")).select("doc_id", "quality", "_row.*"), "bags")
+    before = Window.partitionBy(F.lit(1)).orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = rows.select("doc_id", F.sum("passages").over(before).alias("upto")).where(F.col("upto") <= passages).select("doc_id")  # of `sample` rows
+    chosen = rows.join(F.broadcast(fits), "doc_id", "left_semi").toPandas().sort_values("doc_id")
+    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in chosen["bag"]]
+    return fit(bags, chosen["quality"].to_numpy(np.float64))
 
 
 def score(docs: DataFrame, model: Model, output: str = "score") -> DataFrame:

@@ -131,13 +131,83 @@ def test_quality_of_a_text_whatever_its_neighbours():
     assert alone[0][0][0, blank] == np.float32(1 / 10)
 
 
-def test_attention_gradient():
+def _plain_features(text):
+    """What `quality` says of each passage, spelt out for one text."""
+    import math
+
+    data = (text or "").encode()
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    groups = [spans[i : i + 64] for i in range(0, len(spans), 64)] or [[]]
+    edges = [0, *(g[0][0] for g in groups[1:]), len(data)]
+    out = []
+    for k, group in enumerate(groups):
+        classes = [0] * quality._CLASSES
+        for byte in data[edges[k] : edges[k + 1]]:
+            classes[quality._CLASS[byte]] += 1
+        row = [c / max(sum(classes), 1) for c in classes]
+        words, n = [data[a:b] for a, b in group], max(len(group), 1)
+        pairs = list(zip(words, words[1:], strict=False))
+        upper = lambda w: sum(chr(b).isupper() for b in w if b < 128)
+        row += [math.log1p(len(words)), sum(map(len, words)) / n / 10, len(set(words)) / n, max(map(words.count, words), default=0) / n, len(set(pairs)) / n, sum(a == b for a, b in pairs) / n]
+        row += [sum(w[0] < 128 and chr(w[0]).isupper() for w in words) / n, sum(upper(w) >= 2 and 2 * upper(w) >= len(w) for w in words) / n, sum(quality._CLASS[w[-1]] > 4 for w in words) / n]
+        out.append(row)
+    return out
+
+
+def test_quality_features_spelt_out():
+    texts = ["", " \n", "One two two THREE!! x\ty 4é", None, "  " + "Aa b, " * 150 + "\n", "w" * 3000, " ".join(f"w{i % 7}" for i in range(64)), "a " * 64 + "b"]
+    want = [_plain_features(t) for t in texts]
+    for chunk in (1 << 18, 200, 40, 1):
+        got = [part for x, sizes in quality.describe(texts, chunk) for part in np.split(x, np.cumsum(sizes)[:-1])]
+        assert len(got) == len(texts)
+        for g, w in zip(got, want, strict=True):
+            assert g[:, : quality._CLASSES + 9] == pytest.approx(np.array(w), abs=1e-6) and g.shape[0] == len(w)
+            assert g[:, quality._CLASSES + 9 :].sum(1) == pytest.approx([float(len(w) > 1 or r[quality._CLASSES] > 0) for r in w], abs=1e-5)
+
+
+def test_attention_spelt_out_and_its_gradient():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(n, 5)).astype(np.float32) for n in (1, 3, 2, 5) * 30]
     labels = np.array([float(b[:, 0].max() > 0.8) for b in bags])
     model = quality.fit(bags, labels)
-    p = model.score(np.concatenate(bags), np.array([len(b) for b in bags]))
+    x, sizes = np.concatenate(bags), np.array([len(b) for b in bags])
+    p = model.score(x, sizes)
     assert ((p > 0.5) == (labels > 0.5)).mean() > 0.85
+    w, sigmoid = model.weights, lambda z: 1 / (1 + np.exp(-z))
+    for k, bag in enumerate(bags[:8]):
+        h = [np.tanh((row - w["mean"]) / w["scale"] @ w["enc"] + w["enc0"]) for row in bag]
+        a = np.exp([np.tanh(v @ w["v"]) * sigmoid(v @ w["u"]) @ w["w"] for v in h])
+        assert p[k] == pytest.approx(sigmoid(sum(u * v for u, v in zip(a / a.sum(), h, strict=True)) @ w["out"] + w["out0"][0]))
+
+    def loss():
+        p = model.forward(x, sizes)["p"]
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    grad = quality.gradient(model, x, sizes, labels)
+    for name, g in grad.items():
+        for at in [tuple(rng.integers(0, n) for n in g.shape) for _ in range(4)]:
+            kept, values = w[name][at], []
+            for step in (1e-5, -1e-5):
+                w[name][at] = kept + step
+                values.append(loss())
+            w[name][at] = kept
+            assert g[at] == pytest.approx((values[0] - values[1]) / 2e-5, rel=1e-3, abs=1e-8), name
+
+
+def test_quality_sample_is_of_whole_documents(spark):
+    docs = spark.createDataFrame([(d, "word " * (64 * (1 + d % 3)) + ("Bad!! " * 9 if d % 2 else "")) for d in range(60) for _ in range(1 + 3 * (d == 1))], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in range(60)], "doc_id long, quality int")
+    seen = {}
+    real, quality.fit = quality.fit, lambda bags, y: seen.update(bags=bags, y=y) or real(bags, y)
+    try:
+        quality.train(docs, labels, passages=40)
+        some = [len(b) for b in seen["bags"]]
+        quality.train(docs, labels)
+    finally:
+        quality.fit = real
+    every = [d for d in range(60) if zlib.crc32(str(d).encode()) % 4 != 2]
+    assert sum(some) <= 40 and len(some) > 10 and [len(b) for b in seen["bags"]] == [1 + d % 3 + (d % 2) for d in every]
+    assert seen["y"].tolist() == [d % 2 for d in every]
 
 
 # --- op3 ------------------------------------------------------------------------------------
