@@ -6,16 +6,20 @@ offset 0 corrects the declared type; what validates further in is carved out as
 
 Payloads are stored losslessly as 8-bit mono WAVE files and read back through the sniffer.
 
+A pass over a blob takes time in proportion to its length: what a validator looks for beyond its
+own structure (a PDF's or a ZIP file's end) is located once, by the same automaton.
+
 Defined cases: a null or empty text is one block of blanks; a null blob has no type and no
-parts; magic numbers without a valid structure are ignored; equal blobs give equal answers;
-extra columns are kept; no rows give no rows.
+parts; magic numbers without a valid structure are ignored; a PDF goes up to its last end mark
+before another PDF begins; equal blobs give equal answers; extra columns are kept, but one with
+the output's name is replaced; no rows give no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -28,31 +32,57 @@ from staygrid.llm.common import materialize, tune, utf8
 BLOCK, RATE = 192, 8000
 
 
-def _u32(data: memoryview, at: int, order: str = "<") -> int:
-    return struct.unpack_from(order + "I", data, at)[0] if at + 4 <= len(data) else -1
+class Blob:
+    """Bytes, and where the end marks in them are."""
+
+    def __init__(self, data: bytes, marks: dict[bytes, list[int]]):
+        self.data, self.view, self.marks = data, memoryview(data), marks
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def __getitem__(self, at: int | slice) -> int | bytes:
+        return self.data[at]
+
+    def next(self, mark: bytes, begin: int) -> int:
+        """The first place of `mark` from `begin` on, -1 if there is none."""
+        places = self.marks.get(mark, [])
+        k = bisect_left(places, begin)
+        return places[k] if k < len(places) else -1
+
+    def last(self, mark: bytes, begin: int, end: int) -> int:
+        """The last place of `mark` from `begin` on and before `end`."""
+        places = self.marks.get(mark, [])
+        k = bisect_left(places, end) - 1
+        return places[k] if k >= 0 and places[k] >= begin else -1
+
 
+def _u32(data: Blob | bytes, at: int, order: str = "<") -> int:
+    raw = data.data if isinstance(data, Blob) else data
+    return struct.unpack_from(order + "I", raw, at)[0] if at + 4 <= len(raw) else -1
 
-def _riff(data: memoryview, at: int) -> tuple[str, int] | None:
+
+def _riff(data: Blob, at: int) -> tuple[str, int] | None:
     size = _u32(data, at + 4)
     if size < 4 or at + 8 + size > len(data):
         return None
-    kind = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/avi"}.get(bytes(data[at + 8 : at + 12]))
+    kind = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/avi"}.get(data[at + 8 : at + 12])
     place, end, chunks = at + 12, at + 8 + size, []
     while place + 8 <= end:
-        chunks.append(bytes(data[place : place + 4]))
+        chunks.append(data[place : place + 4])
         place += 8 + _u32(data, place + 4)
         place += (place - at) & 1
     whole = place == end and (kind != "audio/wav" or chunks[:1] == [b"fmt "] and b"data" in chunks)
     return (kind, 8 + size) if kind and whole else None
 
 
-def _png(data: memoryview, at: int) -> tuple[str, int] | None:
+def _png(data: Blob, at: int) -> tuple[str, int] | None:
     place = at + 8
     while place + 12 <= len(data):
-        size, name = _u32(data, place, ">"), bytes(data[place + 4 : place + 8])
+        size, name = _u32(data, place, ">"), data[place + 4 : place + 8]
         if place + 12 + size > len(data) or place == at + 8 and name != b"IHDR":
             return None
-        if zlib.crc32(data[place + 4 : place + 8 + size]) != _u32(data, place + 8 + size, ">"):
+        if zlib.crc32(data.view[place + 4 : place + 8 + size]) != _u32(data, place + 8 + size, ">"):
             return None
         place += 12 + size
         if name == b"IEND":
@@ -60,7 +90,7 @@ def _png(data: memoryview, at: int) -> tuple[str, int] | None:
     return None
 
 
-def _gif(data: memoryview, at: int) -> tuple[str, int] | None:
+def _gif(data: Blob, at: int) -> tuple[str, int] | None:
     if at + 13 > len(data):
         return None
     place = at + 13 + (3 << (data[at + 10] & 7) + 1 if data[at + 10] & 0x80 else 0)
@@ -83,14 +113,16 @@ def _gif(data: memoryview, at: int) -> tuple[str, int] | None:
     return None
 
 
-def _jpeg(data: memoryview, at: int) -> tuple[str, int] | None:
+def _jpeg(data: Blob, at: int) -> tuple[str, int] | None:
+    if data.next(b"\xff\xd9", at) < 0:
+        return None
     place = at + 2
     while place + 4 <= len(data) and data[place] == 0xFF:
         kind = data[place + 1]
-        place += 2 + struct.unpack_from(">H", data, place + 2)[0]
+        place += 2 + struct.unpack_from(">H", data.data, place + 2)[0]
         if kind == 0xDA:
             while place + 2 <= len(data):
-                place = bytes(data).find(b"\xff", place)
+                place = data.data.find(b"\xff", place)
                 if place < 0 or place + 2 > len(data):
                     return None
                 if data[place + 1] == 0xD9:
@@ -101,16 +133,16 @@ def _jpeg(data: memoryview, at: int) -> tuple[str, int] | None:
     return None
 
 
-def _bmp(data: memoryview, at: int) -> tuple[str, int] | None:
+def _bmp(data: Blob, at: int) -> tuple[str, int] | None:
     size, first, head = _u32(data, at + 2), _u32(data, at + 10), _u32(data, at + 14)
     fits = size > 0 and at + size <= len(data) and head in (12, 40, 52, 56, 64, 108, 124) and 14 + head <= first <= size
     return ("image/bmp", size) if fits and not _u32(data, at + 6) else None
 
 
-def _gzip(data: memoryview, at: int) -> tuple[str, int] | None:
+def _gzip(data: Blob, at: int) -> tuple[str, int] | None:
     reader = zlib.decompressobj(31)
     try:
-        left = data[at:]
+        left = data.view[at:]
         while not reader.eof:
             if not left and not reader.unconsumed_tail:
                 return None
@@ -121,22 +153,23 @@ def _gzip(data: memoryview, at: int) -> tuple[str, int] | None:
     return "application/gzip", len(data) - at - len(reader.unused_data)
 
 
-def _pdf(data: memoryview, at: int) -> tuple[str, int] | None:
-    end = bytes(data[at:]).find(b"%%EOF")
-    return ("application/pdf", end + 5) if end > 0 and b"startxref" in bytes(data[at : at + end]) else None
+def _pdf(data: Blob, at: int) -> tuple[str, int] | None:
+    other = data.next(b"%PDF-", at + 5)
+    end = data.last(b"%%EOF", at, other if other >= 0 else len(data))  # incremental updates add end marks
+    return ("application/pdf", end + 5 - at) if end > 0 and data.last(b"startxref", at, end) >= 0 else None
 
 
-def _zip(data: memoryview, at: int) -> tuple[str, int] | None:
-    end = bytes(data).find(b"PK\x05\x06", at)
+def _zip(data: Blob, at: int) -> tuple[str, int] | None:
+    end = data.next(b"PK\x05\x06", at)
     if end < 0 or end + 22 > len(data):
         return None
-    size, start, note = struct.unpack_from("<IIH", data, end + 12)
-    central = bytes(data[at + start : at + start + 4]) == b"PK\x01\x02" and at + start + size == end
+    size, start, note = struct.unpack_from("<IIH", data.data, end + 12)
+    central = data[at + start : at + start + 4] == b"PK\x01\x02" and at + start + size == end
     return ("application/zip", end + 22 + note - at) if central and end + 22 + note <= len(data) else None
 
 
 #: Magic numbers (fixed values) and what validates each.
-FORMATS: dict[bytes, Callable[[memoryview, int], tuple[str, int] | None]] = {
+FORMATS: dict[bytes, Callable[[Blob, int], tuple[str, int] | None]] = {
     b"RIFF": _riff,
     b"\x89PNG\r\n\x1a\n": _png,
     b"GIF87a": _gif,
@@ -149,19 +182,30 @@ FORMATS: dict[bytes, Callable[[memoryview, int], tuple[str, int] | None]] = {
 }
 
 
+#: Marks that validators look for (fixed values).
+MARKS = (b"%%EOF", b"startxref", b"%PDF-", b"PK\x05\x06", b"\xff\xd9")
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for magic, check in FORMATS.items():
-        found.add_word(magic.decode("latin-1"), (len(magic), check))
+    for text in {*FORMATS, *MARKS}:
+        found.add_word(text.decode("latin-1"), text)
     found.make_automaton()
     return found
 
 
 def sniff(blob: bytes, machine: ahocorasick.Automaton) -> list[tuple[int, int, str]]:
     """Offset, length and type of each valid part: the whole file first, then what is embedded."""
-    data, parts, within = memoryview(blob), [], 0
-    for last, (size, check) in machine.iter(blob.decode("latin-1")):
-        at = last - size + 1
+    marks: dict[bytes, list[int]] = {}
+    starts = []
+    for last, text in machine.iter(blob.decode("latin-1")):
+        at = last - len(text) + 1
+        if text in FORMATS:
+            starts.append((at, FORMATS[text]))
+        if text in MARKS:
+            marks.setdefault(text, []).append(at)
+    data, parts, within = Blob(blob, marks), [], 0
+    for at, check in starts:
         if at < within or not (valid := check(data, at)):
             continue
         parts.append((at, valid[1], valid[0]))
@@ -181,13 +225,16 @@ def samples(blob: bytes) -> bytes:
     """The samples of a WAVE file that `sniff` found valid."""
     place = 12
     while blob[place : place + 4] != b"data":
-        place += 8 + _u32(memoryview(blob), place + 4)
+        place += 8 + _u32(blob, place + 4)
         place += place & 1
-    return blob[place + 8 : place + 8 + _u32(memoryview(blob), place + 4)]
+    return blob[place + 8 : place + 8 + _u32(blob, place + 4)]
+
 
+def store_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, declared and media: each whole text as a WAVE file, in the shared folder.
 
-def store_texts(docs: DataFrame, declared: str = "application/octet-stream") -> DataFrame:
-    """doc_id, n_bytes, declared and media: each whole text as a WAVE file, in the shared folder."""
+    Files of texts that fill whole blocks are declared what they are, the others as octet streams.
+    """
 
     def run(texts: pd.Series) -> pd.DataFrame:
         raw = [utf8(t) for t in texts]
@@ -195,12 +242,13 @@ def store_texts(docs: DataFrame, declared: str = "application/octet-stream") ->
 
     tune(docs.sparkSession)
     stored = F.pandas_udf(run, "n_bytes long, media binary")(F.col("text").cast("string")).alias("stored")
-    made = docs.select(F.col("doc_id").cast("long"), stored).select("doc_id", "stored.n_bytes", "stored.media", F.lit(declared).alias("declared"))
+    declared = F.when((F.col("stored.n_bytes") > 0) & (F.col("stored.n_bytes") % BLOCK == 0), "audio/wav").otherwise("application/octet-stream")
+    made = docs.select(F.col("doc_id").cast("long"), stored).select("doc_id", "stored.n_bytes", "stored.media", declared.alias("declared"))
     return materialize(made, "media")
 
 
-def sniff_media(rows: DataFrame, media: str = "media") -> DataFrame:
-    """`rows` with a struct column `sniffed`: type, n_embedded, embedded and payload.
+def sniff_media(rows: DataFrame, media: str = "media", output: str = "sniffed") -> DataFrame:
+    """`rows` with a struct column `output`: type, n_embedded, embedded and payload.
 
     embedded lists offset:length:type of carved parts; payload holds a WAVE file's samples.
     """
@@ -217,7 +265,7 @@ def sniff_media(rows: DataFrame, media: str = "media") -> DataFrame:
             yield pd.DataFrame(out, columns=["type", "n_embedded", "embedded", "payload"])
 
     tune(rows.sparkSession)
-    return rows.withColumn("sniffed", F.pandas_udf(run, "type string, n_embedded int, embedded string, payload binary")(F.col(media)))
+    return rows.withColumn(output, F.pandas_udf(run, "type string, n_embedded int, embedded string, payload binary")(F.col(media)))
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -65,11 +65,21 @@ def test_unknown_tokenizer_files_take_the_library_path(tmp_path):
 
 def test_media_digests(spark):
     rows, docs = _documents(spark)
-    out = media.digests(media.sniff_media(media.store_texts(docs))).collect()
-    want = sorted((hashlib.sha256((t or "").encode().ljust(max(-(-len((t or "").encode()) // 192), 1) * 192)).hexdigest(), len((t or "").encode())) for _, t, *_ in rows)
-    assert sorted((r["payload_sha256"], r["n_bytes"]) for r in out) == want
-    assert all(r["payload_bytes"] % 192 == 0 and r["media_bytes"] == r["payload_bytes"] + 44 for r in out)
+    long = [(800, "é" * 96, "en", "s", 0.0, 0), (801, "%PDF- BM RIFF PK\x03\x04 " * 100_000, "en", "s", 0.0, 0)]
+    out = media.digests(media.sniff_media(media.store_texts(docs.unionByName(spark.createDataFrame(long, DOCS))))).collect()
+
+    def want(doc_id, text):
+        raw = (text or "").encode()
+        payload = raw.ljust(max(-(-len(raw) // 192), 1) * 192)
+        head = b"RIFF" + (len(payload) + 36).to_bytes(4, "little") + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 8000, 8000, 1, 8) + b"data" + len(payload).to_bytes(4, "little")
+        corrected = "false" if raw and len(raw) % 192 == 0 else "true"
+        feature = f"type=audio/wav;corrected={corrected};embedded=;fill={len(raw) / len(payload):.4f}"
+        return (doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(head + payload), hashlib.sha256(head + payload).hexdigest(), feature)
+
+    assert sorted((tuple(r) for r in out), key=str) == sorted((want(d, t) for d, t, *_ in [*rows, *long]), key=str)
     assert media.digests(media.sniff_media(media.store_texts(_empty(spark)))).count() == 0
+    clash = media.sniff_media(spark.createDataFrame([(b"x", 1)], "media binary, sniffed int"))
+    assert clash.columns == ["media", "sniffed"] and clash.first()["sniffed"]["type"] is None
 
 
 def _png() -> bytes:
@@ -88,6 +98,12 @@ def test_sniffing_corrects_and_carves():
     broken = bytearray(png)
     broken[20] ^= 1
     assert media.sniff(bytes(broken), machine) == [] and media.sniff(png[:-3], machine) == [] and media.sniff(b"", machine) == []
+    pdf = b"%PDF-1.4\n1 0 obj\nendobj\nstartxref\n9\n%%EOF"
+    updated = pdf + b"\n2 0 obj\nendobj\nstartxref\n50\n%%EOF"
+    parts = media.sniff(b"a %%EOF " + updated + b"\nnoise " + pdf + b" %PDF-1.0 no end", machine)
+    assert [(at, n, k) for at, n, k in parts] == [(8, len(updated), "application/pdf"), (8 + len(updated) + 7, len(pdf), "application/pdf")]
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x02data\xff\x00more\xff\xd9"
+    assert media.sniff(b"x" + jpeg + b"y", machine) == [(1, len(jpeg), "image/jpeg")] and media.sniff(jpeg[:-1], machine) == []
     inside = media.wave(png)
     assert [k for _, _, k in media.sniff(inside, machine)] == ["audio/wav", "image/png"] and media.samples(inside) == png
 
