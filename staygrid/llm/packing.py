@@ -4,6 +4,11 @@ Only the histogram of piece lengths decides the packing, and it has at most `cap
 whatever the input, so it is solved on the driver with multiplicities; pieces are then placed
 where they are, by their rank among the pieces of equal length.
 
+Lengths are placed from the longest to the shortest, so that short pieces, which fit into more
+gaps, are left for the end. The longest piece that is left fills a gap exactly if it can: alone, as
+one of a pair or as one of three, whose other lengths an index of available lengths and sums of
+pairs finds. If no gap can be filled exactly, it goes where least is left (best fit).
+
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each; a
 null doc_id stays null; extra columns are ignored; no rows give no rows.
 """
@@ -26,77 +31,69 @@ CAPACITY = 1024
 _PIECES = "part int, doc_id long, missing boolean, piece int, start long, length int, rank long, ids binary"
 
 
-def _exact(counts: np.ndarray, gap: int, used: int, most: int) -> tuple[int, ...] | None:
-    """One, two or three (at most `most`) available lengths that sum to `gap`; `used` holds one already."""
-    left = counts.copy()
-    left[used] -= 1
-    if gap < len(left) and left[gap] > 0:
-        return (gap,)
+class Complements:
+    """Available lengths, and for each sum how many pairs of them have it."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int):
+        self.counts, self.pairs = np.zeros(capacity + 1, np.int64), np.zeros(2 * capacity + 1, np.int64)
+        for length, n in histogram.items():
+            self.change(length, n)
+
+    def change(self, length: int, by: int) -> None:
+        """More or fewer pieces of a length."""
+        before = int(self.counts[length])
+        self.counts[length] = now = before + by
+        if (before > 0) != (now > 0):
+            others = np.flatnonzero(self.counts)
+            self.pairs[others[others != length] + length] += 1 if now else -1
+        self.pairs[2 * length] += (now > 1) - (before > 1)
 
-    def pair(total: int) -> tuple[int, int] | None:
-        if total < 2:
-            return None
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """The most even of the pairs with this sum, of which there is one: short pieces fit elsewhere too."""
         low = np.arange(1, total // 2 + 1)
-        fits = (left[low] > 0) & (left[total - low] > (low == total - low))
-        found = np.flatnonzero(fits)
-        return (int(total - low[found[0]]), int(low[found[0]])) if len(found) else None
-
-    if most > 1 and (two := pair(gap)):
-        return two
-    for a in range(gap - 2, 0, -1) if most > 2 else ():
-        if left[a] > 0:
-            left[a] -= 1
-            two = pair(gap - a)
-            left[a] += 1
-            if two:
-                return (a, *two)
-    return None
+        fits = np.flatnonzero((self.counts[low] > 0) & (self.counts[total - low] > (low == total - low)))
+        return (int(total - low[fits[-1]]), int(low[fits[-1]])) if len(fits) else None
+
+    def exact(self, gaps: np.ndarray, length: int) -> tuple[int, tuple[int, ...]] | None:
+        """One of `gaps` (ascending) that a piece of `length` fills with no, one or two others, and these."""
+        self.change(length, -1)
+        rest = gaps - length
+        found = None
+        for some, complement in (
+            (np.flatnonzero(rest == 0), lambda gap: ()),
+            (np.flatnonzero((rest > 0) & (self.counts[rest] > 0)), lambda gap: (gap,)),
+            (np.flatnonzero(self.pairs[rest] > 0), self.pair),
+        ):
+            if found is None and len(some):
+                found = int(gaps[some[0]]), complement(int(rest[some[0]]))
+        self.change(length, 1)
+        return found
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths in one sequence) and how often each is used: the best of a few plans.
+    """Patterns (lengths in one sequence) and how often each is used.
 
-    Combinations that fill a gap exactly also use up short pieces that best fit could have put
-    into many gaps. So plans differ in how many pieces an exact filling may have, and from which
-    length on gaps are filled by more than one; the plan of the fewest sequences counts.
+    Every step uses up the pieces of a length or the open sequences of a kind, so there are about
+    as many steps as lengths, however many pieces there are.
     """
-    choices = [(3, 1), *((most, capacity * part // 8) for most in (3, 2) for part in (4, 6, 7)), (1, 1)]
-    plans = [_plan(histogram, capacity, most, floor) for most, floor in choices]
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
-
-
-def _plan(histogram: dict[int, int], capacity: int, most: int, floor: int) -> list[tuple[tuple[int, ...], int]]:
-    """Exact fillings of at most `most` pieces (of one below length `floor`), then best fit of what is left."""
-    counts = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        counts[length] = n
-    patterns: list[tuple[tuple[int, ...], int]] = []
-    if counts[capacity]:
-        patterns.append(((capacity,), int(counts[capacity])))
-        counts[capacity] = 0
-    for length in range(capacity - 1, 0, -1):
-        while counts[length] and (rest := _exact(counts, capacity - length, length, most if length >= floor else 1)):
-            pattern = (length, *rest)
-            need = Counter(pattern)
-            times = min(int(counts[x]) // n for x, n in need.items())
-            for x, n in need.items():
-                counts[x] -= n * times
-            patterns.append((pattern, times))
-    gaps: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
-    for length in range(capacity - 1, 0, -1):
-        left = int(counts[length])
-        while left and (gap := min((g for g, bins in gaps.items() if g >= length and bins), default=None)) is not None:
-            pattern, times = gaps[gap].pop()
-            take = min(left, times)
-            if take < times:
-                gaps[gap].append((pattern, times - take))
-            gaps[gap - length].append(((*pattern, length), take))
-            left -= take
-        fit = capacity // length
-        for copies, times in ((fit, left // fit), (left % fit, 1)):
-            if copies and times:
-                gaps[capacity - copies * length].append(((length,) * copies, times))
-    return patterns + [x for _, bins in sorted(gaps.items()) for x in bins]
+    left = Complements(histogram, capacity)
+    opened: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)  # by gap
+    for length in range(capacity, 0, -1):
+        while n := int(left.counts[length]):
+            gaps = np.array(sorted(g for g, kinds in opened.items() if g >= length and kinds), np.int64)
+            if not len(gaps):  # sequences of their own, with as many pieces of this length as fit
+                gap, pattern, times, parts = capacity, (), n, (length,) * min(capacity // length, n)
+            else:
+                gap, others = left.exact(gaps, length) or (int(gaps[0]), ())
+                (pattern, times), parts = opened[gap].pop(), (length, *others)
+            need = Counter(parts)
+            take = min(times, *(int(left.counts[x]) // k for x, k in need.items()))
+            if take < times and len(gaps):
+                opened[gap].append((pattern, times - take))
+            for x, k in need.items():
+                left.change(x, -k * take)
+            opened[gap - sum(parts)].append((pattern + parts, take))
+    return [kind for _, kinds in sorted(opened.items()) for kind in kinds]
 
 
 def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:

@@ -5,6 +5,7 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -441,6 +442,42 @@ def test_solver_against_bounds():
         assert sum(t for _, t in patterns) <= 1.03 * max(-(-int(lengths.sum()) // 1024), large) + 1
 
 
+def test_solver_against_every_packing():
+    from functools import cache
+
+    def fewest(pieces, capacity):
+        @cache
+        def rest(left, room):  # sequences besides the one with `room`
+            return min((rest(tuple(x for k, x in enumerate(left) if k != i), room - p) if p <= room else 1 + rest(tuple(x for k, x in enumerate(left) if k != i), capacity - p) for i, p in enumerate(left)), default=0)
+
+        return rest(tuple(sorted(pieces)), 0)
+
+    r, more = random.Random(5), 0
+    for _ in range(150):
+        capacity = r.choice([10, 16, 24])
+        pieces = [r.randrange(1, capacity + 1) for _ in range(r.randrange(1, 8))]
+        patterns = packing.solve(dict(Counter(pieces)), capacity)
+        assert sorted(x for p, times in patterns for x in p * times) == sorted(pieces) and all(sum(p) <= capacity for p, _ in patterns)
+        more += sum(times for _, times in patterns) - fewest(pieces, capacity)
+    assert 0 <= more <= 3
+
+
+def test_complements():
+    index = packing.Complements({5: 1, 3: 2, 2: 1}, 10)
+    want = lambda: [sum(1 for i, x in enumerate(left) for y in left[:i] if x + y == s and (x, y) not in left[:0]) for s in range(21)]
+    left = [5, 3, 3, 2]
+    assert [int(n > 0) for n in index.pairs] == [int(n > 0) for n in want()]
+    assert index.pair(6) == (3, 3) and index.pair(5) == (3, 2) and index.pair(4) is None
+    assert index.exact(np.array([7, 8, 9]), 5) == (7, (2,)) and index.exact(np.array([11]), 5) == (11, (3, 3)) and index.exact(np.array([5, 7]), 5) == (5, ())
+    assert index.exact(np.array([9]), 5) is None
+    index.change(3, -1)
+    left = [5, 3, 2]
+    assert index.pairs.tolist() == want() and index.pair(6) is None
+    index.change(5, -1)
+    left = [3, 2]
+    assert index.pairs.tolist() == want()
+
+
 # --- op7 ------------------------------------------------------------------------------------
 
 
