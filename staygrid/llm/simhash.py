@@ -1,9 +1,11 @@
 """Operator 10: SimHash near-duplicates by a self-join of the binary trie of fingerprints.
 
-Equal fingerprints are one leaf. The trie's top `depth` bits deal its subtrees out: a task gets
-two subtrees whose prefixes differ in at most `budget` bits and walks their nodes together, bit
-by bit, adding up differing bits and leaving a pair of nodes as soon as the budget is exceeded.
-A task returns a spanning forest of what it linked, never the pairs.
+Equal fingerprints are one leaf. A cut through the trie, as deep in each place as it takes for few
+leaves below, deals its subtrees out: a task gets two subtrees whose prefixes differ in fewer bits
+than the budget and walks their nodes together, bit by bit, adding up differing bits and leaving a
+pair of nodes as soon as the budget is exceeded. Prefixes that spend the whole budget leave nothing
+for the bits below, so there leaves meet by those bits alone, each in one group. A task returns a
+spanning forest of what it linked, never the pairs.
 
 `similar_documents` links only what is also similar: the same walk with a wider budget marks
 leaves with a partner; the sets of longer shingles of these alone go to the tasks that found
@@ -11,13 +13,15 @@ them, where a pair not yet connected is checked by the Jaccard similarity of its
 fingerprints stay those of short shingles, which an edit changes less than those of long ones.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link with one another;
-repeated rows and equal texts share a component; a null doc_id is kept, never a component's
-smallest id unless all its ids are null; extra columns are ignored; no rows give no rows.
+repeated rows and equal texts share a component; rows of a null doc_id link as others do, and are
+a component's smallest id only if all its ids are null; extra columns are ignored; no rows give
+no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,12 +35,12 @@ from staygrid.llm.components import connected_components, merge_labels
 SHINGLE, SEED, BUDGET = 3, 42, 2
 #: Of `similar_documents`: words in a shingle of the sets, differing bits and least Jaccard similarity.
 LONG, WIDE, SIMILAR = 5, 5, 0.8
-#: Fingerprints in one subtree, above which the trie is dealt out one bit deeper.
-SUBTREE, DEEPEST = 16_384, 16
+#: Subtrees into which the trie is cut at least if it is large, and the bounds of what one then holds.
+SUBTREES, SMALLEST, LARGEST = 256, 16_384, 1 << 18
+#: Bits of a prefix whose leaves are counted, and bits by which prefixes of too many leaves are cut further.
+COUNTED, FURTHER = 16, 8
 #: Pairs of leaves below which a pair of nodes is compared at once; node pairs held at a time.
 LEAF_PAIRS, FRONTIER, AT_ONCE = 32, 1 << 17, 1 << 15
-#: Subtrees into which a large trie is cut at first by `similar_documents`, and its largest subtree.
-SUBTREES, LARGEST = 64, 1 << 18
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
@@ -134,58 +138,126 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int) -> I
             stack.append((depth + 1, nodes[:, alive]))
 
 
-def _meet(low: int, high: int, depth: int, budget: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in `fps` (unsigned) of pairs of leaves of two subtrees within the budget."""
-    prefix = (fps >> np.uint64(64 - depth)).astype(np.int64) if depth else np.zeros(len(fps), np.int64)
-    sides = [np.flatnonzero(prefix == x) for x in ((low,) if low == high else (low, high))]
+class Subtrees:
+    """A cut through the trie: the first fingerprint and the depth of each subtree, in order."""
+
+    def __init__(self, starts: list[int], depths: list[int]):
+        self.starts, self.depths = np.array(starts, np.uint64), np.array(depths, np.int64)
+
+    def of(self, fps: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, fps, "right") - 1
+
+    def near(self, k: int, bits: int) -> np.ndarray:
+        """The subtrees whose prefix differs from that of subtree k in at most `bits` of the bits that both have."""
+        start, depth = int(self.starts[k]), int(self.depths[k])
+        flips = [sum(1 << (63 - i) for i in places) for n in range(bits + 1) for places in combinations(range(depth), n)]
+        first = start ^ np.array(flips, np.uint64)
+        last = first | np.uint64((1 << 64) - 1 >> depth if depth < 64 else 0)
+        runs = zip(self.of(first).tolist(), self.of(last).tolist(), strict=True)
+        return np.array(sorted({x for a, b in runs for x in range(a, b + 1)}), np.int64)
+
+
+def split(counts: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """First place and depth of the highest nodes over `counts` (a power of two of them) with at most `limit`."""
+    sums, nodes, out = np.concatenate(([0], np.cumsum(counts))), [(0, 0)], []
+    while nodes:
+        first, depth = nodes.pop()
+        width = len(counts) >> depth
+        if width == 1 or sums[first + width] - sums[first] <= limit:
+            out.append((first, depth))
+        else:
+            nodes += [(first, depth + 1), (first + width // 2, depth + 1)]
+    return sorted(out)
+
+
+def cut(leaves: DataFrame, subtree: int | None = None) -> Subtrees:
+    """Subtrees of about `subtree` leaves (fp) at most, by counts of prefixes: COUNTED bits, FURTHER more where they are many."""
+
+    def counted(rows: DataFrame, bits: int) -> dict[int, int]:
+        return {r["p"]: r["n"] for r in rows.groupBy(F.shiftrightunsigned("fp", 64 - bits).alias("p")).agg(F.count("*").alias("n")).collect()}
+
+    top = counted(leaves, COUNTED)  # at most 2 ** COUNTED rows
+    counts = np.array([top.get(p, 0) for p in range(1 << COUNTED)])
+    limit = subtree or int(np.clip(counts.sum() // SUBTREES, SMALLEST, LARGEST))
+    nodes = [(first << (64 - COUNTED), depth) for first, depth in split(counts, limit)]
+    # beyond LARGEST leaves for each of 2 ** COUNTED prefixes, subtrees grow with the input instead of their number
+    dense = [p for p in np.flatnonzero(counts > limit).tolist() if counts[p] > counts.sum() >> 12]
+    if dense:  # fewer than 2 ** 12 prefixes
+        below = counted(leaves.where(F.shiftrightunsigned("fp", 64 - COUNTED).isin(dense)), COUNTED + FURTHER)
+        nodes = [(start, depth) for start, depth in nodes if start >> (64 - COUNTED) not in set(dense)]
+        for p in dense:
+            inside = split(np.array([below.get((p << FURTHER) + i, 0) for i in range(1 << FURTHER)]), limit)
+            nodes += [((p << (64 - COUNTED)) + (first << (64 - COUNTED - FURTHER)), COUNTED + depth) for first, depth in inside]
+    nodes.sort()
+    return Subtrees([start for start, _ in nodes], [depth for _, depth in nodes])
+
+
+def deal(leaves: DataFrame, trees: Subtrees, budget: int) -> DataFrame:
+    """low, high, own, fp: each leaf once for each pair of subtrees that it is in (own: its subtree).
+
+    Leaves of prefixes that differ in `budget` bits have all other bits in common: those meet by
+    them (low), with a high of -1.
+    """
+    schema = "low long, high long, own long, fp long"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        near: dict[int, np.ndarray] = {}
+        for batch in batches:
+            fps = batch["fp"].to_numpy()
+            own = trees.of(fps.view(np.uint64))
+            for k in np.unique(own).tolist():
+                if k not in near:
+                    near[k] = trees.near(k, budget - 1)
+                mine, other = fps[own == k], near[k]
+                yield pd.DataFrame({"low": np.repeat(np.minimum(other, k), len(mine)), "high": np.repeat(np.maximum(other, k), len(mine)), "own": k, "fp": np.tile(mine, len(other))})
+
+    dealt = leaves.select("fp").mapInPandas(run, schema)
+    if (deepest := int(trees.depths.max())) == 0:
+        return dealt
+    rest = F.col("fp").bitwiseAND(F.lit((1 << (64 - deepest)) - 1))
+    alike = leaves.groupBy(rest.alias("low")).agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)  # at most 2 ** deepest
+    return dealt.unionByName(alike.select("low", F.lit(-1).cast("long").alias("high"), F.lit(-1).cast("long").alias("own"), F.explode("fps").alias("fp")))
+
+
+def _meet(trees: Subtrees, low: int, high: int, own: np.ndarray, budget: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in `fps` (unsigned) of pairs of leaves within the budget, of two subtrees or of a group of equal low bits."""
+    one = high < 0 or low == high
+    depth = 0 if high < 0 else int(min(trees.depths[low], trees.depths[high]))
+    sides = [np.arange(len(fps))] if one else [np.flatnonzero(own == k) for k in (low, high)]
     sides = [side[np.argsort(fps[side])] for side in sides]
-    for i, j in walk(fps[sides[0]], fps[sides[-1]], low == high, depth, budget):
+    for i, j in walk(fps[sides[0]], fps[sides[-1]], one, depth, budget):
         yield sides[0][i], sides[-1][j]
 
 
-def _forest(low: int, high: int, depth: int, budget: int, group: pd.DataFrame) -> pd.DataFrame:
-    """Links of two subtrees, as a forest of (a, b) with b the smallest id."""
-    group = group.sort_values("rep")
-    ids, fps = group["rep"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
-    labels = np.arange(len(ids))
-    for i, j in _meet(low, high, depth, budget, fps):
-        labels = merge_labels(labels, i, j)
-    linked = labels != np.arange(len(ids))
-    return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
+def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int | None = None) -> DataFrame:
+    """A table (a, b) of fingerprints that connects what `leaves` (fp, each once) has within the budget."""
+    trees = cut(leaves, subtree)
 
+    def forest(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("fp")
+        ids, labels = group["fp"].to_numpy(), np.arange(len(group))
+        for i, j in _meet(trees, int(key[0]), int(key[1]), group["own"].to_numpy(), budget, ids.view(np.uint64)):
+            labels = merge_labels(labels, i, j)
+        linked = labels != np.arange(len(ids))
+        return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
-def _deal(leaves: DataFrame, budget: int, subtree: int | None) -> tuple[DataFrame, int]:
-    """`leaves` (fp, rep) once for each pair (low, high) of subtrees that it is in, and the subtrees' depth."""
-    top = leaves.groupBy(F.shiftrightunsigned("fp", 64 - DEEPEST).alias("p")).agg(F.count("*").alias("n"))
-    counts = np.zeros(1 << DEEPEST, np.int64)
-    for r in top.collect():  # at most 2 ** DEEPEST rows
-        counts[r["p"]] = r["n"]
-    subtree = subtree or int(np.clip(counts.sum() // SUBTREES, SUBTREE, LARGEST))
-    depth = next((d for d in range(1, DEEPEST) if counts.reshape(1 << d, -1).sum(1).max() <= subtree), DEEPEST)
-    masks = [m for m in range(1 << depth) if m.bit_count() <= budget]
-    own = F.shiftrightunsigned("fp", 64 - depth)
-    dealt = leaves.select("fp", "rep", own.alias("own"), F.explode(F.array(*map(F.lit, masks))).alias("mask"))
-    other = F.col("own").bitwiseXOR(F.col("mask"))
-    return dealt.select("fp", "rep", F.least("own", other).alias("low"), F.greatest("own", other).alias("high")), depth
+    return deal(leaves, trees, budget).groupBy("low", "high").applyInPandas(forest, "a long, b long")
 
 
-def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE) -> DataFrame:
-    """A table (a, b) of links that connects what `leaves` (fp, rep; fp distinct) has within the budget."""
-    dealt, depth = _deal(leaves, budget, subtree)
+def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """`nodes` (node, rep) with component_id: the smallest rep of those that `links` connect."""
+    roots = connected_components(links).withColumnRenamed("node", "_node")
+    rooted = nodes.join(roots, nodes["node"] == F.col("_node"), "left").withColumn("_root", F.coalesce("root", "node")).drop("_node", "root")
+    smallest = rooted.groupBy("_root").agg(F.min("rep").alias("component_id"))
+    return rooted.join(smallest, "_root").drop("_root")
 
-    def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _forest(int(key[0]), int(key[1]), depth, budget, group)
 
-    return dealt.groupBy("low", "high").applyInPandas(join, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
+def near_duplicates(docs: DataFrame, budget: int = BUDGET, subtree: int | None = None) -> DataFrame:
     """doc_id, fp (signed long) and component_id (the smallest doc_id reachable) for each row."""
     fps = materialize(fingerprints(docs), "fingerprints")
     leaves = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "leaves")
-    roots = connected_components(trie_links(leaves.where("rep is not null"), budget))
-    roots = leaves.join(roots, leaves["rep"] == roots["node"], "left").select(leaves["fp"], F.coalesce("root", "rep").alias("component_id"))
-    return fps.join(roots, "fp").select("doc_id", "fp", "component_id")
+    found = _components(leaves.select(F.col("fp").alias("node"), "rep"), trie_links(leaves, budget, subtree))
+    return fps.join(found.select(F.col("node").alias("fp"), "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -199,12 +271,16 @@ def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return common >= least * (len(a) + len(b) - common)
 
 
-def _verified(low: int, high: int, depth: int, budget: int, least: float, group: pd.DataFrame) -> pd.DataFrame:
-    """Links of two subtrees between texts whose sets are similar, as a forest of (a, b) with b the smallest id."""
-    group = group.sort_values(["rep", "content"])
-    ids, all_fps = group["rep"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
+def _verified(meet: Callable, once: bool, least: float, group: pd.DataFrame) -> pd.DataFrame:
+    """Links between a group's texts whose sets are similar, as a forest of (a, b) with b the smallest id.
+
+    `meet` gives pairs of leaves; `once`: texts of one leaf meet here.
+    """
+    group = group.sort_values(["node", "content"])
+    ids, all_fps = group["node"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
     sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
-    fps, leaf = np.unique(all_fps, return_inverse=True)
+    fps, first_of, leaf = np.unique(all_fps, return_index=True, return_inverse=True)
+    own = group["own"].to_numpy()[first_of]
     texts: list[list[int]] = [[] for _ in fps]
     labels = np.arange(len(ids))
 
@@ -214,12 +290,12 @@ def _verified(low: int, high: int, depth: int, budget: int, least: float, group:
             labels = np.where(labels == max(labels[x], labels[y]), min(labels[x], labels[y]), labels)
 
     for x, k in enumerate(leaf.tolist()):
-        if low == high:  # texts of one leaf meet in its own subtree alone
+        if once:
             for y in texts[k]:
                 check(x, y)
         texts[k].append(x)
     single, first = np.array([len(t) == 1 for t in texts]), np.array([t[0] for t in texts])
-    for i, j in _meet(low, high, depth, budget, fps):
+    for i, j in meet(own, fps):
         while len(i):  # pairs connected meanwhile are left out every so often
             apart = ~(single[i] & single[j]) | (labels[first[i]] != labels[first[j]])
             i, j = i[apart], j[apart]
@@ -242,43 +318,51 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHINGL
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps, "content": [_content(t) for t in batch["text"]]})
+            yield batch[["doc_id", "node"]].assign(fp=fps, content=[_content(t) for t in batch["text"]])
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[[_content(t) == c for t, c in zip(batch["text"], batch["content"], strict=True)]]
             found = [np.unique(np.frombuffer(_shingles(t, words), np.uint64)).tobytes() for t in batch["text"]]
-            yield batch[["fp", "rep", "content"]].assign(shingles=found)
+            yield batch[["fp", "node", "content"]].assign(shingles=found)
 
     tune(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    fps = materialize(narrow.mapInPandas(describe, "doc_id long, fp long, content binary"), "fingerprints")
-    texts = materialize(fps.groupBy("fp", "content").agg(F.min("doc_id").alias("rep")), "texts")
-    known = texts.where("rep is not null")
-    leaves = known.groupBy("fp").agg(F.min("rep").alias("rep"), F.count("*").alias("n"))
-    dealt, depth = _deal(leaves, budget, subtree)
+    text = F.col("text").cast("string")
+    # a row without an id goes by a stand-in, which is a text's id only if all its rows lack one
+    stand_in = F.shiftright(F.xxhash64(text), 2) - F.lit(1 << 62)
+    narrow = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("node", F.coalesce("doc_id", stand_in))
+    fps = materialize(narrow.mapInPandas(describe, "doc_id long, node long, fp long, content binary"), "fingerprints")
+    texts = fps.groupBy("fp", "content").agg(F.min("doc_id").alias("rep"), F.min("node").alias("_any"))
+    texts = materialize(texts.select("fp", "content", "rep", F.coalesce("rep", "_any").alias("node")), "texts")
+    leaves = texts.groupBy("fp").agg(F.count("*").alias("n"))
+    trees = cut(leaves, subtree)
+
+    def meeting(key: tuple) -> Callable:
+        return lambda own, leaves: _meet(trees, int(key[0]), int(key[1]), own, budget, leaves)
 
     def mark(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         of = group["fp"].to_numpy()
         near = np.zeros(len(of), bool)
-        for i, j in _meet(int(key[0]), int(key[1]), depth, budget, of.view(np.uint64)):
+        for i, j in meeting(key)(group["own"].to_numpy(), of.view(np.uint64)):
             near[i] = near[j] = True
-        return pd.DataFrame({"low": int(key[0]), "high": int(key[1]), "fp": of[near]})
+        return group.loc[near, ["low", "high", "own", "fp"]]
+
+    def single(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            own = trees.of(batch["fp"].to_numpy().view(np.uint64))
+            yield pd.DataFrame({"low": own, "high": own, "own": own, "fp": batch["fp"]})
 
     def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _verified(int(key[0]), int(key[1]), depth, budget, least, group)
-
-    own = F.shiftrightunsigned("fp", 64 - depth)
-    near = dealt.groupBy("low", "high").applyInPandas(mark, "low long, high long, fp long")
-    near = near.unionByName(leaves.where("n > 1").select(own.alias("low"), own.alias("high"), "fp")).distinct()
-    near = materialize(near, "near")
-    wanted = known.join(near.select("fp").distinct(), "fp")
-    found = narrow.join(wanted, narrow["doc_id"] == wanted["rep"]).select("fp", "rep", "content", "text")
-    found = found.mapInPandas(sets, "fp long, rep long, content binary, shingles binary").dropDuplicates(["fp", "content"])
+        return _verified(meeting(key), int(key[0]) == int(key[1]), least, group)
+
+    schema = "low long, high long, own long, fp long"
+    near = deal(leaves, trees, budget).groupBy("low", "high").applyInPandas(mark, schema)
+    near = materialize(near.unionByName(leaves.where("n > 1").select("fp").mapInPandas(single, schema)).distinct(), "near")
+    wanted = texts.join(near.select("fp").distinct(), "fp").select("fp", "content", F.col("node").alias("_node"))
+    found = narrow.join(wanted, narrow["node"] == wanted["_node"]).select("fp", "node", "content", "text")
+    found = found.mapInPandas(sets, "fp long, node long, content binary, shingles binary").dropDuplicates(["fp", "content"])
     links = near.join(found, "fp").groupBy("low", "high").applyInPandas(check, "a long, b long")
-    roots = connected_components(links)
-    roots = texts.join(roots, texts["rep"] == roots["node"], "left").select("fp", "content", F.coalesce("root", "rep").alias("component_id"))
-    return fps.join(roots, ["fp", "content"]).select("doc_id", "component_id")
+    return fps.join(_components(texts, links).select("fp", "content", "component_id"), ["fp", "content"]).select("doc_id", "component_id")
 
 
 def _content(text: str | None) -> bytes:

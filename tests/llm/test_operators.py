@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from staygrid.llm import chat, components, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
@@ -631,9 +632,19 @@ def _classes(fps, budget=2):
     return [root(i) for i in range(len(fps))]
 
 
-def test_simhash_equals_brute_force(spark):
+@pytest.mark.parametrize("subtree", [None, 4])
+def test_simhash_equals_brute_force(spark, subtree):
     rows, docs = _documents(spark, 60)
-    got = sorted(((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(docs).collect()), key=str)
+    r = random.Random(21)
+    chain = ["%s tail" % " ".join(f"c{i}" for i in range(300))]  # long texts one word apart, some without an id
+    for k in range(8):
+        words = chain[-1].split()
+        words[r.randrange(300)] = f"n{k}"
+        chain.append(" ".join(words))
+    rows += [(None if k % 2 else 700 - k, t, "en", "s", 0.0, 0) for k, t in enumerate(chain)]
+    rows += [(900, "\n".join(["w"] * 50_000), "en", "s", 0.0, 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("fp", F.lit(1)).repartition(3)
+    got = sorted(((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(docs, subtree=subtree).collect()), key=str)
     fps = [_fingerprint(r[1]) for r in rows]
     roots = _classes(fps)
     smallest = {}
@@ -644,23 +655,40 @@ def test_simhash_equals_brute_force(spark):
     assert simhash.near_duplicates(_empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("subtree", [16_384, 50])
-def test_trie_join_equals_brute_force(spark, subtree):
+@pytest.mark.parametrize(("subtree", "budget"), [(None, 2), (50, 2), (3, 1), (3, 3)])
+def test_trie_join_equals_brute_force(spark, subtree, budget):
     r = random.Random(6)
     fps = {r.getrandbits(64) for _ in range(300)}
+    fps |= {(0xABCDE << 44) | r.getrandbits(16) << r.choice([0, 28]) for _ in range(200)}  # a dense prefix
     for f in list(fps)[:80]:
         for _ in range(3):
             f ^= 1 << r.randrange(64)
             fps.add(f ^ (1 << r.randrange(64)))
     fps = sorted(fps)
-    leaves = spark.createDataFrame([(f - (1 << 64) if f >= 1 << 63 else f, i) for i, f in enumerate(fps)], "fp long, rep long")
-    pairs = components.connected_components(simhash.trie_links(leaves, subtree=subtree)).collect()
-    got = {r["node"]: r["root"] for r in pairs}
+    signed = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
+    leaves = spark.createDataFrame([(f,) for f in signed], "fp long")
+    got = {r["node"]: r["root"] for r in components.connected_components(simhash.trie_links(leaves, budget, subtree)).collect()}
     low = {}
-    roots = _classes(fps)
-    for i, k in enumerate(roots):
-        low.setdefault(k, i)
-    assert [got.get(i, i) for i in range(len(fps))] == [low[k] for k in roots]
+    roots = _classes(fps, budget)
+    for f, k in zip(signed, roots, strict=True):
+        low[k] = min(low.get(k, f), f)
+    assert [got.get(f, f) for f in signed] == [low[k] for k in roots]
+    if subtree == 3:
+        trees = simhash.cut(leaves, subtree)
+        counts = np.bincount(trees.of(np.array(fps, np.uint64)), minlength=len(trees.starts))
+        assert len(set(trees.depths.tolist())) > 5 and trees.depths.max() > simhash.COUNTED and counts.sum() == len(fps)
+
+
+def test_near_subtrees_are_those_within_the_budget():
+    r = random.Random(2)
+    counts = np.array([r.choice([0, 0, 1, 9]) for _ in range(256)])
+    nodes = simhash.split(counts, 12)
+    assert all(counts[a : a + (256 >> d)].sum() <= 12 or d == 8 for a, d in nodes)
+    trees = simhash.Subtrees([a << 56 for a, _ in nodes], [d for _, d in nodes])
+    for bits in (0, 1, 2):
+        for k, (a, d) in enumerate(nodes):
+            want = [j for j, (b, e) in enumerate(nodes) if ((a ^ b) >> (8 - min(d, e))).bit_count() <= bits]
+            assert trees.near(k, bits).tolist() == want
 
 
 def _similarity(a, b):
