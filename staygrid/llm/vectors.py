@@ -1,18 +1,26 @@
 """Operator 7: near-duplicate vectors by collision-counting projections.
 
-Equal vectors are one point. Points of one label meet in cells, each the signs of a few random
-projections, over enough tables that a linked pair shares a cell in nearly every case. Within a
-cell, many one-dimensional projections are sorted; a pair collides in one when it lies in the
-other's window, and pairs that collide often enough (a count calibrated to RECALL) are verified
-by their exact cosine. A pair is counted in the first table that puts it in one cell, so a task
-returns link counts and a spanning forest, never the pairs.
-
-A cell of over CELL points is cut into blocks, and every two blocks meet in a task of their own:
-no cell is capped and no partner dropped. Tables and signs follow from the number of points.
+Equal vectors are one point. Many one-dimensional projections of each point are taken; two points
+collide in one when the second lies in the window around the first, which is a run of the sorted
+projection. A linked pair collides in most projections: the least count is calibrated so that
+pairs just at the threshold reach it with the recall asked for, and only pairs that reach it are
+verified by their exact cosine.
+
+Windows are wide, so points first go to buckets in which counting is affordable: points of one
+label, by the signs of some further projections, in as many tables as the recall takes. Signs and
+tables follow from each label's number of points. In a first pass buckets hold codes alone (a byte
+for each projection) and tell which points have a partner that collides often enough; in a second
+pass the vectors of those points alone travel to the buckets that found them, where pairs are
+counted, verified, and counted as links in the first table that puts both in one bucket. Tasks
+return link counts and a spanning forest, never pairs.
+
+A bucket of over CELL points is cut into blocks, and every two blocks meet in a task of their own:
+no bucket is capped and no partner dropped.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite values, and null
 labels, link with nothing (kept is true); repeated rows link with each other; vectors of
-different lengths don't link; a null vec_id is kept without links; extra columns are ignored.
+different lengths don't link; a null vec_id is kept without links; extra columns are ignored; no
+rows give no rows.
 """
 
 from __future__ import annotations
@@ -22,33 +30,38 @@ from math import acos, ceil, comb, erf, log, log2, pi, sqrt
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import materialize, tune
+from staygrid.llm.common import materialize, mix64, tune
 from staygrid.llm.components import connected_components, merge_labels
 
-COSINE, RECALL, CELL, POINTS_PER_CELL = 0.93, 0.999, 1024, 256
-PROJECTIONS, WINDOW = 32, 0.6
+COSINE, RECALL, CELL, POINTS_PER_BUCKET = 0.93, 0.999, 1024, 512
+#: Projections that are counted, the reach of a window to either side, and steps of a code in a unit.
+PROJECTIONS, WINDOW, STEPS = 32, 0.7, 32
+#: Projections whose signs make buckets' names.
+SIGNS = 512
 SEED = 20_240_607
+_UNITS = "vec_id long, label long, unit binary, dim int, digest binary, code binary, signs binary"
 
 
 def plan(points: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """Signs in a cell's name and tables, from the most points that a label has."""
-    signs = max(0, ceil(log2(max(points, 1) / POINTS_PER_CELL)))
+    """Signs in a bucket's name and tables, for a label of so many points; half of the loss that `recall` allows is spent here."""
+    signs = max(0, ceil(log2(max(points, 1) / POINTS_PER_BUCKET)))
     if not signs:
         return 0, 1
     shared = (1 - acos(cosine) / pi) ** signs
-    return signs, ceil(log(1 - recall) / log(1 - shared))
+    return signs, ceil(log((1 - recall) / 2) / log(1 - shared))
 
 
 def least_collisions(cosine: float = COSINE, recall: float = RECALL) -> int:
-    """The count that a pair of this cosine reaches with the given probability."""
-    p = erf(WINDOW / sqrt(2 - 2 * cosine) / sqrt(2))
+    """The count that a pair of this cosine reaches but for the other half of the loss."""
+    p = erf((WINDOW - 1 / STEPS) / sqrt(2 - 2 * cosine) / sqrt(2))  # codes are rounded
     below = 0.0
     for k in range(PROJECTIONS + 1):
         below += comb(PROJECTIONS, k) * p**k * (1 - p) ** (PROJECTIONS - k)
-        if below > 1 - recall:
+        if below > (1 - recall) / 2:
             return k
     return PROJECTIONS
 
@@ -65,103 +78,150 @@ def _unit(values: np.ndarray | None) -> np.ndarray | None:
     return v / np.sqrt((v * v).sum())
 
 
+def project(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes (a byte for each counted projection) and packed signs of points."""
+    axes = np.random.default_rng([SEED, points.shape[1]]).normal(size=(PROJECTIONS + SIGNS, points.shape[1]))
+    at = points @ axes.T
+    return np.clip(np.rint(at[:, :PROJECTIONS] * STEPS) + 128, 0, 255).astype(np.uint8), np.packbits(at[:, PROJECTIONS:] >= 0, axis=1)
+
+
 def _normal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         units = [_unit(v) for v in batch["embedding"]]
-        yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "unit": [None if u is None else u.astype("<f8").tobytes() for u in units]})
+        out = batch[["vec_id", "label"]].assign(unit=None, dim=0, digest=None, code=None, signs=None)
+        dims = np.array([0 if u is None else len(u) for u in units])
+        for dim in np.unique(dims[dims > 0]).tolist():
+            rows = np.flatnonzero(dims == dim)
+            points = np.stack([units[i] for i in rows])
+            codes, signs = project(points)
+            raw = [p.astype("<f8").tobytes() for p in points]
+            some = pd.DataFrame({"unit": raw, "digest": [xxhash.xxh3_128_digest(r) for r in raw], "code": [c.tobytes() for c in codes], "signs": [s.tobytes() for s in signs]}, index=out.index[rows])
+            out.loc[some.index, some.columns] = some
+            out.loc[some.index, "dim"] = dim
+        yield out
+
+
+def cells(packed: np.ndarray, points: int, cosine: float) -> np.ndarray:
+    """Each point's cell in each table of a label with so many points, from its packed signs."""
+    signs, tables = plan(points, cosine)
+    if not signs:
+        return np.zeros((len(packed), 1), np.int64)
+    rng = np.random.default_rng([SEED, signs])
+    places = np.concatenate([rng.permutation(SIGNS) for _ in range(-(-signs * tables // SIGNS))])[: signs * tables]
+    bits = np.unpackbits(packed, axis=1)[:, places].reshape(len(packed), tables, signs)
+    return bits @ (np.int64(1) << np.arange(signs, dtype=np.int64))
 
 
-def _cells(dim: int, signs: int, tables: int, points: np.ndarray) -> np.ndarray:
-    """Each point's cell in each table."""
-    axes = np.random.default_rng([SEED, dim]).normal(size=(tables * signs, dim))
-    bits = (points @ axes.T >= 0).reshape(len(points), tables, signs)
-    return bits @ (np.int64(1) << np.arange(signs, dtype=np.int64)) if signs else np.zeros((len(points), tables), np.int64)
+def _matrix(rows: pd.Series, dtype: type = np.uint8) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), dtype).reshape(len(rows), -1)
 
 
-def _deal(signs: int, tables: int, whole: bool = True) -> Callable:
-    """A row for each point and table: its cell there (and, if `whole`, the point and its cells in all tables)."""
+def _deal(cosine: float, codes: bool) -> Callable:
+    """A row for each point and table: its bucket there (and, if `codes`, the point and its code)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            dims = batch["unit"].map(len)
-            for dim in dims.unique():
-                rows = batch[dims == dim]
-                cells = _cells(int(dim) // 8, signs, tables, np.frombuffer(b"".join(rows["unit"]), "<f8").reshape(len(rows), -1))
-                rows = rows.assign(dim=int(dim), cells=[c.tobytes() for c in cells]) if whole else rows[["label"]].assign(dim=int(dim))
-                for table in range(tables):
-                    yield rows.assign(table=table, cell=cells[:, table])
+            for n, rows in batch.groupby(batch["n"].map(lambda n: plan(n, cosine))):
+                name = rows["label"].to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rows["dim"].to_numpy().astype(np.uint64)
+                for table, cell in enumerate(cells(_matrix(rows["signs"]), int(rows["n"].iloc[0]), cosine).T):
+                    bucket = mix64(mix64(name + np.uint64(table << 32)) + cell.astype(np.uint64)).view(np.int64)
+                    yield rows[["point", "code"]].assign(bucket=bucket, table=table) if codes else pd.DataFrame({"bucket": bucket})
 
     return run
 
 
 def collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many projections put b[j] into the window centred on a[i], for each i and j."""
-    axes = np.random.default_rng([SEED + 1, a.shape[1]]).normal(size=(PROJECTIONS, a.shape[1]))
-    counts = np.zeros((len(a), len(b)), np.int16)
-    at, rank = a @ axes.T, b @ axes.T
-    for k in range(PROJECTIONS):
-        order = np.argsort(rank[:, k])
-        line = rank[order, k]
-        begin, end = np.searchsorted(line, at[:, k] - WINDOW), np.searchsorted(line, at[:, k] + WINDOW, "right")
-        steps = np.zeros((len(a), len(b) + 1), np.int16)  # windows are runs of the sorted line
-        rows = np.arange(len(a))
-        steps[rows, begin] += 1
-        steps[rows, end] -= 1
-        counts[:, order] += np.cumsum(steps[:, :-1], axis=1, dtype=np.int16)
+    """In how many projections the code of b[j] is in the window around that of a[i], for each i and j."""
+    reach, counts = round(WINDOW * STEPS), np.zeros((len(a), len(b)), np.uint8)
+    single = np.packbits(np.eye(len(b), dtype=np.uint8), axis=1)
+    upto = np.zeros((len(b) + 1, single.shape[1]), np.uint8)  # the set of the first so many of the sorted line
+    for k in range(a.shape[1]):
+        order = np.argsort(b[:, k], kind="stable")
+        line, centre = b[order, k].astype(np.int16), a[:, k].astype(np.int16)
+        np.bitwise_or.accumulate(single[order], axis=0, out=upto[1:])
+        inside = upto[np.searchsorted(line, centre - reach)] ^ upto[np.searchsorted(line, centre + reach, "right")]
+        counts += np.unpackbits(inside, axis=1, count=len(b))
     return counts
 
 
-def _link(cosine: float, group: pd.DataFrame) -> pd.DataFrame:
-    """Of two blocks of a cell (or one): links counted here, and a forest that connects them."""
-    table, low, high = (int(group[c].iloc[0]) for c in ("table", "low", "high"))
-    group = group.sort_values("vec_id")
-    ids, copies = group["vec_id"].to_numpy(), group["copies"].to_numpy()
-    points = np.frombuffer(b"".join(group["unit"]), "<f8").reshape(len(group), -1)
-    cells = np.frombuffer(b"".join(group["cells"]), np.int64).reshape(len(group), -1)
-    block = group["block"].to_numpy()
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    needed = least_collisions(cosine)
-    links, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
+def _sides(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Positions of the rows of both blocks of a group, in parts that fit together; whether they are one block."""
+    low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
+    left, right = (np.flatnonzero(group["block"] == k) for k in (low, high))
     for some in np.array_split(left, max(1, ceil(len(left) / CELL))):
         for other in np.array_split(right, max(1, ceil(len(right) / CELL))):
-            i, j = np.nonzero(collisions(points[some], points[other]) >= needed)
-            i, j = some[i], other[j]
-            fresh = (i < j) if low == high else np.ones(len(i), bool)
-            i, j = i[fresh], j[fresh]
-            cosines = np.concatenate([(points[x] * points[y]).sum(1) for x, y in zip(np.array_split(i, len(i) // 8192 + 1), np.array_split(j, len(j) // 8192 + 1), strict=True)])
-            i, j = i[cosines >= cosine], j[cosines >= cosine]
-            first = (cells[i, :table] != cells[j, :table]).all(1)
-            np.add.at(links, i[first], copies[j[first]])
-            np.add.at(links, j[first], copies[i[first]])
-            labels = merge_labels(labels, i, j)
+            if len(some) and len(other):
+                yield some, other, low == high
+
+
+def _mark(needed: int, group: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a group that have a partner in it which collides often enough."""
+    codes, near = _matrix(group["code"]), np.zeros(len(group), bool)
+    for some, other, own in _sides(group):
+        pass_ = collisions(codes[some], codes[other]) >= needed
+        if own:
+            pass_[some[:, None] == other[None, :]] = False
+        near[some] |= pass_.any(1)
+        near[other] |= pass_.any(0)
+    return group.loc[near, ["bucket", "table", "low", "high", "block", "point"]]
+
+
+def _verify(cosine: float, needed: int, group: pd.DataFrame) -> pd.DataFrame:
+    """Of marked points of a group: links counted here, and a forest that connects them."""
+    group = group.sort_values("point")
+    ids, copies, table = group["point"].to_numpy(), group["copies"].to_numpy(), int(group["table"].iloc[0])
+    points, codes = _matrix(group["unit"], np.float64), _matrix(group["code"])
+    before = cells(_matrix(group["signs"]), int(group["n"].iloc[0]), cosine)[:, :table]
+    links, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    for some, other, own in _sides(group):
+        linked = (collisions(codes[some], codes[other]) >= needed) & (points[some] @ points[other].T >= cosine)
+        i, j = np.nonzero(linked)
+        i, j = some[i], other[j]
+        if own:
+            i, j = i[i < j], j[i < j]
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            first = (before[x] != before[y]).all(1)
+            np.add.at(links, x[first], copies[y[first]])
+            np.add.at(links, y[first], copies[x[first]])
+        labels = merge_labels(labels, i, j)
     some = (links > 0) | (labels != np.arange(len(ids)))
-    return pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[labels[some]]})
+    return pd.DataFrame({"point": ids[some], "links": links[some], "root": ids[labels[some]]})
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
     """vec_id, n_links, component_id and kept for each row of vectors (vec_id, embedding, label)."""
     tune(vectors.sparkSession)
+    needed = least_collisions(cosine)
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
-    rows = materialize(rows.mapInPandas(_normal, "vec_id long, label long, unit binary"), "units")
-    usable = F.col("unit").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    points = materialize(rows.where(usable).groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "points")
-    signs, tables = plan(points.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0], cosine)
-    dealt = points.mapInPandas(_deal(signs, tables), "label long, unit binary, vec_id long, copies long, dim int, cells binary, table int, cell long")
-    keys = ["label", "dim", "table", "cell"]
-    cells = points.select("label", "unit").mapInPandas(_deal(signs, tables, False), "label long, dim int, table int, cell long")
-    large = cells.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > cell)
-    parts = F.coalesce(F.ceil(F.col("n") / cell), F.lit(1)).cast("int")
-    blocks = dealt.join(large, keys, "left").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
+    # without nulls pandas keeps ids whole; these rows link with nothing
+    known = F.col("vec_id").isNotNull() & F.col("label").isNotNull()
+    units = materialize(rows.where(known).mapInPandas(_normal, _UNITS), "units")
+    usable, same = units.where("unit is not null"), ["label", "dim", "digest"]
+    points = usable.groupBy(*same).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("code").alias("code"), F.first("signs").alias("signs"))
+    points = materialize(points.withColumn("point", F.monotonically_increasing_id()), "points")
+    sized = points.join(points.groupBy("label", "dim").agg(F.count("*").alias("n")), ["label", "dim"])
+
+    codes = sized.mapInPandas(_deal(cosine, True), "point long, code binary, bucket long, table int")
+    large = sized.mapInPandas(_deal(cosine, False), "bucket long").groupBy("bucket").agg(F.count("*").alias("held")).where(F.col("held") > cell)
+    parts = F.coalesce(F.ceil(F.col("held") / cell), F.lit(1)).cast("int")
+    blocks = codes.join(large, "bucket", "left").withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("point"), "parts").cast("int"))
     met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "n", "parts")
-    names = [*keys, "low", "high"]
-    found = met.groupBy(*names).applyInPandas(lambda group: _link(cosine, group), "vec_id long, links long, root long")
+    met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "held", "parts")
+    where = ["bucket", "table", "low", "high"]
+    marks = met.groupBy(*where).applyInPandas(lambda group: _mark(needed, group), "bucket long, table int, low int, high int, block int, point long")
+    marks = materialize(marks, "marks")
+
+    wanted = sized.join(marks.select("point").distinct(), "point", "left_semi").select("point", *same, "copies", "code", "signs", "n")
+    whole = wanted.join(usable.select(*same, "unit"), same).dropDuplicates(["point"])
+    found = marks.join(whole, "point").drop("digest").groupBy("label", "dim", *where).applyInPandas(lambda group: _verify(cosine, needed, group), "point long, links long, root long")
     found = materialize(found, "found")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    known = points.join(links, "vec_id", "left").join(roots, points["vec_id"] == roots["node"], "left")
-    known = known.select("label", "unit", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
-    out = rows.where(usable).join(known, ["label", "unit"]).select("vec_id", "n_links", "component_id")
-    rest = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    out = out.unionByName(rest)
+    links = found.groupBy("point").agg(F.sum("links").alias("links"))
+    roots = connected_components(found.select(F.col("point").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "point")
+    rooted = points.select("point", *same, "vec_id", "copies").join(links, "point", "left").join(roots, "point", "left").withColumn("root", F.coalesce("root", "point"))
+    rooted = rooted.join(rooted.groupBy("root").agg(F.min("vec_id").alias("component_id")), "root")
+    rooted = rooted.select(*same, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    out = usable.select("vec_id", *same).join(rooted, same).select("vec_id", "n_links", "component_id")
+    alone = lambda df: df.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = out.unionByName(alone(units.where("unit is null"))).unionByName(alone(rows.where(~known)))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
