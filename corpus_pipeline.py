@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staygrid.llm import mixing, packing, quality, simhash, substrings
-from staygrid.llm.common import materialize, read_table
+from staygrid.llm.common import drop_table, materialize, read_table, restored
 from staygrid.llm.tokens import tokenizer_path
 
 #: Tokens that mixing may hand out, as a part of all tokens that reach it.
@@ -81,8 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents of `sf_dir`; tables between the stages are deleted once they are used."""
+    first = docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before = docs
+        with restored(spark, lambda: docs):
+            docs = materialize(stage(spark, before, sf_dir), name)
+        if before is not first:
+            drop_table(before)
     return docs
