@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows an Arrow batch carries into Python; texts may be long, so it is small.
 BATCH_ROWS = 512
+_MADE: dict[str, list[str]] = {}
+_OWN: dict[str, str] = {}
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -43,10 +45,8 @@ def restored(spark: SparkSession, keep: Callable[[], DataFrame | None] = lambda:
 
 
 def _made(spark: SparkSession) -> list[str]:
-    """Folders that operators of this session wrote."""
-    if not hasattr(spark, "_staygrid_made"):
-        spark._staygrid_made = []
-    return spark._staygrid_made
+    """Folders that operators of this application wrote."""
+    return _MADE.setdefault(spark.sparkContext.applicationId, [])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,8 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = getattr(spark, "_staygrid_dir", None) or "file://" + tempfile.mkdtemp(prefix="staygrid-")
-        spark._staygrid_dir = where
+        name = spark.sparkContext.applicationId
+        where = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="staygrid-")
+        _OWN[name] = where
     return where.rstrip("/")
 
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small and odd inputs."""
 
 import hashlib
+import os
 import random
 import re
 import struct
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from staygrid.llm import chat, components, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
+from staygrid.llm import chat, common, components, huffman, language, media, mixing, packing, quality, simhash, substrings, vectors
 from staygrid.llm.tokens import ChunkEncoder, tokenizer_path
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -802,7 +803,11 @@ def test_pipeline_stages(spark):
             assert cut[d]["text"] == (kept if removed else dict(rows)[d]) and cut[d]["n_chars"] == len(cut[d]["text"])
     repeated = documents.unionByName(documents.limit(3))
     assert corpus_pipeline.near_dedup_stage(spark, repeated, data).count() == len(first)
+    folder, setting = common.shared_dir(spark).removeprefix("file://"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "777")
+    before = set(os.listdir(folder))
     out = corpus_pipeline.run(spark, data)
+    assert [n.split("-")[0] for n in set(os.listdir(folder)) - before] == ["packing"] and spark.conf.get(setting) == "777"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "substring_dedup", "mixing", "packing"]
     assert out.count() > 0 and out.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
