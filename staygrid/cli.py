@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from pathlib import Path
 
 from staygrid.plans.build import run_config, write_all, write_variables
 from staygrid.session import build_session
 from staygrid.sources.config import BuildConfig
+from staygrid.sources.place import Place
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--grid-end-rounding", choices=("floor", "ceil"), default="floor")
     p.add_argument("--no-grid", action="store_true")
     p.add_argument("--no-window-filter", action="store_true")
+    p.add_argument("--no-sort", action="store_true", help="leave rows in no order")
     p.add_argument("--missing-concepts", choices=("warn", "fail", "ignore"), default="warn")
     return p
 
@@ -43,10 +44,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     else:
         if not args.concept_root or not args.output:
             p.error("--concept-root and --output are needed without --config")
-        path = lambda v: Path(v).resolve() if v else None
+        path = lambda v: Place(v) if v else None
         config = BuildConfig(
             concept_root=path(args.concept_root), dataset=args.dataset, version=args.version, dataset_version=args.dataset_version, stay_table=path(args.stay_table), concept_dict=path(args.concept_dict),
-            aggregation=args.aggregation_mode, grid=not args.no_grid, max_hours=hours, rounding=args.grid_end_rounding, window=not args.no_window_filter, missing=args.missing_concepts, output=path(args.output),
+            aggregation=args.aggregation_mode, grid=not args.no_grid, max_hours=hours, rounding=args.grid_end_rounding, window=not args.no_window_filter, missing=args.missing_concepts, output=path(args.output), sort=not args.no_sort,
         )
         export = write_variables(spark, config)
     print(export.path)

@@ -49,7 +49,8 @@ def on_grid(wide: DataFrame, grid: DataFrame) -> DataFrame:
     return grid.select(*KEYS).join(wide, KEYS, "left")
 
 
-def ordered(wide: DataFrame, concepts: Sequence[str] | None = None) -> DataFrame:
-    """stay_id, time and concepts, sorted by key."""
+def ordered(wide: DataFrame, concepts: Sequence[str] | None = None, sort: bool = True) -> DataFrame:
+    """stay_id, time and concepts; sorted by key over the whole table unless `sort` is false, which saves a shuffle."""
     concepts = list(concepts) if concepts is not None else sorted(c for c in wide.columns if c not in KEYS)
-    return wide.select(*KEYS, *[F.col(f"`{c}`") for c in concepts]).orderBy(*KEYS)
+    out = wide.select(*KEYS, *[F.col(f"`{c}`") for c in concepts])
+    return out.orderBy(*KEYS) if sort else out

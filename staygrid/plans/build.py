@@ -1,7 +1,8 @@
 """Building wide tables from concept tables on disk: chosen variables, or every concept there is.
 
-All concept tables are mapped to stays lazily, put on top of each other and aggregated in one
-grouping; paths, versions and policies are settled on the driver before.
+All concept tables are narrowed and put on top of each other first, then joined with the stays
+once and aggregated in one grouping, whatever their number; paths, versions and policies are
+settled on the driver before.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
-from pathlib import Path
+from os import PathLike
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,14 @@ from staygrid.operators import mapping, wide
 from staygrid.operators.compare import table_summary
 from staygrid.plans.identifiers import candidate_space
 from staygrid.plans.versions import DatasetVersion, provenance_fields, resolve_candidate
+from staygrid.schemas import DATETIME_STAYS, link_column
 from staygrid.session import use_utc
 from staygrid.sources import events as ev
 from staygrid.sources import layout, sinks
 from staygrid.sources import stays as st
 from staygrid.sources.concept_dict import ConceptDict
 from staygrid.sources.config import BuildConfig, load_config
+from staygrid.sources.place import Place
 
 CASE_HINT = "Events need the case to find their stay; keep case_id as an extension column of the concept step."
 
@@ -50,13 +53,13 @@ class Stays:
 class Export:
     """A written wide table."""
 
-    path: Path
+    path: Place
     version: DatasetVersion
     summary: DataFrame
-    manifest: Path | None = None
+    manifest: Place | None = None
 
 
-def event_stays(spark: SparkSession, dataset: str, workspace: str | Path, version: str | None = None) -> DataFrame:
+def event_stays(spark: SparkSession, dataset: str, workspace: str | PathLike, version: str | None = None) -> DataFrame:
     """Stays rebuilt from a dataset's extraction events."""
     key = dataset.lower()
     read = lambda name: spark.read.parquet(str(layout.find_step_file(workspace, "sic" if key.startswith("sic") else key, name, version=version)))
@@ -67,8 +70,14 @@ def event_stays(spark: SparkSession, dataset: str, workspace: str | Path, versio
     return st.stays_from_observations(read("ICU_ADMISSION.parquet"), read("OBSERVATION.parquet"), "case_id" if key.startswith("sic") else "subject_id")
 
 
-def resolve_stays(spark: SparkSession, dataset: str, workspace: str | Path, explicit: str | Path | None, version: str | None, tables: list[DataFrame]) -> Stays:
-    """A dataset's stays: from events where that is its rule and no table is given, else from a raw table."""
+def resolve_stays(
+    spark: SparkSession, dataset: str, workspace: str | PathLike, explicit: str | PathLike | None, version: str | None, tables: list[DataFrame], timestamps: bool = False,
+) -> Stays:
+    """A dataset's stays: from events where that is its rule and no table is given, else from a raw table.
+
+    `timestamps`: a given table that has the columns for it keeps its times of admission and
+    discharge, so that hours are counted in whole seconds and stays without an end have hour 0 alone.
+    """
     spec = registry.stay_spec(dataset)
     if explicit is None and dataset.lower() in registry.EVENT_STAYS:
         if dataset.lower().startswith("sic") and any("case_id" not in t.columns for t in tables):
@@ -78,24 +87,37 @@ def resolve_stays(spark: SparkSession, dataset: str, workspace: str | Path, expl
     if found is None:
         return Stays(None, "unknown", spec)
     layout.require_raw_table(dataset)
-    return Stays(st.normalized_stays(st.read_table(spark, str(found.path)), spec), "raw_table", spec, found.fields())
+    table = st.read_table(spark, str(found.path))
+    timed = timestamps and explicit is not None and set(DATETIME_STAYS) <= set(table.columns)
+    return Stays(st.datetime_stays(table) if timed else st.normalized_stays(table, spec), "raw_table", spec, found.fields())
+
 
+def mapped_events(concepts: Mapping[str, DataFrame], stays: Stays, dataset: str, version: str | None = None, window: bool = True) -> DataFrame:
+    """Events of all concepts (concept, stay_id, time, at, numeric_value) in stays, by whichever way the stays and the dataset allow.
 
-def mapped_events(events: DataFrame, stays: Stays, dataset: str, version: str | None = None, window: bool = True) -> DataFrame:
-    """One concept's events in stays, by whichever way the stays and the dataset allow."""
+    Tables that are mapped in one way go through one join with the stays: those with no link
+    column, and those with each kind of one.
+    """
+    scale = stays.spec.hours_per_unit if stays.spec else 1.0
     if stays.table is None:
         layout.require_event_stays(dataset)
-        if stays.spec is not None and stays.spec.subject_is_stay and "stay_id" not in events.columns:
-            return mapping.map_identity(ev.subject_events_in_hours(events, stays.spec.hours_per_unit, version))
-        return ev.stay_events(events, version)
-    if stays.in_hours:
-        return mapping.map_by_hours(ev.subject_events_in_hours(events, stays.spec.hours_per_unit if stays.spec else 1.0, version), stays.table, window=window)
-    return mapping.map_by_time(ev.subject_events(events, version), stays.table, window=window)
-
-
-def _stacked(parts: list[DataFrame]) -> DataFrame:
-    columns = ["concept", "stay_id", "time", "at", "numeric_value"]
-    return reduce(DataFrame.unionByName, [p.withColumn("at", F.col("at").cast("string") if dict(p.dtypes)["at"] == "timestamp_ntz" else F.col("at")).select(*columns) for p in parts])
+    narrow: dict[str | None, list[DataFrame]] = {}
+    for name, table in concepts.items():
+        rows = table.withColumn("concept", F.lit(name))
+        if stays.table is None and stays.spec is not None and stays.spec.subject_is_stay and "stay_id" not in table.columns:
+            narrow.setdefault("identity", []).append(ev.subject_events_in_hours(rows, scale, version).select("concept", "subject_id", "time_hours", "numeric_value"))
+        elif stays.table is None:
+            narrow.setdefault("stay", []).append(ev.stay_events(rows, version))
+        elif stays.in_hours:
+            link = link_column(table.columns)
+            narrow.setdefault(link, []).append(ev.subject_events_in_hours(rows, scale, version).select("concept", "subject_id", "time_hours", "numeric_value", *([link] if link else [])))
+        else:
+            narrow.setdefault("time", []).append(ev.subject_events(rows, version))
+    ways = {"identity": mapping.map_identity, "stay": lambda rows: rows, "time": lambda rows: mapping.map_by_time(rows, stays.table, window=window)}
+    by_hours = lambda rows: mapping.map_by_hours(rows, stays.table, window=window)
+    parts = [ways.get(way, by_hours)(reduce(DataFrame.unionByName, tables)) for way, tables in narrow.items()]
+    at = lambda df: F.unix_micros(F.col("at").cast("timestamp")) if dict(df.dtypes)["at"] == "timestamp_ntz" else F.col("at")
+    return reduce(DataFrame.unionByName, [p.select("concept", "stay_id", "time", at(p).cast("double").alias("at"), "numeric_value") for p in parts])
 
 
 def _gridded(table: DataFrame, stays: Stays, include: bool, max_hours: int | None, rounding: str) -> DataFrame:
@@ -109,7 +131,7 @@ def _gridded(table: DataFrame, stays: Stays, include: bool, max_hours: int | Non
 
 def build_variables(
     concepts: Mapping[str, DataFrame], stays: Stays, dataset: str, metadata: ConceptDict | None = None, *, aggregation: str = "dictionary", version: str | None = None,
-    window: bool = True, grid: bool = False, max_hours: int | None = 168, rounding: str = "floor",
+    window: bool = True, grid: bool = False, max_hours: int | None = 168, rounding: str = "floor", sort: bool = True,
 ) -> DataFrame:
     """Wide table of chosen variables (variable -> concept table), range-filtered.
 
@@ -120,17 +142,13 @@ def build_variables(
     if not concepts:
         raise ValueError("none of the variables has a concept table")
     metadata = metadata or ConceptDict()
-    parts, names = [], {}
-    for variable, table in concepts.items():
-        low, high = metadata.bounds(variable)
-        mapped = mapped_events(table.where(in_range(low=low, high=high)), stays, dataset, version, window)
-        parts.append(mapped.withColumn("concept", F.lit(variable)))
-        names[variable] = "mean" if aggregation == "mean" else metadata.aggregate(variable, "median")
-    out = wide.wide_table(_stacked(parts), names)
-    return wide.ordered(_gridded(out, stays, grid, max_hours, rounding), list(concepts))
+    bounds = {v: dict(zip(("low", "high"), metadata.bounds(v), strict=True)) for v in concepts}
+    names = {v: "mean" if aggregation == "mean" else metadata.aggregate(v, "median") for v in concepts}
+    rows = mapped_events({v: t.where(in_range(**bounds[v])) for v, t in concepts.items()}, stays, dataset, version, window)
+    return wide.ordered(_gridded(wide.wide_table(rows, names), stays, grid, max_hours, rounding), list(concepts), sort)
 
 
-def build_all(concepts: Mapping[str, DataFrame], stays: Stays, dataset: str, metadata: ConceptDict | None = None, *, version: str | None = None, grid: bool = True, max_hours: int | None = None, grid_without_end: bool = False) -> DataFrame:
+def build_all(concepts: Mapping[str, DataFrame], stays: Stays, dataset: str, metadata: ConceptDict | None = None, *, version: str | None = None, grid: bool = True, max_hours: int | None = None, grid_without_end: bool = False, sort: bool = True) -> DataFrame:
     """Wide table of every concept (name -> table), without a range filter; concepts without values keep a column.
 
     Means, or what the dictionary says for datasets that use it. A dataset whose stay table has
@@ -138,25 +156,24 @@ def build_all(concepts: Mapping[str, DataFrame], stays: Stays, dataset: str, met
     """
     if not concepts:
         raise FileNotFoundError(f"no concept tables of {dataset!r}")
-    variables = {folder: v for v, folder in registry.DYNAMIC_CONCEPTS.items()} | {v: v for v in registry.DURATION_CONCEPTS}
-    use = metadata is not None and dataset.lower() in registry.METADATA_DATASETS
+    variables = {folder: v for v, folder in (registry.DYNAMIC_CONCEPTS | registry.DURATION_CONCEPTS).items()}
+    use = metadata is not None and registry.uses_metadata(dataset)
     names = {c: metadata.aggregate(variables[c], "mean") if use and c in variables else "mean" for c in concepts}
-    parts = [mapped_events(t, stays, dataset, version).withColumn("concept", F.lit(c)) for c, t in concepts.items()]
-    rows = _stacked(parts)
+    rows = mapped_events(concepts, stays, dataset, version)
     out = wide.wide_table(rows if max_hours is None else rows.where(F.col("time") <= max_hours), names)
     known_end = stays.spec is None or stays.spec.end is not None or max_hours is not None or grid_without_end
-    return wide.ordered(_gridded(out, stays, grid and stays.table is not None and known_end, max_hours, "floor"), list(concepts))
+    return wide.ordered(_gridded(out, stays, grid and stays.table is not None and known_end, max_hours, "floor"), list(concepts), sort)
 
 
-def _tables(spark: SparkSession, paths: Mapping[str, Path]) -> dict[str, DataFrame]:
+def _tables(spark: SparkSession, paths: Mapping[str, Place]) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(str(path)) for name, path in paths.items()}
 
 
-def wide_path(root: str | Path, max_hours: int | None) -> Path:
-    return Path(root) / ("wide_dyn_all.parquet" if max_hours is None else f"wide_dyn_{max_hours}h.parquet")
+def wide_path(root: str | PathLike, max_hours: int | None) -> Place:
+    return Place(root) / ("wide_dyn_all.parquet" if max_hours is None else f"wide_dyn_{max_hours}h.parquet")
 
 
-def write_variables(spark: SparkSession, config: BuildConfig, output: str | Path | None = None, stays: Stays | None = None) -> Export:
+def write_variables(spark: SparkSession, config: BuildConfig, output: str | PathLike | None = None, stays: Stays | None = None) -> Export:
     """Build the configured variables and write them with provenance."""
     use_utc(spark)
     target = output or config.output
@@ -172,37 +189,36 @@ def write_variables(spark: SparkSession, config: BuildConfig, output: str | Path
     tables = _tables(spark, paths)
     workspace = config.concept_root.parent
     version = resolve_candidate(config.dataset, list(tables.values()), workspace, config.dataset_version)
-    stays = stays or resolve_stays(spark, config.dataset, workspace, config.stay_table, version.version, list(tables.values()))
+    stays = stays or resolve_stays(spark, config.dataset, workspace, config.stay_table, version.version, list(tables.values()), timestamps=True)
     table = build_variables(
         tables, stays, config.dataset, ConceptDict.read(config.concept_dict), aggregation=config.aggregation, version=version.version, window=config.window,
-        grid=config.grid, max_hours=config.max_hours, rounding=config.rounding,
+        grid=config.grid, max_hours=config.max_hours, rounding=config.rounding, sort=config.sort,
     )
     notes = provenance_fields(version, max_hours=config.max_hours, stay_source=stays.source, stay_id_space=candidate_space(config.dataset, stays.source), **(stays.notes or {}))
     path = sinks.write_table(table, target, notes)
     return Export(path, version, table_summary(spark.read.parquet(str(path)), "candidate"))
 
 
-def run_config(spark: SparkSession, path: str | Path, output: str | Path | None = None) -> Export:
+def run_config(spark: SparkSession, path: str | PathLike, output: str | PathLike | None = None) -> Export:
     return write_variables(spark, load_config(path), output)
 
 
 def write_all(
-    spark: SparkSession, dataset: str, workspace: str | Path, *, concept_root: str | Path | None = None, stay_table: str | Path | None = None, max_hours: int | None = None,
-    grid: bool = True, name: str | None = None, output_root: str | Path | None = None, concept_dict: str | Path | None = None, dataset_version: str | None = None,
+    spark: SparkSession, dataset: str, workspace: str | PathLike, *, concept_root: str | PathLike | None = None, stay_table: str | PathLike | None = None, max_hours: int | None = None,
+    grid: bool = True, name: str | None = None, output_root: str | PathLike | None = None, concept_dict: str | PathLike | None = None, dataset_version: str | None = None,
 ) -> Export:
     """Build every concept there is and write it with provenance and a manifest of its sources."""
     use_utc(spark)
     home = layout.workspace_of(workspace)
-    root = Path(concept_root).resolve() if concept_root else layout.concept_root_of(workspace)
+    root = Place(concept_root) if concept_root else layout.concept_root_of(workspace)
     found = layout.discover_concepts(root, dataset)
     tables = _tables(spark, {c.name: c.path for c in found})
     version = resolve_candidate(dataset, list(tables.values()), root.parent, dataset_version)
     stays = resolve_stays(spark, dataset, home, stay_table, version.version, list(tables.values()))
     metadata = ConceptDict.read(concept_dict) if concept_dict else None
     table = build_all(tables, stays, dataset, metadata, version=version.version, grid=grid, max_hours=max_hours)
-    folder = Path(output_root).resolve() if output_root else layout.output_root_of(workspace) / dataset
+    folder = Place(output_root) if output_root else layout.output_root_of(workspace) / dataset
     path = folder / (name or ("all_concepts_wide.parquet" if max_hours is None else f"all_concepts_wide_{max_hours}h.parquet"))
-    path.parent.mkdir(parents=True, exist_ok=True)
     notes = provenance_fields(version, max_hours=max_hours, stay_source=stays.source, stay_id_space=candidate_space(dataset, stays.source), **(stays.notes or {}))
     sinks.write_table(table, path, notes)
     rows = [(c.name, c.version, version.version, version.source, str(c.path)) for c in found]

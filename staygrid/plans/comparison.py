@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from pathlib import Path
+from os import PathLike
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from staygrid.schemas import KEYS
 from staygrid.session import use_utc
 from staygrid.sources import reference as ref
 from staygrid.sources import sinks
+from staygrid.sources.place import Place
 
 
 #: Reports of up to a row for each stay.
@@ -91,12 +92,12 @@ def compare_tables(
     return Comparison(claims, reports, theirs, spans)
 
 
-def reports_folder(root: str | Path, max_hours: int | None, label: str | None = None) -> Path:
-    out = Path(root) / "reports" / ("all_hours" if max_hours is None else f"{max_hours}h")
+def reports_folder(root: str | PathLike, max_hours: int | None, label: str | None = None) -> Place:
+    out = Place(root) / "reports" / ("all_hours" if max_hours is None else f"{max_hours}h")
     return out / label if label else out
 
 
-def stay_ids_of(spark: SparkSession, candidate_path: str | Path, reference_path: str | Path, source: str | None = None, crosswalk: DataFrame | None = None) -> StayIds:
+def stay_ids_of(spark: SparkSession, candidate_path: str | PathLike, reference_path: str | PathLike, source: str | None = None, crosswalk: DataFrame | None = None) -> StayIds:
     """Spaces by the provenance of both sides; an unknown space equals nothing."""
     mine = sinks.read_provenance(spark, candidate_path) or {}
     theirs = sinks.read_provenance(spark, reference_path, verified=False) or {}
@@ -104,7 +105,7 @@ def stay_ids_of(spark: SparkSession, candidate_path: str | Path, reference_path:
     return StayIds(mine.get("stay_id_space"), space, load_stay_crosswalk(crosswalk) if crosswalk is not None else None)
 
 
-def versions_of(spark: SparkSession, dataset: str, candidate_path: str | Path, reference_path: str | Path, candidate_version: str | None = None, reference_version: str | None = None) -> VersionPair:
+def versions_of(spark: SparkSession, dataset: str, candidate_path: str | PathLike, reference_path: str | PathLike, candidate_version: str | None = None, reference_version: str | None = None) -> VersionPair:
     """Versions by provenance and arguments; ValueError where these contradict each other."""
     notes, source = sinks.read_provenance(spark, candidate_path), registry.reference_source(dataset)
     if notes is None:
@@ -126,9 +127,9 @@ def versions_of(spark: SparkSession, dataset: str, candidate_path: str | Path, r
 
 
 def compare_files(
-    spark: SparkSession, dataset: str, candidate_path: str | Path, reference_path: str | Path, windows_path: str | Path, *, output_root: str | Path | None = None, max_hours: int | None = 168,
+    spark: SparkSession, dataset: str, candidate_path: str | PathLike, reference_path: str | PathLike, windows_path: str | PathLike, *, output_root: str | PathLike | None = None, max_hours: int | None = 168,
     concepts: Sequence[str] | None = None, candidate_version: str | None = None, reference_version: str | None = None, crosswalk: DataFrame | None = None, unit: str | None = None,
-) -> tuple[Comparison, Path | None]:
+) -> tuple[Comparison, Place | None]:
     """Compare tables on disk; with `output_root` write a CSV of each report (of PER_STAY a folder) and the normalised reference."""
     versions = versions_of(spark, dataset, candidate_path, reference_path, candidate_version, reference_version)
     source = registry.reference_source(dataset)
@@ -152,7 +153,7 @@ def overview(result: Comparison, n: int = 20) -> dict[str, DataFrame]:
     return {name: (df.orderBy(order[name]) if name in order else df).limit(n) for name, df in result.reports.items()}
 
 
-def write_plain_reports(candidate: DataFrame, reference: DataFrame, folder: str | Path) -> list[Path]:
+def write_plain_reports(candidate: DataFrame, reference: DataFrame, folder: str | PathLike) -> list[Place]:
     """Six reports of two wide tables as CSV, without versions, windows or scope."""
     reports = {
         "table_summary": compare.table_summary(candidate, "candidate").unionByName(compare.table_summary(reference, "reference")),

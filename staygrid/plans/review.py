@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from pathlib import Path
+from os import PathLike
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from staygrid.plans.versions import VersionPair, resolve_candidate, resolve_refe
 from staygrid.schemas import require_columns
 from staygrid.sources import layout, sinks
 from staygrid.sources.concept_dict import ConceptDict
+from staygrid.sources.place import Place
 
 
 @dataclass(frozen=True)
@@ -87,11 +88,11 @@ def _id_counts(observed: DataFrame, defined: DataFrame, crosswalk: DataFrame | N
     return joined.groupBy("concept").agg(F.count("_a").alias("_candidate_ids"), F.count("_b").alias("_reference_ids"), F.count_if(F.col("_a") & F.col("_b")).alias("_shared_ids"))
 
 
-def write_review(spark: SparkSession, review: Review, folder: str | Path) -> tuple[Path, Path]:
+def write_review(spark: SparkSession, review: Review, folder: str | PathLike) -> tuple[Place, Place]:
     """Two CSV files, with the reviewer's entries of the files that they replace."""
     out = []
     for name, df, keys in (("item_review", review.items, ["concept", "side", "item_id"]), ("item_review_summary", review.summary, ["concept"])):
-        path = Path(folder) / f"{name}.csv"
+        path = Place(folder) / f"{name}.csv"
         if path.is_file():
             old = spark.read.csv(str(path), header=True, multiLine=True, escape='"').coalesce(1)
             df = items.carry_over(df, old.withColumn("_line", F.monotonically_increasing_id()), keys, "_line")
@@ -100,15 +101,15 @@ def write_review(spark: SparkSession, review: Review, folder: str | Path) -> tup
 
 
 def review_dataset(
-    spark: SparkSession, dataset: str, concept_root: str | Path, concept_dict: str | Path, output_root: str | Path, *, variables: Sequence[str] | None = None, concept_version: str | None = "1.0.0",
-    dataset_version: str | None = None, reference_version: str | None = None, reference_path: str | Path | None = None, crosswalk: DataFrame | None = None, seen: DataFrame | None = None,
-) -> tuple[Review, Path, Path]:
+    spark: SparkSession, dataset: str, concept_root: str | PathLike, concept_dict: str | PathLike, output_root: str | PathLike, *, variables: Sequence[str] | None = None, concept_version: str | None = "1.0.0",
+    dataset_version: str | None = None, reference_version: str | None = None, reference_path: str | PathLike | None = None, crosswalk: DataFrame | None = None, seen: DataFrame | None = None,
+) -> tuple[Review, Place, Place]:
     """Settle versions, build the review of a dataset's concept tables, and write it."""
     chosen, source = list(variables or registry.DYNAMIC_CONCEPTS), registry.reference_source(dataset)
     paths = layout.mapped_concepts(concept_root, dataset, concept_version, chosen, registry.DYNAMIC_CONCEPTS)
     tables = {v: spark.read.parquet(str(p)) for v, p in paths.items()}
-    mine = resolve_candidate(dataset, list(tables.values()), Path(concept_root).parent, dataset_version)
+    mine = resolve_candidate(dataset, list(tables.values()), Place(concept_root).parent, dataset_version)
     versions = VersionPair(mine, resolve_reference(source, reference_path, reference_version))
     review = build_review(spark, dataset, tables, ConceptDict.read(concept_dict), versions, chosen, source=source, crosswalk=crosswalk, seen=seen)
-    files = write_review(spark, review, Path(output_root) / "item_review" / scope_label(versions, source))
+    files = write_review(spark, review, Place(output_root) / "item_review" / scope_label(versions, source))
     return review, *files

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from pathlib import Path
+from os import PathLike
+
+from staygrid.sources.place import Place
 
 
 def _numbers(node: object, key: str) -> Iterator[float]:
@@ -25,11 +27,11 @@ class ConceptDict:
     concepts: dict[str, dict] = field(default_factory=dict)
 
     @classmethod
-    def read(cls, path: str | Path | None) -> ConceptDict:
+    def read(cls, path: str | PathLike | None) -> ConceptDict:
         """A JSON object of concepts, or one with such an object under 'concepts'."""
         if path is None:
             return cls()
-        raw = json.loads(Path(path).read_text(encoding="utf-8"))
+        raw = json.loads(Place(path).read_text())
         if isinstance(raw, dict) and isinstance(raw.get("concepts"), dict):
             raw = raw["concepts"]
         if not isinstance(raw, dict):

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pathlib import Path
+from os import PathLike
+
+from staygrid.sources.place import Place
 
 
 @dataclass(frozen=True)
 class BuildConfig:
-    """What a wide build needs; `max_hours` None: no limit."""
+    """What a wide build needs; `max_hours` None: no limit; `sort`: the table's rows by key over all its files."""
 
-    concept_root: Path
+    concept_root: Place
     dataset: str = "mimic-iv"
     version: str | None = "1.0.0"
     dataset_version: str | None = None
-    stay_table: Path | None = None
-    concept_dict: Path | None = None
+    stay_table: Place | None = None
+    concept_dict: Place | None = None
     variables: list[str] | None = None
     mapping: dict[str, str] | None = None
     units: dict | None = None
@@ -25,13 +27,14 @@ class BuildConfig:
     rounding: str = "floor"
     window: bool = True
     missing: str = "warn"
-    output: Path | None = None
+    output: Place | None = None
+    sort: bool = True
 
 
-def _yaml(path: Path) -> dict:
+def _yaml(path: Place) -> dict:
     import yaml
 
-    data = yaml.safe_load(path.read_text(encoding="utf-8")) or {}
+    data = yaml.safe_load(path.read_text()) or {}
     if not isinstance(data, dict):
         raise ValueError(f"{path} isn't a mapping")
     return data
@@ -41,18 +44,20 @@ def _text(value: object) -> str | None:
     return None if value in (None, "", "null") else str(value)
 
 
-def load_config(path: str | Path) -> BuildConfig:
+def load_config(path: str | PathLike) -> BuildConfig:
     """Read a configuration; ValueError names what is wrong."""
-    path = Path(path).resolve()
+    path = Place(path)
     data = _yaml(path)
     part = {k: data.get(k) or {} for k in ("concepts", "wide", "aggregation", "grid", "time", "output")}
     for name, value in part.items():
         if not isinstance(value, dict):
             raise ValueError(f"{name!r} isn't a mapping")
 
-    def file(value: object) -> Path | None:
+    def file(value: object) -> Place | None:
         text = _text(value)
-        return None if text is None else (path.parent / text).resolve()
+        if text is None:
+            return None
+        return Place(text) if ":/" in text or text.startswith(("/", "~")) else Place(f"{path.parent}/{text}")
 
     root = file(part["concepts"].get("path"))
     if root is None:
@@ -74,4 +79,5 @@ def load_config(path: str | Path) -> BuildConfig:
         variables=variables, mapping=dict(mapping) if mapping is not None else None, units=units, aggregation=str(part["aggregation"].get("mode", "dictionary")),
         grid=bool(part["grid"].get("include", False)), max_hours=None if hours == -1 else hours, rounding=str(part["grid"].get("end_rounding", "floor")),
         window=bool(part["time"].get("filter_to_stay_window", True)), missing=str(data.get("missing_concepts", "warn")), output=file(part["output"].get("path")),
+        sort=bool(part["output"].get("sort", True)),
     )

@@ -7,13 +7,14 @@ beside the table. Writing first removes any sidecar, so none describes older dat
 from __future__ import annotations
 
 import json
-import shutil
-from pathlib import Path
+from os import PathLike
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staygrid.sources.place import Place
+
 ID_KEY = "provenance_id"
 
 
@@ -21,14 +22,14 @@ class StaleProvenanceError(ValueError):
     """A sidecar doesn't belong to the table beside it."""
 
 
-def provenance_path(data_path: str | Path) -> Path:
-    return Path(data_path).with_suffix(".provenance.json")
+def provenance_path(data_path: str | PathLike) -> Place:
+    return Place(data_path).with_suffix(".provenance.json")
 
 
-def write_table(df: DataFrame, data_path: str | Path, provenance: dict[str, object] | None) -> Path:
+def write_table(df: DataFrame, data_path: str | PathLike, provenance: dict[str, object] | None) -> Place:
     """Write `df` as Parquet and, if given, its provenance."""
-    path = Path(data_path)
-    provenance_path(path).unlink(missing_ok=True)
+    path = Place(data_path)
+    provenance_path(path).delete()
     if provenance is None:
         df.write.mode("overwrite").parquet(str(path))
         return path
@@ -39,19 +40,19 @@ def write_table(df: DataFrame, data_path: str | Path, provenance: dict[str, obje
     return path
 
 
-def attach_provenance(spark: SparkSession, data_path: str | Path, provenance: dict[str, object]) -> Path:
+def attach_provenance(spark: SparkSession, data_path: str | PathLike, provenance: dict[str, object]) -> Place:
     """Rewrite a table with provenance: into a folder beside it, which then takes its place."""
-    path = Path(data_path)
+    path = Place(data_path)
     fresh = path.with_name(f"{path.name}.{uuid4().hex}")
     write_table(spark.read.parquet(str(path)), fresh, provenance)
-    provenance_path(path).unlink(missing_ok=True)
-    shutil.rmtree(path) if path.is_dir() else path.unlink()
+    provenance_path(path).delete()
+    path.delete()
     fresh.rename(path)
     provenance_path(fresh).rename(provenance_path(path))
     return provenance_path(path)
 
 
-def read_provenance(spark: SparkSession, data_path: str | Path, verified: bool = True) -> dict | None:
+def read_provenance(spark: SparkSession, data_path: str | PathLike, verified: bool = True) -> dict | None:
     """A table's provenance, None without a sidecar.
 
     `verified`: StaleProvenanceError unless the sidecar's id is the data's. References come from
@@ -62,22 +63,23 @@ def read_provenance(spark: SparkSession, data_path: str | Path, verified: bool =
         return None
     notes = json.loads(sidecar.read_text())
     if verified:
-        fields = spark.read.parquet(str(data_path)).schema.fields if Path(data_path).exists() else []
+        fields = spark.read.parquet(str(data_path)).schema.fields if Place(data_path).exists() else []
         if not notes.get(ID_KEY) or not any((f.metadata or {}).get(ID_KEY) == notes[ID_KEY] for f in fields):
             raise StaleProvenanceError(f"{sidecar} doesn't belong to {data_path}; build it again or remove the sidecar")
     return notes
 
 
-def write_rows(df: DataFrame, folder: str | Path, name: str) -> Path:
+def write_rows(df: DataFrame, folder: str | PathLike, name: str) -> Place:
     """A report of any number of rows as a folder of CSV files with headers, written by the executors."""
-    path = Path(folder) / f"{name}.csv"
+    path = Place(folder) / f"{name}.csv"
     df.write.mode("overwrite").csv(str(path), header=True, escape='"')
     return path
 
 
-def write_report(df: DataFrame, folder: str | Path, name: str) -> Path:
+def write_report(df: DataFrame, folder: str | PathLike, name: str) -> Place:
     """A report of few rows, which go through the driver, as one CSV file with a header."""
-    path = Path(folder) / f"{name}.csv"
-    path.parent.mkdir(parents=True, exist_ok=True)
-    df.toPandas().to_csv(path, index=False)
+    path = Place(folder) / f"{name}.csv"
+    text = df.toPandas().to_csv(index=False)  # before the file goes: the report may have been made from it
+    path.delete()
+    path.write_text(text)
     return path

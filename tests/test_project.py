@@ -34,7 +34,7 @@ def project(spark, tmp_path_factory):
     return root
 
 
-def test_layout(project, tmp_path):
+def test_layout(spark, project, tmp_path):
     ws = project / "workspace"
     assert layout.workspace_of(project) == ws.resolve() and layout.workspace_of(ws / "concept") == ws.resolve()
     assert [c.name for c in layout.discover_concepts(ws / "concept", "hirid")] == ["heart_rate", "nested/text"]
@@ -47,7 +47,7 @@ def test_layout(project, tmp_path):
         layout.find_step_file(ws, "hirid", "NOTHING.parquet")
 
 
-def test_stay_tables_are_never_mixed(tmp_path):
+def test_stay_tables_are_never_mixed(spark, tmp_path):
     for v in ("2.2", "3.1"):
         path = tmp_path / "mimiciv" / v / "icu" / "icustays.csv.gz"
         path.parent.mkdir(parents=True)
@@ -107,7 +107,7 @@ def test_one_version_is_selected(spark, project, tmp_path):
     assert out["hr"] == 81.0
 
 
-def test_metadata_and_config(tmp_path):
+def test_metadata_and_config(spark, tmp_path):
     meta = ConceptDict({"hr": {"sources": {"x": [{"min": True, "max": 5}]}, "min": 0, "aggregate": "max"}, "bad": 3})
     assert meta.bounds("hr") == (0.0, 5.0) and meta.aggregate("hr") == "max" and meta.aggregate("bad", "median") == "median"
     (tmp_path / "vars.yml").write_text("dynamic_vars: [hr, temp]\n")
@@ -121,7 +121,7 @@ def test_metadata_and_config(tmp_path):
 
 def test_registry():
     assert len(registry.DYNAMIC_CONCEPTS) == 48
-    assert registry.reference_source("eicu") == "eicu" and registry.dataset("mimic-demo").name == "mimic-iii-demo"
+    assert registry.reference_source("eicu") == "eicu" and registry.known_dataset("mimic-demo") == "mimic-iii-demo"
     for bad in ("mimic-iv-demo", "what"):
         with pytest.raises(ValueError):
             registry.reference_source(bad)
@@ -174,7 +174,7 @@ def test_command_line_needs_paths():
         cli.parser().parse_args(["--aggregation-mode", "mode"])
 
 
-def test_default_paths(tmp_path):
+def test_default_paths(spark, tmp_path):
     from staygrid.plans.paths import default_paths
 
     env = {"STAYGRID_OUTPUT_ROOT": str(tmp_path), "STAYGRID_MIMIC_IV_STAYS": str(tmp_path / "x.csv")}
