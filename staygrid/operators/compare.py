@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staygrid.schemas import KEYS
@@ -92,30 +92,80 @@ def on_common_keys(candidate: DataFrame, reference: DataFrame, concepts: Sequenc
     return candidate.select(*KEYS, *[F.col(f"`{c}`") for c in concepts]).join(renamed, KEYS)
 
 
-def missingness(candidate: DataFrame, reference: DataFrame) -> DataFrame:
-    """On common keys, where each concept is known: on both sides, one or none."""
+def missingness(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
+    """On common keys, where each concept is known: on both sides, one or none.
+
+    `joined`: both tables as `on_common_keys` joins them, where that is at hand.
+    """
     concepts = concepts_of(candidate, reference)
+    joined = on_common_keys(candidate, reference) if joined is None else joined
     fields = ("both_non_null", "only_candidate", "only_reference", "both_null")
     cells = []
     for i, c in enumerate(concepts):
         a, b = F.col(f"`{c}`").isNotNull(), F.col(f"`{c}_ref`").isNotNull()
         cells += [F.count_if(x).alias(f"{i}_{f}") for f, x in zip(fields, (a & b, a & ~b, ~a & b, ~a & ~b), strict=True)]
-    return _by_concept(on_common_keys(candidate, reference).agg(F.lit(1).alias("_one"), *cells), concepts, dict.fromkeys(fields, _LONG))
+    return _by_concept(joined.agg(F.lit(1).alias("_one"), *cells), concepts, dict.fromkeys(fields, _LONG))
+
+
+#: Quantiles that narrow the values around a median down, and the error of their ranks as a part of one.
+_GRID, _ACCURACY = 200, 10_000
+
+
+def _narrowed(rows: DataFrame, ranks: DataFrame, by: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of each group between two quantiles around the wanted ranks, and the ranks among these.
 
+    `ranks` has a row for each group: `by`, low and high (from 0), and how many rows there are.
+    Quantiles are sketches that combine before the shuffle; a bracket of two grid steps to either
+    side is wider than their error, so the wanted values are always in it.
+    """
+    grid = [i / _GRID for i in range(_GRID + 1)]
+    sketch = rows.groupBy(by).agg(F.percentile_approx(value, grid, _ACCURACY).alias("_q"), F.count("*").alias("_n"))
+    place = lambda rank, step, bound: F.element_at("_q", bound(F.lit(1 if step < 0 else _GRID + 1), (F.floor(F.col(rank) / F.col("_n") * _GRID) + 1 + step).cast("int")))
+    ends = sketch.join(ranks, by).select(by, "low", "high", place("low", -2, F.greatest).alias("_from"), place("high", 3, F.least).alias("_to"))
+    near = rows.join(F.broadcast(ends.select(by, "_from", "_to")), by)  # a row for each group
+    below = near.groupBy(by).agg(F.count_if(F.col(value) < F.col("_from")).alias("_below"))
+    after = ends.join(below, by).select(by, (F.col("low") - F.col("_below")).alias("low"), (F.col("high") - F.col("_below")).alias("high"))
+    return near.where(F.col(value).between(F.col("_from"), F.col("_to"))).select(by, value), after
+
+
+def medians(rows: DataFrame, by: str, value: str, output: str = "median") -> DataFrame:
+    """`by` and the exact median of `value` (a double, no nulls) for each group; not-a-number sorts last.
 
-def value_differences(candidate: DataFrame, reference: DataFrame) -> DataFrame:
-    """Absolute and relative differences of each concept where both sides know it."""
+    For few groups of any size: no group's values come together. Two rounds of quantile sketches
+    leave the values around the middle, in which equal ones are counted as one before they are ranked.
+    """
+    sizes = rows.groupBy(by).agg(F.count("*").alias("_all"), F.count_if(~F.isnan(value)).alias("_numbers"))
+    ranks = sizes.select(by, "_numbers", F.floor((F.col("_all") - 1) / 2).alias("low"), F.floor(F.col("_all") / 2).alias("high"))
+    left, want = rows.where(~F.isnan(value)).select(by, value), ranks.where("high < _numbers").drop("_numbers")
+    for _ in range(2):
+        left, want = _narrowed(left, want, by, value)
+    each = left.groupBy(by, value).agg(F.count("*").alias("_times"))
+    upto = F.sum("_times").over(Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = each.withColumn("_upto", upto).join(F.broadcast(want), by)
+    at = lambda rank: F.max(F.when((F.col(rank) < F.col("_upto")) & (F.col(rank) >= F.col("_upto") - F.col("_times")), F.col(value)))
+    found = ranked.groupBy(by).agg(at("low").alias("_low"), at("high").alias("_high")).select(by, (F.col("_low") * 0.5 + F.col("_high") * 0.5).alias(output))
+    return ranks.join(found, by, "left").select(by, F.when(F.col("high") >= F.col("_numbers"), F.lit(float("nan"))).otherwise(F.col(output)).alias(output))
+
+
+def value_differences(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
+    """Absolute and relative differences of each concept where both sides know it.
+
+    `joined`: both tables as `on_common_keys` joins them, where that is at hand.
+    """
     concepts = concepts_of(candidate, reference)
-    cells = []
+    joined = on_common_keys(candidate, reference) if joined is None else joined
+    fields = {"n_both_non_null": _LONG, "mean_abs_diff": "double", "max_abs_diff": "double", "mean_rel_diff": "double"}
+    cells, entries = [], []
     for i, c in enumerate(concepts):
         a, b = F.col(f"`{c}`").cast("double"), F.col(f"`{c}_ref`").cast("double")
         d = F.abs(a - b)
-        cells += [
-            F.count(d).alias(f"{i}_n_both_non_null"), F.avg(d).alias(f"{i}_mean_abs_diff"), F.median(d).alias(f"{i}_median_abs_diff"),
-            F.max(d).alias(f"{i}_max_abs_diff"), F.avg(F.when(b != 0, d / F.abs(b))).alias(f"{i}_mean_rel_diff"),
-        ]
-    fields = {"n_both_non_null": _LONG, "mean_abs_diff": "double", "median_abs_diff": "double", "max_abs_diff": "double", "mean_rel_diff": "double"}
-    return _by_concept(on_common_keys(candidate, reference).agg(F.lit(1).alias("_one"), *cells), concepts, fields)
+        cells += [F.count(d).alias(f"{i}_n_both_non_null"), F.avg(d).alias(f"{i}_mean_abs_diff"), F.max(d).alias(f"{i}_max_abs_diff"), F.avg(F.when(b != 0, d / F.abs(b))).alias(f"{i}_mean_rel_diff")]
+        entries.append(F.struct(F.lit(c).alias("concept"), d.alias("abs_diff")))
+    out = _by_concept(joined.agg(F.lit(1).alias("_one"), *cells), concepts, fields)
+    if not concepts:
+        return out.select("concept", "n_both_non_null", "mean_abs_diff", F.lit(None).cast("double").alias("median_abs_diff"), "max_abs_diff", "mean_rel_diff")
+    middle = medians(joined.select(F.inline(F.array(*entries))).where("abs_diff is not null"), "concept", "abs_diff", "median_abs_diff")
+    return out.join(middle, "concept", "left").select("concept", "n_both_non_null", "mean_abs_diff", "median_abs_diff", "max_abs_diff", "mean_rel_diff")
 
 
 def worst_examples(candidate: DataFrame, reference: DataFrame, concept: str, n: int = 20) -> DataFrame:

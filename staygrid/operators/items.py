@@ -114,7 +114,7 @@ def match_items(observed: DataFrame, defined: DataFrame, basis: str, crosswalk:
         found = seen.select("concept", F.col("item_id").cast("string").alias("item_id"), F.col("n_rows").cast("long").alias("_n"), F.lit(True).alias("_seen"))
         out = out.join(found, ["concept", "item_id"], "left")
         out = out.withColumns({"reference_observed": F.when(asked, F.col("_seen").isNotNull()), "reference_n_rows": F.when(asked, F.col("_n"))}).drop("_n", "_seen")
-    return out.withColumn("evidence", evidence())
+    return out.withColumns({"candidate_configured": none.cast("boolean"), "evidence": evidence()})  # the candidate's mapping isn't known by item
 
 
 def evidence() -> Column:
@@ -128,11 +128,20 @@ def evidence() -> Column:
 
 
 def item_summary(matched: DataFrame) -> DataFrame:
-    """Counts of each concept's items by side and status."""
+    """Counts of each concept's items by side, status and evidence.
+
+    Counts of what is observed in reference data are null where nothing is known of it, as is how
+    many items the candidate side has configured.
+    """
     status, side = F.col("item_status"), F.col("side")
+    defined, asked = side.isin("both", "reference"), F.count("reference_observed") > 0
+    distinct = lambda flag: F.countDistinct(F.when(defined & flag, F.col("item_id")))
     return matched.groupBy("concept").agg(
         F.count_if(side.isin("both", "candidate")).alias("n_candidate_observed_items"), F.coalesce(F.sum("candidate_n_rows"), F.lit(0)).alias("n_candidate_observed_rows"),
-        F.count_if(side.isin("both", "reference")).alias("n_reference_configured_items"), F.count_if((status == "shared") & side.isin("both", "candidate")).alias("n_shared"),
+        F.lit(None).cast("long").alias("n_candidate_configured_items"), F.count_if(defined).alias("n_reference_configured_items"),
+        F.when(asked, distinct(F.col("reference_observed"))).alias("n_reference_observed_items"),
+        F.when(asked, distinct(~F.col("reference_observed"))).alias("n_reference_configured_not_observed"),
+        F.count_if((status == "shared") & side.isin("both", "candidate")).alias("n_shared"),
         F.count_if(status == "candidate_only").alias("n_candidate_only"), F.count_if(status == "reference_only").alias("n_reference_only"),
         F.count_if(status == "not_directly_comparable").alias("n_not_directly_comparable"),
     )

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.operators.compare import _by_concept, concepts_of, stay_windows
+from staygrid.functions.aggregates import check, in_range
+from staygrid.operators.compare import _by_concept, concepts_of
+from staygrid.operators.mapping import map_by_time
 from staygrid.operators.wide import hourly
 from staygrid.schemas import KEYS
 
@@ -40,20 +42,39 @@ def range_report(wide: DataFrame, bounds: Mapping[str, tuple[float | None, float
     return _by_concept(wide.agg(F.lit(1).alias("_one"), *cells), concepts, fields)
 
 
-def against_stays(wide: DataFrame, stays: DataFrame, max_hours: int | None = 168) -> DataFrame:
-    """Each stay's expected last hour beside the hours the table has for it."""
+def against_stays(wide: DataFrame, stays: DataFrame, rounding: str = "floor") -> DataFrame:
+    """Each stay's first and last hour by its times (of stays with timestamps) beside those the table has for it, and their differences."""
+    if rounding not in ("floor", "ceil"):
+        raise ValueError("rounding is 'floor' or 'ceil'")
     micros = F.unix_micros(F.col("outtime").cast("timestamp")) - F.unix_micros(F.col("intime").cast("timestamp"))
-    end = F.floor((micros - micros % F.lit(1_000_000)) / F.lit(1_000_000.0) / F.lit(3600.0)).cast("long")
-    end = F.when(end.isNull() | (end < 0), F.lit(0).cast("long")).otherwise(end)
-    end = end if max_hours is None else F.least(end, F.lit(max_hours).cast("long"))
-    out = stays.select("stay_id", end.alias("expected_end")).join(stay_windows(wide, "observed"), "stay_id", "left")
-    return out.withColumn("end_matches", F.coalesce(F.col("observed_end") == F.col("expected_end"), F.lit(False)))
+    length = (micros - micros % F.lit(1_000_000)) / F.lit(1_000_000.0) / F.lit(3600.0)
+    named = stays.select("subject_id", "hadm_id", "stay_id", "intime", "outtime", length.alias("los_hours"), F.lit(0).cast("long").alias("expected_start"))
+    named = named.withColumn("expected_end", (F.floor if rounding == "floor" else F.ceil)("los_hours").cast("long"))
+    held = wide.groupBy("stay_id").agg(F.min("time").alias("dyn_start"), F.max("time").alias("dyn_end"), F.countDistinct("time").alias("dyn_n_timepoints"))
+    out = named.join(held, "stay_id", "left").select(*named.columns, *held.columns[1:])
+    return out.withColumns({"diff_start": F.col("dyn_start") - F.col("expected_start"), "diff_end": F.col("dyn_end") - F.col("expected_end")})
 
 
 def recompute_concept(mapped: DataFrame, wide: DataFrame, concept: str, name: str, n: int = 20) -> dict[str, DataFrame]:
     """One concept aggregated anew against the stored column: a summary and the largest differences."""
-    again = hourly(mapped, name, "recomputed")
-    stored = wide.select(*KEYS, F.col(f"`{concept}`").alias("stored")).where("stored is not null")
-    joined = again.join(stored, KEYS).withColumn("abs_diff", F.abs(F.col("recomputed") - F.col("stored")))
-    summary = joined.agg(F.count("*").alias("n_compared"), F.count_if(F.col("abs_diff") > 1e-6).alias("n_different"), F.max("abs_diff").alias("max_abs_diff"))
-    return {"summary": summary, "largest": joined.orderBy(F.desc("abs_diff"), *KEYS).limit(n), "joined": joined}
+    again = hourly(mapped, name, concept)
+    stored = wide.select(*KEYS, F.col(f"`{concept}`").alias(f"{concept}_final")).where(F.col(f"`{concept}_final`").isNotNull())
+    joined = again.join(stored, KEYS).withColumn("abs_diff", F.abs(F.col(f"`{concept}`") - F.col(f"`{concept}_final`")))
+    summary = joined.agg(F.count("*").alias("n_compared"), F.max("abs_diff").alias("max_abs_diff"), F.avg("abs_diff").alias("mean_abs_diff"))
+    return {"comparison_summary": summary, "largest_differences": joined.orderBy(F.desc("abs_diff"), *KEYS).limit(n), "joined": joined}
+
+
+def trace_concept(
+    raw: DataFrame, stays: DataFrame, wide: DataFrame, concept: str, name: str = "mean", bounds: tuple[float | None, float | None] = (None, None), window: bool = True, n: int = 20,
+) -> dict[str, DataFrame]:
+    """One concept from its events (subject_id, time, numeric_value) to the wide table: what each step leaves, and the differences."""
+    if check(name, concept) in ("first", "last"):
+        raise ValueError(f"aggregation {name!r} can't be traced")
+    value = [F.min("numeric_value").alias("min_value"), F.max("numeric_value").alias("max_value")]
+    time = [F.min("time").alias("min_time"), F.max("time").alias("max_time")]
+    filtered = raw.where(in_range(low=bounds[0], high=bounds[1]))
+    mapped = map_by_time(filtered, stays, window=window)
+    return {
+        "raw_summary": raw.agg(F.count("*").alias("rows"), F.countDistinct("subject_id").alias("subjects"), *time, *value), "filtered_summary": filtered.agg(F.count("*").alias("rows"), *value),
+        "mapped_summary": mapped.agg(F.count("*").alias("rows"), F.countDistinct("stay_id").alias("stays"), *time), **recompute_concept(mapped, wide, concept, name, n),
+    }

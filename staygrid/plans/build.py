@@ -21,6 +21,7 @@ from staygrid.functions.aggregates import in_range
 from staygrid.operators import grid as grids
 from staygrid.operators import mapping, wide
 from staygrid.operators.compare import table_summary
+from staygrid.operators.validate import trace_concept
 from staygrid.plans.identifiers import candidate_space
 from staygrid.plans.versions import DatasetVersion, provenance_fields, resolve_candidate
 from staygrid.schemas import DATETIME_STAYS, link_column
@@ -225,3 +226,20 @@ def write_all(
     manifest = spark.createDataFrame(rows, "concept string, concept_version string, dataset_version string, dataset_version_source string, source_parquet string")
     listed = sinks.write_report(manifest, folder, f"{path.stem}_concepts")
     return Export(path, version, table_summary(spark.read.parquet(str(path)), "candidate"), listed)
+
+
+def debug_concept(
+    spark: SparkSession, concept: str, output: str | PathLike, concept_root: str | PathLike, stay_table: str | PathLike, metadata: ConceptDict | None = None, *, dataset: str = "mimic-iv",
+    version: str | None = "1.0.0", mapping: Mapping[str, str] = registry.DYNAMIC_CONCEPTS, aggregation: str = "mean", window: bool = True,
+) -> dict[str, object]:
+    """Trace one variable from its concept table to a written wide table, as `validate.trace_concept` does."""
+    use_utc(spark)
+    if concept not in mapping:
+        raise KeyError(f"no concept folder is known for {concept!r}")
+    path = layout.find_concept(concept_root, mapping[concept], dataset, version)
+    if path is None:
+        raise FileNotFoundError(f"no concept table of {concept!r} ({mapping[concept]})")
+    raw, stays = ev.subject_events(ev.read_concept(spark, str(path))), st.datetime_stays(st.read_table(spark, str(Place(stay_table))))
+    wide_ = spark.read.parquet(str(Place(output)))
+    traced = trace_concept(raw, stays, wide_, concept, aggregation, (metadata or ConceptDict()).bounds(concept), window)
+    return {"concept": concept, "concept_folder": mapping[concept], "concept_table": str(path), **traced}

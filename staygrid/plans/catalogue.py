@@ -7,21 +7,27 @@ are rounded to six decimals on both sides.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import compare, grid, items, mapping, validate, wide
-from staygrid.plans import identifiers, scope
-from staygrid.plans.comparison import compare_tables
+from staygrid.plans import build, identifiers, scope
+from staygrid.plans.comparison import Comparison, compare_tables, overview
 from staygrid.plans.versions import DatasetVersion, VersionPair
 from staygrid.registry import stay_spec
-from staygrid.session import use_utc
+from staygrid.session import shared_folder, use_utc
 from staygrid.sources import events as ev
 from staygrid.sources import reference as ref
+from staygrid.sources import sinks
 from staygrid.sources import stays as st
+from staygrid.sources.concept_dict import ConceptDict
+from staygrid.sources.place import Place
 
 FLAGSHIP = "wide_all_concepts"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,9 +106,10 @@ def _wide_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As _wide_a with other stays, values, rows and concepts."""
-    e = _holes(_ev(spark, sf_dir)).where("subject_id % 7 <> 0 and event_id % 13 <> 0")
-    e = e.withColumn("numeric_value", F.when(F.col("event_id") % 11 == 0, F.col("numeric_value") + 0.5).otherwise(F.col("numeric_value")))
+    """As _wide_a with other stays, values, rows and concepts, and with half of the values that are missing there."""
+    e = _ev(spark, sf_dir).where("subject_id % 7 <> 0 and event_id % 13 <> 0")
+    value = F.when(F.col("event_id") % 11 == 0, F.col("numeric_value") + 0.5).otherwise(F.col("numeric_value"))
+    e = e.withColumn("numeric_value", F.when(F.col("event_id") % 34 != 17, value))
     return wide.wide_table(mapping.map_by_time(ev.subject_events(e), _stays(spark, sf_dir)), {c: "mean" for c in CONCEPTS if c != "view"})
 
 
@@ -149,8 +156,8 @@ def _wide_sql(aggregates: dict[str, str], source: str = "mapped") -> str:
 WIDE_A = f"""{EV}, {HOLES}, {STAYS}, {_mapped_sql("holes")},
 a AS (SELECT stay_id, time, {", ".join(f"avg(numeric_value) FILTER (concept = '{c}') AS {c}" for c in CONCEPTS)} FROM mapped GROUP BY stay_id, time)"""
 _B = [c for c in CONCEPTS if c != "view"]
-WIDE_B = f"""changed AS (SELECT subject_id, time, CASE WHEN event_id % 11 = 0 THEN numeric_value + 0.5 ELSE numeric_value END AS numeric_value, concept, event_id
-  FROM holes WHERE subject_id % 7 <> 0 AND event_id % 13 <> 0),
+WIDE_B = f"""changed AS (SELECT subject_id, time, CASE WHEN event_id % 34 = 17 THEN NULL WHEN event_id % 11 = 0 THEN numeric_value + 0.5 ELSE numeric_value END AS numeric_value, concept, event_id
+  FROM ev WHERE subject_id % 7 <> 0 AND event_id % 13 <> 0),
 {_mapped_sql("changed").replace("mapped AS", "mapped_b AS")},
 b AS (SELECT stay_id, time, {", ".join(f"avg(numeric_value) FILTER (concept = '{c}') AS {c}" for c in _B)} FROM mapped_b WHERE concept <> 'view' GROUP BY stay_id, time)"""
 BOTH = f"{WIDE_A}, {WIDE_B}"
@@ -251,16 +258,15 @@ def identity_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_identity(minutes).select("stay_id", "time", "event_id", "numeric_value")
 
 
-_PATIENTS = [(141179, 128927, 2015, "08:56:00", -22, 2042), (141194, 128941, 2014, "23:59:30", 0, 59), (141196, 128927, 2015, "00:00:00", 1440, -5)]
-
-
-@_query(
-    "SELECT CAST(subject_id AS BIGINT) AS subject_id, CAST(stay_id AS BIGINT) AS stay_id, round(h, 6) AS intime_hours, round(h + span / 60.0, 6) AS outtime_hours FROM (SELECT stay_id, subject_id, span, epoch_us(CAST(y || '-01-01 ' || t AS TIMESTAMP)) // 1000 / 3600000.0 - off / 60.0 AS h FROM (VALUES "
-    + ", ".join(map(str, _PATIENTS)) + ") p(stay_id, subject_id, y, t, off, span))"
-)
+@_query("""SELECT o_custkey AS subject_id, o_orderkey AS stay_id, round(h, 6) AS intime_hours, round(h + span / 60.0, 6) AS outtime_hours FROM (SELECT *, o_custkey % 5000 AS span,
+epoch_us(CAST(year(o_orderdate) || '-01-01 ' || printf('%02d:%02d:%02d', o_orderkey % 24, o_orderkey % 60, o_custkey % 60) AS TIMESTAMP)) // 1000 / 3600000.0 - (o_orderkey % 4001 - 2000) / 60.0 AS h FROM orders)""")
 def eicu_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admission made of the discharge year, the time of day and an offset in minutes."""
-    table = spark.createDataFrame(_PATIENTS, "patientunitstayid long, patienthealthsystemstayid long, hospitaldischargeyear int, hospitaladmittime24 string, hospitaladmitoffset long, unitdischargeoffset long")
+    key, other = F.col("o_orderkey"), F.col("o_custkey")
+    table = _table(spark, sf_dir, "orders").select(
+        key.alias("patientunitstayid"), other.alias("patienthealthsystemstayid"), F.year("o_orderdate").alias("hospitaldischargeyear"),
+        F.format_string("%02d:%02d:%02d", key % 24, key % 60, other % 60).alias("hospitaladmittime24"), (key % 4001 - 2000).alias("hospitaladmitoffset"), (other % 5000).alias("unitdischargeoffset"),
+    )
     return _rounded(st.normalized_stays(table, stay_spec("eicu")))
 
 
@@ -628,19 +634,209 @@ def range_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(validate.range_report(_wide_a(spark, sf_dir), _BOUNDS))
 
 
-@_query(f"""WITH {WIDE_A}, o AS ({_windows_sql("a", "observed")}), x AS (SELECT stay_id, CAST(floor({_END}) AS BIGINT) AS expected_end FROM stays)
-SELECT x.stay_id, expected_end, observed_start, observed_end, observed_n_timepoints, observed_expected_n_timepoints, observed_missing_grid_points, coalesce(observed_end = expected_end, false) AS end_matches FROM x LEFT JOIN o USING (stay_id)""")
+def _against_sql(rounding: str) -> str:
+    return f"""WITH {WIDE_A}, o AS (SELECT stay_id, min(time) AS dyn_start, max(time) AS dyn_end, count(DISTINCT time) AS dyn_n_timepoints FROM a GROUP BY stay_id),
+x AS (SELECT subject_id, stay_id + 1 AS hadm_id, stay_id, intime, CASE WHEN stay_id % 5 <> 0 THEN outtime END AS outtime FROM stays),
+y AS (SELECT *, (epoch_us(outtime) - epoch_us(intime)) // 1000000 / 3600.0 AS los FROM x)
+SELECT subject_id, hadm_id, stay_id, intime, outtime, round(los, 6) AS los_hours, CAST(0 AS BIGINT) AS expected_start, CAST({rounding}(los) AS BIGINT) AS expected_end, dyn_start, dyn_end, dyn_n_timepoints,
+dyn_start AS diff_start, dyn_end - CAST({rounding}(los) AS BIGINT) AS diff_end FROM y LEFT JOIN o USING (stay_id)"""
+
+
+def _timed_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stays(spark, sf_dir).withColumns({"hadm_id": F.col("stay_id") + 1, "outtime": F.when(F.col("stay_id") % 5 != 0, F.col("outtime"))})
+
+
+@_query(_against_sql("floor"))
 def compare_to_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.against_stays(_wide_a(spark, sf_dir), _stays(spark, sf_dir), None)
+    return _rounded(validate.against_stays(_wide_a(spark, sf_dir), _timed_stays(spark, sf_dir)))
 
 
-@_query(f"""WITH {WIDE_A}, m AS (SELECT stay_id, time, median(numeric_value) AS recomputed FROM mapped WHERE concept = 'click' GROUP BY 1, 2)
-SELECT m.stay_id, m.time, round(recomputed, 6) AS recomputed, round(click, 6) AS stored, round(abs(recomputed - click), 6) AS abs_diff FROM m JOIN a ON m.stay_id = a.stay_id AND m.time = a.time WHERE click IS NOT NULL""")
+@_query(_against_sql("ceil"))
+def compare_to_stays_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(validate.against_stays(_wide_a(spark, sf_dir), _timed_stays(spark, sf_dir), "ceil"))
+
+
+@_query(f"""WITH {WIDE_A}, m AS (SELECT stay_id, time, median(numeric_value) AS click FROM mapped WHERE concept = 'click' GROUP BY 1, 2)
+SELECT m.stay_id, m.time, round(m.click, 6) AS click, round(a.click, 6) AS click_final, round(abs(m.click - a.click), 6) AS abs_diff FROM m JOIN a ON m.stay_id = a.stay_id AND m.time = a.time WHERE a.click IS NOT NULL""")
 def debug_concept(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = _mapped(spark, sf_dir, holes=True).where("concept = 'click'")
     return _rounded(validate.recompute_concept(mapped, _wide_a(spark, sf_dir), "click", "median")["joined"])
 
 
+@_query(f"""WITH {WIDE_A}, raw AS (SELECT * FROM holes WHERE concept = 'click'), kept AS (SELECT * FROM raw WHERE numeric_value >= 5 AND numeric_value <= 200),
+m0 AS (SELECT s.stay_id, {HOUR} AS time, e.numeric_value FROM kept e JOIN stays s ON e.subject_id = s.subject_id WHERE {INSIDE}),
+c AS (SELECT abs(m.v - a.click) AS d FROM (SELECT stay_id, time, avg(numeric_value) AS v FROM m0 GROUP BY 1, 2) m JOIN a ON m.stay_id = a.stay_id AND m.time = a.time WHERE a.click IS NOT NULL)
+SELECT 'raw' AS step, count(*) AS n, count(DISTINCT subject_id) AS units, round(min(numeric_value), 6) AS low, round(max(numeric_value), 6) AS high FROM raw
+UNION ALL SELECT 'filtered', count(*), NULL, round(min(numeric_value), 6), round(max(numeric_value), 6) FROM kept
+UNION ALL SELECT 'mapped', count(*), count(DISTINCT stay_id), min(time), max(time) FROM m0
+UNION ALL SELECT 'compared', count(*), NULL, round(avg(d), 6), round(max(d), 6) FROM c""")
+def debug_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of one concept's way into the wide table leaves."""
+    raw = ev.subject_events(_holes(_ev(spark, sf_dir)).where("concept = 'click'"))
+    out = validate.trace_concept(raw, _stays(spark, sf_dir), _wide_a(spark, sf_dir), "click", bounds=(5, 200))
+    none = F.lit(None).cast("long")
+    rows = [("raw", "rows", F.col("subjects"), "min_value", "max_value"), ("filtered", "rows", none, "min_value", "max_value"), ("mapped", "rows", F.col("stays"), "min_time", "max_time"), ("compared", "n_compared", none, "mean_abs_diff", "max_abs_diff")]
+    frames = [out["comparison_summary" if step == "compared" else f"{step}_summary"].select(F.lit(step).alias("step"), F.col(n).alias("n"), units.alias("units"), F.col(low).cast("double").alias("low"), F.col(high).cast("double").alias("high")) for step, n, units, low, high in rows]
+    return _rounded(frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3]))
+
+
+# --- builds ---------------------------------------------------------------------------------
+
+
+def _concept_tables(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> dict[str, DataFrame]:
+    """A concept table for each kind of event, by folder."""
+    e = _holes(_ev(spark, sf_dir))
+    return {folder: e.where(F.col("concept") == kind).drop("concept") for folder, kind in names.items()}
+
+
+_POLICY = ConceptDict({"alb": {"aggregate": "max"}, "hr": {"aggregate": "median"}, "dobu_dur": {"aggregate": "max"}, "norepi_dur": {"aggregation": "sum"}})
+_POLICY_NAMES = ("nwicu", "mimic-iv-demo", "MIIV", "other")
+
+
+def _folders_sql(folders: dict[str, tuple[str, str]]) -> str:
+    return ", ".join(f"""round({_agg_sql(name, f"concept = '{kind}'")}, 6) AS "{folder}" """ for folder, (kind, name) in folders.items())
+
+
+_HOURLY = f"""{EV}, {HOLES}, {STAYS}, mapped AS (SELECT s.stay_id, CAST(floor(epoch_us(e.time) // 1000 / 3600000.0 - epoch_us(s.intime) // 1000 / 3600000.0) AS BIGINT) AS time, e.time AS at, e.numeric_value, e.concept
+FROM holes e JOIN stays s ON e.subject_id = s.subject_id WHERE {INSIDE})"""
+
+
+@_query(f"WITH {_HOURLY} " + " UNION ALL ".join(f"SELECT '{d}' AS dataset, stay_id, time, {_folders_sql({'albumin': ('click', 'mean' if d == 'other' else 'max'), 'heart_rate': ('view', 'mean' if d == 'other' else 'median'), 'anything': ('error', 'mean')})} FROM mapped WHERE concept IN ('click', 'view', 'error') GROUP BY stay_id, time" for d in _POLICY_NAMES))
+def policy_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which datasets take aggregates from the dictionary, with or without a reference."""
+    tables, stays = _concept_tables(spark, sf_dir, {"albumin": "click", "heart_rate": "view", "anything": "error"}), build.Stays(_hour_stays(_stays(spark, sf_dir)))
+    parts = [build.build_all(tables, stays, d, _POLICY, grid=False, sort=False).withColumn("dataset", F.lit(d)) for d in _POLICY_NAMES]
+    return _rounded(reduce(DataFrame.unionByName, parts))
+
+
+@_query(f"WITH {_HOURLY} SELECT stay_id, time, {_folders_sql({'dobutamine_duration': ('click', 'max'), 'norepinephrine_duration': ('view', 'sum'), 'dobu_dur': ('error', 'mean')})} FROM mapped WHERE concept IN ('click', 'view', 'error') GROUP BY stay_id, time")
+def policy_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations of drugs are found by their concept folders."""
+    tables = _concept_tables(spark, sf_dir, {"dobutamine_duration": "click", "norepinephrine_duration": "view", "dobu_dur": "error"})
+    return _rounded(build.build_all(tables, build.Stays(_hour_stays(_stays(spark, sf_dir))), "mimic-iv", _POLICY, grid=False, sort=False))
+
+
+@_query(f"WITH {EV}, mapped AS (SELECT subject_id AS stay_id, CAST(floor(event_id / 60.0) AS BIGINT) AS time, event_id / 60.0 AS at, numeric_value, concept FROM ev) {_wide_sql({'click': 'max', 'view': 'median'})[:-len(' GROUP BY stay_id, time')]} WHERE concept IN ('click', 'view') GROUP BY stay_id, time")
+def identity_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A subject that is its stay, with times in minutes, aggregated."""
+    e = _ev(spark, sf_dir).withColumn("time", F.col("event_id"))
+    stays = build.Stays(None, "unknown", replace(stay_spec("nwicu"), hours_per_unit=1 / 60))
+    tables = {c: e.where(F.col("concept") == c).drop("concept") for c in ("click", "view")}
+    return _rounded(build.build_variables(tables, stays, "nwicu", ConceptDict({"click": {"aggregate": "max"}}), max_hours=None, sort=False))
+
+
+@_query("""WITH o AS (SELECT o_custkey AS stay_id, CAST(year(o_orderdate) - 1992 AS BIGINT) AS time, o_totalprice AS v, o_orderstatus AS s FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice >= 1000)
+SELECT stay_id, time, round(min(v) FILTER (s = 'F'), 6) AS "F", round(median(v) FILTER (s = 'O'), 6) AS "O" FROM o WHERE time <= 5 GROUP BY stay_id, time""")
+def stay_indexed_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that are in stays already, aggregated up to a last hour."""
+    o = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("stay_id"), (F.year("o_orderdate") - 1992).alias("time"), F.col("o_totalprice").alias("numeric_value"), "o_orderstatus")
+    tables = {s: o.where(F.col("o_orderstatus") == s) for s in ("F", "O")}
+    meta = ConceptDict({s: {"min": 1000, **({"aggregate": "min"} if s == "F" else {})} for s in tables})
+    return _rounded(build.build_variables(tables, build.Stays(None, "unknown", stay_spec("mimic-iv")), "mimic-iv", meta, max_hours=5, sort=False))
+
+
+def _project(spark: SparkSession, sf_dir: str, stays: DataFrame) -> Place:
+    """A project of two concepts and a stay table with times, in the shared folder."""
+    root = Place(shared_folder(spark, "project"))
+    for folder, table in _concept_tables(spark, sf_dir, {"albumin": "click", "heart_rate": "view"}).items():
+        table.withColumn("dataset_version", F.lit("3.1")).write.parquet(str(root / "workspace" / "concept" / folder / "1.0.0" / "mimic-iv.parquet"))
+    stays.withColumn("hadm_id", F.col("stay_id")).write.parquet(str(root / "stays.parquet"))
+    return root
+
+
+def _configured(spark: SparkSession, sf_dir: str, stays: DataFrame, rounding: str) -> DataFrame:
+    """What a configuration file builds, written and read back."""
+    root = _project(spark, sf_dir, stays)
+    (root / "vars.yml").write_text("dynamic_vars: [alb, hr]\n")
+    (root / "build.yml").write_text(f"""concepts: {{path: workspace/concept, dataset: mimic-iv, dataset_version: '3.1'}}
+wide: {{dynamic_vars: vars.yml}}
+stay_table: stays.parquet
+aggregation: {{mode: mean}}
+grid: {{include: true, max_hours: 240, end_rounding: {rounding}}}
+output: {{path: out/wide.parquet, sort: false}}
+""")
+    return _rounded(spark.read.parquet(str(build.run_config(spark, root / "build.yml").path)))
+
+
+def _configured_sql(stays: str, end: str) -> str:
+    return f"""WITH {EV}, {HOLES}, {MULTI}, chosen AS (SELECT * FROM multi WHERE {stays}), {_mapped_sql("holes", "chosen")}, grid AS ({_grid_sql(end, "chosen")}),
+w AS (SELECT stay_id, time, avg(numeric_value) FILTER (concept = 'click') AS alb, avg(numeric_value) FILTER (concept = 'view') AS hr FROM mapped GROUP BY stay_id, time)
+SELECT g.stay_id, g.time, round(alb, 6) AS alb, round(hr, 6) AS hr FROM grid g LEFT JOIN w ON g.stay_id = w.stay_id AND g.time = w.time"""
+
+
+@_query(_configured_sql("outtime IS NOT NULL", f"least(CASE WHEN outtime < intime THEN 0 ELSE ceil({_END}) END, 240)"))
+def config_grid_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _configured(spark, sf_dir, _multi(spark, sf_dir).where("outtime is not null"), "ceil")
+
+
+@_query(_configured_sql("outtime IS NULL", "0"))
+def config_open_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stays without an end have hour 0 alone."""
+    return _configured(spark, sf_dir, _multi(spark, sf_dir).where("outtime is null"), "floor")
+
+
+@_query(f"""WITH {_HOURLY}, w AS (SELECT stay_id, time, {_folders_sql({'albumin': ('click', 'max'), 'heart_rate': ('view', 'median')})} FROM mapped WHERE concept IN ('click', 'view') AND time <= 100 GROUP BY stay_id, time),
+grid AS ({_grid_sql(f'least(floor({_LENGTH}), 100)', 'stays')}) SELECT g.stay_id, g.time, albumin, heart_rate FROM grid g LEFT JOIN w ON g.stay_id = w.stay_id AND g.time = w.time""")
+def build_all_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every concept of a workspace, written with provenance and read back."""
+    root = _project(spark, sf_dir, _stays(spark, sf_dir))
+    (root / "dict.json").write_text(json.dumps(_POLICY.concepts))
+    export = build.write_all(spark, "mimic-iv", root, stay_table=root / "stays.parquet", max_hours=100, concept_dict=root / "dict.json", output_root=root / "out")
+    if sinks.read_provenance(spark, export.path)["version"] != "3.1":
+        raise ValueError("the provenance isn't the table's")
+    return _rounded(spark.read.parquet(str(export.path)))
+
+
+@_query("SELECT unnest(['albumin', 'heart_rate']) AS concept, '1.0.0' AS concept_version, '3.1' AS dataset_version, 'concept_column' AS dataset_version_source FROM (SELECT count(*) AS n FROM events) WHERE n > 0")
+def build_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of such a build, read back."""
+    root = _project(spark, sf_dir, _stays(spark, sf_dir))
+    export = build.write_all(spark, "mimic-iv", root, stay_table=root / "stays.parquet", grid=False, output_root=root / "out")
+    return spark.read.csv(str(export.manifest), header=True).drop("source_parquet")
+
+
+_SOURCES = ("explicit", "concept_column", "manual_default", "unknown")
+
+
+@_query(f"""WITH v AS (SELECT n_nationkey AS k, [{", ".join(repr(x) for x in _SOURCES)}][1 + n_nationkey % 4] AS source, n_regionkey AS major, (n_nationkey // 4) % 2 AS minor FROM nation)
+SELECT CAST(a.k AS BIGINT) AS candidate, CAST(b.k AS BIGINT) AS reference, CASE WHEN a.k % 5 = 0 THEN 'not_comparable' WHEN a.source IN ('explicit', 'concept_column') AND b.source IN ('explicit', 'concept_column')
+THEN CASE WHEN a.major = b.major AND a.minor = b.minor THEN 'full_same_version' ELSE 'shared_subset_cross_version' END ELSE 'shared_subset_unverified_version' END AS level,
+CASE WHEN a.source <> 'unknown' AND b.source <> 'unknown' THEN a.major = b.major AND a.minor = b.minor END AS same_version FROM v a, v b""")
+def version_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pairs of versions, differently known and written, allow to conclude."""
+    known = {}
+    for r in _table(spark, sf_dir, "nation").collect():  # 25 rows
+        source, minor = _SOURCES[r["n_nationkey"] % 4], r["n_nationkey"] // 4 % 2
+        text = f"v{r['n_regionkey']}.{minor}" if r["n_nationkey"] % 2 else f"{r['n_regionkey']}.0{minor}.0"
+        known[r["n_nationkey"]] = DatasetVersion("x", None if source == "unknown" else text, source)
+    rows = [(a, b, VersionPair(known[a], known[b]).level(a % 5 != 0), VersionPair(known[a], known[b]).same) for a in known for b in known]
+    return spark.createDataFrame(rows, "candidate long, reference long, level string, same_version boolean")
+
+
+@_query(f"WITH {PER_STAY} SELECT stay_id, n_rows_candidate, n_rows_reference, round(row_count_absolute_relative_error, 6) AS row_count_absolute_relative_error FROM p ORDER BY p.row_count_absolute_relative_error DESC NULLS FIRST, stay_id LIMIT 15")
+def report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of a report, the worst stays first."""
+    result = Comparison({}, {"per_stay_reproduction": _per_stay(spark, sf_dir)})
+    return _rounded(overview(result, 15)["per_stay_reproduction"].select("stay_id", "n_rows_candidate", "n_rows_reference", "row_count_absolute_relative_error"))
+
+
+@_query("SELECT l_orderkey AS stay_id, CAST(l_linenumber AS BIGINT) AS time, l_quantity AS hr, l_tax AS map FROM lineitem")
+def normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.normalize_reference(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("hr"), F.col("l_tax").alias("map")), "l_orderkey", "l_linenumber")
+
+
+@_query("SELECT o_custkey AS subject_id, o_orderkey AS stay_id, round(o_shippriority, 6) AS intime_hours, round(o_shippriority + o_totalprice / 60.0, 6) AS outtime_hours FROM (SELECT *, (o_orderkey % 1000) / 60.0 AS o_shippriority FROM orders)")
+def stays_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission and length of stay in minutes."""
+    table = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("CaseID"), F.col("o_custkey").alias("subject"), (F.col("o_orderkey") % 1000).alias("ICUOffset"), F.col("o_totalprice").alias("TimeOfStay"))
+    return _rounded(st.normalized_stays(table, replace(stay_spec("sic"), subject="subject")))
+
+
+@_query("SELECT c_custkey AS subject_id, c_custkey AS stay_id, CAST(0 AS DOUBLE) AS intime_hours, CAST(NULL AS DOUBLE) AS outtime_hours FROM customer")
+def stays_without_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.normalized_stays(_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Subject_ID")), stay_spec("nwicu"))
+
+
 CODES = "codes AS (SELECT event_type AS concept, CASE WHEN event_id % 10 = 0 THEN 'free text ' || event_type ELSE upper(event_type) || '//' || user_id || '//' || event_type || '//unit' END AS code, CASE WHEN event_id % 3 = 0 THEN 'chart' ELSE 'lab' END AS tab, event_id FROM events)"
 OBSERVED = rf"""{CODES}, observed AS (SELECT concept, coalesce(nullif(regexp_extract(code, '^[A-Z_]+//(\d+)//', 1), ''), code) AS item_id, regexp_extract(code, '^[A-Z_]+//(\d+)//', 1) <> '' AS id_parsed,
 CASE WHEN regexp_extract(code, '^[A-Z_]+//(\d+)//', 1) <> '' THEN concept || '//unit' ELSE '' END AS item_label, array_to_string(list_sort(list(DISTINCT tab)), '; ') AS item_table,
@@ -682,7 +878,7 @@ def item_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""WITH {MATCHED} SELECT concept, count(*) FILTER (side <> 'reference') AS n_candidate_observed_items, CAST(coalesce(sum(candidate_n_rows), 0) AS BIGINT) AS n_candidate_observed_rows,
-count(*) FILTER (side <> 'candidate') AS n_reference_configured_items, count(*) FILTER (item_status = 'shared') AS n_shared, count(*) FILTER (item_status = 'candidate_only') AS n_candidate_only,
+CAST(NULL AS BIGINT) AS n_candidate_configured_items, CAST(NULL AS BIGINT) AS n_reference_observed_items, CAST(NULL AS BIGINT) AS n_reference_configured_not_observed, count(*) FILTER (side <> 'candidate') AS n_reference_configured_items, count(*) FILTER (item_status = 'shared') AS n_shared, count(*) FILTER (item_status = 'candidate_only') AS n_candidate_only,
 count(*) FILTER (item_status = 'reference_only') AS n_reference_only, count(*) FILTER (item_status = 'not_directly_comparable') AS n_not_directly_comparable FROM matched GROUP BY concept""")
 def item_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.item_summary(_matched(spark, sf_dir))

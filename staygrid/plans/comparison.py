@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from os import PathLike
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,12 @@ class Comparison:
     reports: dict[str, DataFrame] = field(default_factory=dict)
     reference: DataFrame | None = None
     windows: DataFrame | None = None
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Let go of what the reports share; they can still be read, from the tables again."""
+        for df in self.held:
+            df.unpersist()
 
 
 def _row(spark: SparkSession, values: dict[str, object]) -> DataFrame:
@@ -60,6 +67,9 @@ def compare_tables(
     spans, unmapped = stay_ids.translate(spans)
     theirs, _ = stay_ids.translate(theirs)
     theirs = ref.comparable_types(theirs, concepts)
+    # a dozen reports read these: they are worked out once, spill to disk and go with the session or `release`
+    mine, theirs, spans = (df.persist(StorageLevel.MEMORY_AND_DISK) for df in (mine, theirs, spans))
+    kept: list[DataFrame] = [mine, theirs, spans]
     ended = spans.where("reference_end is not null").select("stay_id").distinct()
 
     # stays are compared by windows that end, keys and concepts by rows
@@ -75,21 +85,23 @@ def compare_tables(
         reports |= {"window_differences": compare.window_differences(joined), "window_summary": compare.window_summary(joined)}
     header = {k: facts[k] for k in ("candidate_dataset_version", "reference_dataset_version", "same_version", "versions_verified", *claims)}
     if claims["validation_level"] == "not_comparable":
-        return Comparison(claims, reports | {"reproduction_accuracy": _row(spark, header)}, theirs, spans)
+        return Comparison(claims, reports | {"reproduction_accuracy": _row(spark, header)}, theirs, spans, tuple(kept))
     full = claims["comparison_scope"] == "full"
     chosen = ended if full else ended.join(mine.select("stay_id").distinct(), "stay_id", "left_semi")
-    kept = [c for c in concepts if full or c in mine.columns and c in theirs.columns]
-    a, b = (df.join(chosen, "stay_id", "left_semi").select(*KEYS, *[c for c in kept if c in df.columns]) for df in (mine, theirs))
-    per_stay = compare.per_stay_reproduction(a, b)
+    scored = [c for c in concepts if full or c in mine.columns and c in theirs.columns]
+    a, b = (df.join(chosen, "stay_id", "left_semi").select(*KEYS, *[c for c in scored if c in df.columns]) for df in (mine, theirs))
+    joined = compare.on_common_keys(a, b).persist(StorageLevel.MEMORY_AND_DISK)
+    per_stay = compare.per_stay_reproduction(a, b).persist(StorageLevel.MEMORY_AND_DISK)
+    kept += [joined, per_stay]
     scores = compare.reproduction_accuracy(per_stay)
     kinds = dict(_row(spark, header).dtypes)
     accuracy = scores.select(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in header.items()], *scores.columns)
     reports |= {
         "per_stay_reproduction": per_stay, "reproduction_accuracy": accuracy, "key_overlap": compare.key_overlap(a, b), "stay_overlap": compare.stay_overlap(a, b),
         "table_summary": compare.table_summary(a, "candidate").unionByName(compare.table_summary(b, "reference")), "coverage": compare.coverage(a, b),
-        "missingness": compare.missingness(a, b), "value_diff": compare.value_differences(a, b),
+        "missingness": compare.missingness(a, b, joined), "value_diff": compare.value_differences(a, b, joined),
     }
-    return Comparison(claims, reports, theirs, spans)
+    return Comparison(claims, reports, theirs, spans, tuple(kept))
 
 
 def reports_folder(root: str | PathLike, max_hours: int | None, label: str | None = None) -> Place:
@@ -144,13 +156,14 @@ def compare_files(
         (sinks.write_rows if name in PER_STAY else sinks.write_report)(df, folder, name)
     sinks.write_table(result.reference, folder / "reference_normalized.parquet", None)
     sinks.write_table(result.windows, folder / "windows_normalized.parquet", None)
+    result.release()
     return result, folder
 
 
 def overview(result: Comparison, n: int = 20) -> dict[str, DataFrame]:
-    """The heads of the reports, the worst first."""
-    order = {"value_diff": F.desc_nulls_first("mean_abs_diff"), "per_stay_reproduction": F.desc_nulls_first("row_count_absolute_relative_error"), "coverage": F.desc_nulls_first(F.abs("diff_non_null"))}
-    return {name: (df.orderBy(order[name]) if name in order else df).limit(n) for name, df in result.reports.items()}
+    """The heads of the reports, the worst first and ties by name or stay."""
+    worst = {"value_diff": [F.desc_nulls_first("mean_abs_diff"), "concept"], "per_stay_reproduction": [F.desc_nulls_first("row_count_absolute_relative_error"), "stay_id"], "coverage": [F.desc_nulls_first(F.abs("diff_non_null")), "concept"]}
+    return {name: (df.orderBy(*worst[name]) if name in worst else df).limit(n) for name, df in result.reports.items()}
 
 
 def write_plain_reports(candidate: DataFrame, reference: DataFrame, folder: str | PathLike) -> list[Place]:

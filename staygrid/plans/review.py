@@ -61,13 +61,15 @@ def build_review(
     matched = items.match_items(observed, defined, basis, crosswalk, seen)
     context = {
         **{k: v for k, v in versions.fields().items() if k not in ("candidate_dataset", "reference_dataset", "versions_verified")}, "dataset": dataset.lower(), "reference_source": f"reference:{source}",
-        "comparison_basis": basis, "comparison_confidence": confidence_of(basis, versions), "item_set_basis": "candidate observed; reference configured", "reference_observation_available": seen is not None,
+        "comparison_basis": basis, "comparison_confidence": confidence_of(basis, versions), "item_set_basis": "candidate_observed_vs_reference_configured", "reference_observation_available": seen is not None,
     }
     fixed = {k: F.lit(v).cast("boolean" if isinstance(v, bool) or k == "same_version" else "string") for k, v in context.items()}
     blank = {c: F.lit("") for c in items.REVIEW_COLUMNS}
     names = spark.createDataFrame([(v, folders.get(v), v in tables) for v in variables], "concept string, concept_folder string, candidate_concept_found boolean")
     rows = matched.join(names, "concept").withColumns({**fixed, **blank})
-    counts = names.join(items.item_summary(matched), "concept", "left").fillna(0)
+    sizes = items.item_summary(matched)
+    known = [c for c in sizes.columns if c.startswith("n_") and c not in ("n_candidate_configured_items", *([] if seen is not None else ["n_reference_observed_items", "n_reference_configured_not_observed"]))]
+    counts = names.join(sizes, "concept", "left").fillna(0, known)
     n, a, b = F.col("_shared_ids"), F.col("_candidate_ids"), F.col("_reference_ids")
     ids = _id_counts(observed, defined, crosswalk if basis == "crosswalk" else None)
     counts = counts.join(ids, "concept", "left").fillna(0, ["_candidate_ids", "_reference_ids", "_shared_ids"])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +24,11 @@ def build_session(name: str = "staygrid", **conf: str) -> SparkSession:
         **conf,
     }
     return SparkSession.builder.appName(name).config(map=settings).getOrCreate()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (spark.checkpoint.dir); in local mode any will do."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(where or 'file://' + tempfile.mkdtemp(prefix='staygrid-')).rstrip('/')}/{name}-{uuid4().hex}"

@@ -109,3 +109,38 @@ def test_crosswalk_is_a_shared_subset(spark):
     assert out.claims["validation_level"] == "shared_subset_stay_crosswalk"
     assert out.claims["n_scope_reference_stays_without_crosswalk"] == 1
     assert scope.full_scope(VersionPair(V("2.2"), V("2.2")), StayIds("s", "t", walk)) is False
+
+
+def test_medians_equal_exact_ones(spark):
+    import math
+    import random
+    import statistics
+
+    from staygrid.operators.compare import medians
+
+    r = random.Random(4)
+    groups = {"one": [3.0], "two": [1.0, 2.0], "ties": [5.0] * 1000 + [7.0] * 999, "even": [float(i) for i in range(40_000)], "odd": [r.random() for _ in range(30_001)], "halves": [1.0] * 500 + [2.0] * 500}
+    groups["skewed"] = [r.expovariate(1) ** 8 for _ in range(20_000)]
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    r.shuffle(rows)
+    rows += [("nan", math.nan)] * 3 + [("nan", 1.0)] * 2 + [("some", math.nan)] * 2 + [("some", 1.0)] * 3
+    got = dict(medians(spark.createDataFrame(rows, "k string, v double").repartition(5), "k", "v").collect())
+    for k, values in groups.items():
+        assert got[k] == statistics.median(values), k
+    assert math.isnan(got["nan"]) and got["some"] == 1.0 and len(got) == len(groups) + 2
+    assert medians(spark.createDataFrame([], "k string, v double"), "k", "v").count() == 0
+
+
+def test_window_against_stays(spark):
+    from datetime import datetime, timedelta
+
+    from staygrid.operators.validate import against_stays
+
+    t0 = datetime(2150, 1, 1)
+    stays = spark.createDataFrame([(1, 10, 100, t0, t0 + timedelta(hours=2, minutes=30)), (2, 20, 200, t0, None)], "subject_id long, hadm_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz")
+    wide = spark.createDataFrame([(100, t) for t in range(3)], "stay_id long, time long")
+    for rounding, end in (("floor", 2), ("ceil", 3)):
+        got = {r["stay_id"]: r for r in against_stays(wide, stays, rounding).collect()}
+        assert list(got[100].asDict()) == ["subject_id", "hadm_id", "stay_id", "intime", "outtime", "los_hours", "expected_start", "expected_end", "dyn_start", "dyn_end", "dyn_n_timepoints", "diff_start", "diff_end"]
+        assert (got[100]["los_hours"], got[100]["expected_end"], got[100]["dyn_n_timepoints"], got[100]["diff_start"], got[100]["diff_end"]) == (2.5, end, 3, 0, 2 - end)
+        assert (got[200]["los_hours"], got[200]["expected_end"], got[200]["dyn_end"], got[200]["diff_end"]) == (None, None, None, None)

@@ -289,3 +289,153 @@ def test_reports_of_stays_bypass_the_driver(spark, tmp_path, monkeypatch):
         back = spark.read.csv(str(folder / f"{name}.csv"), header=True, escape='"')
         assert (folder / f"{name}.csv").is_dir() and back.columns == out.reports[name].columns and back.count() == out.reports[name].count()
     assert "per_stay_reproduction" in out.reports and out.reports["per_stay_reproduction"].count() >= 29
+
+
+def test_places(spark, tmp_path):
+    from staygrid.sources.place import Place
+
+    for root in (Place(tmp_path), Place(f"file://{tmp_path}"), Place(f"file:{tmp_path}")):
+        file = root / "a" / "b" / "x.txt"
+        file.write_text("é\n1")
+        file.write_text("é\n2")
+        assert file.read_text() == "é\n2" and file.is_file() and file.parent.is_dir() and file.parent == str(file)[: -len("/x.txt")]
+        assert [p.name for p in (root / "a" / "b").find("*")] == ["x.txt"] and root.find("x.txt") == [file] and file.below(root) == ("a", "b", "x.txt")
+        (root / "t.parquet" / "x.txt").write_text("")
+        assert root.find("x.txt") == [file] and root.find("*.parquet") == [root / "t.parquet"] and root.folders() == [root / "a", root / "t.parquet"]
+        file.rename(file.with_name("y.txt"))
+        assert not file.exists() and file.with_name("y.txt").exists()
+        (root / "a").delete()
+        assert not (root / "a").exists() and (root / "a").find("y.txt") == [] and (root / "a").folders() == []
+    assert str(Place("hdfs://host:8020/a//b/../c")) == "hdfs://host:8020/a/c" and str(Place("s3a://bucket")) == "s3a://bucket/"
+    assert Place("s3a://bucket/x/wide.parquet").with_suffix(".provenance.json") == "s3a://bucket/x/wide.provenance.json"
+    assert sinks.provenance_path("hdfs://h/t/w.parquet") == "hdfs://h/t/w.provenance.json"
+
+
+def test_build_with_a_scheme(spark, project):
+    ws = f"file://{project}/workspace"
+    config = BuildConfig(concept_root=sinks.Place(ws) / "concept", dataset="hirid", variables=["hr"], grid=True, output=f"file://{project}/remote/wide.parquet", missing="ignore")
+    export = build.write_variables(spark, config)
+    assert str(export.path).startswith("file:///") and spark.read.parquet(str(export.path)).count() == 10
+    assert sinks.read_provenance(spark, export.path)["version"] == "1.1.1"
+
+
+def test_discovery_rules(spark, tmp_path):
+    for path in ("hr/1.0.0/a-b", "hr/draft/a-b", "temp/a-b", "nested/x/latest/a-b", "only/1.0.0/a_b"):
+        (tmp_path / f"{path}.parquet").mkdir(parents=True)
+    found = {c.name: (c.version, c.path.parent.name) for c in layout.discover_concepts(tmp_path, "a-b")}
+    assert found == {"hr": ("draft", "draft"), "temp": (None, "temp"), "nested/x": ("latest", "latest")}
+    assert [c.name for c in layout.discover_concepts(tmp_path / "only", "a-b")] == ["1.0.0"]
+    assert layout.discover_concepts(tmp_path, "zz") == []
+
+
+@pytest.mark.parametrize(("path", "dataset", "version"), [
+    ("/d/eicu-collaborative-research-database-2.0/patient.csv.gz", "eicu", "2.0"), ("/d/MIMIC_IV/v2.2/x", "miiv", "2.2"), ("/d/mimic-iv-2.2/mimic-iv-3.1/x", None, "3.1"),
+    ("/d/mimiciv/2.2/old/1.0/x", "mimic-iv", "2.2"), ("/d/1.0/miiv/x", "mimic-iv", None), ("/d/sicdb-1.0.6/x", "sic", "1.0.6"), ("/d/mimiciv/files/2.2/x", "mimic-iv", None),
+    ("/d/mimiciii/1.4/x", "mimic-iv", None), ("/d/aumc/1.0.2", "aumc", "1.0.2"), ("/d/hirid1/1.1.1/x", "hirid", "1.1.1"), ("/d/mimic-iv-2/x", "mimic-iv", None),
+])
+def test_version_of_a_path(path, dataset, version):
+    assert layout.path_version(path, dataset) == version
+
+
+def test_stay_table_is_ranked(spark, tmp_path):
+    for path in ("full/mimiciv/2.2/icu", "full/mimiciv/2.2/deep/er/icu", "full/mimic-iv-2.2/icu", "full/other/icu", "demo/mimic-iv-demo/2.2/icu"):
+        (tmp_path / path).mkdir(parents=True)
+        (tmp_path / path / "icustays.csv.gz").write_bytes(b"")
+    env = {"STAYGRID_DATA_ROOT": str(tmp_path / "full"), "REFERENCE_DATA_PATH": str(tmp_path)}
+    found = layout.resolve_stay_table("mimic-iv", environment=env)
+    assert found.path == tmp_path / "full/mimic-iv-2.2/icu/icustays.csv.gz" and found.version == "2.2" and found.selection == "discovered"
+    assert "demo" in str(layout.resolve_stay_table("mimic-iv-demo", environment=env).path)
+    assert layout.resolve_stay_table("nwicu", environment=env) is None
+    with pytest.raises(ValueError):
+        layout.resolve_stay_table("mimic-iv", wanted="3.1", environment=env)
+    named = {"STAYGRID_MIMIC_IV_STAYS": str(tmp_path / "full/other/icu/icustays.csv.gz")}
+    assert layout.resolve_stay_table("mimic-iv", wanted="3.1", environment=named).selection == "environment"
+
+
+def test_versions_and_what_they_allow():
+    from staygrid.plans.versions import relationship, version_key, versions_equal
+
+    assert version_key("v02.0.0") == ("2",) and version_key("0.0") == ("0",) and version_key("1.b.0") == ("1", "b") and versions_equal("2.2", "v2.2.0") and versions_equal(None, "1") is None
+    for version, source in (("1", "unknown"), (None, "explicit")):
+        with pytest.raises(ValueError):
+            DatasetVersion("x", version, source)
+    known, other, guess = DatasetVersion("x", "1.0", "explicit"), DatasetVersion("x", "2", "provenance_file"), DatasetVersion("x", "1", "manual_default")
+    assert VersionPair(known, known).level(True) == "full_same_version" and VersionPair(known, other).level(True) == "shared_subset_cross_version"
+    assert VersionPair(known, guess).level(True) == "shared_subset_unverified_version" and VersionPair(known, known).level(False) == "not_comparable" and not VersionPair(known, guess).full
+    assert [relationship(*n) for n in ((2, 2, 2), (3, 2, 2), (2, 3, 2), (3, 3, 2), (3, 3, 0))] == ["equal", "candidate_superset", "reference_superset", "partial_overlap", "not_directly_comparable"]
+
+
+def test_aggregation_policy(spark):
+    rows = [(1, T0 + timedelta(minutes=m), v, "1") for m, v in ((1, 1.0), (2, 2.0), (3, 9.0))]
+    stays = build.Stays(spark.createDataFrame([(1, 1, T0, T0 + timedelta(hours=2))], "subject_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz"))
+    meta, table = ConceptDict({"alb": {"aggregate": "max"}, "dobu_dur": {"aggregate": "max"}}), spark.createDataFrame(rows, EVENT)
+    for name, want in (("nwicu", 9.0), ("mimic-iv-demo", 9.0), ("mimic-iv", 9.0), ("mimic_demo", 9.0), ("unheard-of", 4.0)):
+        assert registry.uses_metadata(name) == (want == 9.0)
+        out = build.build_all({"albumin": table, "dobutamine_duration": table, "dobu_dur": table}, stays, name, meta, grid=False).first()
+        assert (out["albumin"], out["dobutamine_duration"], out["dobu_dur"]) == (want, want, 4.0)
+
+
+def test_one_join_whatever_the_number_of_concepts(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    table = spark.createDataFrame([(1, T0, 1.0, "1")], EVENT)
+    stays = build.Stays(spark.createDataFrame([(1, 1, T0, T0 + timedelta(hours=2))], "subject_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz"))
+    out = io.StringIO()
+    with redirect_stdout(out):
+        build.build_variables({f"c{i}": table for i in range(9)}, stays, "mimic-iv", sort=False).explain("formatted")
+    assert sum("Join" in line and line.lstrip(" +-:*(").startswith(("Broadcast", "SortMerge", "ShuffledHash")) and "(" in line and ") " not in line.split("Join")[0][-3:] for line in out.getvalue().splitlines()) <= 2
+
+
+def test_timestamps_through_a_configuration(spark, project, tmp_path):
+    table = spark.createDataFrame([(1, T0 + timedelta(hours=2, minutes=10), 70.0, "1.1.1"), (2, T0, 60.0, "1.1.1"), (2, T0 + timedelta(hours=1), 61.0, "1.1.1")], EVENT)
+    table.write.parquet(str(tmp_path / "concept/heart_rate/1.0.0/mimic-iv.parquet"))
+    stays = [(1, 1, 100, T0, T0 + timedelta(hours=2, minutes=30)), (2, 2, 200, T0, None)]
+    spark.createDataFrame(stays, "subject_id long, hadm_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz").write.parquet(str(tmp_path / "stays.parquet"))
+    (tmp_path / "vars.yml").write_text("dynamic_vars: [hr]\n")
+    for rounding, last in (("ceil", 3), ("floor", 2)):
+        (tmp_path / "c.yml").write_text(f"concepts: {{path: concept}}\nwide: {{dynamic_vars: vars.yml}}\nstay_table: stays.parquet\ngrid: {{include: true, max_hours: 5, end_rounding: {rounding}}}\noutput: {{path: {rounding}.parquet}}\n")
+        got = [tuple(r) for r in spark.read.parquet(str(build.run_config(spark, tmp_path / "c.yml").path)).orderBy("stay_id", "time").collect()]
+        assert got == [(100, t, 70.0 if t == 2 else None) for t in range(last + 1)] + [(200, 0, 60.0)]
+    traced = build.debug_concept(spark, "hr", tmp_path / "floor.parquet", tmp_path / "concept", tmp_path / "stays.parquet")
+    assert traced["raw_summary"].first()["rows"] == 3 and traced["mapped_summary"].first()["stays"] == 2 and traced["comparison_summary"].first()["max_abs_diff"] == 0
+    assert traced["concept_folder"] == "heart_rate" and traced["largest_differences"].count() == 2
+    with pytest.raises(KeyError):
+        build.debug_concept(spark, "what", tmp_path / "floor.parquet", tmp_path / "concept", tmp_path / "stays.parquet")
+    with pytest.raises(FileNotFoundError):
+        build.debug_concept(spark, "temp", tmp_path / "floor.parquet", tmp_path / "concept", tmp_path / "stays.parquet")
+
+
+def test_command_line_writes_a_table(spark, project, capsys):
+    out = project / "cli" / "wide.parquet"
+    assert cli.main(["--concept-root", str(project / "workspace/concept"), "--dataset", "hirid", "--output", str(out), "--missing-concepts", "ignore", "--max-hours", "5", "--no-sort"]) == 0
+    assert capsys.readouterr().out.strip().endswith("cli/wide.parquet")
+    assert sorted(r["time"] for r in spark.read.parquet(str(out)).collect()) == list(range(6))
+    assert cli.main(["--all-concepts", str(project), "--dataset", "hirid", "--max-hours", "3"]) == 0
+    assert spark.read.parquet(capsys.readouterr().out.strip().splitlines()[-1]).count() == 4
+
+
+def test_unit_stay_timeline(spark):
+    from staygrid.sources.stays import normalized_stays
+
+    rows = [(141179, 128927, 2015, "08:56:00", -22, 2042), (141194, 128941, 2014, "23:59:30", 0, 59), (141196, 128927, 2015, "00:00:00", 1440, -5)]
+    table = spark.createDataFrame(rows, "patientunitstayid long, patienthealthsystemstayid long, hospitaldischargeyear int, hospitaladmittime24 string, hospitaladmitoffset long, unitdischargeoffset long")
+    got = {r["stay_id"]: r for r in normalized_stays(table, registry.stay_spec("eicu")).collect()}
+    begin = (datetime(2015, 1, 1, 9, 18) - datetime(1970, 1, 1)).total_seconds() / 3600
+    assert got[141179]["intime_hours"] == pytest.approx(begin) and got[141179]["outtime_hours"] - got[141179]["intime_hours"] == pytest.approx(2042 / 60)
+    assert got[141196]["intime_hours"] == pytest.approx((datetime(2014, 12, 31) - datetime(1970, 1, 1)).total_seconds() / 3600)
+
+
+def test_review_counts_what_is_observed(spark):
+    code = "subject_id long, time long, numeric_value double, table string, source_code string"
+    table = spark.createDataFrame([(1, 0, 1.0, "chart", "CHART//220045//Heart Rate//bpm")] * 2 + [(1, 2, 1.0, None, "CHART//999//New//bpm")], code)
+    meta = ConceptDict({"hr": {"sources": {"miiv": [{"ids": [220045, 220046], "table": "t", "sub_var": "itemid"}]}}})
+    versions = VersionPair(DatasetVersion("mimic-iv", "3.1", "explicit"), DatasetVersion("reference:miiv", "2.2", "provenance_file"))
+    out = review.build_review(spark, "mimic-iv", {"hr": table}, meta, versions, ["hr"])
+    row = out.summary.first()
+    assert (row["n_candidate_observed_items"], row["n_candidate_observed_rows"], row["n_reference_configured_items"]) == (2, 3, 2)
+    assert row["n_candidate_configured_items"] is row["n_reference_observed_items"] is row["n_reference_configured_not_observed"] is None and row["reference_observation_available"] is False
+    assert {r["candidate_configured"] for r in out.items.collect()} == {None} and {r["item_set_basis"] for r in out.items.collect()} == {"candidate_observed_vs_reference_configured"}
+    seen = spark.createDataFrame([("hr", 220045, 10)], "concept string, item_id long, n_rows long")
+    row = review.build_review(spark, "mimic-iv", {"hr": table}, meta, versions, ["hr", "temp"], seen=seen).summary.where("concept = 'hr'").first()
+    assert (row["n_reference_observed_items"], row["n_reference_configured_not_observed"]) == (1, 1)
