@@ -7,10 +7,11 @@ pair of nodes as soon as the budget is exceeded. Prefixes that spend the whole b
 for the bits below, so there leaves meet by those bits alone, each in one group. A task returns a
 spanning forest of what it linked, never the pairs.
 
-`similar_documents` links only what is also similar: the same walk with a wider budget marks
-leaves with a partner; the sets of longer shingles of these alone go to the tasks that found
-them, where a pair not yet connected is checked by the Jaccard similarity of its sets. The
-fingerprints stay those of short shingles, which an edit changes less than those of long ones.
+`similar_documents` links only what is also similar: the same walk with a wider budget, over the
+tries of several fingerprints of each text, marks leaves with a partner; the sets of longer
+shingles of these alone go to the tasks that found them, where a pair not yet connected is checked
+by the Jaccard similarity of its sets. The fingerprints are of short shingles, which an edit changes
+less than long ones; each further one scrambles the shingles' hashes anew.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link with one another;
 repeated rows and equal texts share a component; rows of a null doc_id link as others do, and are
@@ -21,6 +22,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -29,12 +31,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import materialize, tune, utf8
+from staygrid.llm.common import materialize, mix64, tune, utf8
 from staygrid.llm.components import connected_components, merge_labels
 
 SHINGLE, SEED, BUDGET = 3, 42, 2
-#: Of `similar_documents`: words in a shingle of the sets, differing bits and least Jaccard similarity.
-LONG, WIDE, SIMILAR = 5, 5, 0.8
+#: Of `similar_documents`: words in a shingle of the fingerprints and of the sets, fingerprints, differing bits and least Jaccard similarity.
+SHORT, LONG, TABLES, WIDE, SIMILAR = 2, 5, 4, 5, 0.8
 #: Subtrees into which the trie is cut at least if it is large, and the bounds of what one then holds.
 SUBTREES, SMALLEST, LARGEST = 256, 16_384, 1 << 18
 #: Bits of a prefix whose leaves are counted, and bits by which prefixes of too many leaves are cut further.
@@ -71,6 +73,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return _majority(_shingles(text, shingle))
 
 
+def several(text: str | None, shingle: int = SHORT, tables: int = TABLES) -> list[int]:
+    """Fingerprints of a text by different hashes of its shingles, unsigned; the first is `fingerprint`."""
+    raw = np.frombuffer(_shingles(text, shingle), "<u8")
+    with np.errstate(over="ignore"):
+        return [_majority((mix64(raw + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) if k else raw).astype("<u8").tobytes()) for k in range(tables)]
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long."""
 
@@ -308,61 +317,69 @@ def _verified(meet: Callable, once: bool, least: float, group: pd.DataFrame) ->
     return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
 
-def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHINGLE, words: int = LONG, least: float = SIMILAR, subtree: int | None = None) -> DataFrame:
+def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES) -> DataFrame:
     """doc_id and component_id for each row, as of `near_duplicates`, with links between texts alone that are
-    within `budget` bits and whose sets of shingles of `words` words have a Jaccard similarity of at least `least`.
+    within `budget` bits in one of `tables` fingerprints and whose sets of shingles of `words` words have a
+    Jaccard similarity of at least `least`.
 
     Texts that are equal but for case and white space link without a check.
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64).view(np.int64)
-            yield batch[["doc_id", "node"]].assign(fp=fps, content=[_content(t) for t in batch["text"]])
+            fps = [np.array(several(t, shingle, tables), np.uint64).view(np.int64) for t in batch["text"]]
+            yield batch[["doc_id", "node"]].assign(content=[_content(t) for t in batch["text"]], fps=fps)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[[_content(t) == c for t, c in zip(batch["text"], batch["content"], strict=True)]]
-            found = [np.unique(np.frombuffer(_shingles(t, words), np.uint64)).tobytes() for t in batch["text"]]
-            yield batch[["fp", "node", "content"]].assign(shingles=found)
+            yield batch[["content"]].assign(shingles=[np.unique(np.frombuffer(_shingles(t, words), np.uint64)).tobytes() for t in batch["text"]])
 
     tune(docs.sparkSession)
     text = F.col("text").cast("string")
     # a row without an id goes by a stand-in, which is a text's id only if all its rows lack one
     stand_in = F.shiftright(F.xxhash64(text), 2) - F.lit(1 << 62)
     narrow = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("node", F.coalesce("doc_id", stand_in))
-    fps = materialize(narrow.mapInPandas(describe, "doc_id long, node long, fp long, content binary"), "fingerprints")
-    texts = fps.groupBy("fp", "content").agg(F.min("doc_id").alias("rep"), F.min("node").alias("_any"))
-    texts = materialize(texts.select("fp", "content", "rep", F.coalesce("rep", "_any").alias("node")), "texts")
-    leaves = texts.groupBy("fp").agg(F.count("*").alias("n"))
-    trees = cut(leaves, subtree)
+    fps = materialize(narrow.mapInPandas(describe, "doc_id long, node long, content binary, fps array<long>"), "fingerprints")
+    texts = fps.groupBy("content").agg(F.min("doc_id").alias("rep"), F.min("node").alias("_any"), F.first("fps").alias("fps"))
+    texts = materialize(texts.select("content", "rep", F.coalesce("rep", "_any").alias("node"), "fps"), "texts")
+    each = texts.select("content", "node", F.posexplode("fps").alias("table", "fp"))
+    leaves = [each.where(F.col("table") == k).groupBy("fp").agg(F.count("*").alias("n")) for k in range(tables)]
+    trees = [cut(some, subtree) for some in leaves]
 
     def meeting(key: tuple) -> Callable:
-        return lambda own, leaves: _meet(trees, int(key[0]), int(key[1]), own, budget, leaves)
+        table, low, high = map(int, key)
+        return lambda own, leaves: _meet(trees[table], low, high, own, budget, leaves)
 
     def mark(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         of = group["fp"].to_numpy()
         near = np.zeros(len(of), bool)
         for i, j in meeting(key)(group["own"].to_numpy(), of.view(np.uint64)):
             near[i] = near[j] = True
-        return group.loc[near, ["low", "high", "own", "fp"]]
+        return group.loc[near, ["table", "low", "high", "own", "fp"]]
 
     def single(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            own = trees.of(batch["fp"].to_numpy().view(np.uint64))
-            yield pd.DataFrame({"low": own, "high": own, "own": own, "fp": batch["fp"]})
+            own = np.zeros(len(batch), np.int64)
+            for k in batch["table"].unique():
+                mine = (batch["table"] == k).to_numpy()
+                own[mine] = trees[k].of(batch["fp"].to_numpy()[mine].view(np.uint64))
+            yield pd.DataFrame({"table": batch["table"], "low": own, "high": own, "own": own, "fp": batch["fp"]})
 
     def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _verified(meeting(key), int(key[0]) == int(key[1]), least, group)
-
-    schema = "low long, high long, own long, fp long"
-    near = deal(leaves, trees, budget).groupBy("low", "high").applyInPandas(mark, schema)
-    near = materialize(near.unionByName(leaves.where("n > 1").select("fp").mapInPandas(single, schema)).distinct(), "near")
-    wanted = texts.join(near.select("fp").distinct(), "fp").select("fp", "content", F.col("node").alias("_node"))
-    found = narrow.join(wanted, narrow["node"] == wanted["_node"]).select("fp", "node", "content", "text")
-    found = found.mapInPandas(sets, "fp long, node long, content binary, shingles binary").dropDuplicates(["fp", "content"])
-    links = near.join(found, "fp").groupBy("low", "high").applyInPandas(check, "a long, b long")
-    return fps.join(_components(texts, links).select("fp", "content", "component_id"), ["fp", "content"]).select("doc_id", "component_id")
+        return _verified(meeting(key), int(key[1]) == int(key[2]), least, group)
+
+    schema, by = "table int, low long, high long, own long, fp long", ["table", "low", "high"]
+    every = lambda frames: reduce(DataFrame.unionByName, [df.withColumn("table", F.lit(k)) for k, df in enumerate(frames)])
+    near = every(deal(some, tree, budget) for some, tree in zip(leaves, trees, strict=True)).groupBy(*by).applyInPandas(mark, schema)
+    shared = every(some.where("n > 1").select("fp") for some in leaves).mapInPandas(single, schema)
+    near = materialize(near.unionByName(shared).distinct(), "near")
+    wanted = materialize(each.join(near.select("table", "fp").distinct(), ["table", "fp"]), "wanted")
+    asked = wanted.select("content", F.col("node").alias("_node")).distinct()
+    found = narrow.join(asked, narrow["node"] == asked["_node"]).select("content", "text").mapInPandas(sets, "content binary, shingles binary")
+    found = wanted.join(found.dropDuplicates(["content"]), "content")
+    links = near.join(found, ["table", "fp"]).groupBy(*by).applyInPandas(check, "a long, b long")
+    return fps.join(_components(texts.select("content", "node", "rep"), links).select("content", "component_id"), "content").select("doc_id", "component_id")
 
 
 def _content(text: str | None) -> bytes:

@@ -533,12 +533,13 @@ def test_recall_plan():
     assert 0 < vectors.least_collisions() < vectors.PROJECTIONS
 
 
-def test_collisions_are_counted_in_windows():
+@pytest.mark.parametrize(("n", "m"), [(5, 7), (90, 131), (200, 64)])
+def test_collisions_are_counted_in_windows(n, m):
     rng = np.random.default_rng(8)
-    a, b = rng.integers(0, 256, (37, 32), np.uint8), rng.integers(0, 256, (50, 32), np.uint8)
-    reach = round(vectors.WINDOW * vectors.STEPS)
-    want = (np.abs(a[:, None].astype(int) - b[None].astype(int)) <= reach).sum(2)
-    assert (vectors.collisions(a, b) == want).all()
+    a, b = rng.integers(60, 196, (n, 32), np.uint8), rng.integers(60, 196, (m, 32), np.uint8)
+    counts = (np.abs(a[:, None].astype(int) - b[None].astype(int)) <= round(vectors.WINDOW * vectors.STEPS)).sum(2)
+    for needed in (0, 1, 9, 12, 25, 32, 33):
+        assert (vectors.colliding(a, b, needed) == (counts >= needed)).all()
 
 
 def test_many_vectors_of_one_label(spark):
@@ -757,14 +758,16 @@ def test_similar_documents_equal_brute_force(spark, subtree):
     same = "x " * 400  # nearly all shingles are equal, and so are fingerprints, but not the sets
     rows += [(len(rows) + k, same + " ".join(f"{k}y{i}" for i in range(30))) for k in range(3)]
     rows += [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, rows[0][1].upper())]
-    fps = [simhash.fingerprint(t) for _, t in rows]
+    fps = [simhash.several(t) for _, t in rows]
+    assert [f[0] for f in fps] == [simhash.fingerprint(t, simhash.SHORT) for _, t in rows] and len({*fps[0]}) == simhash.TABLES
+    near = lambda a, b: min((x ^ y).bit_count() for x, y in zip(a, b, strict=True)) <= simhash.WIDE
     parent = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= simhash.WIDE and _similarity(rows[i][1] or "", rows[j][1] or "") >= 0.8 and parent[i] != parent[j]:
+            if near(fps[i], fps[j]) and _similarity(rows[i][1] or "", rows[j][1] or "") >= 0.8 and parent[i] != parent[j]:
                 low, high = sorted((parent[i], parent[j]))
                 parent = [low if p == high else p for p in parent]
-    assert (fps[160] ^ fps[161]).bit_count() <= simhash.WIDE and parent[160:163] == [160, 161, 162]
+    assert near(fps[160], fps[161]) and parent[160:163] == [160, 161, 162]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = dict(simhash.similar_documents(docs, subtree=subtree).collect())
     assert [got[i] for i in range(len(rows))] == parent
@@ -791,9 +794,15 @@ def test_pipeline_stages(spark):
     documents = spark.read.parquet(f"{data}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
     near = corpus_pipeline.near_dedup_stage(spark, documents, data)
-    fps = [_fingerprint(t) for _, t in rows]
+    # the stage's contract: five words, similarity 0.8 or more (here no pair of the table is missed)
+    parent = list(range(len(rows)))
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if parent[i] != parent[j] and _similarity(a or "", b or "") >= 0.8:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
     first = {}
-    for (d, _), k in zip(rows, _classes(fps), strict=True):
+    for (d, _), k in zip(rows, parent, strict=True):
         first[k] = min(first.get(k, 1 << 60), d)
     assert sorted(r["doc_id"] for r in near.collect()) == sorted(first.values()) and near.columns == documents.columns
     cut = {r["doc_id"]: r for r in corpus_pipeline.substring_stage(spark, documents, data).collect()}
