@@ -5,9 +5,9 @@ written as Parquet and read again as the next one's docs. All but the last retur
 `docs`. Stages decide:
 
 - quality: documents that the classifier rejects go (labels of `labels`, never of held-out rows);
-- near_dedup: of each group of linked documents (fingerprints within simhash.WIDE bits and
-  Jaccard similarity of the five-word shingles 0.8 or more) that of the smallest doc_id stays;
-  rows that share a doc_id are one document, of which the row of the smallest text stays;
+- near_dedup: of each group of linked documents (one of simhash.TABLES fingerprints within
+  simhash.WIDE bits and Jaccard similarity of the five-word shingles 0.8 or more) that of the
+  smallest doc_id stays; rows of a null doc_id stay; rows that share a doc_id are one document, of which the row of the smallest text stays;
 - substring_dedup: repeated passages are cut out of texts (their words then joined by one
   blank); texts without any stay as they are, and documents that lose every word go;
 - mixing: documents come as often as the budget of their source takes them;
@@ -34,35 +34,44 @@ def _columns(docs: DataFrame, frame: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    (name,) = _free(docs, "quality")
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    return _columns(docs, quality.score(docs, model, "_quality").where(F.col("_quality") >= quality.THRESHOLD))
+    return _columns(docs, quality.score(docs, model, name).where(F.col(name) >= quality.THRESHOLD))
+
+
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like `names` that `docs` doesn't have."""
+    return [next(n for k in range(1, len(docs.columns) + 2) if (n := "_" * k + name) not in docs.columns) for name in names]
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = simhash.similar_documents(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
-    marks = rows.agg(F.min("component_id").alias("_component"), F.count("*").alias("_rows"))
-    marks = materialize(marks.where("_component <> _id or _rows > 1"), "marks")
-    joined = docs.join(marks, docs["doc_id"] == marks["_id"], "left")
-    single = joined.where("_id is null")
-    first = Window.partitionBy("_id").orderBy("text")
-    several = joined.where("_component = _id").withColumn("_k", F.row_number().over(first)).where("_k = 1")
+    own, component, rows, rank = _free(docs, "id", "component", "rows", "rank")
+    found = simhash.similar_documents(docs).where("doc_id is not null").groupBy(F.col("doc_id").alias(own))
+    marks = found.agg(F.min("component_id").alias(component), F.count("*").alias(rows))
+    marks = materialize(marks.where((F.col(component) != F.col(own)) | (F.col(rows) > 1)), "marks")
+    joined = docs.join(marks, F.col("doc_id") == F.col(own), "left")
+    single = joined.where(F.col(own).isNull())
+    first = Window.partitionBy(own).orderBy("text")
+    several = joined.where(F.col(component) == F.col(own)).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
     return _columns(docs, single).unionByName(_columns(docs, several))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeats(docs, output="_cut")
-    cut = cut.where("_cut.n_removed = 0 or _cut.n_removed < _cut.n_words")
-    changed = F.col("_cut.n_removed") > 0
-    out = cut.withColumn("text", F.when(changed, F.col("_cut.kept")).otherwise(F.col("text")))
+    (name,) = _free(docs, "cut")
+    cut = substrings.remove_repeats(docs, output=name)
+    removed = F.col(f"{name}.n_removed")
+    cut = cut.where((removed == 0) | (removed < F.col(f"{name}.n_words")))
+    out = cut.withColumn("text", F.when(removed > 0, F.col(f"{name}.kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return _columns(docs, out)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, share=MIX_SHARE, output="_mixed")
-    times = F.explode(F.expr("sequence(1L, _mixed.n_selected)"))
-    return _columns(docs, mixed.where("_mixed.n_selected > 0").withColumn("_time", times))
+    name, time = _free(docs, "mixed", "time")
+    mixed = mixing.mix(docs, share=MIX_SHARE, output=name)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{name}.n_selected")))
+    return _columns(docs, mixed.where(F.col(f"{name}.n_selected") > 0).withColumn(time, times))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
