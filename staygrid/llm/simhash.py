@@ -1,11 +1,14 @@
 """Operator 10: SimHash near-duplicates by a self-join of the binary trie of fingerprints.
 
-Equal fingerprints are one leaf. A cut through the trie, as deep in each place as it takes for few
-leaves below, deals its subtrees out: a task gets two subtrees whose prefixes differ in fewer bits
-than the budget and walks their nodes together, bit by bit, adding up differing bits and leaving a
-pair of nodes as soon as the budget is exceeded. Prefixes that spend the whole budget leave nothing
-for the bits below, so there leaves meet by those bits alone, each in one group. A task returns a
-spanning forest of what it linked, never the pairs.
+Equal fingerprints are one leaf. Two fingerprints that differ in few bits differ in a `parts`-th of
+the budget at most in one of `parts` equal parts of their bits. So there is a trie for each part,
+which begins with that part's bits (fingerprints are turned), and only pairs within the part's share
+of the budget are followed in its first bits, within the whole budget below. A cut through the trie,
+as deep in each place as it takes for few leaves below, deals its subtrees out: a task gets two
+subtrees whose prefixes are within the share and walks their nodes together, bit by bit, adding up
+differing bits and leaving a pair of nodes as soon as the budget is exceeded. It returns a spanning
+forest of what it linked, never the pairs. A leaf of a subtree d bits deep goes round 1 + d times for
+each part if the share is one bit, and once as long as the trie isn't cut.
 
 `similar_documents` links only what is also similar: the same walk with a wider budget, over the
 tries of several fingerprints of each text, marks leaves with a partner; the sets of longer
@@ -35,14 +38,16 @@ from staygrid.llm.common import materialize, mix64, tune, utf8
 from staygrid.llm.components import connected_components, merge_labels
 
 SHINGLE, SEED, BUDGET = 3, 42, 2
-#: Of `similar_documents`: words in a shingle of the fingerprints and of the sets, fingerprints, differing bits and least Jaccard similarity.
-SHORT, LONG, TABLES, WIDE, SIMILAR = 2, 5, 4, 5, 0.8
-#: Subtrees into which the trie is cut at least if it is large, and the bounds of what one then holds.
-SUBTREES, SMALLEST, LARGEST = 256, 16_384, 1 << 18
+#: Parts of a fingerprint's bits for `near_duplicates`: one differing bit at most in one of them.
+PARTS = 2
+#: Of `similar_documents`: words in a shingle of the fingerprints and of the sets, fingerprints, differing bits, parts, and least Jaccard similarity.
+SHORT, LONG, TABLES, WIDE, WIDE_PARTS, SIMILAR = 2, 5, 2, 7, 4, 0.8
+#: Leaves in a subtree, above which it is cut.
+SUBTREE = 1 << 18
 #: Bits of a prefix whose leaves are counted, and bits by which prefixes of too many leaves are cut further.
 COUNTED, FURTHER = 16, 8
-#: Pairs of leaves below which a pair of nodes is compared at once; node pairs held at a time.
-LEAF_PAIRS, FRONTIER, AT_ONCE = 32, 1 << 17, 1 << 15
+#: Leaves of either node below which a pair of nodes is compared at once; node pairs held and compared at a time.
+FEW, FRONTIER, AT_ONCE = 16, 1 << 17, 1 << 12
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
@@ -97,43 +102,43 @@ def _middle(leaves: np.ndarray, begin: np.ndarray, end: np.ndarray, depth: int)
     return np.clip(np.searchsorted(leaves, prefix | (np.uint64(1) << low)), begin, end)
 
 
-def _leaf_pairs(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of leaves below the pairs of nodes given as rows a0, a1, b0, b1."""
-    a0, a1, b0, b1 = node[:4]
-    width = b1 - b0
-    n = (a1 - a0) * width
-    which = np.repeat(np.arange(len(n)), n)
-    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return a0[which] + k // width[which], b0[which] + k % width[which]
+def _close(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves within the budget below pairs of nodes of at most FEW leaves each (rows a0, a1, b0, b1)."""
+    along = np.arange(FEW)
+    i, j = nodes[0][:, None] + along, nodes[2][:, None] + along
+    bits = np.bitwise_count(a[np.minimum(i, len(a) - 1)][:, :, None] ^ b[np.minimum(j, len(b) - 1)][:, None, :])
+    near = (bits <= budget) & (i < nodes[1][:, None])[:, :, None] & (j < nodes[3][:, None])[:, None, :]
+    which, x, y = np.nonzero(near)
+    return i[which, x], j[which, y]
 
 
-def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int, share: int | None = None, width: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions in sorted `a` and `b` (unsigned, `depth` bits in common each) within the budget.
 
-    `same`: a is b, and each pair comes once. Nodes are runs of leaves; a row of the frontier
-    is a pair of runs and the differing bits so far.
+    `same`: a is b, and each pair comes once. `share`: pairs that differ in more of the first `width`
+    bits needn't be found. Nodes are runs of leaves; a row of the frontier is a pair of runs and the
+    differing bits so far.
     """
     if not len(a) or not len(b):
         return
+    allowed = lambda depth: budget if share is None or depth > width else share
     spent = int(np.bitwise_count((a[0] ^ b[0]) >> np.uint64(64 - depth))) if depth else 0
-    stack = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64))]
+    stack = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64))] if spent <= allowed(depth) else []
     while stack:
         depth, nodes = stack.pop()
         if nodes.shape[1] > FRONTIER:
             stack += [(depth, part) for part in np.array_split(nodes, -(-nodes.shape[1] // FRONTIER), axis=1)]
             continue
         a0, a1, b0, b1, bits = nodes
-        small = (a1 - a0) * (b1 - b0) <= LEAF_PAIRS
-        if depth == 64:
-            small[:] = True
+        small = (a1 - a0 <= FEW) & (b1 - b0 <= FEW)
         few = nodes[:, small]
         for at in range(0, few.shape[1], AT_ONCE):
-            i, j = _leaf_pairs(few[:, at : at + AT_ONCE])
-            near = np.bitwise_count(a[i] ^ b[j]) <= budget
+            i, j = _close(a, b, few[:, at : at + AT_ONCE], budget)
             if same:
-                near &= i < j
-            if near.any():
-                yield i[near], j[near]
+                once = i < j
+                i, j = i[once], j[once]
+            if len(i):
+                yield i, j
         if small.all():
             continue
         a0, a1, b0, b1, bits = nodes[:, ~small]
@@ -142,7 +147,7 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, budget: int) -> I
         children = [np.stack(x) for x in ((a0, am, b0, bm, bits), (am, a1, bm, b1, bits), (a0, am, bm, b1, bits + 1))]
         children.append(np.stack((am, a1, b0, bm, bits + 1))[:, ~own])  # of a node with itself, the mirror image
         nodes = np.concatenate(children, axis=1)
-        alive = (nodes[1] > nodes[0]) & (nodes[3] > nodes[2]) & (nodes[4] <= budget)
+        alive = (nodes[1] > nodes[0]) & (nodes[3] > nodes[2]) & (nodes[4] <= allowed(depth + 1))
         if alive.any():
             stack.append((depth + 1, nodes[:, alive]))
 
@@ -156,9 +161,10 @@ class Subtrees:
     def of(self, fps: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, fps, "right") - 1
 
-    def near(self, k: int, bits: int) -> np.ndarray:
-        """The subtrees whose prefix differs from that of subtree k in at most `bits` of the bits that both have."""
-        start, depth = int(self.starts[k]), int(self.depths[k])
+    def near(self, k: int, bits: int, width: int = 64) -> np.ndarray:
+        """The subtrees whose prefix differs from that of subtree k in at most `bits` of the bits that both have (of the first `width`)."""
+        depth = min(int(self.depths[k]), width)
+        start = int(self.starts[k]) >> (64 - depth) << (64 - depth)
         flips = [sum(1 << (63 - i) for i in places) for n in range(bits + 1) for places in combinations(range(depth), n)]
         first = start ^ np.array(flips, np.uint64)
         last = first | np.uint64((1 << 64) - 1 >> depth if depth < 64 else 0)
@@ -179,35 +185,38 @@ def split(counts: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def cut(leaves: DataFrame, subtree: int | None = None) -> Subtrees:
-    """Subtrees of about `subtree` leaves (fp) at most, by counts of prefixes: COUNTED bits, FURTHER more where they are many."""
+def cut(leaves: DataFrame, subtree: int = SUBTREE) -> Subtrees:
+    """Subtrees of at most `subtree` leaves (fp), by counts of prefixes: COUNTED bits, FURTHER more where they are many."""
 
     def counted(rows: DataFrame, bits: int) -> dict[int, int]:
         return {r["p"]: r["n"] for r in rows.groupBy(F.shiftrightunsigned("fp", 64 - bits).alias("p")).agg(F.count("*").alias("n")).collect()}
 
     top = counted(leaves, COUNTED)  # at most 2 ** COUNTED rows
     counts = np.array([top.get(p, 0) for p in range(1 << COUNTED)])
-    limit = subtree or int(np.clip(counts.sum() // SUBTREES, SMALLEST, LARGEST))
-    nodes = [(first << (64 - COUNTED), depth) for first, depth in split(counts, limit)]
-    # beyond LARGEST leaves for each of 2 ** COUNTED prefixes, subtrees grow with the input instead of their number
-    dense = [p for p in np.flatnonzero(counts > limit).tolist() if counts[p] > counts.sum() >> 12]
+    nodes = [(first << (64 - COUNTED), depth) for first, depth in split(counts, subtree)]
+    # prefixes that all hold too many are left, where subtrees grow with the input instead of their number
+    dense = [p for p in np.flatnonzero(counts > subtree).tolist() if counts[p] > counts.sum() >> 12]
     if dense:  # fewer than 2 ** 12 prefixes
         below = counted(leaves.where(F.shiftrightunsigned("fp", 64 - COUNTED).isin(dense)), COUNTED + FURTHER)
         nodes = [(start, depth) for start, depth in nodes if start >> (64 - COUNTED) not in set(dense)]
         for p in dense:
-            inside = split(np.array([below.get((p << FURTHER) + i, 0) for i in range(1 << FURTHER)]), limit)
+            inside = split(np.array([below.get((p << FURTHER) + i, 0) for i in range(1 << FURTHER)]), subtree)
             nodes += [((p << (64 - COUNTED)) + (first << (64 - COUNTED - FURTHER)), COUNTED + depth) for first, depth in inside]
     nodes.sort()
     return Subtrees([start for start, _ in nodes], [depth for _, depth in nodes])
 
 
-def deal(leaves: DataFrame, trees: Subtrees, budget: int) -> DataFrame:
-    """low, high, own, fp: each leaf once for each pair of subtrees that it is in (own: its subtree).
+def turned(fps: np.ndarray, bits: int) -> np.ndarray:
+    """Fingerprints (signed) turned left by so many bits, or right if it is negative."""
+    x, left = fps.view(np.uint64), np.uint64(bits % 64)
+    return (x << left | x >> np.uint64(-bits % 64)).view(np.int64) if left else fps
+
+
+_DEALT = "low long, high long, own long, fp long"
 
-    Leaves of prefixes that differ in `budget` bits have all other bits in common: those meet by
-    them (low), with a high of -1.
-    """
-    schema = "low long, high long, own long, fp long"
+
+def deal(leaves: DataFrame, trees: Subtrees, share: int, width: int) -> DataFrame:
+    """low, high, own, fp: each leaf of one trie once for each pair of subtrees within the share that it is in (own: its subtree)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         near: dict[int, np.ndarray] = {}
@@ -216,41 +225,53 @@ def deal(leaves: DataFrame, trees: Subtrees, budget: int) -> DataFrame:
             own = trees.of(fps.view(np.uint64))
             for k in np.unique(own).tolist():
                 if k not in near:
-                    near[k] = trees.near(k, budget - 1)
+                    near[k] = trees.near(k, share, width)
                 mine, other = fps[own == k], near[k]
                 yield pd.DataFrame({"low": np.repeat(np.minimum(other, k), len(mine)), "high": np.repeat(np.maximum(other, k), len(mine)), "own": k, "fp": np.tile(mine, len(other))})
 
-    dealt = leaves.select("fp").mapInPandas(run, schema)
-    if (deepest := int(trees.depths.max())) == 0:
-        return dealt
-    rest = F.col("fp").bitwiseAND(F.lit((1 << (64 - deepest)) - 1))
-    alike = leaves.groupBy(rest.alias("low")).agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)  # at most 2 ** deepest
-    return dealt.unionByName(alike.select("low", F.lit(-1).cast("long").alias("high"), F.lit(-1).cast("long").alias("own"), F.explode("fps").alias("fp")))
+    return leaves.select("fp").mapInPandas(run, _DEALT)
+
 
+class Tries:
+    """The tries of some fingerprints, one for each part of their bits."""
 
-def _meet(trees: Subtrees, low: int, high: int, own: np.ndarray, budget: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in `fps` (unsigned) of pairs of leaves within the budget, of two subtrees or of a group of equal low bits."""
-    one = high < 0 or low == high
-    depth = 0 if high < 0 else int(min(trees.depths[low], trees.depths[high]))
-    sides = [np.arange(len(fps))] if one else [np.flatnonzero(own == k) for k in (low, high)]
-    sides = [side[np.argsort(fps[side])] for side in sides]
-    for i, j in walk(fps[sides[0]], fps[sides[-1]], one, depth, budget):
-        yield sides[0][i], sides[-1][j]
+    def __init__(self, leaves: DataFrame, budget: int, parts: int, subtree: int | None):
+        self.budget, self.share, self.width = budget, budget // parts, 64 // parts
+        self.trees = [cut(self._turned(leaves, k), subtree or SUBTREE) for k in range(parts)]
 
+    def _turned(self, leaves: DataFrame, part: int) -> DataFrame:
+        bits = part * self.width
+        return leaves.select(F.shiftleft("fp", bits).bitwiseOR(F.shiftrightunsigned("fp", 64 - bits)).alias("fp") if bits else "fp")
 
-def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int | None = None) -> DataFrame:
+    def deal(self, leaves: DataFrame) -> DataFrame:
+        """part, low, high, own, fp: see `deal`; fp is turned."""
+        dealt = [deal(self._turned(leaves, k), trees, self.share, self.width).withColumn("part", F.lit(k)) for k, trees in enumerate(self.trees)]
+        return reduce(DataFrame.unionByName, dealt)
+
+    def meet(self, part: int, low: int, high: int, own: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions in `fps` (turned) of pairs of leaves of two subtrees of a part within the budget."""
+        fps, depths = fps.view(np.uint64), self.trees[part].depths
+        sides = [np.flatnonzero(own == k) for k in ((low,) if low == high else (low, high))]
+        sides = [side[np.argsort(fps[side])] for side in sides]
+        for i, j in walk(fps[sides[0]], fps[sides[-1]], low == high, int(min(depths[low], depths[high])), self.budget, self.share, self.width):
+            yield sides[0][i], sides[-1][j]
+
+
+def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int | None = None, parts: int = PARTS) -> DataFrame:
     """A table (a, b) of fingerprints that connects what `leaves` (fp, each once) has within the budget."""
-    trees = cut(leaves, subtree)
+    tries = Tries(leaves, budget, parts, subtree)
 
     def forest(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("fp")
-        ids, labels = group["fp"].to_numpy(), np.arange(len(group))
-        for i, j in _meet(trees, int(key[0]), int(key[1]), group["own"].to_numpy(), budget, ids.view(np.uint64)):
-            labels = merge_labels(labels, i, j)
+        part, low, high = map(int, key)
+        fps = group["fp"].to_numpy()
+        ids, rank = np.unique(turned(fps, -part * tries.width), return_inverse=True)
+        labels = np.arange(len(ids))
+        for i, j in tries.meet(part, low, high, group["own"].to_numpy(), fps):
+            labels = merge_labels(labels, rank[i], rank[j])
         linked = labels != np.arange(len(ids))
         return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
-    return deal(leaves, trees, budget).groupBy("low", "high").applyInPandas(forest, "a long, b long")
+    return tries.deal(leaves).groupBy("part", "low", "high").applyInPandas(forest, "a long, b long")
 
 
 def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,11 +282,11 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return rooted.join(smallest, "_root").drop("_root")
 
 
-def near_duplicates(docs: DataFrame, budget: int = BUDGET, subtree: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, budget: int = BUDGET, subtree: int | None = None, parts: int = PARTS) -> DataFrame:
     """doc_id, fp (signed long) and component_id (the smallest doc_id reachable) for each row."""
     fps = materialize(fingerprints(docs), "fingerprints")
     leaves = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "leaves")
-    found = _components(leaves.select(F.col("fp").alias("node"), "rep"), trie_links(leaves, budget, subtree))
+    found = _components(leaves.select(F.col("fp").alias("node"), "rep"), trie_links(leaves, budget, subtree, parts))
     return fps.join(found.select(F.col("node").alias("fp"), "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -317,7 +338,7 @@ def _verified(meet: Callable, once: bool, least: float, group: pd.DataFrame) ->
     return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
 
-def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES) -> DataFrame:
+def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES, parts: int = WIDE_PARTS) -> DataFrame:
     """doc_id and component_id for each row, as of `near_duplicates`, with links between texts alone that are
     within `budget` bits in one of `tables` fingerprints and whose sets of shingles of `words` words have a
     Jaccard similarity of at least `least`.
@@ -345,35 +366,29 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     texts = materialize(texts.select("content", "rep", F.coalesce("rep", "_any").alias("node"), "fps"), "texts")
     each = texts.select("content", "node", F.posexplode("fps").alias("table", "fp"))
     leaves = [each.where(F.col("table") == k).groupBy("fp").agg(F.count("*").alias("n")) for k in range(tables)]
-    trees = [cut(some, subtree) for some in leaves]
-
-    def meeting(key: tuple) -> Callable:
-        table, low, high = map(int, key)
-        return lambda own, leaves: _meet(trees[table], low, high, own, budget, leaves)
+    tries = [Tries(some, budget, parts, subtree) for some in leaves]
 
     def mark(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        table, part, low, high = map(int, key)
         of = group["fp"].to_numpy()
         near = np.zeros(len(of), bool)
-        for i, j in meeting(key)(group["own"].to_numpy(), of.view(np.uint64)):
+        for i, j in tries[table].meet(part, low, high, group["own"].to_numpy(), of):
             near[i] = near[j] = True
-        return group.loc[near, ["table", "low", "high", "own", "fp"]]
-
-    def single(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            own = np.zeros(len(batch), np.int64)
-            for k in batch["table"].unique():
-                mine = (batch["table"] == k).to_numpy()
-                own[mine] = trees[k].of(batch["fp"].to_numpy()[mine].view(np.uint64))
-            yield pd.DataFrame({"table": batch["table"], "low": own, "high": own, "own": own, "fp": batch["fp"]})
+        return group.loc[near, [*by, "own"]].assign(fp=turned(of[near], -part * tries[table].width))
 
     def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _verified(meeting(key), int(key[1]) == int(key[2]), least, group)
+        table, part, low, high = map(int, key)
+        if part < 0:
+            return _verified(lambda own, fps: iter(()), True, least, group)
+        group = group.assign(fp=turned(group["fp"].to_numpy(), part * tries[table].width))
+        return _verified(lambda own, fps: tries[table].meet(part, low, high, own, fps), False, least, group)
 
-    schema, by = "table int, low long, high long, own long, fp long", ["table", "low", "high"]
+    by, zero = ["table", "part", "low", "high"], F.lit(0).cast("long")
     every = lambda frames: reduce(DataFrame.unionByName, [df.withColumn("table", F.lit(k)) for k, df in enumerate(frames)])
-    near = every(deal(some, tree, budget) for some, tree in zip(leaves, trees, strict=True)).groupBy(*by).applyInPandas(mark, schema)
-    shared = every(some.where("n > 1").select("fp") for some in leaves).mapInPandas(single, schema)
-    near = materialize(near.unionByName(shared).distinct(), "near")
+    near = every(t.deal(some) for t, some in zip(tries, leaves, strict=True)).groupBy(*by).applyInPandas(mark, f"table int, part int, {_DEALT}")
+    # texts of one fingerprint meet in a group of their own
+    shared = every(some.where("n > 1").select("fp") for some in leaves).select("table", F.lit(-1).alias("part"), F.col("fp").alias("low"), zero.alias("high"), zero.alias("own"), "fp")
+    near = materialize(near.unionByName(shared), "near")
     wanted = materialize(each.join(near.select("table", "fp").distinct(), ["table", "fp"]), "wanted")
     asked = wanted.select("content", F.col("node").alias("_node")).distinct()
     found = narrow.join(asked, narrow["node"] == asked["_node"]).select("content", "text").mapInPandas(sets, "content binary, shingles binary")

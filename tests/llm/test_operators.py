@@ -700,8 +700,8 @@ def test_simhash_equals_brute_force(spark, subtree):
     assert simhash.near_duplicates(_empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize(("subtree", "budget"), [(None, 2), (50, 2), (3, 1), (3, 3)])
-def test_trie_join_equals_brute_force(spark, subtree, budget):
+@pytest.mark.parametrize(("subtree", "budget", "parts"), [(None, 2, 2), (50, 2, 2), (3, 1, 1), (3, 3, 4), (3, 2, 2)])
+def test_trie_join_equals_brute_force(spark, subtree, budget, parts):
     r = random.Random(6)
     fps = {r.getrandbits(64) for _ in range(300)}
     fps |= {(0xABCDE << 44) | r.getrandbits(16) << r.choice([0, 28]) for _ in range(200)}  # a dense prefix
@@ -712,7 +712,7 @@ def test_trie_join_equals_brute_force(spark, subtree, budget):
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
     leaves = spark.createDataFrame([(f,) for f in signed], "fp long")
-    got = {r["node"]: r["root"] for r in components.connected_components(simhash.trie_links(leaves, budget, subtree)).collect()}
+    got = {r["node"]: r["root"] for r in components.connected_components(simhash.trie_links(leaves, budget, subtree, parts)).collect()}
     low = {}
     roots = _classes(fps, budget)
     for f, k in zip(signed, roots, strict=True):
@@ -821,6 +821,55 @@ def test_pipeline_stages(spark):
     assert out.count() > 0 and out.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+def test_pipeline_mixing_and_packing(spark):
+    import corpus_pipeline
+    import duckdb
+
+    data = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    share = f"* {mixing.SHARE[0]} // {mixing.SHARE[1]}"
+    assert share in mixing.ORACLE
+    want = {d: n for d, *_, n in con.sql("SELECT doc_id, n_selected FROM (" + mixing.ORACLE.replace(share, "* %d // %d" % corpus_pipeline.MIX_SHARE) + ")").fetchall() if n}
+    mixed = corpus_pipeline.mixing_stage(spark, documents, data)
+    got = Counter(r["doc_id"] for r in mixed.collect())
+    assert got == want and mixed.columns == documents.columns and max(got.values()) > 1
+    packed = corpus_pipeline.packing_stage(spark, mixed, data).collect()
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    sizes = {r["doc_id"]: len(library.encode(r["text"], add_special_tokens=False).ids) + 1 for r in documents.collect() if r["doc_id"] in got}
+    whole = Counter()
+    for r in packed:
+        whole[r["doc_id"]] += r["length"]
+    assert whole == {d: sizes[d] * n for d, n in got.items()}
+
+
+def test_pipeline_of_odd_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema
+    odd = [(None, "no id here", "en", "src1", 10), (None, "no id here", "en", "src1", 10), (5, None, None, None, None), (6, "", "de", "src2", 0), (7, "word " * 60_000, "en", "src3", 300_000), (8, "word " * 60_000, "en", "src3", 300_000), (8, "other text", "en", "src3", 10)]
+    labels = spark.createDataFrame([(7, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for rows in (odd, []):
+        docs = spark.createDataFrame(rows, schema).withColumn("fp", F.lit(1)).withColumn("_id", F.lit("x"))
+        for name, stage in corpus_pipeline.STAGES:
+            docs = common.materialize(stage(spark, docs, str(tmp_path)), f"odd_{name}")
+            if name == "near_dedup":
+                kept = [r["doc_id"] for r in docs.collect()]
+                assert not rows or kept.count(None) == 2 and kept.count(8) == 0
+        assert {"doc_id", "piece", "start", "length", "sequence_id", "offset"} <= set(docs.columns) and (docs.count() == 0) == (not rows)
+
+
+def test_extra_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
+    for name in ("part", "ids", "start", "length", "rank", "missing", "fp", "rep", "node", "content", "table", "n_ids"):
+        docs = docs.withColumn(name, F.lit("x"))
+    assert huffman.huffman_round_trip(docs, tokenizer_path("word_bpe_49k.json")).count() == 2
+    assert packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")).count() == 2
+    assert simhash.near_duplicates(docs).count() == simhash.similar_documents(docs).count() == 2
+
+
 @pytest.mark.parametrize("name", ["op3_substring_dedup", "op7_collision_counting", "op8_hierarchical_mixing", "op9_chat_templates"])
 def test_query_equals_sql(spark, name):
     import duckdb
