@@ -884,6 +884,21 @@ def item_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.item_summary(_matched(spark, sf_dir))
 
 
+_SEEN = "seen AS (SELECT DISTINCT concept, item_id FROM defined WHERE try_cast(item_id AS BIGINT) % 2 = 0)"
+
+
+@_query(f"""WITH {MATCHED}, {_SEEN} SELECT m.concept, count(DISTINCT m.item_id) FILTER (side <> 'candidate' AND s.item_id IS NOT NULL) AS n_reference_observed_items,
+count(DISTINCT m.item_id) FILTER (side <> 'candidate' AND s.item_id IS NULL) AS n_reference_configured_not_observed, count(*) FILTER (s.item_id IS NOT NULL) AS n_rows_observed
+FROM matched m LEFT JOIN seen s ON s.concept = m.concept AND s.item_id = m.item_id GROUP BY m.concept""")
+def item_observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which configured items the reference's data hold, where that is known."""
+    observed, defined = items.observed_items(_coded(spark, sf_dir)), items.defined_items(spark, _dictionary(), CONCEPTS, "src")
+    seen = defined.where("try_cast(item_id as bigint) % 2 = 0").select("concept", "item_id").distinct().withColumn("n_rows", F.lit(7))
+    matched = items.match_items(observed, defined, "direct_identifier_match", None, seen)
+    held = matched.groupBy("concept").agg(F.count_if("reference_observed").alias("n_rows_observed"))
+    return items.item_summary(matched).join(held, "concept").select("concept", "n_reference_observed_items", "n_reference_configured_not_observed", "n_rows_observed")
+
+
 _CROSS = "cross_ids AS (SELECT CAST(range AS VARCHAR) AS r, CAST(range * 2 AS VARCHAR) AS c FROM range(0, 300))"
 
 
