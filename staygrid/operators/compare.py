@@ -111,21 +111,15 @@ def missingness(candidate: DataFrame, reference: DataFrame, joined: DataFrame |
 _GRID, _ACCURACY = 200, 10_000
 
 
-def _narrowed(rows: DataFrame, ranks: DataFrame, by: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """The rows of each group between two quantiles around the wanted ranks, and the ranks among these.
+def _sketch(value: Column) -> list[Column]:
+    """How many values there are, and their quantiles: sketches that combine before the shuffle."""
+    return [F.count(value).alias("_n"), F.percentile_approx(value, [i / _GRID for i in range(_GRID + 1)], _ACCURACY).alias("_q")]
 
-    `ranks` has a row for each group: `by`, low and high (from 0), and how many rows there are.
-    Quantiles are sketches that combine before the shuffle; a bracket of two grid steps to either
-    side is wider than their error, so the wanted values are always in it.
-    """
-    grid = [i / _GRID for i in range(_GRID + 1)]
-    sketch = rows.groupBy(by).agg(F.percentile_approx(value, grid, _ACCURACY).alias("_q"), F.count("*").alias("_n"))
-    place = lambda rank, step, bound: F.element_at("_q", bound(F.lit(1 if step < 0 else _GRID + 1), (F.floor(F.col(rank) / F.col("_n") * _GRID) + 1 + step).cast("int")))
-    ends = sketch.join(ranks, by).select(by, "low", "high", place("low", -2, F.greatest).alias("_from"), place("high", 3, F.least).alias("_to"))
-    near = rows.join(F.broadcast(ends.select(by, "_from", "_to")), by)  # a row for each group
-    below = near.groupBy(by).agg(F.count_if(F.col(value) < F.col("_from")).alias("_below"))
-    after = ends.join(below, by).select(by, (F.col("low") - F.col("_below")).alias("low"), (F.col("high") - F.col("_below")).alias("high"))
-    return near.where(F.col(value).between(F.col("_from"), F.col("_to"))).select(by, value), after
+
+def _bracket(rank: str, step: int) -> Column:
+    """A quantile some grid steps from a rank (from 0): further away than the sketch's error."""
+    place = F.floor(F.col(rank) / F.col("_n") * _GRID) + 1 + step
+    return F.element_at("_q", F.greatest(F.least(place, F.lit(_GRID + 1)), F.lit(1)).cast("int"))
 
 
 def medians(rows: DataFrame, by: str, value: str, output: str = "median") -> DataFrame:
@@ -134,17 +128,23 @@ def medians(rows: DataFrame, by: str, value: str, output: str = "median") -> Dat
     For few groups of any size: no group's values come together. Two rounds of quantile sketches
     leave the values around the middle, in which equal ones are counted as one before they are ranked.
     """
-    sizes = rows.groupBy(by).agg(F.count("*").alias("_all"), F.count_if(~F.isnan(value)).alias("_numbers"))
-    ranks = sizes.select(by, "_numbers", F.floor((F.col("_all") - 1) / 2).alias("low"), F.floor(F.col("_all") / 2).alias("high"))
-    left, want = rows.where(~F.isnan(value)).select(by, value), ranks.where("high < _numbers").drop("_numbers")
+    number = F.when(~F.isnan(value), F.col(value))
+    sizes = rows.groupBy(by).agg(F.count("*").alias("_all"), *_sketch(number))
+    sizes = sizes.withColumns({"low": F.floor((F.col("_all") - 1) / 2), "high": F.floor(F.col("_all") / 2)})
+    left, want = rows.where(~F.isnan(value)).select(by, value), sizes.where("high < _n")
     for _ in range(2):
-        left, want = _narrowed(left, want, by, value)
+        ends = want.select(by, "low", "high", _bracket("low", -2).alias("_from"), _bracket("high", 3).alias("_to"))  # a row for each group
+        near, inside = left.join(F.broadcast(ends), by), F.col(value).between(F.col("_from"), F.col("_to"))
+        below = F.count_if(F.col(value) < F.col("_from"))
+        want = near.groupBy(by).agg((F.first("low") - below).alias("low"), (F.first("high") - below).alias("high"), *_sketch(F.when(inside, F.col(value))))
+        left = near.where(inside).select(by, value)
     each = left.groupBy(by, value).agg(F.count("*").alias("_times"))
     upto = F.sum("_times").over(Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = each.withColumn("_upto", upto).join(F.broadcast(want), by)
+    ranked = each.withColumn("_upto", upto).join(F.broadcast(want.select(by, "low", "high")), by)
     at = lambda rank: F.max(F.when((F.col(rank) < F.col("_upto")) & (F.col(rank) >= F.col("_upto") - F.col("_times")), F.col(value)))
     found = ranked.groupBy(by).agg(at("low").alias("_low"), at("high").alias("_high")).select(by, (F.col("_low") * 0.5 + F.col("_high") * 0.5).alias(output))
-    return ranks.join(found, by, "left").select(by, F.when(F.col("high") >= F.col("_numbers"), F.lit(float("nan"))).otherwise(F.col(output)).alias(output))
+    unknown = F.col("high") >= F.col("_n")
+    return sizes.join(found, by, "left").select(by, F.when(unknown, F.lit(float("nan"))).otherwise(F.col(output)).alias(output))
 
 
 def value_differences(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
