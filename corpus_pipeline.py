@@ -5,6 +5,7 @@ written as Parquet and read again as the next one's docs. All but the last retur
 `docs`. Stages decide:
 
 - quality: documents that the classifier rejects go (labels of `labels`, never of held-out rows);
+  without labels of both kinds nothing is known of quality, and all stay;
 - near_dedup: of each group of linked documents (one of simhash.TABLES fingerprints within
   simhash.WIDE bits and Jaccard similarity of the five-word shingles 0.8 or more) that of the
   smallest doc_id stays; rows of a null doc_id stay; rows that share a doc_id are one document, of which the row of the smallest text stays;
@@ -36,6 +37,8 @@ def _columns(docs: DataFrame, frame: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (name,) = _free(docs, "quality")
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    if model.weights is None:
+        return docs
     return _columns(docs, quality.score(docs, model, name).where(F.col(name) >= quality.THRESHOLD))
 
 
