@@ -44,6 +44,8 @@ PARTS = 2
 SHORT, LONG, TABLES, WIDE, WIDE_PARTS, SIMILAR = 2, 5, 2, 7, 4, 0.8
 #: Leaves in a subtree, above which it is cut.
 SUBTREE = 1 << 18
+#: Texts that may be asked for by a broadcast of their nodes, of some 60 bytes each.
+BROADCAST = 200_000
 #: Bits of a prefix whose leaves are counted, and bits by which prefixes of too many leaves are cut further.
 COUNTED, FURTHER = 16, 8
 #: Leaves of either node below which a pair of nodes is compared at once; node pairs held and compared at a time.
@@ -249,12 +251,18 @@ class Tries:
         return reduce(DataFrame.unionByName, dealt)
 
     def meet(self, part: int, low: int, high: int, own: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Positions in `fps` (turned) of pairs of leaves of two subtrees of a part within the budget."""
+        """Positions in `fps` (turned) of pairs of leaves of two subtrees of a part within the budget that no earlier part finds."""
         fps, depths = fps.view(np.uint64), self.trees[part].depths
         sides = [np.flatnonzero(own == k) for k in ((low,) if low == high else (low, high))]
         sides = [side[np.argsort(fps[side])] for side in sides]
         for i, j in walk(fps[sides[0]], fps[sides[-1]], low == high, int(min(depths[low], depths[high])), self.budget, self.share, self.width):
-            yield sides[0][i], sides[-1][j]
+            i, j = sides[0][i], sides[-1][j]
+            differ, fresh = fps[i] ^ fps[j], np.ones(len(i), bool)
+            for earlier in range(part):  # its bits are the last ones but `part - earlier` parts
+                bits = differ >> np.uint64((part - earlier - 1) * self.width) & np.uint64((1 << self.width) - 1)
+                fresh &= np.bitwise_count(bits) > self.share
+            if fresh.any():
+                yield i[fresh], j[fresh]
 
 
 def trie_links(leaves: DataFrame, budget: int = BUDGET, subtree: int | None = None, parts: int = PARTS) -> DataFrame:
@@ -391,6 +399,8 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     near = materialize(near.unionByName(shared), "near")
     wanted = materialize(each.join(near.select("table", "fp").distinct(), ["table", "fp"]), "wanted")
     asked = wanted.select("content", F.col("node").alias("_node")).distinct()
+    if asked.count() <= BROADCAST:  # then texts needn't be shuffled to find those of few nodes
+        asked = F.broadcast(asked)
     found = narrow.join(asked, narrow["node"] == asked["_node"]).select("content", "text").mapInPandas(sets, "content binary, shingles binary")
     found = wanted.join(found.dropDuplicates(["content"]), "content")
     links = near.join(found, ["table", "fp"]).groupBy(*by).applyInPandas(check, "a long, b long")
