@@ -26,6 +26,7 @@ rows give no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 from math import acos, ceil, comb, erf, log, log2, pi, sqrt
 
 import numpy as np
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import materialize, mix64, tune
+from staygrid.llm.common import materialize, mix64, parallelism, tune
 from staygrid.llm.components import connected_components, merge_labels
 
 COSINE, RECALL, CELL, POINTS_PER_BUCKET = 0.93, 0.999, 1024, 512
@@ -101,18 +102,24 @@ def _normal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
+@cache
+def _places(signs: int, tables: int) -> np.ndarray:
+    """Which signs make the names of a label's buckets, table by table."""
+    rng = np.random.default_rng([SEED, signs])
+    return np.concatenate([rng.permutation(SIGNS) for _ in range(-(-signs * tables // SIGNS))])[: signs * tables]
+
+
 def cells(packed: np.ndarray, points: int, cosine: float) -> np.ndarray:
     """Each point's cell in each table of a label with so many points, from its packed signs."""
     signs, tables = plan(points, cosine)
     if not signs:
         return np.zeros((len(packed), 1), np.int64)
-    rng = np.random.default_rng([SEED, signs])
-    places = np.concatenate([rng.permutation(SIGNS) for _ in range(-(-signs * tables // SIGNS))])[: signs * tables]
+    places = _places(signs, tables)
     bits = np.unpackbits(packed, axis=1)[:, places].reshape(len(packed), tables, signs)
     return bits @ (np.int64(1) << np.arange(signs, dtype=np.int64))
 
 
-def _matrix(rows: pd.Series, dtype: type = np.uint8) -> np.ndarray:
+def _matrix(rows: pd.Series | np.ndarray, dtype: type = np.uint8) -> np.ndarray:
     return np.frombuffer(b"".join(rows), dtype).reshape(len(rows), -1)
 
 
@@ -130,55 +137,143 @@ def _deal(cosine: float, codes: bool) -> Callable:
     return run
 
 
-def collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """In how many projections the code of b[j] is in the window around that of a[i], for each i and j."""
-    reach, counts = round(WINDOW * STEPS), np.zeros((len(a), len(b)), np.uint8)
+def _tally(sets: Iterator[np.ndarray]) -> list[np.ndarray]:
+    """How many of the packed sets hold each member, as sets too: the counts' first bits, second bits and so on."""
+    levels: list[list[np.ndarray]] = [[]]
+
+    def put(x: np.ndarray, k: int) -> None:
+        while True:
+            if k == len(levels):
+                levels.append([])
+            levels[k].append(x)
+            if len(levels[k]) < 3:
+                return
+            a, b, c = levels[k]
+            one = a ^ b
+            levels[k], x, k = [one ^ c], (a & b) | (one & c), k + 1
+
+    for x in sets:
+        put(x, 0)
+    k = 0
+    while k < len(levels):
+        if len(levels[k]) == 2:
+            a, b = levels[k]
+            levels[k] = [a ^ b]
+            put(a & b, k + 1)
+        k += 1
+    return [level[0] for level in levels]
+
+
+def _windows(a: np.ndarray, b: np.ndarray, reach: int) -> Iterator[np.ndarray]:
+    """For each projection: of each row of `a`, the packed set of rows of `b` in the window around it.
+
+    A window is a run of the sorted projection: what precedes its end without what precedes its begin.
+    """
     single = np.packbits(np.eye(len(b), dtype=np.uint8), axis=1)
     upto = np.zeros((len(b) + 1, single.shape[1]), np.uint8)  # the set of the first so many of the sorted line
     for k in range(a.shape[1]):
         order = np.argsort(b[:, k], kind="stable")
         line, centre = b[order, k].astype(np.int16), a[:, k].astype(np.int16)
         np.bitwise_or.accumulate(single[order], axis=0, out=upto[1:])
-        inside = upto[np.searchsorted(line, centre - reach)] ^ upto[np.searchsorted(line, centre + reach, "right")]
-        counts += np.unpackbits(inside, axis=1, count=len(b))
-    return counts
+        yield upto[np.searchsorted(line, centre - reach)] ^ upto[np.searchsorted(line, centre + reach, "right")]
+
+
+def colliding(a: np.ndarray, b: np.ndarray, needed: int) -> np.ndarray:
+    """Whether b[j] is in the window around a[i] in at least `needed` projections, for each i and j."""
+    reach = round(WINDOW * STEPS)
+    if a.size * len(b) <= 1 << 17:
+        return (np.abs(a[:, None].astype(np.int16) - b[None]) <= reach).sum(2) >= needed
+    more = np.zeros((len(a), (len(b) + 7) // 8), np.uint8)
+    equal = ~more
+    planes = _tally(_windows(a, b, reach))
+    for k in range(max(len(planes), needed.bit_length()) - 1, -1, -1):
+        plane = planes[k] if k < len(planes) else np.zeros_like(more)
+        if needed >> k & 1:
+            equal &= plane
+        else:
+            more |= equal & plane
+            equal &= ~plane
+    return np.unpackbits(more | equal, axis=1, count=len(b)).view(bool)
+
+
+Rows = dict[str, np.ndarray]
+
+
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[list[Rows]]:
+    """The columns of each group of rows with equal keys, which come one after another; those of a batch at a time."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        columns = {c: rows[c].to_numpy() for c in rows.columns}
+        change = np.any([columns[k][1:] != columns[k][:-1] for k in keys], axis=0)
+        edges = np.concatenate(([0], np.flatnonzero(change) + 1))
+        yield [{c: x[a:b] for c, x in columns.items()} for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        held = rows.iloc[edges[-1] :]
+    if held is not None and len(held):
+        yield [{c: held[c].to_numpy() for c in held.columns}]
 
 
-def _sides(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Positions of the rows of both blocks of a group, in parts that fit together; whether they are one block."""
-    low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-    left, right = (np.flatnonzero(group["block"] == k) for k in (low, high))
-    for some in np.array_split(left, max(1, ceil(len(left) / CELL))):
-        for other in np.array_split(right, max(1, ceil(len(right) / CELL))):
-            if len(some) and len(other):
-                yield some, other, low == high
+def _by_group(rows: DataFrame, keys: list[str], work: Callable[[Rows], pd.DataFrame], schema: str) -> DataFrame:
+    """`work` on each group, as groupBy.applyInPandas does, without a batch of its own for each small group."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for groups in _groups(batches, keys):
+            if groups:
+                yield pd.concat([work(g) for g in groups], ignore_index=True)
+
+    return rows.repartition(parallelism(rows), *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def _sides(group: Rows) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Positions of the rows of both blocks of a group, in parts that fit together; whether both are the same."""
+    low, high = int(group["low"][0]), int(group["high"][0])
+    left, right = ([p for p in np.array_split(rows, max(1, ceil(len(rows) / CELL))) if len(p)] for rows in (np.flatnonzero(group["block"] == k) for k in (low, high)))
+    for i, some in enumerate(left):
+        for other in right[i:] if low == high else right:
+            yield some, other, low == high and some[0] == other[0]
+
+
+_MARKS = "bucket long, table int, low int, high int, block int, point long"
 
-def _mark(needed: int, group: pd.DataFrame) -> pd.DataFrame:
+
+def _mark(needed: int, group: Rows) -> pd.DataFrame:
     """The rows of a group that have a partner in it which collides often enough."""
-    codes, near = _matrix(group["code"]), np.zeros(len(group), bool)
-    for some, other, own in _sides(group):
-        pass_ = collisions(codes[some], codes[other]) >= needed
-        if own:
-            pass_[some[:, None] == other[None, :]] = False
-        near[some] |= pass_.any(1)
-        near[other] |= pass_.any(0)
-    return group.loc[near, ["bucket", "table", "low", "high", "block", "point"]]
+    near = np.zeros(len(group["point"]), bool)
+    if len(near) > 1:
+        codes = _matrix(group["code"])
+        for some, other, own in _sides(group):
+            often = colliding(codes[some], codes[other], needed)
+            if own:
+                np.fill_diagonal(often, False)
+            near[some] |= often.any(1)
+            near[other] |= often.any(0)
+    return pd.DataFrame({c: group[c][near] for c in ("bucket", "table", "low", "high", "block", "point")})
+
+
+def _cosines(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.einsum("ij,ij->i", points[i[at : at + 8192]], points[j[at : at + 8192]]) for at in range(0, max(len(i), 1), 8192)])
 
 
-def _verify(cosine: float, needed: int, group: pd.DataFrame) -> pd.DataFrame:
+def _verify(cosine: float, needed: int, group: Rows) -> pd.DataFrame:
     """Of marked points of a group: links counted here, and a forest that connects them."""
-    group = group.sort_values("point")
-    ids, copies, table = group["point"].to_numpy(), group["copies"].to_numpy(), int(group["table"].iloc[0])
+    order = np.argsort(group["point"])
+    group = {c: x[order] for c, x in group.items()}
+    ids, copies, table = group["point"], group["copies"], int(group["table"][0])
     points, codes = _matrix(group["unit"], np.float64), _matrix(group["code"])
-    before = cells(_matrix(group["signs"]), int(group["n"].iloc[0]), cosine)[:, :table]
+    before = cells(_matrix(group["signs"]), int(group["n"][0]), cosine)[:, :table]
     links, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
     for some, other, own in _sides(group):
-        linked = (collisions(codes[some], codes[other]) >= needed) & (points[some] @ points[other].T >= cosine)
-        i, j = np.nonzero(linked)
-        i, j = some[i], other[j]
+        often = colliding(codes[some], codes[other], needed)
         if own:
-            i, j = i[i < j], j[i < j]
+            often = np.triu(often, 1)
+        if 8 * np.count_nonzero(often) > often.size:
+            i, j = np.nonzero(often & (points[some] @ points[other].T >= cosine))
+            i, j = some[i], other[j]
+        else:
+            i, j = np.nonzero(often)
+            i, j = some[i], other[j]
+            linked = _cosines(points, i, j) >= cosine
+            i, j = i[linked], j[linked]
         for at in range(0, len(i), 1 << 16):
             x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
             first = (before[x] != before[y]).all(1)
@@ -209,13 +304,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL
     met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "held", "parts")
     where = ["bucket", "table", "low", "high"]
-    marks = met.groupBy(*where).applyInPandas(lambda group: _mark(needed, group), "bucket long, table int, low int, high int, block int, point long")
-    marks = materialize(marks, "marks")
+    marks = materialize(_by_group(met, where, lambda group: _mark(needed, group), _MARKS), "marks")
 
     wanted = sized.join(marks.select("point").distinct(), "point", "left_semi").select("point", *same, "copies", "code", "signs", "n")
     whole = wanted.join(usable.select(*same, "unit"), same).dropDuplicates(["point"])
-    found = marks.join(whole, "point").drop("digest").groupBy("label", "dim", *where).applyInPandas(lambda group: _verify(cosine, needed, group), "point long, links long, root long")
-    found = materialize(found, "found")
+    whole = marks.join(whole, "point").drop("digest")
+    found = materialize(_by_group(whole, ["label", "dim", *where], lambda group: _verify(cosine, needed, group), "point long, links long, root long"), "found")
     links = found.groupBy("point").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("point").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "point")
     rooted = points.select("point", *same, "vec_id", "copies").join(links, "point", "left").join(roots, "point", "left").withColumn("root", F.coalesce("root", "point"))
