@@ -124,6 +124,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def word_numbers(words: list[bytes]) -> np.ndarray:
+    """Each word's number: equal words, equal numbers."""
+    seen: dict[bytes, int] = {}
+    return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
+
+
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words [^\\x20\\x09-\\x0D]+ in an array of UTF-8 bytes."""
     space = (data == 32) | ((data >= 9) & (data <= 13))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staygrid.llm import chat, huffman, language, media, mixing, oracles, packing, quality, simhash, substrings, vectors
+from staygrid.llm import chat, exponion, huffman, language, media, mixing, oracles, packing, periodic, quality, repeats, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -74,6 +74,27 @@ def op9_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op11_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.judge_repetition(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered"]
+    return out.select("doc_id", *[f"repetition.{c}" for c in names])
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_planted_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    run = F.col("periodic")
+    spelt = F.array_join(F.transform(run["runs"], lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return periodic.collapse_runs(docs).select(
+        "doc_id", F.size(run["runs"]).cast("long").alias("n_runs"), run["start"].alias("start"), run["length"].alias("length"), run["period"].alias("period"),
+        F.expr("1000 * periodic.length div periodic.period").alias("exponent_milli"), F.sha2(spelt, 256).alias("runs_sha256"), F.sha2(run["collapsed"], 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_exponion_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exponion.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", exponion.centroid_hash().alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_media_sniffing": op1_media_sniffing,
     "op2_quality_attention": op2_quality_attention,
@@ -85,6 +106,9 @@ QUERIES = {
     "op8_hierarchical_mixing": op8_hierarchical_mixing,
     "op9_chat_templates": op9_chat_templates,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_suffix_repetition": op11_suffix_repetition,
+    "op12_word_runs": op12_word_runs,
+    "op13_exponion_clusters": op13_exponion_clusters,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -92,4 +116,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_collision_counting": oracles.VECTORS,
     "op8_hierarchical_mixing": mixing.ORACLE,
     "op9_chat_templates": oracles.CHAT,
+    "op11_suffix_repetition": oracles.REPEATS,
+    "op12_word_runs": oracles.RUNS,
+    "op13_exponion_clusters": oracles.CLUSTERS,
 }
