@@ -3,12 +3,13 @@
 from staygrid.functions.aggregates import aggregate, in_range
 from staygrid.functions.timeunits import floored_hours, hours_of, reference_hours, whole_hours_between
 from staygrid.operators.compare import (
-    coverage, joined_windows, key_overlap, medians, missingness, normalize_reference, on_common_keys, per_stay_reproduction, reproduction_accuracy, schema_report, stay_overlap, stay_windows,
+    coverage, joined_windows, key_overlap, missingness, normalize_reference, on_common_keys, per_stay_reproduction, reproduction_accuracy, schema_report, stay_overlap, stay_windows,
     table_summary, to_long, value_differences, values_only_in, window_differences, window_summary, worst_examples,
 )
 from staygrid.operators.grid import grid_from_hours, grid_from_times
 from staygrid.operators.items import carry_over, defined_items, item_summary, match_items, observed_items
 from staygrid.operators.mapping import map_by_hours, map_by_time, map_identity
+from staygrid.operators.selection import column_medians, medians
 from staygrid.operators.validate import against_stays, column_report, concept_coverage, range_report, recompute_concept, trace_concept
 from staygrid.operators.wide import hourly, on_grid, ordered, wide_table
 from staygrid.plans.build import build_all, build_variables, debug_concept, event_stays, mapped_events, resolve_stays, run_config, write_all, write_variables

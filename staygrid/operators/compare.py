@@ -10,9 +10,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staygrid.operators import selection
 from staygrid.schemas import KEYS
 
 _LONG = "long"
@@ -107,65 +108,28 @@ def missingness(candidate: DataFrame, reference: DataFrame, joined: DataFrame |
     return _by_concept(joined.agg(F.lit(1).alias("_one"), *cells), concepts, dict.fromkeys(fields, _LONG))
 
 
-#: Quantiles that narrow the values around a median down, and the error of their ranks as a part of one.
-_GRID, _ACCURACY = 200, 10_000
-
-
-def _sketch(value: Column) -> list[Column]:
-    """How many values there are, and their quantiles: sketches that combine before the shuffle."""
-    return [F.count(value).alias("_n"), F.percentile_approx(value, [i / _GRID for i in range(_GRID + 1)], _ACCURACY).alias("_q")]
-
-
-def _bracket(rank: str, step: int) -> Column:
-    """A quantile some grid steps from a rank (from 0): further away than the sketch's error."""
-    place = F.floor(F.col(rank) / F.col("_n") * _GRID) + 1 + step
-    return F.element_at("_q", F.greatest(F.least(place, F.lit(_GRID + 1)), F.lit(1)).cast("int"))
-
-
-def medians(rows: DataFrame, by: str, value: str, output: str = "median") -> DataFrame:
-    """`by` and the exact median of `value` (a double, no nulls) for each group; not-a-number sorts last.
-
-    For few groups of any size: no group's values come together. Two rounds of quantile sketches
-    leave the values around the middle, in which equal ones are counted as one before they are ranked.
-    """
-    number = F.when(~F.isnan(value), F.col(value))
-    sizes = rows.groupBy(by).agg(F.count("*").alias("_all"), *_sketch(number))
-    sizes = sizes.withColumns({"low": F.floor((F.col("_all") - 1) / 2), "high": F.floor(F.col("_all") / 2)})
-    left, want = rows.where(~F.isnan(value)).select(by, value), sizes.where("high < _n")
-    for _ in range(2):
-        ends = want.select(by, "low", "high", _bracket("low", -2).alias("_from"), _bracket("high", 3).alias("_to"))  # a row for each group
-        near, inside = left.join(F.broadcast(ends), by), F.col(value).between(F.col("_from"), F.col("_to"))
-        below = F.count_if(F.col(value) < F.col("_from"))
-        want = near.groupBy(by).agg((F.first("low") - below).alias("low"), (F.first("high") - below).alias("high"), *_sketch(F.when(inside, F.col(value))))
-        left = near.where(inside).select(by, value)
-    each = left.groupBy(by, value).agg(F.count("*").alias("_times"))
-    upto = F.sum("_times").over(Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = each.withColumn("_upto", upto).join(F.broadcast(want.select(by, "low", "high")), by)
-    at = lambda rank: F.max(F.when((F.col(rank) < F.col("_upto")) & (F.col(rank) >= F.col("_upto") - F.col("_times")), F.col(value)))
-    found = ranked.groupBy(by).agg(at("low").alias("_low"), at("high").alias("_high")).select(by, (F.col("_low") * 0.5 + F.col("_high") * 0.5).alias(output))
-    unknown = F.col("high") >= F.col("_n")
-    return sizes.join(found, by, "left").select(by, F.when(unknown, F.lit(float("nan"))).otherwise(F.col(output)).alias(output))
-
-
 def value_differences(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
     """Absolute and relative differences of each concept where both sides know it.
 
-    `joined`: both tables as `on_common_keys` joins them, where that is at hand.
+    Counts, means and quantile sketches of all concepts are one pass over the common rows, and the middle
+    of each is ranked in another (`selection`). `joined`: both tables as `on_common_keys` joins them, where
+    that is at hand.
     """
     concepts = concepts_of(candidate, reference)
     joined = on_common_keys(candidate, reference) if joined is None else joined
-    fields = {"n_both_non_null": _LONG, "mean_abs_diff": "double", "max_abs_diff": "double", "mean_rel_diff": "double"}
-    cells, entries = [], []
-    for i, c in enumerate(concepts):
-        a, b = F.col(f"`{c}`").cast("double"), F.col(f"`{c}_ref`").cast("double")
-        d = F.abs(a - b)
-        cells += [F.count(d).alias(f"{i}_n_both_non_null"), F.avg(d).alias(f"{i}_mean_abs_diff"), F.max(d).alias(f"{i}_max_abs_diff"), F.avg(F.when(b != 0, d / F.abs(b))).alias(f"{i}_mean_rel_diff")]
-        entries.append(F.struct(F.lit(c).alias("concept"), d.alias("abs_diff")))
-    out = _by_concept(joined.agg(F.lit(1).alias("_one"), *cells), concepts, fields)
-    if not concepts:
-        return out.select("concept", "n_both_non_null", "mean_abs_diff", F.lit(None).cast("double").alias("median_abs_diff"), "max_abs_diff", "mean_rel_diff")
-    middle = medians(joined.select(F.inline(F.array(*entries))).where("abs_diff is not null"), "concept", "abs_diff", "median_abs_diff")
-    return out.join(middle, "concept", "left").select("concept", "n_both_non_null", "mean_abs_diff", "median_abs_diff", "max_abs_diff", "mean_rel_diff")
+    schema = "concept string, n_both_non_null long, mean_abs_diff double, max_abs_diff double, mean_rel_diff double"
+    out = joined.sparkSession.createDataFrame([], f"{schema}, median_abs_diff double")
+    for at in range(0, len(concepts), selection.COLUMNS):
+        differences, cells = {}, []
+        for c in concepts[at : at + selection.COLUMNS]:
+            a, b = F.col(f"`{c}`").cast("double"), F.col(f"`{c}_ref`").cast("double")
+            differences[c] = d = F.abs(a - b)
+            cells += [F.avg(d).alias(f"{c}_mean"), F.max(d).alias(f"{c}_max"), F.avg(F.when(b != 0, d / F.abs(b))).alias(f"{c}_rel")]
+        totals, middle = selection.column_medians(joined, differences, cells)
+        rows = [(c, totals[f"{i}_all"], *[totals[f"{c}_{x}"] for x in ("mean", "max", "rel")]) for i, c in enumerate(differences)]
+        part = joined.sparkSession.createDataFrame(rows, schema)
+        out = out.unionByName(part.join(middle, F.col("concept") == F.col("column"), "left").drop("column").withColumnRenamed("median", "median_abs_diff"))
+    return out.select("concept", "n_both_non_null", "mean_abs_diff", "median_abs_diff", "max_abs_diff", "mean_rel_diff")
 
 
 def worst_examples(candidate: DataFrame, reference: DataFrame, concept: str, n: int = 20) -> DataFrame:

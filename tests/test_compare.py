@@ -116,7 +116,7 @@ def test_medians_equal_exact_ones(spark):
     import random
     import statistics
 
-    from staygrid.operators.compare import medians
+    from staygrid.operators.selection import medians
 
     r = random.Random(4)
     groups = {"one": [3.0], "two": [1.0, 2.0], "ties": [5.0] * 1000 + [7.0] * 999, "even": [float(i) for i in range(40_000)], "odd": [r.random() for _ in range(30_001)], "halves": [1.0] * 500 + [2.0] * 500}
@@ -131,6 +131,40 @@ def test_medians_equal_exact_ones(spark):
     assert medians(spark.createDataFrame([], "k string, v double"), "k", "v").count() == 0
 
 
+def test_column_medians_in_several_rounds(spark):
+    """A million different values, ties that hold a third of the rows, and bounds that force rounds."""
+    from pyspark.sql import functions as F
+
+    from staygrid.operators.selection import column_medians
+
+    n = 1_000_000
+    rows = spark.range(n, numPartitions=8).select(
+        F.pmod(F.col("id") * 7919 + 13, F.lit(n)).cast("double").alias("different"),
+        F.when(F.col("id") % 3 == 0, 5e5).otherwise(F.pmod(F.col("id") * 104_729, F.lit(n)).cast("double")).alias("tied"),
+        F.when(F.col("id") % 2 == 0, -1.0).otherwise(1.0).alias("halves"),
+        F.when(F.col("id") % 5 == 0, F.pow(F.col("id").cast("double"), 9)).alias("skewed"),
+        F.when(F.col("id") % 2 == 0, float("inf")).otherwise(F.col("id").cast("double")).alias("infinite"),
+        F.lit(None).cast("double").alias("unknown"), F.when(F.col("id") > 3, float("nan")).otherwise(1.0).alias("numberless"),
+    ).persist()
+    want = rows.select(*[F.median(c).alias(c) for c in rows.columns]).first().asDict()
+    for bound in (50, 1000, 100_000):
+        totals, found = column_medians(rows, {c: F.col(c) for c in rows.columns}, [F.max("different").alias("most")], bound)
+        got = dict(found.collect())
+        assert totals["most"] == n - 1 and "unknown" not in got and got.pop("numberless") != 0
+        assert got == {c: want[c] for c in got} and len(got) == 5, bound
+    rows.unpersist()
+
+
+def test_value_differences_read_the_join_once_a_pass(spark):
+    from staygrid.operators import compare
+
+    a, b = (spark.range(100).selectExpr("id stay_id", "id % 24 time", f"id * {k}D x", "cast(null as double) y") for k in (1, 3))
+    out = compare.value_differences(a, b)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Join") <= 3
+    got = {r["concept"]: r.asDict() for r in out.collect()}
+    assert (got["x"]["n_both_non_null"], got["x"]["median_abs_diff"], got["y"]["n_both_non_null"], got["y"]["median_abs_diff"]) == (100, 99.0, 0, None)
+
+
 def test_window_against_stays(spark):
     from datetime import datetime, timedelta
 
