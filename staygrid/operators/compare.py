@@ -149,9 +149,14 @@ def to_long(wide: DataFrame, concepts: Sequence[str] | None = None) -> DataFrame
 
 
 def values_only_in(one: DataFrame, other: DataFrame) -> DataFrame:
-    """Long values of `one` whose (stay, time, concept) `other` has no value for."""
+    """Long values of `one` whose (stay, time, concept) `other` has no value for; tables are joined wide, a row for each key."""
     concepts = concepts_of(one, other)
-    return to_long(one, concepts).join(to_long(other, concepts), [*KEYS, "concept"], "left_anti")
+    if not concepts:
+        return to_long(one, concepts)
+    known = other.groupBy(*KEYS).agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"_known{i}") for i, c in enumerate(concepts)])
+    alone = [F.when(F.col(f"`{c}`").isNotNull() & ~F.coalesce(F.col(f"_known{i}"), F.lit(False)), F.struct(F.lit(c).alias("concept"), F.col(f"`{c}`").cast("double").alias("value"))) for i, c in enumerate(concepts)]
+    rows = one.select(*KEYS, *[F.col(f"`{c}`") for c in concepts]).join(known, KEYS, "left")
+    return rows.select(*KEYS, F.inline(F.array_compact(F.array(*alone))))
 
 
 def per_stay_reproduction(candidate: DataFrame, reference: DataFrame, concepts: Sequence[str] | None = None) -> DataFrame:

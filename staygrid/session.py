@@ -14,6 +14,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_clusters(spark: SparkSession) -> SparkSession:
+    """Let joins by (stay, time) use tables that lie in buckets of stays, without an exchange."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return spark
+
+
 def build_session(name: str = "staygrid", **conf: str) -> SparkSession:
     """A session with adaptive execution (also for skewed joins) and UTC time."""
     settings = {

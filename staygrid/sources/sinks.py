@@ -1,7 +1,9 @@
-"""Writing tables with provenance that is bound to the data by a random id.
+"""Writing tables with provenance that is bound to the data.
 
-The id is put into the metadata of the first column, which Parquet keeps, and into a sidecar
-beside the table. Writing first removes any sidecar, so none describes older data.
+A table is written as a commit (`commits`): what is told of it is part of the manifest that names its
+files, so both change in one step, and a crash leaves the old table with its provenance or the new one with its own.
+A sidecar beside the table repeats it for other readers, with an id that is also in the metadata of the first
+column, which Parquet keeps. It is removed before a commit and written after, so none describes older data.
 """
 
 from __future__ import annotations
@@ -13,52 +15,63 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staygrid.sources import commits
 from staygrid.sources.place import Place
 
 ID_KEY = "provenance_id"
 
 
 class StaleProvenanceError(ValueError):
-    """A sidecar doesn't belong to the table beside it."""
+    """A table's provenance was told of other data than what is there."""
 
 
 def provenance_path(data_path: str | PathLike) -> Place:
     return Place(data_path).with_suffix(".provenance.json")
 
 
-def write_table(df: DataFrame, data_path: str | PathLike, provenance: dict[str, object] | None) -> Place:
-    """Write `df` as Parquet and, if given, its provenance."""
-    path = Place(data_path)
+def write_table(df: DataFrame, data_path: str | PathLike, provenance: dict[str, object] | None, buckets: int | None = None) -> Place:
+    """Make `df` the content of a Parquet table, with its provenance if given.
+
+    `buckets`: stays are dealt to so many files, sorted inside, for joins and groupings by stay without an exchange.
+    """
+    path, notes = Place(data_path), None
+    if provenance is not None:
+        notes, first = {**provenance, ID_KEY: uuid4().hex}, df.columns[0]
+        df = df.withColumn(first, F.col(f"`{first}`").alias(first, metadata={ID_KEY: notes[ID_KEY]}))
     provenance_path(path).delete()
-    if provenance is None:
-        df.write.mode("overwrite").parquet(str(path))
-        return path
-    key = uuid4().hex
-    first = df.columns[0]
-    df.withColumn(first, F.col(f"`{first}`").alias(first, metadata={ID_KEY: key})).write.mode("overwrite").parquet(str(path))
-    provenance_path(path).write_text(json.dumps({**provenance, ID_KEY: key}, indent=2, default=str))
+    commits.publish(df, path, notes, buckets)
+    _tell(path, notes)
     return path
 
 
+def _tell(path: Place, notes: dict[str, object] | None) -> None:
+    if notes is not None:
+        provenance_path(path).replace_text(json.dumps(notes, indent=2, default=str))
+
+
 def attach_provenance(spark: SparkSession, data_path: str | PathLike, provenance: dict[str, object]) -> Place:
-    """Rewrite a table with provenance: into a folder beside it, which then takes its place."""
-    path = Place(data_path)
-    fresh = path.with_name(f"{path.name}.{uuid4().hex}")
-    write_table(spark.read.parquet(str(path)), fresh, provenance)
+    """Provenance for a table as it lies, whoever wrote it: a commit over the same files, whose rows aren't read."""
+    path, notes = Place(data_path), {**provenance, ID_KEY: uuid4().hex}
     provenance_path(path).delete()
-    path.delete()
-    fresh.rename(path)
-    provenance_path(fresh).rename(provenance_path(path))
+    commits.annotate(spark, path, notes)
+    _tell(path, notes)
     return provenance_path(path)
 
 
 def read_provenance(spark: SparkSession, data_path: str | PathLike, verified: bool = True) -> dict | None:
-    """A table's provenance, None without a sidecar.
+    """A table's provenance: its manifest's, else that of a sidecar; None without either.
 
-    `verified`: StaleProvenanceError unless the sidecar's id is the data's. References come from
-    elsewhere and have no id.
+    `verified`: StaleProvenanceError unless the files are those that the manifest names, or a sidecar's id is the
+    data's. References come from elsewhere and have no id.
     """
-    sidecar = provenance_path(data_path)
+    sidecar, manifest = provenance_path(data_path), commits.manifest_of(data_path)
+    if manifest is not None and manifest.notes is not None:
+        if verified:
+            try:
+                commits.check(data_path, manifest)
+            except commits.StaleTableError as e:
+                raise StaleProvenanceError(f"{e}; build it again or attach its provenance anew") from e
+        return dict(manifest.notes)
     if not sidecar.is_file():
         return None
     notes = json.loads(sidecar.read_text())
