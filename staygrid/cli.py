@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--no-grid", action="store_true")
     p.add_argument("--no-window-filter", action="store_true")
     p.add_argument("--no-sort", action="store_true", help="leave rows in no order")
+    p.add_argument("--buckets", type=int, help="deal stays to so many files, sorted inside, instead of sorting all rows")
     p.add_argument("--missing-concepts", choices=("warn", "fail", "ignore"), default="warn")
     return p
 
@@ -40,14 +41,14 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.config:
         export = run_config(spark, args.config, args.output)
     elif args.all_concepts:
-        export = write_all(spark, args.dataset, args.all_concepts, stay_table=args.stay_table, max_hours=hours, grid=not args.no_grid, concept_dict=args.concept_dict, dataset_version=args.dataset_version)
+        export = write_all(spark, args.dataset, args.all_concepts, stay_table=args.stay_table, max_hours=hours, grid=not args.no_grid, concept_dict=args.concept_dict, dataset_version=args.dataset_version, buckets=args.buckets)
     else:
         if not args.concept_root or not args.output:
             p.error("--concept-root and --output are needed without --config")
         path = lambda v: Place(v) if v else None
         config = BuildConfig(
             concept_root=path(args.concept_root), dataset=args.dataset, version=args.version, dataset_version=args.dataset_version, stay_table=path(args.stay_table), concept_dict=path(args.concept_dict),
-            aggregation=args.aggregation_mode, grid=not args.no_grid, max_hours=hours, rounding=args.grid_end_rounding, window=not args.no_window_filter, missing=args.missing_concepts, output=path(args.output), sort=not args.no_sort,
+            aggregation=args.aggregation_mode, grid=not args.no_grid, max_hours=hours, rounding=args.grid_end_rounding, window=not args.no_window_filter, missing=args.missing_concepts, output=path(args.output), sort=not args.no_sort, buckets=args.buckets,
         )
         export = write_variables(spark, config)
     print(export.path)

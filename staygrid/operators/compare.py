@@ -93,13 +93,13 @@ def on_common_keys(candidate: DataFrame, reference: DataFrame, concepts: Sequenc
     return candidate.select(*KEYS, *[F.col(f"`{c}`") for c in concepts]).join(renamed, KEYS)
 
 
-def missingness(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
-    """On common keys, where each concept is known: on both sides, one or none.
+def missingness(candidate: DataFrame, reference: DataFrame) -> DataFrame:
+    """On common keys, where each concept is known: on both sides, one or none."""
+    return missingness_of(on_common_keys(candidate, reference), concepts_of(candidate, reference))
 
-    `joined`: both tables as `on_common_keys` joins them, where that is at hand.
-    """
-    concepts = concepts_of(candidate, reference)
-    joined = on_common_keys(candidate, reference) if joined is None else joined
+
+def missingness_of(joined: DataFrame, concepts: Sequence[str]) -> DataFrame:
+    """The same of both tables as `on_common_keys` joins them."""
     fields = ("both_non_null", "only_candidate", "only_reference", "both_null")
     cells = []
     for i, c in enumerate(concepts):
@@ -108,15 +108,17 @@ def missingness(candidate: DataFrame, reference: DataFrame, joined: DataFrame |
     return _by_concept(joined.agg(F.lit(1).alias("_one"), *cells), concepts, dict.fromkeys(fields, _LONG))
 
 
-def value_differences(candidate: DataFrame, reference: DataFrame, joined: DataFrame | None = None) -> DataFrame:
-    """Absolute and relative differences of each concept where both sides know it.
+def value_differences(candidate: DataFrame, reference: DataFrame) -> DataFrame:
+    """Absolute and relative differences of each concept where both sides know it."""
+    return differences_of(on_common_keys(candidate, reference), concepts_of(candidate, reference))
+
+
+def differences_of(joined: DataFrame, concepts: Sequence[str]) -> DataFrame:
+    """The same of both tables as `on_common_keys` joins them.
 
     Counts, means and quantile sketches of all concepts are one pass over the common rows, and the middle
-    of each is ranked in another (`selection`). `joined`: both tables as `on_common_keys` joins them, where
-    that is at hand.
+    of each is ranked in another (`selection`).
     """
-    concepts = concepts_of(candidate, reference)
-    joined = on_common_keys(candidate, reference) if joined is None else joined
     schema = "concept string, n_both_non_null long, mean_abs_diff double, max_abs_diff double, mean_rel_diff double"
     out = joined.sparkSession.createDataFrame([], f"{schema}, median_abs_diff double")
     for at in range(0, len(concepts), selection.COLUMNS):
@@ -152,7 +154,7 @@ def values_only_in(one: DataFrame, other: DataFrame) -> DataFrame:
     """Long values of `one` whose (stay, time, concept) `other` has no value for; tables are joined wide, a row for each key."""
     concepts = concepts_of(one, other)
     if not concepts:
-        return to_long(one, concepts)
+        return one.select(*KEYS, F.lit("").alias("concept"), F.lit(None).cast("double").alias("value")).limit(0)
     known = other.groupBy(*KEYS).agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"_known{i}") for i, c in enumerate(concepts)])
     alone = [F.when(F.col(f"`{c}`").isNotNull() & ~F.coalesce(F.col(f"_known{i}"), F.lit(False)), F.struct(F.lit(c).alias("concept"), F.col(f"`{c}`").cast("double").alias("value"))) for i, c in enumerate(concepts)]
     rows = one.select(*KEYS, *[F.col(f"`{c}`") for c in concepts]).join(known, KEYS, "left")
@@ -168,10 +170,15 @@ def per_stay_reproduction(candidate: DataFrame, reference: DataFrame, concepts:
     shared = [c for c in (concepts if concepts is not None else concepts_of(candidate, reference)) if c in candidate.columns and c in reference.columns]
     a = candidate.select(*KEYS, *[F.col(f"`{c}`") for c in shared], F.lit(True).alias("_a"))
     b = reference.select(*KEYS, *[F.col(f"`{c}`").alias(f"{c}_ref") for c in shared], F.lit(True).alias("_b"))
+    return stay_counts(a.join(b, KEYS, "full"), shared)
+
+
+def stay_counts(rows: DataFrame, shared: Sequence[str]) -> DataFrame:
+    """The same of both tables' full join, in which _a and _b are true for rows of either side."""
     left, right = F.col("_a").isNotNull(), F.col("_b").isNotNull()
     equal = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`{c}_ref`")) for c in shared], F.lit(True))
     n = lambda x: F.count_if(x)
-    out = a.join(b, KEYS, "full").groupBy("stay_id").agg(
+    out = rows.groupBy("stay_id").agg(
         n(left).alias("n_rows_candidate"), n(right).alias("n_rows_reference"), n(left & ~right).alias("n_only_candidate_rows"),
         n(right & ~left).alias("n_only_reference_rows"), n(left & right).alias("n_common_rows"), n(left & right & equal).alias("n_equal_rows"),
     )

@@ -13,21 +13,20 @@ from dataclasses import dataclass
 from functools import reduce
 from os import PathLike
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from staygrid import registry
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import grid as grids
 from staygrid.operators import mapping, wide
-from staygrid.operators.compare import table_summary
 from staygrid.operators.validate import trace_concept
 from staygrid.plans.identifiers import candidate_space
 from staygrid.plans.versions import DatasetVersion, provenance_fields, resolve_candidate
 from staygrid.schemas import DATETIME_STAYS, link_column
 from staygrid.session import use_utc
 from staygrid.sources import events as ev
-from staygrid.sources import layout, sinks
+from staygrid.sources import commits, layout, sinks
 from staygrid.sources import stays as st
 from staygrid.sources.concept_dict import ConceptDict
 from staygrid.sources.config import BuildConfig, load_config
@@ -174,6 +173,16 @@ def wide_path(root: str | PathLike, max_hours: int | None) -> Place:
     return Place(root) / ("wide_dyn_all.parquet" if max_hours is None else f"wide_dyn_{max_hours}h.parquet")
 
 
+def _written(table: DataFrame, target: str | PathLike, notes: dict[str, object], buckets: int | None) -> tuple[Place, DataFrame]:
+    """Write a table, and tell of it what was seen meanwhile: its rows and hours; only its stays are read again, for their number."""
+    seen = Observation("written")
+    rows = table.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.min("time").alias("min_time"), F.max("time").alias("max_time"))
+    path = sinks.write_table(rows, target, notes, buckets)
+    told = seen.get
+    stays = commits.read_table(table.sparkSession, path).agg(F.lit("candidate").alias("table"), F.lit(told["n_rows"]).cast("long").alias("n_rows"), F.countDistinct("stay_id").alias("n_stays"))
+    return path, stays.withColumns({c: F.lit(told[c]).cast("long") for c in ("min_time", "max_time")})
+
+
 def write_variables(spark: SparkSession, config: BuildConfig, output: str | PathLike | None = None, stays: Stays | None = None) -> Export:
     """Build the configured variables and write them with provenance."""
     use_utc(spark)
@@ -193,11 +202,11 @@ def write_variables(spark: SparkSession, config: BuildConfig, output: str | Path
     stays = stays or resolve_stays(spark, config.dataset, workspace, config.stay_table, version.version, list(tables.values()), timestamps=True)
     table = build_variables(
         tables, stays, config.dataset, ConceptDict.read(config.concept_dict), aggregation=config.aggregation, version=version.version, window=config.window,
-        grid=config.grid, max_hours=config.max_hours, rounding=config.rounding, sort=config.sort,
+        grid=config.grid, max_hours=config.max_hours, rounding=config.rounding, sort=config.sort and not config.buckets,
     )
     notes = provenance_fields(version, max_hours=config.max_hours, stay_source=stays.source, stay_id_space=candidate_space(config.dataset, stays.source), **(stays.notes or {}))
-    path = sinks.write_table(table, target, notes)
-    return Export(path, version, table_summary(spark.read.parquet(str(path)), "candidate"))
+    path, summary = _written(table, target, notes, config.buckets)
+    return Export(path, version, summary)
 
 
 def run_config(spark: SparkSession, path: str | PathLike, output: str | PathLike | None = None) -> Export:
@@ -207,8 +216,12 @@ def run_config(spark: SparkSession, path: str | PathLike, output: str | PathLike
 def write_all(
     spark: SparkSession, dataset: str, workspace: str | PathLike, *, concept_root: str | PathLike | None = None, stay_table: str | PathLike | None = None, max_hours: int | None = None,
     grid: bool = True, name: str | None = None, output_root: str | PathLike | None = None, concept_dict: str | PathLike | None = None, dataset_version: str | None = None,
+    buckets: int | None = None,
 ) -> Export:
-    """Build every concept there is and write it with provenance and a manifest of its sources."""
+    """Build every concept there is and write it with provenance and a manifest of its sources.
+
+    `buckets`: stays lie in so many files, sorted inside, instead of rows sorted over all files.
+    """
     use_utc(spark)
     home = layout.workspace_of(workspace)
     root = Place(concept_root) if concept_root else layout.concept_root_of(workspace)
@@ -217,15 +230,15 @@ def write_all(
     version = resolve_candidate(dataset, list(tables.values()), root.parent, dataset_version)
     stays = resolve_stays(spark, dataset, home, stay_table, version.version, list(tables.values()))
     metadata = ConceptDict.read(concept_dict) if concept_dict else None
-    table = build_all(tables, stays, dataset, metadata, version=version.version, grid=grid, max_hours=max_hours)
+    table = build_all(tables, stays, dataset, metadata, version=version.version, grid=grid, max_hours=max_hours, sort=not buckets)
     folder = Place(output_root) if output_root else layout.output_root_of(workspace) / dataset
     path = folder / (name or ("all_concepts_wide.parquet" if max_hours is None else f"all_concepts_wide_{max_hours}h.parquet"))
     notes = provenance_fields(version, max_hours=max_hours, stay_source=stays.source, stay_id_space=candidate_space(dataset, stays.source), **(stays.notes or {}))
-    sinks.write_table(table, path, notes)
+    _, summary = _written(table, path, notes, buckets)
     rows = [(c.name, c.version, version.version, version.source, str(c.path)) for c in found]
     manifest = spark.createDataFrame(rows, "concept string, concept_version string, dataset_version string, dataset_version_source string, source_parquet string")
     listed = sinks.write_report(manifest, folder, f"{path.stem}_concepts")
-    return Export(path, version, table_summary(spark.read.parquet(str(path)), "candidate"), listed)
+    return Export(path, version, summary, listed)
 
 
 def debug_concept(
@@ -240,6 +253,6 @@ def debug_concept(
     if path is None:
         raise FileNotFoundError(f"no concept table of {concept!r} ({mapping[concept]})")
     raw, stays = ev.subject_events(ev.read_concept(spark, str(path))), st.datetime_stays(st.read_table(spark, str(Place(stay_table))))
-    wide_ = spark.read.parquet(str(Place(output)))
+    wide_ = commits.read_table(spark, output)
     traced = trace_concept(raw, stays, wide_, concept, aggregation, (metadata or ConceptDict()).bounds(concept), window)
     return {"concept": concept, "concept_folder": mapping[concept], "concept_table": str(path), **traced}

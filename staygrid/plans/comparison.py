@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from staygrid import registry
 from staygrid.operators import compare
+from staygrid.operators.paired import Paired
 from staygrid.plans import scope
 from staygrid.plans.identifiers import StayIds, load_stay_crosswalk
 from staygrid.plans.versions import UNKNOWN_PAIR, DatasetVersion, VersionPair, resolve_reference, scope_label, versions_equal
 from staygrid.schemas import KEYS
-from staygrid.session import use_utc
+from staygrid.session import use_clusters, use_utc
+from staygrid.sources import commits, sinks
 from staygrid.sources import reference as ref
-from staygrid.sources import sinks
 from staygrid.sources.place import Place
 
 
@@ -72,9 +73,12 @@ def compare_tables(
     kept: list[DataFrame] = [mine, theirs, spans]
     ended = spans.where("reference_end is not null").select("stay_id").distinct()
 
+    # the two tables are joined once for everything below
+    pairs = Paired.of(mine, theirs, concepts).held()
+    kept.append(pairs.rows)
     # stays are compared by windows that end, keys and concepts by rows
-    rows = scope.scope_overlap(mine, theirs, concepts, stay_ids.matchable).where("dimension <> 'stays'")
-    overlap = scope._dimension("stays", mine.select("stay_id"), ended, stay_ids.matchable).unionByName(rows)
+    overlap = scope._dimension("stays", mine.select("stay_id"), ended, stay_ids.matchable).unionByName(scope.named_concepts(mine, theirs, concepts))
+    overlap = overlap.unionByName(scope.sized("stay_time_keys", pairs.overlap(KEYS), stay_ids.matchable))
     named = ended.select("stay_id", *[F.lit(None).cast("float").alias(c) for c in concepts if c in theirs.columns])
     differences = scope.scope_differences(mine, named, concepts, stay_ids.matchable, unmapped)
     claims = scope.claims(versions, stay_ids, overlap, unmapped.count())
@@ -90,16 +94,16 @@ def compare_tables(
     chosen = ended if full else ended.join(mine.select("stay_id").distinct(), "stay_id", "left_semi")
     scored = [c for c in concepts if full or c in mine.columns and c in theirs.columns]
     a, b = (df.join(chosen, "stay_id", "left_semi").select(*KEYS, *[c for c in scored if c in df.columns]) for df in (mine, theirs))
-    joined = compare.on_common_keys(a, b).persist(StorageLevel.MEMORY_AND_DISK)
-    per_stay = compare.per_stay_reproduction(a, b).persist(StorageLevel.MEMORY_AND_DISK)
-    kept += [joined, per_stay]
+    pairs = pairs.within(chosen)
+    per_stay = pairs.per_stay().persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(per_stay)
     scores = compare.reproduction_accuracy(per_stay)
     kinds = dict(_row(spark, header).dtypes)
     accuracy = scores.select(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in header.items()], *scores.columns)
     reports |= {
-        "per_stay_reproduction": per_stay, "reproduction_accuracy": accuracy, "key_overlap": compare.key_overlap(a, b), "stay_overlap": compare.stay_overlap(a, b),
+        "per_stay_reproduction": per_stay, "reproduction_accuracy": accuracy, "key_overlap": pairs.key_overlap(), "stay_overlap": pairs.stay_overlap(),
         "table_summary": compare.table_summary(a, "candidate").unionByName(compare.table_summary(b, "reference")), "coverage": compare.coverage(a, b),
-        "missingness": compare.missingness(a, b, joined), "value_diff": compare.value_differences(a, b, joined),
+        "missingness": pairs.missingness(), "value_diff": pairs.value_differences(),
     }
     return Comparison(claims, reports, theirs, spans, tuple(kept))
 
@@ -146,7 +150,7 @@ def compare_files(
     versions = versions_of(spark, dataset, candidate_path, reference_path, candidate_version, reference_version)
     source = registry.reference_source(dataset)
     ids = stay_ids_of(spark, candidate_path, reference_path, source, crosswalk)
-    read = lambda p: spark.read.parquet(str(p))
+    read = lambda p: commits.read_table(use_clusters(spark), p)
     names = list(concepts or registry.DYNAMIC_CONCEPTS)
     result = compare_tables(read(candidate_path), read(reference_path), read(windows_path), names, max_hours=max_hours, versions=versions, stay_ids=ids, unit=unit, paths=(str(candidate_path), str(reference_path)))
     if output_root is None:
@@ -168,9 +172,12 @@ def overview(result: Comparison, n: int = 20) -> dict[str, DataFrame]:
 
 def write_plain_reports(candidate: DataFrame, reference: DataFrame, folder: str | PathLike) -> list[Place]:
     """Six reports of two wide tables as CSV, without versions, windows or scope."""
+    pairs = Paired.of(candidate, reference).held()
     reports = {
         "table_summary": compare.table_summary(candidate, "candidate").unionByName(compare.table_summary(reference, "reference")),
-        "key_overlap": compare.key_overlap(candidate, reference), "stay_overlap": compare.stay_overlap(candidate, reference), "coverage": compare.coverage(candidate, reference),
-        "missingness": compare.missingness(candidate, reference), "value_diff": compare.value_differences(candidate, reference),
+        "key_overlap": pairs.key_overlap(), "stay_overlap": pairs.stay_overlap(), "coverage": compare.coverage(candidate, reference),
+        "missingness": pairs.missingness(), "value_diff": pairs.value_differences(),
     }
-    return [sinks.write_report(df, folder, name) for name, df in reports.items()]
+    written = [sinks.write_report(df, folder, name) for name, df in reports.items()]
+    pairs.rows.unpersist()
+    return written

@@ -25,9 +25,13 @@ def _relationship(matched: bool) -> Column:
 
 def _dimension(name: str, a: DataFrame, b: DataFrame, matched: bool) -> DataFrame:
     """One row of sizes of two identifier sets; nothing is said of what they share if ids don't match."""
-    keys = a.columns
-    joined = a.distinct().withColumn("_a", F.lit(True)).join(b.distinct().withColumn("_b", F.lit(True)), keys, "full")
-    row = joined.agg(F.count("_a").alias("n_candidate"), F.count("_b").alias("n_reference"), F.count_if(F.col("_a") & F.col("_b")).alias("_shared"))
+    joined = a.distinct().withColumn("_a", F.lit(True)).join(b.distinct().withColumn("_b", F.lit(True)), a.columns, "full")
+    return sized(name, joined.agg(F.count("_a").alias("n_candidate"), F.count("_b").alias("n_reference"), F.count_if(F.col("_a") & F.col("_b")).alias("n_common")), matched)
+
+
+def sized(name: str, counts: DataFrame, matched: bool) -> DataFrame:
+    """The row of a dimension from n_candidate, n_reference and n_common."""
+    row = counts.withColumnRenamed("n_common", "_shared")
     told = lambda c: c if matched else F.lit(None).cast("long")
     return row.select(
         F.lit(name).alias("dimension"), "n_candidate", "n_reference", told(F.col("_shared")).alias("n_shared"), told(F.col("n_candidate") - F.col("_shared")).alias("n_candidate_only"),
@@ -39,11 +43,15 @@ def _named(df: DataFrame, concepts: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame([(c,) for c in concepts if c in df.columns], "concept string")
 
 
+def named_concepts(candidate: DataFrame, reference: DataFrame, concepts: Sequence[str]) -> DataFrame:
+    """Size and relationship of the concepts that both tables have columns of."""
+    return _dimension("concepts", _named(candidate, concepts), _named(reference, concepts), True)
+
+
 def scope_overlap(candidate: DataFrame, reference: DataFrame, concepts: Sequence[str], matchable: bool = True) -> DataFrame:
     """Sizes and relationship of stays, concepts and (stay, time) keys."""
     stays = _dimension("stays", candidate.select("stay_id"), reference.select("stay_id"), matchable)
-    names = _dimension("concepts", _named(candidate, concepts), _named(reference, concepts), True)
-    return stays.unionByName(names).unionByName(_dimension("stay_time_keys", candidate.select(*KEYS), reference.select(*KEYS), matchable))
+    return stays.unionByName(named_concepts(candidate, reference, concepts)).unionByName(_dimension("stay_time_keys", candidate.select(*KEYS), reference.select(*KEYS), matchable))
 
 
 def scope_differences(candidate: DataFrame, reference: DataFrame, concepts: Sequence[str], matchable: bool = True, unmapped: DataFrame | None = None) -> DataFrame:

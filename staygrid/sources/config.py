@@ -10,7 +10,10 @@ from staygrid.sources.place import Place
 
 @dataclass(frozen=True)
 class BuildConfig:
-    """What a wide build needs; `max_hours` None: no limit; `sort`: the table's rows by key over all its files."""
+    """What a wide build needs; `max_hours` None: no limit; `sort`: the table's rows by key over all its files.
+
+    `buckets`: instead, stays lie in so many files, sorted inside, so that comparisons join without an exchange.
+    """
 
     concept_root: Place
     dataset: str = "mimic-iv"
@@ -29,6 +32,7 @@ class BuildConfig:
     missing: str = "warn"
     output: Place | None = None
     sort: bool = True
+    buckets: int | None = None
 
 
 def _yaml(path: Place) -> dict:
@@ -72,6 +76,9 @@ def load_config(path: str | PathLike) -> BuildConfig:
         raise ValueError("dynamic_vars isn't a list of names")
     if mapping is not None and not all(isinstance(v, str) for kv in mapping.items() for v in kv):
         raise ValueError("concept_mapping doesn't map names to names")
+    buckets = part["output"].get("buckets")
+    if buckets is not None and not (isinstance(buckets, int) and buckets > 0):
+        raise ValueError("output.buckets isn't a number of files")
     hours = part["grid"].get("max_hours", 168)
     return BuildConfig(
         concept_root=root, dataset=str(part["concepts"].get("dataset", "mimic-iv")), version=_text(part["concepts"].get("version", "1.0.0")),
@@ -79,5 +86,5 @@ def load_config(path: str | PathLike) -> BuildConfig:
         variables=variables, mapping=dict(mapping) if mapping is not None else None, units=units, aggregation=str(part["aggregation"].get("mode", "dictionary")),
         grid=bool(part["grid"].get("include", False)), max_hours=None if hours == -1 else hours, rounding=str(part["grid"].get("end_rounding", "floor")),
         window=bool(part["time"].get("filter_to_stay_window", True)), missing=str(data.get("missing_concepts", "warn")), output=file(part["output"].get("path")),
-        sort=bool(part["output"].get("sort", True)),
+        sort=bool(part["output"].get("sort", True)), buckets=buckets,
     )

@@ -87,6 +87,33 @@ def test_full_scope_scores_everything(spark):
     assert (row["n_common_stays"], row["n_only_reference_stays"], row["n_value_mismatch_rows"]) == (2, 1, 1)
 
 
+def test_all_reports_share_one_join_of_the_tables(spark):
+    from staygrid.operators.paired import Paired
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = _compare(spark, VersionPair(V("2.2"), V("2.2")), StayIds("s", "s"))
+        held = [df for df in out.held if "_a" in df.columns and "_b" in df.columns]
+        assert len(held) == 1
+        for name, df in out.reports.items():
+            joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "+- Join " in line or ":- Join " in line or line.startswith("Join ")]
+            assert not [line for line in joins if "time#" in line], name  # by (stay, time): the one that is held
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        out.release()
+    a, b = _pair(spark)
+    odd = spark.createDataFrame([(None, 1, 2.0), (1, None, 3.0), (9, 9, 9.0), (9, 9, 8.0)], "stay_id long, time long, hr double")
+    a, b = a.select("stay_id", "time", "hr").unionByName(odd), b.select("stay_id", "time", "hr").unionByName(odd.where("time is null or hr > 8"))
+    pairs = Paired.of(a, b)
+    same = lambda x, y: sorted(map(repr, x.collect())) == sorted(map(repr, y.select(*x.columns).collect()))
+    assert same(pairs.key_overlap(), compare.key_overlap(a, b)) and same(pairs.stay_overlap(), compare.stay_overlap(a, b))
+    assert same(pairs.common(), compare.on_common_keys(a, b)) and same(pairs.missingness(), compare.missingness(a, b))
+    assert same(pairs.per_stay(), compare.per_stay_reproduction(a, b)) and same(pairs.value_differences(), compare.value_differences(a, b))
+    some = a.where("stay_id = 1").select("stay_id")
+    assert same(pairs.within(some).per_stay(), compare.per_stay_reproduction(a.where("stay_id = 1"), b.where("stay_id = 1")))
+
+
 def test_cross_version_scores_what_is_shared(spark):
     out = _compare(spark, VersionPair(V("3.1"), V("2.2")), StayIds("s", "s"))
     assert out.claims["validation_level"] == "shared_subset_cross_version" and out.claims["comparison_scope"] == "shared_subset"
