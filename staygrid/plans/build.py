@@ -113,8 +113,10 @@ def mapped_events(concepts: Mapping[str, DataFrame], stays: Stays, dataset: str,
             narrow.setdefault(link, []).append(ev.subject_events_in_hours(rows, scale, version).select("concept", "subject_id", "time_hours", "numeric_value", *([link] if link else [])))
         else:
             narrow.setdefault("time", []).append(ev.subject_events(rows, version))
-    ways = {"identity": mapping.map_identity, "stay": lambda rows: rows, "time": lambda rows: mapping.map_by_time(rows, stays.table, window=window)}
-    by_hours = lambda rows: mapping.map_by_hours(rows, stays.table, window=window)
+    raw = window and stays.source == "raw_table" and {"time", None} & set(narrow)  # a table as it lies: cheap to ask
+    bins = mapping.BIN_HOURS if raw and mapping.crowded(stays.table) else None
+    ways = {"identity": mapping.map_identity, "stay": lambda rows: rows, "time": lambda rows: mapping.map_by_time(rows, stays.table, window=window, bins=bins)}
+    by_hours = lambda rows: mapping.map_by_hours(rows, stays.table, window=window, bins=bins)
     parts = [ways.get(way, by_hours)(reduce(DataFrame.unionByName, tables)) for way, tables in narrow.items()]
     at = lambda df: F.unix_micros(F.col("at").cast("timestamp")) if dict(df.dtypes)["at"] == "timestamp_ntz" else F.col("at")
     return reduce(DataFrame.unionByName, [p.select("concept", "stay_id", "time", at(p).cast("double").alias("at"), "numeric_value") for p in parts])

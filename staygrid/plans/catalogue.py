@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import compare, grid, items, mapping, validate, wide
-from staygrid.plans import build, identifiers, scope
-from staygrid.plans.comparison import Comparison, compare_tables, overview
+from staygrid.operators.paired import Paired
+from staygrid.plans import build, identifiers, review, scope
+from staygrid.plans.comparison import Comparison, compare_files, compare_tables, overview, write_plain_reports
 from staygrid.plans.versions import DatasetVersion, VersionPair
-from staygrid.registry import stay_spec
-from staygrid.session import shared_folder, use_utc
+from staygrid.registry import REFERENCE_STAY_SPACES, stay_spec
+from staygrid.session import shared_folder, use_clusters, use_utc
+from staygrid.sources import commits, layout, sinks
 from staygrid.sources import events as ev
 from staygrid.sources import reference as ref
-from staygrid.sources import sinks
 from staygrid.sources import stays as st
 from staygrid.sources.concept_dict import ConceptDict
 from staygrid.sources.place import Place
@@ -921,3 +922,102 @@ def review_carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = old.select("concept", "item_id", F.lit("x").alias("reviewer_verdict"), F.lit("first look").alias("reviewer_comment"), F.lit("r1").alias("reviewer_name"), F.lit(1).alias("line"))
     second = old.withColumns({"reviewer_comment": F.lit("second look"), "reviewer_name": F.lit("r2"), "line": F.lit(2)})
     return items.carry_over(new, first.unionByName(second), ["concept", "item_id"], "line")
+
+
+# --- through files --------------------------------------------------------------------------
+
+
+@_query(f"WITH {EV}, {MULTI} SELECT s.stay_id, {HOUR} AS time, e.event_id, e.numeric_value FROM ev e JOIN multi s ON e.subject_id = s.subject_id WHERE {INSIDE}")
+def map_by_subject_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As map_by_subject, for subjects with very many stays: events meet the stays of their bin of time."""
+    out = mapping.map_by_time(ev.subject_events(_ev(spark, sf_dir)), _multi(spark, sf_dir), bins=mapping.BIN_HOURS)
+    return out.select("stay_id", "time", "event_id", "numeric_value")
+
+
+@_query(f"WITH {WIDE_A} SELECT stay_id, time, {', '.join(f'round({c}, 6) AS {c}' for c in CONCEPTS)}, '3.1' AS version, true AS intact, (SELECT count(*) FROM a) AS n_rows FROM a")
+def provenance_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that others wrote gets provenance, is committed anew, and its files are verified."""
+    path = Place(shared_folder(spark, "told")) / "wide.parquet"
+    _wide_a(spark, sf_dir).where("stay_id % 2 = 0").write.parquet(str(path))
+    sinks.attach_provenance(spark, path, {"dataset": "x", "version": "2.2"})
+    sinks.write_table(commits.read_table(spark, path).unionByName(_wide_a(spark, sf_dir).where("stay_id % 2 <> 0")), path, {"dataset": "x", "version": "3.1"})
+    intact = commits.verify(spark, path).where("not intact").count() == 0
+    told = {"version": F.lit(sinks.read_provenance(spark, path)["version"]), "intact": F.lit(intact), "n_rows": F.lit(commits.manifest_of(path).rows).cast("long")}
+    return _rounded(commits.read_table(spark, path), *CONCEPTS).withColumns(told)
+
+
+def _in_buckets(spark: SparkSession, sf_dir: str) -> tuple[Place, Place]:
+    """Both wide tables, written in buckets of stays; the first with provenance."""
+    root = Place(shared_folder(spark, "wide"))
+    notes = {"dataset": "mimic-iv", "version": "3.1", "source": "explicit", "representation": "native", "stay_id_space": REFERENCE_STAY_SPACES["miiv"]}
+    for name, table, told in (("candidate", _wide_a(spark, sf_dir), notes), ("reference", _wide_b(spark, sf_dir), None)):
+        sinks.write_table(_rounded(table), root / f"{name}.parquet", told, buckets=8)
+    return root / "candidate.parquet", root / "reference.parquet"
+
+
+@_query(ORACLE_SQL["per_stay_reproduction"])
+def per_stay_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As per_stay_reproduction, of tables in buckets, which are joined without an exchange."""
+    a, b = (commits.read_table(use_clusters(spark), path) for path in _in_buckets(spark, sf_dir))
+    return _rounded(Paired.of(a, b).per_stay())
+
+
+@_query(ORACLE_SQL["comparison_accuracy"].partition("SELECT 'shared_subset'")[0] + """SELECT stay_id, count(*) FILTER (l) AS n_rows_candidate, count(*) FILTER (r) AS n_rows_reference, count(*) FILTER (l AND NOT r) AS n_only_candidate_rows,
+count(*) FILTER (r AND NOT l) AS n_only_reference_rows, count(*) FILTER (l AND r AND eq) AS n_equal_rows FROM f GROUP BY stay_id""")
+def comparison_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A comparison of tables on disk that writes its reports; those of the stays, read back."""
+    candidate, reference = _in_buckets(spark, sf_dir)
+    stays = _stays(spark, sf_dir).where("stay_id % 4 <> 0")
+    end = F.floor((F.unix_micros(F.col("outtime").cast("timestamp")) - F.unix_micros(F.col("intime").cast("timestamp"))) / F.lit(3.6e9))
+    windows = stays.select("stay_id", F.lit(0.0).alias("start"), F.when(F.col("stay_id") % 9 != 0, end.cast("double")).alias("end"))
+    windows.write.parquet(str(candidate.parent / "windows.parquet"))
+    _, folder = compare_files(spark, "mimic-iv", candidate, reference, candidate.parent / "windows.parquet", output_root=candidate.parent, max_hours=500, concepts=CONCEPTS, reference_version="2.2")
+    names = ["stay_id", "n_rows_candidate", "n_rows_reference", "n_only_candidate_rows", "n_only_reference_rows", "n_equal_rows"]
+    return spark.read.csv(str(folder / "per_stay_reproduction.csv"), header=True).select(*[F.col(c).cast("long") for c in names])
+
+
+@_query(ORACLE_SQL["missingness"])
+def plain_reports_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six reports of two tables without versions, written; where concepts are known, read back."""
+    folder = Place(shared_folder(spark, "reports"))
+    write_plain_reports(_wide_a(spark, sf_dir), _wide_b(spark, sf_dir), folder)
+    table = spark.read.csv(str(folder / "missingness.csv"), header=True)
+    return table.select("concept", *[F.col(c).cast("long") for c in table.columns if c != "concept"])
+
+
+@_query(f"""WITH {MATCHED} SELECT concept, side, item_status, item_id, candidate_n_rows, CASE WHEN item_id LIKE '%5' THEN 'accept' WHEN item_id LIKE '%7' THEN 'reject' END AS reviewer_verdict FROM matched""")
+def item_review_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review written, judged by an expert, and written anew: the judgements stay."""
+    folder = Place(shared_folder(spark, "review"))
+    coded = _coded(spark, sf_dir)
+    tables = {c: coded.where(F.col("concept") == c).drop("concept") for c in CONCEPTS}
+    configured = ConceptDict({c: {"sources": {"miiv": told["sources"]["src"]}} for c, told in _dictionary().items()})
+    pair = VersionPair(DatasetVersion("mimic-iv", "3.1", "explicit"), DatasetVersion("reference:miiv", "3.1", "explicit"))
+    made = review.build_review(spark, "mimic-iv", tables, configured, pair, CONCEPTS)
+    path, _ = review.write_review(spark, made, folder)
+    read = lambda: spark.read.csv(str(path), header=True, multiLine=True, escape='"')
+    verdict = F.when(F.col("item_id").endswith("5"), "accept").when(F.col("item_id").endswith("7"), "reject")
+    sinks.replace_rows(read().withColumn("reviewer_verdict", verdict), folder, "item_review")
+    review.write_review(spark, made, folder)
+    return read().select("concept", "side", "item_status", "item_id", F.col("candidate_n_rows").cast("long"), "reviewer_verdict")
+
+
+@_query("SELECT event_type AS concept, CASE WHEN event_type < 'f' THEN '1.0.0' ELSE 'draft' END AS version, count(*) AS n_rows FROM events GROUP BY event_type")
+def concepts_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concept tables found below a concept root, in folders of versions, and their rows."""
+    root = Place(shared_folder(spark, "concepts"))
+    for c in CONCEPTS:
+        _ev(spark, sf_dir).where(F.col("concept") == c).drop("concept").write.parquet(str(root / c / ("1.0.0" if c < "f" else "draft") / "mimic-iv.parquet"))
+    found = layout.discover_concepts(root, "mimic-iv")
+    return reduce(DataFrame.unionByName, [ev.read_concept(spark, str(t.path)).agg(F.lit(t.name).alias("concept"), F.lit(t.version).alias("version"), F.count("*").alias("n_rows")) for t in found])
+
+
+@_query(f"WITH {STAYS} SELECT stay_id, intime, outtime, '3.1' AS version FROM stays WHERE stay_id % 3 = 1")
+def stay_table_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stay table of the wanted version among those below a data root, by what its path says."""
+    root = Place(shared_folder(spark, "data"))
+    for k, folder in enumerate(("mimic-iv-2.2", "mimic-iv-3.1", "mimic-iv-demo-3.1")):
+        table = _stays(spark, sf_dir).where(F.col("stay_id") % 3 == k).withColumn("hadm_id", F.col("stay_id"))
+        table.withColumns({c: F.col(c).cast("string") for c in ("intime", "outtime")}).write.csv(str(root / folder / "icu" / "icustays.csv.gz"), header=True)
+    chosen = layout.resolve_stay_table("mimic-iv", wanted="3.1", environment={"STAYGRID_DATA_ROOT": str(root)})
+    return st.datetime_stays(st.read_table(spark, str(chosen.path))).select("stay_id", "intime", "outtime", F.lit(chosen.version).alias("version"))

@@ -91,14 +91,19 @@ def _id_counts(observed: DataFrame, defined: DataFrame, crosswalk: DataFrame | N
 
 
 def write_review(spark: SparkSession, review: Review, folder: str | PathLike) -> tuple[Place, Place]:
-    """Two CSV files, with the reviewer's entries of the files that they replace."""
+    """Items as a folder of CSV files, written by the executors, and one CSV file of a row for each variable.
+
+    Codes without an identifier are items of their own, so there may be as many as codes: they never pass
+    the driver. Both keep the reviewer's entries of what they replace, one file or a folder of them.
+    """
+    entries = {"item_review": (review.items, ["concept", "side", "item_id"]), "item_review_summary": (review.summary, ["concept"])}
     out = []
-    for name, df, keys in (("item_review", review.items, ["concept", "side", "item_id"]), ("item_review_summary", review.summary, ["concept"])):
-        path = Place(folder) / f"{name}.csv"
-        if path.is_file():
-            old = spark.read.csv(str(path), header=True, multiLine=True, escape='"').coalesce(1)
-            df = items.carry_over(df, old.withColumn("_line", F.monotonically_increasing_id()), keys, "_line")
-        out.append(sinks.write_report(df, folder, name))
+    for name, (df, keys) in entries.items():
+        path = sinks.restored_rows(folder, name)
+        if path.exists():
+            old = spark.read.csv(str(path), header=True, multiLine=True, escape='"')  # a file is one task's
+            df = items.carry_over(df, old.withColumn("_line", F.struct("_metadata.file_name", F.monotonically_increasing_id())), keys, "_line")
+        out.append(sinks.replace_rows(df, folder, name) if name == "item_review" else sinks.write_report(df, folder, name))
     return out[0], out[1]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from staygrid.functions.timeunits import hours_of
 from staygrid.schemas import LINK_COLUMNS, STAY_EVENTS, SUBJECT_EVENTS, VERSION_COLUMN, require_columns
@@ -47,10 +48,28 @@ def read_concept(spark: SparkSession, path: str, concept: str | None = None) ->
 
 
 def dataset_versions(tables: list[DataFrame]) -> list[str] | None:
-    """Distinct dataset versions over concept tables; None if one has no such column."""
+    """Distinct dataset versions over concept tables; None if one has no such column.
+
+    Each pass looks for one more version: any row of another than those known. Row groups that hold
+    a known version alone are passed over by their footers' statistics, so no data is read to confirm
+    that there are no more; a pass stops at the first row it finds.
+    """
     if not tables or any(VERSION_COLUMN not in t.columns for t in tables):
         return None if tables else []
-    found = tables[0].select(F.col(VERSION_COLUMN).cast("string").alias("v"))
-    for t in tables[1:]:
-        found = found.union(t.select(F.col(VERSION_COLUMN).cast("string")))
-    return sorted(r["v"] for r in found.where("v is not null").distinct().collect())  # a few versions
+    found: list[str] = []
+    while row := _rows_of_other_versions(tables, found).first():
+        found.append(row["v"])
+    return sorted(found)
+
+
+def _rows_of_other_versions(tables: list[DataFrame], known: list[str]) -> DataFrame:
+    out = None
+    for t in tables:
+        v = F.col(VERSION_COLUMN)
+        v = v if t.schema[VERSION_COLUMN].dataType == StringType() else v.cast("string")  # a cast would keep the filter from the files
+        part = t.where(v.isNotNull())
+        for k in known:
+            part = part.where(v != k)
+        part = part.select(v.alias("v"))
+        out = part if out is None else out.union(part)
+    return out

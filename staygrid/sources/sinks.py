@@ -89,6 +89,31 @@ def write_rows(df: DataFrame, folder: str | PathLike, name: str) -> Place:
     return path
 
 
+def _kept(path: Place) -> Place:
+    return path.with_name(f"_{path.name}.kept")
+
+
+def restored_rows(folder: str | PathLike, name: str) -> Place:
+    """Where the rows of a report are; those that a `replace_rows` which didn't end had put aside are put back."""
+    path = Place(folder) / f"{name}.csv"
+    if not path.exists() and _kept(path).exists():
+        _kept(path).rename(path)
+    return path
+
+
+def replace_rows(df: DataFrame, folder: str | PathLike, name: str) -> Place:
+    """As `write_rows`, where `df` may read what it replaces: that is put aside only once the new rows are written."""
+    path = restored_rows(folder, name)
+    fresh = path.with_name(f"_{path.name}.{uuid4().hex}")
+    df.write.csv(str(fresh), header=True, escape='"')
+    _kept(path).delete()
+    if path.exists():
+        path.rename(_kept(path))
+    fresh.rename(path)
+    _kept(path).delete()
+    return path
+
+
 def write_report(df: DataFrame, folder: str | PathLike, name: str) -> Place:
     """A report of few rows, which go through the driver, as one CSV file with a header."""
     path = Place(folder) / f"{name}.csv"

@@ -2,6 +2,8 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+
 from staygrid.operators import grid, mapping, wide
 from staygrid.sources import events as ev
 from staygrid.sources import stays as st
@@ -95,3 +97,59 @@ def test_conditional_form_equals_joins(spark):
         chain = one if chain is None else chain.join(one, ["stay_id", "time"], "full")
     key = lambda df: sorted((r["stay_id"], r["time"], *(None if r[c] is None else round(r[c], 9) for c in names)) for r in df.collect())
     assert key(wide.wide_table(events, names)) == key(chain) == key(wide.wide_table(events, names, widest=1))
+
+
+def test_a_subject_with_many_stays(spark):
+    """Bins give what the plain join gives, and events meet few of a subject's thousand stays."""
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    t0 = datetime(2150, 1, 1)
+    stays = [(1, k, t0 + timedelta(days=3 * k), t0 + timedelta(days=3 * k + 4, minutes=k)) for k in range(1000)]
+    odd = [(2, 5000, t0, None), (2, 5001, t0 + timedelta(days=30), t0 + timedelta(days=29)), (2, 5002, t0, t0 + timedelta(days=2000)), (None, 5003, t0, None), (3, 5004, t0 - timedelta(days=9000), t0 - timedelta(days=8999))]
+    events = [(1, t0 + timedelta(hours=7 * k), float(k)) for k in range(3000)] + [(2, t0 + timedelta(days=k), 1.0) for k in range(-3, 60)]
+    events += [(1, None, 1.0), (None, t0, 1.0), (3, t0 - timedelta(days=9000), 3.0), (1, t0 + timedelta(days=4), 0.5)]
+    e = spark.createDataFrame(events, "subject_id long, time timestamp_ntz, numeric_value double")
+    hours = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(3.6e9)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for rows, bounded in ((stays, True), (stays + odd, False)):
+        s = spark.createDataFrame(rows, "subject_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz")
+        assert mapping.crowded(s) and not mapping.crowded(s.where("stay_id >= 5000"))
+        for many in (1.0, 168.0, 5000.0):
+            got, want = (mapping.map_by_time(e, s, bins=b).collect() for b in (many, None))
+            assert sorted(map(repr, got)) == sorted(map(repr, want))
+            eh, sh = e.select("subject_id", hours("time").alias("time_hours"), "numeric_value"), s.select("subject_id", "stay_id", hours("intime").alias("intime_hours"), hours("outtime").alias("outtime_hours"))
+            got, want = (mapping.map_by_hours(eh, sh, bins=b).collect() for b in (many, None))
+            assert sorted(map(repr, got)) == sorted(map(repr, want))
+        if bounded:
+            place = lambda c: hours(c) / 168
+            met = mapping._meeting(e, s, place("time"), place("intime"), place("outtime"))
+            assert met.count() < 5 * len(events) < e.join(s, "subject_id").count() / 100
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
+def test_versions_by_footers(spark, tmp_path):
+    """Files that hold a known version alone are settled by their footers: their data may be unreadable."""
+    from pyspark.sql import functions as F
+
+    from staygrid.sources.events import dataset_versions
+
+    ids = spark.range(20_000, numPartitions=1).withColumn("x", F.rand(1))
+    versions = F.when(F.col("id") < 10, "3.1").otherwise("2.2").alias("dataset_version")
+    ids.select("id", "x", versions).write.parquet(str(tmp_path / "a.parquet"))
+    ids.limit(500).select("id", "x", F.lit("2.2").alias("dataset_version")).coalesce(1).write.option("compression", "none").parquet(str(tmp_path / "b.parquet"))
+    (file,) = (tmp_path / "b.parquet").glob("part-*")
+    raw = bytearray(file.read_bytes())
+    footer = int.from_bytes(raw[-8:-4], "little")
+    raw[4 : len(raw) - 8 - footer] = bytes(len(raw) - 12 - footer)
+    file.write_bytes(raw)
+    for crc in (tmp_path / "b.parquet").glob(".*.crc"):
+        crc.unlink()
+    a, b = (spark.read.parquet(str(tmp_path / f"{n}.parquet")) for n in "ab")
+    with pytest.raises(Exception):  # noqa: B017
+        b.agg(F.max("dataset_version")).collect()
+    assert dataset_versions([a, b]) == ["2.2", "3.1"]
+    assert dataset_versions([a, a.drop("dataset_version")]) is None and dataset_versions([]) == []
+    odd = spark.createDataFrame([(None,), (2,), (3,)], "dataset_version int")
+    assert dataset_versions([odd, odd.where("false")]) == ["2", "3"]

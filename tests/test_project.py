@@ -142,15 +142,21 @@ def test_item_review(spark, tmp_path):
     summary = {r["concept"]: r for r in out.summary.collect()}
     assert summary["hr"]["n_shared"] == 1 and summary["hr"]["relationship"] == "partial_overlap" and not summary["temp"]["candidate_concept_found"]
     path, _ = review.write_review(spark, out, tmp_path)
-    text = path.read_text().replace(",,,\n", ",,,\n")
-    lines = text.splitlines()
-    at = lines[0].split(",").index("reviewer_verdict")
-    assert at > 0
+    assert path.is_dir() and "reviewer_verdict" in spark.read.csv(str(path), header=True).columns
     old = spark.createDataFrame([("hr", "both", "220045", "accept", "fine", "me")], "concept string, side string, item_id string, reviewer_verdict string, reviewer_comment string, reviewer_name string")
     kept = items.carry_over(out.items, old, ["concept", "side", "item_id"]).where("item_id = '220045'").first()
     assert kept["reviewer_verdict"] == "accept" and kept["reviewer_comment"] == "fine"
+    judged = spark.read.csv(str(path), header=True, multiLine=True, escape='"').toPandas().assign(reviewer_verdict="accept", reviewer_comment='a "b",\nc')
+    path.rename(path.with_name("put_aside"))
+    judged.to_csv(tmp_path / "item_review.csv", index=False)  # an expert's single file
     again, _ = review.write_review(spark, out, tmp_path)
-    assert again == path
+    assert again == path and path.is_dir()
+    third, _ = review.write_review(spark, out, tmp_path)
+    rows = spark.read.csv(str(third), header=True, multiLine=True, escape='"').collect()
+    assert len(rows) == len(judged) and {(r["reviewer_verdict"], r["reviewer_comment"]) for r in rows} == {("accept", 'a "b",\nc')}
+    path.rename(path.with_name("_item_review.csv.kept"))  # a run that died while it replaced the rows
+    review.write_review(spark, out, tmp_path)
+    assert {r["reviewer_verdict"] for r in spark.read.csv(str(path), header=True, multiLine=True, escape='"').collect()} == {"accept"}
     with pytest.raises(ValueError):
         review.build_review(spark, "mimic-iv", {"hr": spark.createDataFrame(rows, code).drop("source_code")}, meta, versions, ["hr"])
 
