@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from staygrid.functions.aggregates import in_range
 from staygrid.operators import compare, grid, items, mapping, validate, wide
 from staygrid.operators.paired import Paired
-from staygrid.plans import build, identifiers, review, scope
+from staygrid.plans import build, identifiers, inventory, review, scope
 from staygrid.plans.comparison import Comparison, compare_files, compare_tables, overview, write_plain_reports
 from staygrid.plans.versions import DatasetVersion, VersionPair
 from staygrid.registry import REFERENCE_STAY_SPACES, stay_spec
@@ -1021,3 +1021,31 @@ def stay_table_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
         table.withColumns({c: F.col(c).cast("string") for c in ("intime", "outtime")}).write.csv(str(root / folder / "icu" / "icustays.csv.gz"), header=True)
     chosen = layout.resolve_stay_table("mimic-iv", wanted="3.1", environment={"STAYGRID_DATA_ROOT": str(root)})
     return st.datetime_stays(st.read_table(spark, str(chosen.path))).select("stay_id", "intime", "outtime", F.lit(chosen.version).alias("version"))
+
+
+_KNOWN_AS = ("explicit", "concept_column", "manual_default", "unknown")
+_PAIRED_WITH = (("mimic-iv", "raw_table", "miiv"), ("aumc", "events", "aumc"), ("hirid", "raw_table", "hirid"))
+
+
+@_query(f"""WITH p AS (SELECT *, o_orderkey % 3 AS k, [{", ".join(repr(x) for x in _KNOWN_AS)}][1 + o_orderkey % 4] AS candidate_source, o_custkey % 5 = 0 AS has_crosswalk,
+  (o_orderkey // 4) % 3 AS major, (o_custkey // 5) % 2 AS other, o_custkey % 4 AS n_candidate, o_orderkey % 7 AS n_reference FROM orders),
+v AS (SELECT *, least(n_candidate, n_reference) AS n_shared, candidate_source <> 'unknown' AS known, candidate_source IN ('explicit', 'concept_column') AS verified, major = other AS same, k <> 1 OR has_crosswalk AS matchable FROM p)
+SELECT o_orderkey, CASE WHEN known THEN same END AS same_version, CASE WHEN has_crosswalk THEN 'crosswalk' WHEN k = 1 THEN 'side_by_side_only' ELSE 'direct_identifier_match' END AS stay_comparison_basis,
+CASE WHEN NOT matchable THEN 'not_applicable' WHEN has_crosswalk THEN 'crosswalk' WHEN verified AND same THEN 'same_verified_version' ELSE 'unverified_cross_version_stability' END AS stay_id_version_assumption,
+CASE WHEN NOT matchable OR n_shared = 0 THEN 'not_comparable' WHEN NOT verified THEN 'shared_subset_unverified_version' WHEN NOT same THEN 'shared_subset_cross_version' WHEN has_crosswalk THEN 'shared_subset_stay_crosswalk' ELSE 'full_same_version' END AS validation_level,
+CASE WHEN NOT matchable THEN 'not_comparable' WHEN verified AND same AND NOT has_crosswalk THEN 'high' ELSE 'medium' END AS stay_comparison_confidence,
+CASE WHEN NOT matchable OR n_shared = 0 THEN 'not_directly_comparable' WHEN n_candidate = n_reference THEN 'equal' WHEN n_shared = n_reference THEN 'candidate_superset' ELSE 'reference_superset' END AS stay_relationship FROM v""")
+def pairs_assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of many comparisons allows to conclude, one for each order."""
+    o, c = _table(spark, sf_dir, "orders"), F.col
+    told = lambda values, k: F.element_at(F.array(*[F.lit(v) for v in values]), (k + 1).cast("int"))
+    k, source = c("o_orderkey") % 3, told(_KNOWN_AS, c("o_orderkey") % 4)
+    given, declared = (F.when(c("o_orderkey") % 2 == want, F.concat(F.lit("0"), (F.floor(c("o_custkey") / 5) % 2).cast("string"), F.lit(".0"))) for want in (0, 1))
+    version, how = inventory.reference_evidence(given, declared, F.lit("9.9"), told([x[2] for x in _PAIRED_WITH], k))
+    pairs = o.select(
+        "o_orderkey", *[told([x[i] for x in _PAIRED_WITH], k).alias(n) for i, n in enumerate(("candidate_dataset", "candidate_stay_source", "reference_source"))],
+        F.when(source != "unknown", F.concat(F.lit("v"), (F.floor(c("o_orderkey") / 4) % 3).cast("string"))).alias("candidate_version"), source.alias("candidate_version_source"),
+        version.alias("reference_version"), how.alias("reference_version_source"), (c("o_custkey") % 5 == 0).alias("has_crosswalk"),
+        (c("o_custkey") % 4).alias("n_candidate"), (c("o_orderkey") % 7).alias("n_reference"), F.least(c("o_custkey") % 4, c("o_orderkey") % 7).alias("n_shared"),
+    )
+    return inventory.assess(pairs).select("o_orderkey", "same_version", "stay_comparison_basis", "stay_id_version_assumption", "validation_level", "stay_comparison_confidence", "stay_relationship")

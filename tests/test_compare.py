@@ -205,3 +205,45 @@ def test_window_against_stays(spark):
         assert list(got[100].asDict()) == ["subject_id", "hadm_id", "stay_id", "intime", "outtime", "los_hours", "expected_start", "expected_end", "dyn_start", "dyn_end", "dyn_n_timepoints", "diff_start", "diff_end"]
         assert (got[100]["los_hours"], got[100]["expected_end"], got[100]["dyn_n_timepoints"], got[100]["diff_start"], got[100]["diff_end"]) == (2.5, end, 3, 0, 2 - end)
         assert (got[200]["los_hours"], got[200]["expected_end"], got[200]["dyn_end"], got[200]["diff_end"]) == (None, None, None, None)
+
+
+def test_an_inventory_of_pairs_follows_the_same_rules(spark):
+    """Every combination, against the rules for one pair."""
+    from itertools import product
+
+    from staygrid import registry
+    from staygrid.plans import inventory
+    from staygrid.plans.versions import STATED, resolve_reference
+
+    texts = [None, "v2.2", " 2.2.0", "02.2", "3.1", "3.1-demo", "0", "0.0"]
+    sources = ["explicit", "manual_default", "unknown", None]
+    sizes = [(3, 3, 3), (4, 3, 3), (3, 4, 3), (3, 3, 2), (3, 3, 0), (None, None, None)]
+    spaces = [("mimic-iv", "raw_table", "miiv"), ("AUMC", "events", "aumc"), ("nothing", "raw_table", "none"), (None, None, None)]
+    rows = [(*space[:2], a, sa, space[2], b, sb, walk, *size) for a, b, sa, sb, size, space, walk in product(texts[:5], texts, sources, sources[:2], sizes[::2], spaces, (True, False, None))]
+    rows += [("mimic-iv", "raw_table", "2.2", "explicit", "miiv", "2.2", "explicit", False, *size) for size in sizes]
+    types = ["string"] * 7 + ["boolean"] + ["long"] * 3
+    pairs = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(inventory.PAIR, types, strict=True)))
+    for r in inventory.assess(pairs).collect():
+        a, b = r["candidate_version"], r["reference_version"]
+        same = versions_equal(a, b)
+        assert r["same_version"] is same
+        known = [v is not None and s in STATED for v, s in ((a, r["candidate_version_source"]), (b, r["reference_version_source"]))]
+        assert r["versions_verified"] == all(known)
+        mine = candidate_space(r["candidate_dataset"] or "", r["candidate_stay_source"] or "")
+        ids = StayIds(mine, registry.REFERENCE_STAY_SPACES.get(r["reference_source"]), pairs if r["has_crosswalk"] else None)
+        assert r["candidate_stay_id_space"] == mine and r["stay_comparison_basis"] == ids.basis
+        pair = VersionPair(*(V(v or "1", "explicit" if k else "manual_default") for v, k in zip((a, b), known, strict=True)))
+        comparable, full = ids.matchable and bool(r["n_shared"]), all(known) and same is True and ids.basis == "direct_identifier_match"
+        both = all(known) and same is True
+        want = "shared_subset_stay_crosswalk" if comparable and both and not full else pair.level(comparable) if all(known) or not comparable else "shared_subset_unverified_version"
+        assert r["validation_level"] == want, r
+        assert r["comparison_scope"] == ("full" if full else "shared_subset")
+        sizes_of = (r["n_candidate"], r["n_reference"], r["n_shared"])
+        assert r["stay_relationship"] == relationship(*sizes_of, ids.matchable)
+    from pyspark.sql import functions as F
+
+    given = spark.createDataFrame([("1", "2", "3", "miiv"), (None, "2", "3", "miiv"), ("", None, "3", "miiv"), (None, None, None, "miiv"), (None, None, None, "nowhere")], "explicit string, declared string, address string, source string")
+    version, how = inventory.reference_evidence(*[F.col(c) for c in given.columns])
+    got = [tuple(r) for r in given.select(version, how).collect()]
+    supposed = resolve_reference("miiv")
+    assert got == [("1", "explicit"), ("2", "provenance_file"), ("3", "reference_config"), (supposed.version, supposed.source), (None, "unknown")]
