@@ -3,12 +3,13 @@
 Each language has a probability for every piece of a fixed public vocabulary. A word's
 probability is the sum over all its segmentations into pieces, by the forward algorithm; a
 text's is the product over its words. Piece probabilities are learned by expectation-
-maximisation from the words of a bounded sample: DOCS_PER_LANG documents of each language, of
-the MAX_LANGS languages that most documents have.
+maximisation from the words of a bounded sample, DOCS_PER_LANG documents of each language. A language
+learns from its own words alone, so each is a task of its own; a model holds a number for each
+language and piece.
 
 Words are whole runs of letters, and pieces all of the vocabulary that such words can hold. Words
-of over LONG letters (rare, but for scripts without blanks and junk) go letter by letter with
-rescaling instead of beside others of their length, and aren't learned from.
+of over LONG letters (rare, but for scripts without blanks and junk) are scored letter by letter with
+rescaling, and learned from by logarithms, instead of beside others of their length.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; ties go to the
 language that sorts first; repeated rows get equal answers; without any language to learn every
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import exp, inf, log
 
 import numpy as np
 import pandas as pd
@@ -30,12 +32,14 @@ from pyspark.sql import functions as F
 
 from staygrid.llm.common import about, held_out, tune
 
-DOCS_PER_LANG, MAX_LANGS, ROUNDS, LONG, FLOOR, CACHE = 400, 256, 4, 40, 1e-7, 200_000
+DOCS_PER_LANG, ROUNDS, LONG, FLOOR, CACHE = 400, 4, 40, 1e-7, 200_000
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 _PIECE = regex.compile(r"\u2581?[\p{L}\p{M}]*")
 #: Letters of a long word that are looked up at a time, and sums below which they are rescaled.
 STRETCH, SMALL = 4096, 1e-100
+#: Words of one length that go together for one language, and sampled documents whose ids are broadcast at most.
+TOGETHER, BROADCAST = 32_768, 2_000_000
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -85,6 +89,17 @@ class Pieces:
         return out
 
 
+    def places(self, word: str) -> Iterator[list[tuple[int, int]]]:
+        """For each character of a word (and the mark of its beginning): size and number of the pieces that begin there, the shortest first."""
+        codes = characters([word])
+        for begin in range(0, codes.shape[1], STRETCH):
+            hits: list[list[tuple[int, int]]] = [[] for _ in range(min(STRETCH, codes.shape[1] - begin))]
+            for size, ids in enumerate(self.of(codes[:, begin : begin + STRETCH + self.longest - 1]), 1):
+                for place in np.flatnonzero(ids[0, : len(hits)] >= 0).tolist():
+                    hits[place].append((size, int(ids[0, place])))
+            yield from hits
+
+
 def characters(words: list[str]) -> np.ndarray:
     """A row of code points for each of some words of one length, the mark of a word's beginning first."""
     text = "".join("▁" + w for w in words)
@@ -105,10 +120,10 @@ def _forward(found: list[np.ndarray], probability: np.ndarray) -> np.ndarray:
     return alpha
 
 
-def _by_length(words: list[str]) -> Iterator[np.ndarray]:
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
+def _by_length(words: list[str], langs: int = 1) -> Iterator[np.ndarray]:
+    lengths, most = np.fromiter(map(len, words), np.int64, len(words)), max(TOGETHER // max(langs, 1), 16)
     for n in np.unique(lengths):
-        yield from np.array_split(np.flatnonzero(lengths == n), -(-int((lengths == n).sum()) // 8192))
+        yield from np.array_split(np.flatnonzero(lengths == n), -(-int((lengths == n).sum()) // most))
 
 
 class Model:
@@ -126,7 +141,7 @@ class Model:
         self.pieces = self.pieces or Pieces(self.path)
         out = np.zeros((len(words), len(self.langs)))
         short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], np.int64)
-        for at in _by_length([words[i] for i in short]):
+        for at in _by_length([words[i] for i in short], len(self.langs)):
             at = short[at]
             out[at] = np.log(_forward(self.pieces.of(characters([words[i] for i in at])), self.probability)[-1])
         for i in np.setdiff1d(np.arange(len(words)), short):
@@ -135,43 +150,69 @@ class Model:
 
     def _long(self, word: str) -> np.ndarray:
         """`word_scores` of one word: sums of the places ahead alone, rescaled for each language as they get small."""
-        codes, ring = characters([word]), self.pieces.longest + 1
-        ahead, total = np.zeros((ring, len(self.langs))), np.zeros(len(self.langs))
+        ring = self.pieces.longest + 1
+        ahead, total, place = np.zeros((ring, len(self.langs))), np.zeros(len(self.langs)), -1
         ahead[0] = 1
-        for begin in range(0, codes.shape[1], STRETCH):
-            found = self.pieces.of(codes[:, begin : begin + STRETCH + ring - 2])
-            hits: list[list[tuple[int, int]]] = [[] for _ in range(min(STRETCH, codes.shape[1] - begin))]
-            for size, ids in enumerate(found, 1):
-                for place in np.flatnonzero(ids[0, : len(hits)] >= 0).tolist():
-                    hits[place].append((size, ids[0, place]))
-            for place, pieces in enumerate(hits, begin):
-                here = ahead[place % ring].copy()
-                ahead[place % ring] = 0
-                if here.min() < SMALL:
-                    factor = np.where(here < SMALL, 1 / SMALL, 1.0)
-                    here, ahead, total = here * factor, ahead * factor, total - np.log(factor)
-                if not pieces or pieces[0][0] > 1:
-                    ahead[(place + 1) % ring] += here * FLOOR
-                for size, piece in pieces:
-                    ahead[(place + size) % ring] += here * self.probability[piece]
-        return total + np.log(ahead[codes.shape[1] % ring])
-
-
-def fit(path: str, counts: dict[str, dict[str, int]], rounds: int = ROUNDS) -> Model:
-    """Expectation-maximisation from word counts of each language."""
-    langs, pieces = sorted(counts), Pieces(path)
-    words = sorted({w for c in counts.values() for w in c if len(w) <= LONG})
-    weight = np.array([[counts[g].get(w, 0) for g in langs] for w in words], np.float64).reshape(len(words), len(langs))
+        for place, pieces in enumerate(self.pieces.places(word)):
+            here = ahead[place % ring].copy()
+            ahead[place % ring] = 0
+            if here.min() < SMALL:
+                factor = np.where(here < SMALL, 1 / SMALL, 1.0)
+                here, ahead, total = here * factor, ahead * factor, total - np.log(factor)
+            if not pieces or pieces[0][0] > 1:
+                ahead[(place + 1) % ring] += here * FLOOR
+            for size, piece in pieces:
+                ahead[(place + size) % ring] += here * self.probability[piece]
+        return total + np.log(ahead[(place + 1) % ring])
+
+
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + log(sum(exp(t - top) for t in terms))
+
+
+def _long_shares(pieces: Pieces, word: str, probability: np.ndarray, expected: np.ndarray, weight: float) -> None:
+    """Add to `expected` how often each piece is in a word, over all its segmentations: forward and backward sums as logarithms."""
+    hits = list(pieces.places(word))
+    n = len(hits)
+    steps = [[(size, log(probability[piece]), piece) for size, piece in some] for some in hits]
+    for some in steps:
+        if not some or some[0][0] > 1:
+            some.append((1, log(FLOOR), -1))
+    ahead, behind = [[] for _ in range(n + 1)], [0.0] * (n + 1)
+    ahead[0].append(0.0)
+    alpha = [0.0] * (n + 1)
+    for place in range(n + 1):
+        alpha[place] = _log_sum(ahead[place]) if ahead[place] else -inf
+        ahead[place] = []
+        for size, p, _ in steps[place] if place < n else ():
+            ahead[place + size].append(alpha[place] + p)
+    for place in range(n - 1, -1, -1):
+        behind[place] = _log_sum([p + behind[place + size] for size, p, _ in steps[place]])
+        for size, p, piece in steps[place]:
+            if piece >= 0:
+                expected[piece] += weight * exp(alpha[place] + p + behind[place + size] - alpha[n])
+
+
+def learn(pieces: Pieces, counts: dict[str, int], rounds: int = ROUNDS) -> np.ndarray:
+    """One language's piece probabilities (the last, for no piece, is 0), by expectation-maximisation from its words' counts."""
+    words = sorted(w for w in counts if len(w) <= LONG)
+    weight = np.array([counts[w] for w in words], np.float64)[:, None]
     groups = [(at, pieces.of(characters([words[i] for i in at]))) for at in _by_length(words)]
+    long = {w: n for w, n in sorted(counts.items()) if len(w) > LONG}
 
     def normal(expected: np.ndarray) -> np.ndarray:
         smooth = expected[:-1] + 0.05
-        return np.vstack((smooth / smooth.sum(0), np.zeros(len(langs))))
+        return np.vstack((smooth / smooth.sum(0), np.zeros(1)))
 
-    expected = np.zeros((pieces.size + 1, len(langs)))
+    expected = np.zeros((pieces.size + 1, 1))
     for at, found in groups:
         for ids in found:
             np.add.at(expected, ids.T, weight[at])
+    for word, n in long.items():
+        for some in pieces.places(word):
+            for _, piece in some:
+                expected[piece] += n
     probability = normal(expected)
     for _ in range(rounds):
         expected = np.zeros_like(probability)
@@ -189,8 +230,16 @@ def fit(path: str, counts: dict[str, dict[str, int]], rounds: int = ROUNDS) -> M
                     beta[begin] += share
                     np.add.at(expected, ids, alpha[begin] * share)
                 beta[begin] += beta[begin + 1] * (FLOOR * (found[0][:, begin] < 0))[:, None]
+        for word, n in long.items():
+            _long_shares(pieces, word, probability[:, 0], expected[:, 0], n)
         probability = normal(expected)
-    return Model(path, langs, probability)
+    return probability[:, 0]
+
+
+def fit(path: str, counts: dict[str, dict[str, int]], rounds: int = ROUNDS) -> Model:
+    """A model from word counts of each language."""
+    pieces = Pieces(path)
+    return Model(path, sorted(counts), np.stack([learn(pieces, counts[g], rounds) for g in sorted(counts)], axis=1))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,14 +255,19 @@ def train(docs: DataFrame, path: str | None = None, per_lang: int = DOCS_PER_LAN
     learnable = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     learnable = learnable.where("lang is not null and text is not null").where(~held_out())
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    counts = learnable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    few = learnable.select("doc_id", "lang").join(F.broadcast(counts), "lang").where(about("doc_id", per_lang, F.col("n"))).select("doc_id", "lang")
+    counts = learnable.groupBy("lang").agg(F.count("*").alias("n"))
+    small = F.broadcast if counts.count() * per_lang <= BROADCAST else (lambda df: df)
+    few = learnable.select("doc_id", "lang").join(small(counts), "lang").where(about("doc_id", per_lang, F.col("n"))).select("doc_id", "lang")
     chosen = few.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_lang).select("doc_id", "lang").distinct()
-    rows = learnable.join(F.broadcast(chosen), ["doc_id", "lang"]).mapInPandas(_count, "lang string, word string, n long")
-    seen: dict[str, dict[str, int]] = {}
-    for r in rows.groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
-        seen.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    return fit(path, seen) if seen else None
+    rows = learnable.join(small(chosen), ["doc_id", "lang"]).mapInPandas(_count, "lang string, word string, n long")
+
+    def one(batch: pd.DataFrame) -> pd.DataFrame:
+        summed = batch.groupby("word")["n"].sum()
+        return pd.DataFrame({"lang": [batch["lang"].iloc[0]], "probability": [learn(Pieces(path), summed.to_dict()).tobytes()]})
+
+    learned = rows.groupBy("lang", "word").agg(F.sum("n").alias("n")).groupBy("lang").applyInPandas(one, "lang string, probability binary")
+    found = {r["lang"]: np.frombuffer(r["probability"]) for r in learned.toLocalIterator()}
+    return Model(path, sorted(found), np.stack([found[g] for g in sorted(found)], axis=1)) if found else None
 
 
 def identify(docs: DataFrame, model: Model | None, output: str = "language") -> DataFrame:

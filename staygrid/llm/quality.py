@@ -5,9 +5,11 @@ bytes and words, encoded by a small network, and weighted by gated attention tha
 from document labels alone; the weighted sum of the encodings gives the score.
 
 Learning takes a bounded sample of labelled rows, chosen by a hash of doc_id among those that
-aren't held out: at most TRAIN_DOCS documents, as far as they have at most TRAIN_PASSAGES passages
-together (a document that doesn't fit any more is left out as a whole). All passages of a sampled
-document count. Scoring reads every passage of every text, a bounded number of bytes at a time.
+aren't held out: at most TRAIN_DOCS documents, whatever their length. All passages of a sampled
+document count. Where the sample has over TRAIN_PASSAGES passages, the longest documents are learned
+from more coarsely: a bag of more passages than `allowance` gives has that many descriptions, each the
+mean of a stretch of its passages. Scoring reads every passage of every text, a bounded number of
+bytes at a time.
 
 Defined cases: a text without words is one passage without words and is scored like any other;
 repeated rows get equal scores; without labels of both kinds every score is the labels' mean
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staygrid.llm.common import about, held_out, materialize, tune, utf8, word_hashes, word_spans
@@ -213,8 +215,34 @@ def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "passages": [len(p) for p in parts], "bag": [p.tobytes() for p in parts]})
 
 
+def allowance(sizes: np.ndarray, passages: int) -> int:
+    """The most descriptions a bag may have, so that all bags together have at most `passages` (or one each)."""
+    left, n = passages, len(sizes)
+    for k, size in enumerate(np.sort(sizes).tolist()):
+        if size * (n - k) > left:
+            return max(left // (n - k), 1)
+        left -= size
+    return int(max(sizes, default=1))
+
+
+def pooled(bag: np.ndarray, most: int) -> np.ndarray:
+    """A bag of at most `most` descriptions: means of stretches of passages, of nearly equal length."""
+    if len(bag) <= most:
+        return bag
+    edges = np.arange(most + 1) * len(bag) // most
+    return (np.add.reduceat(bag.astype(np.float64), edges[:-1], axis=0) / np.diff(edges)[:, None]).astype(np.float32)
+
+
+def _pool(most: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(bag=[pooled(np.frombuffer(b, np.float32).reshape(-1, FEATURES), most).tobytes() for b in batch["bag"]])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS, passages: int = TRAIN_PASSAGES) -> Model:
-    """Fit on at most `sample` labelled documents (doc_id, quality) that aren't held out, of at most `passages` passages."""
+    """Fit on at most `sample` labelled documents (doc_id, quality) that aren't held out, with about `passages` descriptions."""
     tune(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1) and doc_id is not null").where(~held_out())
     known = known.where(about("doc_id", sample, max(known.count(), 1)))
@@ -224,9 +252,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS, passages
     rows = texts.join(F.broadcast(known), "doc_id").mapInPandas(_bags, "doc_id long, quality int, passages long, bag binary")
     # of rows that share a doc_id one counts, before any goes to the driver
     rows = materialize(rows.groupBy("doc_id", "quality").agg(F.min(F.struct("passages", "bag")).alias("_row")).select("doc_id", "quality", "_row.*"), "bags")
-    before = Window.partitionBy(F.lit(1)).orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    fits = rows.select("doc_id", F.sum("passages").over(before).alias("upto")).where(F.col("upto") <= passages).select("doc_id")  # of `sample` rows
-    chosen = rows.join(F.broadcast(fits), "doc_id", "left_semi").toPandas().sort_values("doc_id")
+    sizes = np.array([r["passages"] for r in rows.select("passages").collect()], np.int64)  # of `sample` rows
+    most = allowance(sizes, passages)
+    if len(sizes) and sizes.max() > most:
+        rows = rows.mapInPandas(_pool(most), rows.schema)
+    chosen = rows.toPandas().sort_values("doc_id")
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in chosen["bag"]]
     return fit(bags, chosen["quality"].to_numpy(np.float64))
 

@@ -219,14 +219,35 @@ def test_quality_sample_is_of_whole_documents(spark):
     seen = {}
     real, quality.fit = quality.fit, lambda bags, y: seen.update(bags=bags, y=y) or real(bags, y)
     try:
-        quality.train(docs, labels, passages=40)
-        some = [len(b) for b in seen["bags"]]
+        quality.train(docs, labels, passages=100)
+        some, least = [len(b) for b in seen["bags"]], quality.train(docs, labels, passages=1)
+        one = [len(b) for b in seen["bags"]]
         quality.train(docs, labels)
     finally:
         quality.fit = real
     every = [d for d in range(60) if zlib.crc32(str(d).encode()) % 4 != 2]
-    assert sum(some) <= 40 and len(some) > 10 and [len(b) for b in seen["bags"]] == [1 + d % 3 + (d % 2) for d in every]
-    assert seen["y"].tolist() == [d % 2 for d in every]
+    assert [len(b) for b in seen["bags"]] == [1 + d % 3 + (d % 2) for d in every] and seen["y"].tolist() == [d % 2 for d in every]
+    assert some == [min(len(b), 2) for b in seen["bags"]] and one == [1] * len(every) and least.weights is not None  # no document goes
+
+
+def test_long_labelled_documents_are_learned_from(spark):
+    """A document of any length, first in the order of the sample, takes none of the others' place, and all of it counts."""
+    ids = [d for d in range(600) if zlib.crc32(str(d).encode()) % 4 != 2][:400]
+    docs = spark.createDataFrame([(d, ("plain words here " * 30 if d % 2 else "BAD!! 99 %% " * 30) * (400 if d < 3 else 1)) for d in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in ids], "doc_id long, quality int")
+    model = quality.train(docs, labels, passages=1000)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert model.weights is not None and all((scores[d] > 0.7) == (d % 2 == 1) for d in ids)
+    r = np.random.default_rng(0)
+    for n, most in ((10, 3), (7, 7), (5, 9), (1000, 33), (1, 1)):
+        bag = r.random((n, 4)).astype(np.float32)
+        out = quality.pooled(bag, most)
+        assert len(out) == min(n, most) and (n <= most or out.mean(0) == pytest.approx(bag.mean(0), abs=0.05))
+    for _ in range(200):
+        sizes, limit = r.integers(1, 40, r.integers(1, 30)), int(r.integers(1, 300))
+        most = quality.allowance(sizes, limit)
+        assert most >= 1 and np.minimum(sizes, most).sum() <= max(limit, len(sizes)) and (most >= sizes.max() or np.minimum(sizes, most + 1).sum() > limit)
+    assert quality.allowance(np.zeros(0, np.int64), 5) == 1
 
 
 # --- op3 ------------------------------------------------------------------------------------
@@ -387,6 +408,36 @@ def test_forward_sums_all_segmentations():
             assert scores[0, column] == pytest.approx(total(word, column), rel=1e-9), word
 
 
+def test_long_words_are_learned_by_the_same_rule():
+    """Expected counts of a word by logarithms equal those beside others of its length; two scripts of 60-letter runs are told apart."""
+    path = language.public_tokenizers.path("piece_bpe_32k.model")
+    counts = {"thethethe" * 3: 4, "representation" * 2: 1, "жthe": 2, "on": 5}
+    before = language.LONG
+    try:
+        short = language.learn(language.Pieces(path), counts)
+        language.LONG = 1
+        assert language.learn(language.Pieces(path), counts) == pytest.approx(short, rel=1e-9)
+    finally:
+        language.LONG = before
+    huge = language.learn(language.Pieces(path), {"the" * 20_000: 1, "on": 1})
+    assert np.isfinite(huge).all() and huge.sum() == pytest.approx(1)
+
+
+def test_languages_of_long_words_alone_and_many_languages(spark):
+    r = random.Random(8)
+    letters = {"x": "abcdefghijklm", "y": "nopqrstuvwxyz"}
+    rows = [(d, " ".join("".join(r.choice(letters["xy"[d % 2]]) for _ in range(60)) for _ in range(6)), "xy"[d % 2]) for d in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {x["doc_id"]: x["language"]["lang_pred"] for x in language.identify(docs, language.train(docs)).collect()}
+    assert all(out[d] == "xy"[d % 2] for d in range(160))
+    words = ["".join(chr(97 + (i // 26**k) % 26) for k in range(2)) * 3 for i in range(300)]
+    many = spark.createDataFrame([(d, f"{words[d % 300]} " * 4, f"lang{d % 300:03d}") for d in range(1800)], "doc_id long, text string, lang string")
+    model = language.train(many)
+    assert len(model.langs) == 300
+    out = {x["doc_id"]: x["language"]["lang_pred"] for x in language.identify(many.where("doc_id < 300"), model).collect()}
+    assert np.mean([out[d] == f"lang{d:03d}" for d in range(300)]) > 0.95
+
+
 def test_language_learns(spark):
     r = random.Random(2)
     parts = {"en": ["the", "ing", "and", "tion", "er"], "de": ["der", "ung", "sch", "ein", "ich"], "es": ["ción", "que", "ado", "los"]}
