@@ -12,8 +12,9 @@ each part if the share is one bit, and once as long as the trie isn't cut.
 
 `similar_documents` links only what is also similar: the same walk with a wider budget, over the
 tries of several fingerprints of each text, marks leaves with a partner; the sets of longer
-shingles of these alone go to the tasks that found them, where a pair not yet connected is checked
-by the Jaccard similarity of its sets. The fingerprints are of short shingles, which an edit changes
+shingles of these alone go to the tasks that found them, where pairs that share one of their rarest
+shingles and aren't connected yet are checked by the Jaccard similarity of their sets. Groups of over
+BLOCK words are dealt to blocks, of which every two meet in a task of their own. The fingerprints are of short shingles, which an edit changes
 less than long ones; each further one scrambles the shingles' hashes anew.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link with one another;
@@ -50,6 +51,8 @@ BROADCAST = 200_000
 COUNTED, FURTHER = 16, 8
 #: Leaves of either node below which a pair of nodes is compared at once; node pairs held and compared at a time.
 FEW, FRONTIER, AT_ONCE = 16, 1 << 17, 1 << 12
+#: Words of a group whose texts are checked in one task, and pairs of them looked at together.
+BLOCK, PAIRS = 1 << 22, 1 << 20
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
@@ -188,22 +191,26 @@ def split(counts: np.ndarray, limit: int) -> list[tuple[int, int]]:
 
 
 def cut(leaves: DataFrame, subtree: int = SUBTREE) -> Subtrees:
-    """Subtrees of at most `subtree` leaves (fp), by counts of prefixes: COUNTED bits, FURTHER more where they are many."""
+    """Subtrees of at most `subtree` leaves (fp) or a 4096th of all, by counts of prefixes: of COUNTED bits, and of FURTHER more as often as a prefix holds too many."""
 
     def counted(rows: DataFrame, bits: int) -> dict[int, int]:
         return {r["p"]: r["n"] for r in rows.groupBy(F.shiftrightunsigned("fp", 64 - bits).alias("p")).agg(F.count("*").alias("n")).collect()}
 
     top = counted(leaves, COUNTED)  # at most 2 ** COUNTED rows
     counts = np.array([top.get(p, 0) for p in range(1 << COUNTED)])
-    nodes = [(first << (64 - COUNTED), depth) for first, depth in split(counts, subtree)]
     # prefixes that all hold too many are left, where subtrees grow with the input instead of their number
-    dense = [p for p in np.flatnonzero(counts > subtree).tolist() if counts[p] > counts.sum() >> 12]
-    if dense:  # fewer than 2 ** 12 prefixes
-        below = counted(leaves.where(F.shiftrightunsigned("fp", 64 - COUNTED).isin(dense)), COUNTED + FURTHER)
-        nodes = [(start, depth) for start, depth in nodes if start >> (64 - COUNTED) not in set(dense)]
+    limit, bits = max(subtree, int(counts.sum()) >> 12), COUNTED
+    nodes = [(first << (64 - bits), depth) for first, depth in split(counts, subtree)]
+    dense = np.flatnonzero(counts > limit).tolist()
+    while dense and bits + FURTHER <= 64:  # fewer than 2 ** 12 prefixes
+        below = counted(leaves.where(F.shiftrightunsigned("fp", 64 - bits).isin(dense)), bits + FURTHER)
+        gone = {(p << (64 - bits), bits) for p in dense}
+        nodes = [node for node in nodes if node not in gone]
         for p in dense:
             inside = split(np.array([below.get((p << FURTHER) + i, 0) for i in range(1 << FURTHER)]), subtree)
-            nodes += [((p << (64 - COUNTED)) + (first << (64 - COUNTED - FURTHER)), COUNTED + depth) for first, depth in inside]
+            nodes += [((p << (64 - bits)) + (first << (64 - bits - FURTHER)), bits + depth) for first, depth in inside]
+        bits += FURTHER
+        dense = [p for p, n in below.items() if n > limit]
     nodes.sort()
     return Subtrees([start for start, _ in nodes], [depth for _, depth in nodes])
 
@@ -298,55 +305,120 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, subtree: int | None =
     return fps.join(found.select(F.col("node").alias("fp"), "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether two sorted sets have at least this Jaccard similarity."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a) or len(a) < least * len(b):
-        return len(b) == 0
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    common = int((b[at] == a).sum())
-    return common >= least * (len(a) + len(b) - common)
+class Forest:
+    """Which of some numbers are connected; the smallest of a component stands for it."""
 
+    def __init__(self, n: int):
+        self.above = list(range(n))
 
-def _verified(meet: Callable, once: bool, least: float, group: pd.DataFrame) -> pd.DataFrame:
-    """Links between a group's texts whose sets are similar, as a forest of (a, b) with b the smallest id.
+    def root(self, x: int) -> int:
+        while self.above[x] != x:
+            self.above[x] = x = self.above[self.above[x]]
+        return x
 
-    `meet` gives pairs of leaves; `once`: texts of one leaf meet here.
+    def link(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        self.above[max(x, y)] = min(x, y)
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.root(x) for x in range(len(self.above))], np.int64)
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one run after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+def similar_pairs(sets: list[np.ndarray], allowed: Callable[[np.ndarray, np.ndarray], np.ndarray], least: float = SIMILAR) -> Forest:
+    """Connect sets (sorted, without repeats) that have at least this Jaccard similarity, of pairs that `allowed` lets pass.
+
+    Members are ordered from rare to frequent. Two similar sets share one among the first few of both, so
+    only such pairs are looked at, by an index of these members; of them, those that aren't connected yet and
+    could still share enough, by where the shared member stands in both, are checked.
+    """
+    n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    forest = Forest(n)
+    if n < 2 or not sizes.sum():
+        return forest
+    by_size = np.argsort(sizes, kind="stable")
+    place = np.argsort(by_size)  # sets in order of their sizes
+    _, member, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.argsort(np.argsort(times, kind="stable"))[member]
+    owner = np.repeat(np.arange(n), sizes)
+    order = np.lexsort((rank, owner))
+    rank, shared = rank[order], times[member[order]] > 1
+    at = _runs(np.zeros(n, np.int64), sizes)
+    ordered = [rank[a:b] for a, b in zip((np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist(), strict=True)]
+    whole = lambda x: np.ceil(x - 1e-9).astype(np.int64)
+    probing = at < (sizes - whole(least * sizes) + 1)[owner]
+    indexed = shared & (at < (sizes - whole(2 * least / (1 + least) * sizes) + 1)[owner])
+    probing &= shared
+    # index: members, then sets by size
+    key = rank[indexed] * n + place[owner[indexed]]
+    sort = np.argsort(key)
+    key, of, where = key[sort], owner[indexed][sort], at[indexed][sort]
+    # the largest sets look first: they may meet all others, and what they connect needn't meet any more
+    turn = np.argsort(-place[owner[probing]], kind="stable")
+    p_rank, p_owner, p_at = rank[probing][turn], owner[probing][turn], at[probing][turn]
+    large_enough = np.searchsorted(sizes[by_size], whole(least * sizes))  # the first set by size that is
+    mark = np.zeros(len(times), bool)
+    done, step = 0, 256
+    while done < len(p_rank):
+        roots = forest.roots()
+        held = np.bincount(roots, minlength=n)
+        large = [c for c in np.argsort(-held)[:4].tolist() if held[c] > max(n // 16, 64)]
+        some = np.arange(done, min(done + step, len(p_rank)))
+        done, step = done + step, min(2 * step, 1 << 16)
+        mine = roots[p_owner[some]]
+        parts = [(some[~np.isin(mine, large)], slice(None)), *[(some[mine == c], roots[of] != c) for c in large]]
+        for probes, kept in parts:
+            own_key, own_of, own_where = key[kept], of[kept], where[kept]
+            first = np.searchsorted(own_key, p_rank[probes] * n + large_enough[p_owner[probes]])
+            count = np.maximum(np.searchsorted(own_key, p_rank[probes] * n + place[p_owner[probes]]) - first, 0)
+            for few in np.split(np.arange(len(probes)), np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1):
+                y, entries = np.repeat(p_owner[probes[few]], count[few]), _runs(first[few], count[few])
+                x, i, j = own_of[entries], own_where[entries], np.repeat(p_at[probes[few]], count[few])
+                enough = whole(least / (1 + least) * (sizes[x] + sizes[y]))
+                roots = forest.roots()
+                good = (np.minimum(i, j) + np.minimum(sizes[x] - i, sizes[y] - j) >= enough) & (roots[x] != roots[y])
+                good[good] = allowed(x[good], y[good])
+                _check(forest, ordered, sizes, mark, least, *_grouped(*np.divmod(np.unique(y[good] * n + x[good]), n)))
+    return forest
+
+
+def _check(forest: Forest, ordered: list[np.ndarray], sizes: np.ndarray, mark: np.ndarray, least: float, keys: list[int], values: list[np.ndarray]) -> None:
+    """Link each set of `keys` with those of its `values` that are similar and not connected with it."""
+    for b, others in zip(keys, values, strict=True):
+        mark[ordered[b]] = True
+        for a in others.tolist():
+            if forest.root(a) != forest.root(b):
+                common = int(np.count_nonzero(mark[ordered[a]]))
+                if common >= least * (sizes[a] + sizes[b] - common):
+                    forest.link(a, b)
+        mark[ordered[b]] = False
+
+
+def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Sorted keys, each once, and the values of each."""
+    edges = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[edges].tolist(), np.split(values, edges[1:]) if len(edges) else []
+
+
+def _verified(budget: int, apart: bool, least: float, group: pd.DataFrame) -> pd.DataFrame:
+    """Links between a group's texts whose fingerprints are within the budget and whose sets are similar, as a forest of (a, b) with b the smallest id.
+
+    `apart`: only of texts in different blocks.
     """
     group = group.sort_values(["node", "content"])
-    ids, all_fps = group["node"].to_numpy(), group["fp"].to_numpy().view(np.uint64)
-    sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
-    fps, first_of, leaf = np.unique(all_fps, return_index=True, return_inverse=True)
-    own = group["own"].to_numpy()[first_of]
-    texts: list[list[int]] = [[] for _ in fps]
-    labels = np.arange(len(ids))
-
-    def check(x: int, y: int) -> None:
-        nonlocal labels
-        if labels[x] != labels[y] and _similar(sets[x], sets[y], least):
-            labels = np.where(labels == max(labels[x], labels[y]), min(labels[x], labels[y]), labels)
-
-    for x, k in enumerate(leaf.tolist()):
-        if once:
-            for y in texts[k]:
-                check(x, y)
-        texts[k].append(x)
-    single, first = np.array([len(t) == 1 for t in texts]), np.array([t[0] for t in texts])
-    for i, j in meet(own, fps):
-        while len(i):  # pairs connected meanwhile are left out every so often
-            apart = ~(single[i] & single[j]) | (labels[first[i]] != labels[first[j]])
-            i, j = i[apart], j[apart]
-            for p, q in zip(i[:4096].tolist(), j[:4096].tolist(), strict=True):
-                for x in texts[p]:
-                    for y in texts[q]:
-                        check(x, y)
-            i, j = i[4096:], j[4096:]
+    ids, fps, block = group["node"].to_numpy(), group["fp"].to_numpy().view(np.uint64), group["block"].to_numpy()
+    near = lambda x, y: (np.bitwise_count(fps[x] ^ fps[y]) <= budget) & ((not apart) | (block[x] != block[y]))
+    labels = similar_pairs([np.frombuffer(x, np.uint64) for x in group["shingles"]], near, least).roots()
     linked = labels != np.arange(len(ids))
     return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
 
-def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES, parts: int = WIDE_PARTS) -> DataFrame:
+def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES, parts: int = WIDE_PARTS, block: int = BLOCK) -> DataFrame:
     """doc_id and component_id for each row, as of `near_duplicates`, with links between texts alone that are
     within `budget` bits in one of `tables` fingerprints and whose sets of shingles of `words` words have a
     Jaccard similarity of at least `least`.
@@ -357,7 +429,7 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = [np.array(several(t, shingle, tables), np.uint64).view(np.int64) for t in batch["text"]]
-            yield batch[["doc_id", "node"]].assign(content=[_content(t) for t in batch["text"]], fps=fps)
+            yield batch[["doc_id", "node"]].assign(content=[_content(t) for t in batch["text"]], fps=fps, size=[len(utf8(t).split()) for t in batch["text"]])
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -369,10 +441,10 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     # a row without an id goes by a stand-in, which is a text's id only if all its rows lack one
     stand_in = F.shiftright(F.xxhash64(text), 2) - F.lit(1 << 62)
     narrow = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("node", F.coalesce("doc_id", stand_in))
-    fps = materialize(narrow.mapInPandas(describe, "doc_id long, node long, content binary, fps array<long>"), "fingerprints")
-    texts = fps.groupBy("content").agg(F.min("doc_id").alias("rep"), F.min("node").alias("_any"), F.first("fps").alias("fps"))
-    texts = materialize(texts.select("content", "rep", F.coalesce("rep", "_any").alias("node"), "fps"), "texts")
-    each = texts.select("content", "node", F.posexplode("fps").alias("table", "fp"))
+    fps = materialize(narrow.mapInPandas(describe, "doc_id long, node long, content binary, fps array<long>, size long"), "fingerprints")
+    texts = fps.groupBy("content").agg(F.min("doc_id").alias("rep"), F.min("node").alias("_any"), F.first("fps").alias("fps"), F.first("size").alias("size"))
+    texts = materialize(texts.select("content", "rep", F.coalesce("rep", "_any").alias("node"), "fps", "size"), "texts")
+    each = texts.select("content", "node", "size", F.posexplode("fps").alias("table", "fp"))
     leaves = [each.where(F.col("table") == k).groupBy("fp").agg(F.count("*").alias("n")) for k in range(tables)]
     tries = [Tries(some, budget, parts, subtree) for some in leaves]
 
@@ -385,11 +457,8 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
         return group.loc[near, [*by, "own"]].assign(fp=turned(of[near], -part * tries[table].width))
 
     def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        table, part, low, high = map(int, key)
-        if part < 0:
-            return _verified(lambda own, fps: iter(()), True, least, group)
-        group = group.assign(fp=turned(group["fp"].to_numpy(), part * tries[table].width))
-        return _verified(lambda own, fps: tries[table].meet(part, low, high, own, fps), False, least, group)
+        part, one, other = (int(key[k]) for k in (1, 4, 5))
+        return _verified(0 if part < 0 else budget, one != other, least, group)
 
     by, zero = ["table", "part", "low", "high"], F.lit(0).cast("long")
     every = lambda frames: reduce(DataFrame.unionByName, [df.withColumn("table", F.lit(k)) for k, df in enumerate(frames)])
@@ -403,7 +472,15 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
         asked = F.broadcast(asked)
     found = narrow.join(asked, narrow["node"] == asked["_node"]).select("content", "text").mapInPandas(sets, "content binary, shingles binary")
     found = wanted.join(found.dropDuplicates(["content"]), "content")
-    links = near.join(found, ["table", "fp"]).groupBy(*by).applyInPandas(check, "a long, b long")
+    # a group of many words is dealt to blocks, of which every two meet in a task
+    words_of = wanted.groupBy("table", "fp").agg(F.sum("size").alias("size"))
+    blocks = near.join(words_of, ["table", "fp"]).groupBy(*by).agg(F.ceil(F.sum("size") / block).cast("int").alias("blocks")).where("blocks > 1")
+    few = blocks.count() <= BROADCAST
+    met = near.join(found, ["table", "fp"]).join(F.broadcast(blocks) if few else blocks, by, "left")
+    own = F.pmod(F.xxhash64("content"), F.coalesce("blocks", F.lit(1))).cast("int")
+    met = met.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    met = met.select(*by, F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("other"), "node", "content", "fp", "block", "shingles")
+    links = met.groupBy(*by, "one", "other").applyInPandas(check, "a long, b long")
     return fps.join(_components(texts.select("content", "node", "rep"), links).select("content", "component_id"), "content").select("doc_id", "component_id")
 
 

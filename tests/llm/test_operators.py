@@ -787,13 +787,54 @@ def test_near_subtrees_are_those_within_the_budget():
             assert trees.near(k, bits).tolist() == want
 
 
+def test_dense_prefixes_are_cut_as_deep_as_it_takes(spark):
+    """Leaves that share 40 bits, and few elsewhere: every subtree is small."""
+    r = random.Random(6)
+    dense = {0xABCDEF1234 << 24 | r.randrange(1 << 24) for _ in range(5000)}
+    signed = np.array(sorted(dense | {r.randrange(1 << 64) for _ in range(500)}), np.uint64).view(np.int64)
+    leaves = spark.createDataFrame([(int(f),) for f in signed], "fp long")
+    trees = simhash.cut(leaves, 100)
+    held = np.bincount(trees.of(signed.view(np.uint64)), minlength=len(trees.starts))
+    assert held.sum() == len(signed) and held.max() <= 100 and trees.depths.max() > 40
+    assert (np.diff(trees.starts.astype(object)) > 0).all() and trees.starts[0] == 0
+
+
+def test_similar_sets_are_found_by_their_rarest_members():
+    """Against all pairs, for links that may be forbidden, small chunks, and groups of equal fingerprints and unlike texts."""
+    r, before = random.Random(3), simhash.PAIRS
+    try:
+        for _ in range(150):
+            base = [r.sample(range(60), r.randrange(0, 25)) for _ in range(4)]
+            sets = []
+            for _ in range(r.randrange(0, 30)):
+                mine = set(r.choice(base)) ^ {r.randrange(80) for _ in range(r.randrange(0, 4))}
+                sets.append(np.array(sorted(mine), np.uint64))
+            odd, least, simhash.PAIRS = r.random() < 0.5, r.choice([0.5, 0.8, 0.9]), r.choice([1, 5, 1000])
+            allowed = lambda x, y, odd=odd: (x + y) % 3 != 1 if odd else np.ones(len(x), bool)
+            want = list(range(len(sets)))
+            for x in range(len(sets)):
+                for y in range(x):
+                    common = len(set(sets[x].tolist()) & set(sets[y].tolist()))
+                    if common and common >= least * (len(sets[x]) + len(sets[y]) - common) and allowed(np.array([x]), np.array([y]))[0] and want[x] != want[y]:
+                        low, high = sorted((want[x], want[y]))
+                        want = [low if p == high else p for p in want]
+            assert simhash.similar_pairs(sets, allowed, least).roots().tolist() == want
+    finally:
+        simhash.PAIRS = before
+    rng = np.random.default_rng(0)
+    common = rng.integers(0, 1 << 62, 80).astype(np.uint64)
+    for own, parts in ((25, 20_000), (5, 1)):
+        sets = [np.unique(np.concatenate((common, rng.integers(0, 1 << 62, own).astype(np.uint64)))) for _ in range(20_000)]
+        assert len(set(simhash.similar_pairs(sets, lambda x, y: np.ones(len(x), bool)).roots().tolist())) == parts
+
+
 def _similarity(a, b):
     a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (t.lower().split() for t in (a, b)))
     return len(a & b) / len(a | b)
 
 
-@pytest.mark.parametrize("subtree", [None, 20])
-def test_similar_documents_equal_brute_force(spark, subtree):
+@pytest.mark.parametrize(("subtree", "block"), [(None, simhash.BLOCK), (20, simhash.BLOCK), (20, 700)])
+def test_similar_documents_equal_brute_force(spark, subtree, block):
     import corpus_pipeline
 
     r = random.Random(12)
@@ -820,7 +861,7 @@ def test_similar_documents_equal_brute_force(spark, subtree):
                 parent = [low if p == high else p for p in parent]
     assert near(fps[160], fps[161]) and parent[160:163] == [160, 161, 162]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = dict(simhash.similar_documents(docs, subtree=subtree).collect())
+    got = dict(simhash.similar_documents(docs, subtree=subtree, block=block).collect())
     assert [got[i] for i in range(len(rows))] == parent
     old = {x["component_id"] for x in simhash.near_duplicates(docs).collect()}
     kept = {x["doc_id"] for x in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
