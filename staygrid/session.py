@@ -33,8 +33,15 @@ def build_session(name: str = "staygrid", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); in local mode any will do."""
+    """A new path in the folder that all executors share (spark.checkpoint.dir); in local mode any will do.
+
+    What is written there is deleted when the application ends: results that are read later may lie in it.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{(where or 'file://' + tempfile.mkdtemp(prefix='staygrid-')).rstrip('/')}/{name}-{uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{(where or 'file://' + tempfile.mkdtemp(prefix='staygrid-')).rstrip('/')}/{name}-{uuid4().hex}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return path.toString()

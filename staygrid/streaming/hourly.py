@@ -1,6 +1,7 @@
-"""Events that arrive over time: the same mapping and hourly aggregates on a stream.
+"""Events that arrive over time: the same mapping into stays on a stream, and aggregates of hours of the clock.
 
-Stays are static; a stream-static join on the subject keeps no state. An hour's aggregate is
+Stays are static; a stream-static join on the subject keeps no state. Hours are those of the clock (windows of event
+time), not since admission as in wide tables: a watermark lets go of them for all stays alike. An hour's aggregate is
 complete once the watermark has passed it, and late events beyond the watermark are dropped by
 Structured Streaming, as always.
 """
