@@ -6,8 +6,11 @@ offset 0 corrects the declared type; what validates further in is carved out as
 
 Payloads are stored losslessly as 8-bit mono WAVE files and read back through the sniffer.
 
-A pass over a blob takes time in proportion to its length: what a validator looks for beyond its
-own structure (a PDF's or a ZIP file's end) is located once, by the same automaton.
+A pass over a blob takes time in proportion to its length, but for a logarithm, however many magic
+numbers it holds: what a validator looks for beyond its own structure (a PDF's or a ZIP file's end) is
+located once, by the same automaton; where chains of blocks, segments and chunks lead is remembered
+for every place, whichever file began there (`Chains`); and check sums of long chunks are put together
+from those of stretches. The exception is gzip, whose streams are read from each of its magic numbers.
 
 Defined cases: a null or empty text is one block of blanks; a null blob has no type and no
 parts; magic numbers without a valid structure are ignored; a PDF goes up to its last end mark
@@ -21,8 +24,10 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import cache, cached_property
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +37,33 @@ from staygrid.llm.common import materialize, tune, utf8
 BLOCK, RATE = 192, 8000
 
 
+class Chains:
+    """Where a chain of steps from a place ends, each place walked once: step(place) is (True, next place) or (False, result)."""
+
+    def __init__(self, step: Callable[[int], tuple[bool, int | None]]):
+        self.step, self.known = step, {}
+
+    def end(self, place: int) -> int | None:
+        path = []
+        while place not in self.known:
+            path.append(place)
+            goes_on, place = self.step(place)
+            if not goes_on:
+                result = place
+                break
+        else:
+            result = self.known[place]
+        self.known.update(dict.fromkeys(path, result))
+        return result
+
+
 class Blob:
-    """Bytes, and where the end marks in them are."""
+    """Bytes, where the end marks in them are, and what validators have learned of them."""
 
     def __init__(self, data: bytes, marks: dict[bytes, list[int]]):
         self.data, self.view, self.marks = data, memoryview(data), marks
+        self.chains = {"gif blocks": Chains(self._gif_block), "gif": Chains(self._gif_record), "jpeg": Chains(self._jpeg_segment), "png": Chains(self._png_chunk)}
+        self.jumps: dict[tuple[int, int], tuple[int, bool]] = {}
 
     def __len__(self) -> int:
         return len(self.data)
@@ -56,6 +83,117 @@ class Blob:
         k = bisect_left(places, end) - 1
         return places[k] if k >= 0 and places[k] >= begin else -1
 
+    # --- GIF ---
+
+    def _gif_block(self, place: int) -> tuple[bool, int]:
+        return (True, place + self.data[place] + 1) if place < len(self) and self.data[place] else (False, place + 1)
+
+    def _gif_record(self, place: int) -> tuple[bool, int | None]:
+        if place >= len(self):
+            return False, None
+        kind = self.data[place]
+        if kind == 0x21:
+            return True, self.chains["gif blocks"].end(place + 2)
+        if kind == 0x2C and place + 10 <= len(self):
+            return True, self.chains["gif blocks"].end(place + 11 + (3 << (self.data[place + 9] & 7) + 1 if self.data[place + 9] & 0x80 else 0))
+        return False, place + 1 if kind == 0x3B else None
+
+    # --- JPEG ---
+
+    @cached_property
+    def jpeg_marks(self) -> np.ndarray:
+        """Where markers other than stuffed bytes and restarts begin."""
+        raw = np.frombuffer(self.data, np.uint8)
+        first, second = raw[:-1], raw[1:]
+        return np.flatnonzero((first == 0xFF) & (second != 0) & ~((second >= 0xD0) & (second <= 0xD7)))
+
+    def _jpeg_segment(self, place: int) -> tuple[bool, int | None]:
+        if place + 4 > len(self) or self.data[place] != 0xFF:
+            return False, None
+        kind = self.data[place + 1]
+        place += 2 + struct.unpack_from(">H", self.data, place + 2)[0]
+        if kind != 0xDA:
+            return True, place
+        k = int(np.searchsorted(self.jpeg_marks, place))
+        if k == len(self.jpeg_marks):
+            return False, None
+        place = int(self.jpeg_marks[k])
+        return (False, place + 2) if self.data[place + 1] == 0xD9 else (True, place)
+
+    # --- PNG ---
+
+    @cached_property
+    def _sums(self) -> list[int]:
+        """CRC-32 of the bytes before every multiple of STRETCH."""
+        out = [0]
+        for at in range(0, len(self), STRETCH):
+            out.append(zlib.crc32(self.view[at : at + STRETCH], out[-1]))
+        return out
+
+    def _before(self, place: int) -> int:
+        k = place // STRETCH
+        return zlib.crc32(self.view[k * STRETCH : place], self._sums[k])
+
+    def crc32(self, begin: int, end: int) -> int:
+        if end - begin <= 2 * STRETCH:
+            return zlib.crc32(self.view[begin:end])
+        return self._before(end) ^ _advanced(self._before(begin), end - begin)
+
+    def _png_chunk(self, place: int) -> tuple[bool, int | None]:
+        if place + 12 > len(self):
+            return False, None
+        size, name = _u32(self, place, ">"), self.data[place + 4 : place + 8]
+        if place + 12 + size > len(self) or self.crc32(place + 4, place + 8 + size) != _u32(self, place + 8 + size, ">"):
+            return False, None
+        return name != b"IEND", place + 12 + size
+
+    # --- RIFF ---
+
+    def riff_jump(self, place: int, odd: int, level: int) -> tuple[int, bool]:
+        """Where 2 ** level chunks lead from `place` in a file that begins at an odd or even place, and whether one is `data`."""
+        key = (2 * place + odd, level)
+        if key not in self.jumps:
+            if place + 8 > len(self):
+                self.jumps[key] = len(self) + 8, False
+            elif level:
+                middle, one = self.riff_jump(place, odd, level - 1)
+                after, other = self.riff_jump(middle, odd, level - 1)
+                self.jumps[key] = after, one or other
+            else:
+                after = place + 8 + _u32(self, place + 4)
+                self.jumps[key] = after + ((after - odd) & 1), self.data[place : place + 4] == b"data"
+        return self.jumps[key]
+
+
+#: Bytes after which a blob's check sum is kept.
+STRETCH = 1 << 13
+
+
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials modulo CRC-32's, of reflected bits."""
+    out, place = 0, 0x80000000
+    while a:
+        if a & place:
+            out ^= b
+            a ^= place
+        place >>= 1
+        b = b >> 1 ^ 0xEDB88320 if b & 1 else b >> 1
+    return out
+
+
+@cache
+def _power(k: int) -> int:
+    """x ** (8 * 2 ** k) modulo CRC-32's polynomial."""
+    return _times(_power(k - 1), _power(k - 1)) if k else 0x00800000
+
+
+def _advanced(crc: int, n: int) -> int:
+    """What a CRC-32 contributes n bytes later: times x ** (8 n)."""
+    for k in range(n.bit_length()):
+        if n >> k & 1:
+            crc = _times(crc, _power(k))
+    return crc
+
 
 def _u32(data: Blob | bytes, at: int, order: str = "<") -> int:
     raw = data.data if isinstance(data, Blob) else data
@@ -67,70 +205,37 @@ def _riff(data: Blob, at: int) -> tuple[str, int] | None:
     if size < 4 or at + 8 + size > len(data):
         return None
     kind = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/avi"}.get(data[at + 8 : at + 12])
-    place, end, chunks = at + 12, at + 8 + size, []
-    while place + 8 <= end:
-        chunks.append(data[place : place + 4])
-        place += 8 + _u32(data, place + 4)
-        place += (place - at) & 1
-    whole = place == end and (kind != "audio/wav" or chunks[:1] == [b"fmt "] and b"data" in chunks)
-    return (kind, 8 + size) if kind and whole else None
+    place, end, samples, level = at + 12, at + 8 + size, False, 0
+    if kind is None or kind == "audio/wav" and data[place : place + 4] != b"fmt ":
+        return None
+    while level >= 0:  # ever longer jumps as far as they don't lead too far, then shorter ones
+        after, found = data.riff_jump(place, at & 1, level)
+        if after <= end and place + 8 <= end:
+            place, samples, level = after, samples or found, level + 1
+        else:
+            level -= 1
+            while level >= 0 and data.riff_jump(place, at & 1, level)[0] > end:
+                level -= 1
+    return (kind, 8 + size) if place == end and (kind != "audio/wav" or samples) else None
 
 
 def _png(data: Blob, at: int) -> tuple[str, int] | None:
-    place = at + 8
-    while place + 12 <= len(data):
-        size, name = _u32(data, place, ">"), data[place + 4 : place + 8]
-        if place + 12 + size > len(data) or place == at + 8 and name != b"IHDR":
-            return None
-        if zlib.crc32(data.view[place + 4 : place + 8 + size]) != _u32(data, place + 8 + size, ">"):
-            return None
-        place += 12 + size
-        if name == b"IEND":
-            return "image/png", place - at
-    return None
+    end = data.chains["png"].end(at + 8) if data[at + 8 : at + 16] == b"\0\0\0\rIHDR" else None
+    return None if end is None else ("image/png", end - at)
 
 
 def _gif(data: Blob, at: int) -> tuple[str, int] | None:
     if at + 13 > len(data):
         return None
-    place = at + 13 + (3 << (data[at + 10] & 7) + 1 if data[at + 10] & 0x80 else 0)
-
-    def blocks(place: int) -> int:
-        while place < len(data) and data[place]:
-            place += data[place] + 1
-        return place + 1
-
-    while place < len(data):
-        kind = data[place]
-        if kind == 0x3B:
-            return "image/gif", place + 1 - at
-        if kind == 0x21:
-            place = blocks(place + 2)
-        elif kind == 0x2C and place + 10 <= len(data):
-            place = blocks(place + 11 + (3 << (data[place + 9] & 7) + 1 if data[place + 9] & 0x80 else 0))
-        else:
-            return None
-    return None
+    end = data.chains["gif"].end(at + 13 + (3 << (data[at + 10] & 7) + 1 if data[at + 10] & 0x80 else 0))
+    return None if end is None else ("image/gif", end - at)
 
 
 def _jpeg(data: Blob, at: int) -> tuple[str, int] | None:
     if data.next(b"\xff\xd9", at) < 0:
         return None
-    place = at + 2
-    while place + 4 <= len(data) and data[place] == 0xFF:
-        kind = data[place + 1]
-        place += 2 + struct.unpack_from(">H", data.data, place + 2)[0]
-        if kind == 0xDA:
-            while place + 2 <= len(data):
-                place = data.data.find(b"\xff", place)
-                if place < 0 or place + 2 > len(data):
-                    return None
-                if data[place + 1] == 0xD9:
-                    return "image/jpeg", place + 2 - at
-                if data[place + 1] and not 0xD0 <= data[place + 1] <= 0xD7:
-                    break
-                place += 2
-    return None
+    end = data.chains["jpeg"].end(at + 2)
+    return None if end is None else ("image/jpeg", end - at)
 
 
 def _bmp(data: Blob, at: int) -> tuple[str, int] | None:

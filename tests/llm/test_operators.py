@@ -111,6 +111,58 @@ def test_sniffing_corrects_and_carves():
     assert [k for _, _, k in media.sniff(inside, machine)] == ["audio/wav", "image/png"] and media.samples(inside) == png
 
 
+def test_check_sums_from_stretches():
+    r = random.Random(4)
+    for n in (0, 1, 5, media.STRETCH, 3 * media.STRETCH + 7, 90_000):
+        data = r.randbytes(n)
+        blob = media.Blob(data, {})
+        for _ in range(30):
+            i, j = sorted((r.randrange(n + 1), r.randrange(n + 1)))
+            assert blob.crc32(i, j) == zlib.crc32(data[i:j])
+
+
+def test_hostile_blobs_take_linear_time():
+    """Magic numbers that all lead into the same chains: ten times the bytes, about ten times as long."""
+    import time
+
+    machine = media.automaton()
+    chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", bytes(13))
+    for make in (
+        lambda n: b"GIF87aAAAAAAA!A" * (n // 15), lambda n: (png + struct.pack(">I", n // 2) + b"IDAT") * (n // 90) + bytes(n // 2 + 99),
+        lambda n: (b"RIFF" + struct.pack("<I", n - n // 9) + b"AVI ") * (n // 15) + bytes(n - n // 15 * 12), lambda n: b"\xff\xd8\xff\xda\x00\x08" * (n // 12) + bytes(n // 2) + b"\xff\xd9",
+    ):
+        took = []
+        for n in (60_000, 600_000):
+            begin = time.process_time()
+            media.sniff(make(n), machine)
+            took.append(time.process_time() - begin)
+        assert took[1] < 30 * max(took[0], 0.02)
+
+
+def test_chains_may_be_entered_anywhere():
+    """Files within one another's bytes are judged as each alone would be."""
+    r, machine = random.Random(9), media.automaton()
+    wav = lambda body: b"RIFF" + struct.pack("<I", 4 + len(body)) + b"WAVE" + body
+    part = lambda name, n: name + struct.pack("<I", n) + bytes(n + n % 2)
+    gif = b"GIF89a" + bytes([1, 0, 1, 0, 0, 0, 0]) + b"\x21\xf9\x04" + bytes(4) + b"\0\x2c" + bytes(9) + b"\x02\x03abc\0;"
+    jpeg = b"\xff\xd8\xff\xe0\x00\x05abc\xff\xda\x00\x04xx\x01\xff\x00\x02\xff\xd1\x03\xff\xd9"
+    for _ in range(300):
+        k = r.randrange(5)
+        files = [wav(part(b"fmt ", 16) + part(b"LIST", k) * k + part(b"data", r.randrange(9))), gif, jpeg]
+        r.shuffle(files)
+        junk = [r.randbytes(r.randrange(4)) for _ in files]
+        blob, want, at = b"", [], 0
+        for j, f in zip(junk, files, strict=True):
+            at += len(j)
+            want.append((at, len(f)))
+            blob, at = blob + j + f, at + len(f)
+        found = {(a, n) for a, n, _ in media.sniff(b"\x00" + blob, machine)}
+        assert {(a + 1, n) for a, n in want} <= found
+    bad = wav(part(b"fmt ", 16) + part(b"LIST", 4))
+    assert media.sniff(bad, machine) == [] and media.sniff(bad[:-1] + b"\x01", machine) == []
+
+
 # --- op2 ------------------------------------------------------------------------------------
 
 
