@@ -52,7 +52,7 @@ COUNTED, FURTHER = 16, 8
 #: Leaves of either node below which a pair of nodes is compared at once; node pairs held and compared at a time.
 FEW, FRONTIER, AT_ONCE = 16, 1 << 17, 1 << 12
 #: Words of a group whose texts are checked in one task, and pairs of them looked at together.
-BLOCK, PAIRS = 1 << 22, 1 << 20
+BLOCK, PAIRS = 1 << 21, 1 << 18
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
@@ -330,6 +330,21 @@ def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
+def _by_frequency(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each member's rank, rare ones first, in all sets one after another, and how many sets have the member of each rank."""
+    members = np.concatenate(sets)
+    order = np.argsort(members)
+    members = members[order]
+    edges = np.flatnonzero(np.concatenate(([True], members[1:] != members[:-1])))
+    times = np.diff(edges, append=len(members))
+    by_times = np.argsort(times, kind="stable")
+    rank_of = np.empty(len(times), np.int32)
+    rank_of[by_times] = np.arange(len(times), dtype=np.int32)
+    rank = np.empty(len(members), np.int32)
+    rank[order] = np.repeat(rank_of, times)
+    return rank, times[by_times].astype(np.int32)
+
+
 def similar_pairs(sets: list[np.ndarray], allowed: Callable[[np.ndarray, np.ndarray], np.ndarray], least: float = SIMILAR) -> Forest:
     """Connect sets (sorted, without repeats) that have at least this Jaccard similarity, of pairs that `allowed` lets pass.
 
@@ -343,24 +358,27 @@ def similar_pairs(sets: list[np.ndarray], allowed: Callable[[np.ndarray, np.ndar
         return forest
     by_size = np.argsort(sizes, kind="stable")
     place = np.argsort(by_size)  # sets in order of their sizes
-    _, member, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.argsort(np.argsort(times, kind="stable"))[member]
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.lexsort((rank, owner))
-    rank, shared = rank[order], times[member[order]] > 1
-    at = _runs(np.zeros(n, np.int64), sizes)
+    rank, times = _by_frequency(sets)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    key = owner * np.int64(len(times))
+    key += rank
+    key.sort()  # each set's members from rare to frequent
+    rank = (key - owner * np.int64(len(times))).astype(np.int32)
+    del key
+    shared = times[rank] > 1
+    at = _runs(np.zeros(n, np.int64), sizes).astype(np.int32)
     ordered = [rank[a:b] for a, b in zip((np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist(), strict=True)]
     whole = lambda x: np.ceil(x - 1e-9).astype(np.int64)
-    probing = at < (sizes - whole(least * sizes) + 1)[owner]
-    indexed = shared & (at < (sizes - whole(2 * least / (1 + least) * sizes) + 1)[owner])
-    probing &= shared
+    probing = np.flatnonzero(shared & (at < (sizes - whole(least * sizes) + 1).astype(np.int32)[owner]))
+    indexed = np.flatnonzero(shared & (at < (sizes - whole(2 * least / (1 + least) * sizes) + 1).astype(np.int32)[owner]))
     # index: members, then sets by size
-    key = rank[indexed] * n + place[owner[indexed]]
+    key = rank[indexed].astype(np.int64) * n + place[owner[indexed]]
     sort = np.argsort(key)
     key, of, where = key[sort], owner[indexed][sort], at[indexed][sort]
     # the largest sets look first: they may meet all others, and what they connect needn't meet any more
-    turn = np.argsort(-place[owner[probing]], kind="stable")
-    p_rank, p_owner, p_at = rank[probing][turn], owner[probing][turn], at[probing][turn]
+    probing = probing[np.argsort(-place[owner[probing]], kind="stable")]
+    p_rank, p_owner, p_at = rank[probing].astype(np.int64), owner[probing], at[probing]
+    del owner, at, shared, indexed, probing
     large_enough = np.searchsorted(sizes[by_size], whole(least * sizes))  # the first set by size that is
     mark = np.zeros(len(times), bool)
     done, step = 0, 256
@@ -383,7 +401,7 @@ def similar_pairs(sets: list[np.ndarray], allowed: Callable[[np.ndarray, np.ndar
                 roots = forest.roots()
                 good = (np.minimum(i, j) + np.minimum(sizes[x] - i, sizes[y] - j) >= enough) & (roots[x] != roots[y])
                 good[good] = allowed(x[good], y[good])
-                _check(forest, ordered, sizes, mark, least, *_grouped(*np.divmod(np.unique(y[good] * n + x[good]), n)))
+                _check(forest, ordered, sizes, mark, least, *_grouped(*np.divmod(np.unique(y[good].astype(np.int64) * n + x[good]), n)))
     return forest
 
 
