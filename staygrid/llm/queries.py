@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from staygrid.llm import chat, exponion, huffman, language, media, mixing, oracles, packing, periodic, quality, repeats, simhash, substrings, vectors
+from staygrid.llm import chat, exponion, huffman, language, media, mixing, oracles, packing, periodic, pipeline, quality, repeats, simhash, substrings, vectors
 from staygrid.llm.common import held_out, read_table
 from staygrid.llm.tokens import tokenizer_path
 
@@ -109,7 +108,7 @@ QUERIES = {
     "op11_suffix_repetition": op11_suffix_repetition,
     "op12_word_runs": op12_word_runs,
     "op13_exponion_clusters": op13_exponion_clusters,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": oracles.SUBSTRINGS,
