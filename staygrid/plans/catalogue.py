@@ -1049,3 +1049,18 @@ def pairs_assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("o_custkey") % 4).alias("n_candidate"), (c("o_orderkey") % 7).alias("n_reference"), F.least(c("o_custkey") % 4, c("o_orderkey") % 7).alias("n_shared"),
     )
     return inventory.assess(pairs).select("o_orderkey", "same_version", "stay_comparison_basis", "stay_id_version_assumption", "validation_level", "stay_comparison_confidence", "stay_relationship")
+
+
+@_query(ORACLE_SQL["stays_visit_pairs"])
+def event_stays_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As stays_visit_pairs, from the one file of either kind that is found in a workspace's extraction output of the wanted version."""
+    root = Place(shared_folder(spark, "extracted"))
+    o, li = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem").where("l_linenumber = 2")
+    owner = o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("subject_id"))
+    starts = o.select(F.col("o_custkey").alias("subject_id"), F.col("o_orderdate").alias("time"), F.col("o_orderkey").alias("visit_occurrence_id"))
+    ends = li.join(owner, "l_orderkey").select("subject_id", F.col("l_shipdate").alias("time"), F.col("l_orderkey").alias("visit_occurrence_id"))
+    for version, rows in (("1.0.2", starts.where("false")), ("1.5.0", starts)):
+        folder = root / "workspace" / layout.STEP / "aumc" / version / "visit"
+        rows.write.parquet(str(folder / "VISIT_START.parquet"))
+        (ends if version == "1.5.0" else ends.where("false")).write.parquet(str(folder / "VISIT_END.parquet"))
+    return build.event_stays(spark, "aumc", root / "workspace", "1.5.0")
