@@ -12,7 +12,7 @@ then zlib of doc_id i64[], null flags u8[] and sizes u32[] preceded by its lengt
 lengths of the strides u16[] and the coded bits (big-endian, most significant bit first).
 
 Defined cases: a null or empty text is the end id alone; a null doc_id sorts first; repeated
-rows are kept, ordered by (doc_id, text); extra columns are ignored; no rows give no rows. A
+rows are kept, ordered by doc_id, then by how texts begin; extra columns are ignored; no rows give no rows. A
 document of any length stays in one block.
 """
 
@@ -180,11 +180,15 @@ def _tokenize(path: str, words: bool, end_id: int) -> Callable:
 def tokenize_blocks(docs: DataFrame, path: str, words: bool, end_id: int) -> DataFrame:
     """Blocks of ids in ascending doc_id order, as a table in the shared folder.
 
+    Rows of one doc_id (or of none) are dealt to as many partitions as their number takes, by how their texts begin and
+    by their place in the input.
+
     Ids are kept as unsigned 16-bit integers: the vocabulary must be smaller than 65,536.
     """
     tune(docs.sparkSession)
     ranged = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ranged = ranged.repartitionByRange(parallelism(docs), F.col("doc_id").asc_nulls_first())
+    ranged = ranged.withColumns({"_head": F.substring("text", 1, 32), "_place": F.monotonically_increasing_id()})
+    ranged = ranged.repartitionByRange(parallelism(docs), F.col("doc_id").asc_nulls_first(), F.col("_head").asc_nulls_first(), "_place").drop("_head", "_place")
     ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     # without nulls pandas keeps ids whole
     plain = ranged.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "text")

@@ -357,6 +357,15 @@ def test_substrings_of_nothing(spark):
 # --- op4 ------------------------------------------------------------------------------------
 
 
+def test_rows_of_one_id_are_dealt_to_all_partitions(spark):
+    docs = spark.range(4000, numPartitions=4).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.lit("one and the same text").alias("text"))
+    blocks = huffman.tokenize_blocks(docs, tokenizer_path("word_bpe_49k.json"), True, 1)
+    held = [r["n"] for r in blocks.groupBy("part").agg(F.sum("n_docs").alias("n")).collect()]
+    assert sum(held) == 4000 and len(held) == 4 and max(held) < 1500
+    out = huffman.huffman_round_trip(docs, tokenizer_path("word_bpe_49k.json"))
+    assert [r["doc_id"] for r in out.orderBy("start").collect()] == [None] * 2000 + list(range(0, 4000, 2))
+
+
 def test_huffman_round_trip(spark):
     rows, docs = _documents(spark)
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
