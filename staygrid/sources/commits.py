@@ -22,7 +22,8 @@ moving files is the store's copying.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from os import PathLike
 from uuid import uuid4
@@ -34,6 +35,8 @@ from staygrid.schemas import KEYS
 from staygrid.sources.place import Place
 
 MANIFEST = "_manifest.json"
+#: Files that are moved or removed one after another.
+FEW = 32
 
 
 class StaleTableError(ValueError):
@@ -141,6 +144,17 @@ def _facts(spark: SparkSession, folder: Place, sizes: Mapping[str, int]) -> dict
     return {n: (size, rows.get(n, 0)) for n, size in sizes.items()}
 
 
+def _each(act: Callable[[str], None], names: Iterable[str]) -> None:
+    """One change of the store for each name; many go side by side, as each waits for the store."""
+    names = list(names)
+    if len(names) <= FEW:
+        for name in names:
+            act(name)
+        return
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(act, names))
+
+
 class Commit:
     """One commit to a table, step by step; `publish` takes all of them."""
 
@@ -172,9 +186,8 @@ class Commit:
     def move(self) -> None:
         """Put the staged files beside those of the table."""
         facts = _facts(self.spark, self.staged, _data_files(self.staged))
-        for name, fact in facts.items():
-            (self.staged / name).rename(self.path / f"{self.id}-{name}")
-            self.files[f"{self.id}-{name}"] = fact
+        _each(lambda name: (self.staged / name).rename(self.path / f"{self.id}-{name}"), facts)
+        self.files = {f"{self.id}-{name}": fact for name, fact in facts.items()}
 
     def swap(self, notes: Mapping[str, object] | None) -> Manifest:
         """From here on the table is the new one."""
@@ -222,6 +235,5 @@ def recover(path: str | PathLike) -> list[str]:
         return []
     gone = [p for p, _ in path.files() if _left_over(p.name, manifest) or p.name.startswith(f"{MANIFEST}.")]
     gone += [p for p in path.folders() if p.name.startswith("_staged-")]
-    for place in gone:
-        place.delete()
+    _each(lambda name: (path / name).delete(), (p.name for p in gone))
     return sorted(p.name for p in gone)

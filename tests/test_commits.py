@@ -129,6 +129,15 @@ def test_changes_by_others_are_told(spark, tmp_path):
     assert commits.read_table(spark, path).columns == ["stay_id", "time", "hr"] and commits.read_table(spark, path).count() == 0
 
 
+def test_many_files(spark, tmp_path):
+    path = tmp_path / "w.parquet"
+    for n in (200, 90):
+        sinks.write_table(spark.range(n, numPartitions=60).select((F.col("id") % 5).alias("stay_id"), F.col("id").alias("time"), F.col("id").alias("hr")), path, {"told": n})
+        assert commits.read_table(spark, path).count() == n == spark.read.parquet(str(path)).count()
+        assert len(commits.manifest_of(path).files) == len([p for p in path.iterdir() if p.name.endswith(".parquet")]) == 60
+    assert commits.verify(spark, path).where("not intact").count() == 0 and commits.recover(path) == []
+
+
 def _exchanges_below_joins(df):
     """Exchanges in the plan under any join."""
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
