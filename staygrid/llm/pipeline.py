@@ -12,7 +12,7 @@ written as Parquet and read again as the next one's docs. All but the last retur
 - substring_dedup: repeated passages are cut out of texts (their words then joined by one
   blank); texts without any stay as they are, and documents that lose every word go;
 - mixing: documents come as often as the budget of their source takes them;
-- packing: pieces of token sequences with their places.
+- packing: pieces of token sequences with their ids and places.
 
 ORACLE_SQL is None: fingerprints, a trained model and packing aren't SQL.
 """
@@ -79,7 +79,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(docs, tokenizer_path("byte_bpe_50k.json"))
-    return packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")))
 
 
 STAGES = [

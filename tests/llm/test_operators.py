@@ -994,6 +994,7 @@ def test_pipeline_mixing_and_packing(spark):
     whole = Counter()
     for r in packed:
         whole[r["doc_id"]] += r["length"]
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
     assert whole == {d: sizes[d] * n for d, n in got.items()}
 
 
