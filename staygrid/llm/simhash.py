@@ -13,8 +13,9 @@ each part if the share is one bit, and once as long as the trie isn't cut.
 `similar_documents` links only what is also similar: the same walk with a wider budget, over the
 tries of several fingerprints of each text, marks leaves with a partner; the sets of longer
 shingles of these alone go to the tasks that found them, where pairs that share one of their rarest
-shingles and aren't connected yet are checked by the Jaccard similarity of their sets. Groups of over
-BLOCK words are dealt to blocks, of which every two meet in a task of their own. The fingerprints are of short shingles, which an edit changes
+shingles and aren't connected yet are checked by the Jaccard similarity of their sets: leaves that near
+pairs connect in a task are a group. Groups of over BLOCK words are dealt to blocks, of which every two
+meet by themselves. The fingerprints are of short shingles, which an edit changes
 less than long ones; each further one scrambles the shingles' hashes anew.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link with one another;
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staygrid.llm.common import materialize, mix64, tune, utf8
+from staygrid.llm.common import materialize, mix64, parallelism, tune, utf8
 from staygrid.llm.components import connected_components, merge_labels
 
 SHINGLE, SEED, BUDGET = 3, 42, 2
@@ -51,8 +52,8 @@ BROADCAST = 200_000
 COUNTED, FURTHER = 16, 8
 #: Leaves of either node below which a pair of nodes is compared at once; node pairs held and compared at a time.
 FEW, FRONTIER, AT_ONCE = 16, 1 << 17, 1 << 12
-#: Words of a group whose texts are checked in one task, and pairs of them looked at together.
-BLOCK, PAIRS = 1 << 21, 1 << 18
+#: Words of a group whose texts are checked together, words after which small groups are, and pairs looked at together.
+BLOCK, HELD, PAIRS = 1 << 20, 1 << 19, 1 << 18
 _SPREAD = np.array([sum(((b >> (7 - i)) & 1) << (8 * i) for i in range(8)) for b in range(256)], "<u8")
 
 
@@ -423,19 +424,45 @@ def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.n
     return keys[edges].tolist(), np.split(values, edges[1:]) if len(edges) else []
 
 
-def _verified(budget: int, apart: bool, least: float, group: pd.DataFrame) -> pd.DataFrame:
-    """Links between a group's texts whose fingerprints are within the budget and whose sets are similar, as a forest of (a, b) with b the smallest id.
+def _verified(least: float, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between texts of one group (`gid`) whose fingerprints differ in at most `most` bits and whose sets are similar, as a forest of (a, b) with b the smallest id.
 
-    `apart`: only of texts in different blocks.
+    `apart`: only between texts of different blocks.
     """
-    group = group.sort_values(["node", "content"])
-    ids, fps, block = group["node"].to_numpy(), group["fp"].to_numpy().view(np.uint64), group["block"].to_numpy()
-    near = lambda x, y: (np.bitwise_count(fps[x] ^ fps[y]) <= budget) & ((not apart) | (block[x] != block[y]))
-    labels = similar_pairs([np.frombuffer(x, np.uint64) for x in group["shingles"]], near, least).roots()
+    rows = rows.sort_values(["node", "content"])
+    ids, fps = rows["node"].to_numpy(), rows["fp"].to_numpy().view(np.uint64)
+    gid, block, most, apart = (rows[c].to_numpy() for c in ("gid", "block", "most", "apart"))
+    near = lambda x, y: (gid[x] == gid[y]) & (np.bitwise_count(fps[x] ^ fps[y]) <= most[x]) & (~apart[x] | (block[x] != block[y]))
+    labels = similar_pairs([np.frombuffer(x, np.uint64) for x in rows["shingles"]], near, least).roots()
     linked = labels != np.arange(len(ids))
     return pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
 
+def _check_sorted(least: float) -> Callable:
+    """`_verified` over rows that come group by group: whole groups together, until they have HELD members."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size = 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            edges = np.flatnonzero(np.diff(batch["gid"].to_numpy())) + 1
+            if size >= HELD and held[-1]["gid"].iloc[-1] != batch["gid"].iloc[0]:
+                yield _verified(least, pd.concat(held))
+                held, size = [], 0
+            if size >= HELD and len(edges):  # the group at hand ends within this batch
+                yield _verified(least, pd.concat([*held, batch.iloc[: edges[0]]]))
+                held, size, batch = [], 0, batch.iloc[edges[0] :]
+            if len(batch):
+                held.append(batch)
+                size += int(batch["shingles"].map(len).sum()) // 8
+        if held:
+            yield _verified(least, pd.concat(held))
+
+    return run
+
+
 def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT, words: int = LONG, least: float = SIMILAR, subtree: int | None = None, tables: int = TABLES, parts: int = WIDE_PARTS, block: int = BLOCK) -> DataFrame:
     """doc_id and component_id for each row, as of `near_duplicates`, with links between texts alone that are
     within `budget` bits in one of `tables` fingerprints and whose sets of shingles of `words` words have a
@@ -469,20 +496,24 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     def mark(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         table, part, low, high = map(int, key)
         of = group["fp"].to_numpy()
-        near = np.zeros(len(of), bool)
+        near, labels, pairs, size = np.zeros(len(of), bool), np.arange(len(of)), [], 0
         for i, j in tries[table].meet(part, low, high, group["own"].to_numpy(), of):
             near[i] = near[j] = True
-        return group.loc[near, [*by, "own"]].assign(fp=turned(of[near], -part * tries[table].width))
-
-    def check(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        part, one, other = (int(key[k]) for k in (1, 4, 5))
-        return _verified(0 if part < 0 else budget, one != other, least, group)
-
-    by, zero = ["table", "part", "low", "high"], F.lit(0).cast("long")
+            pairs.append((i, j))
+            size += len(i)
+            if size > PAIRS:
+                labels, pairs, size = merge_labels(labels, *map(np.concatenate, zip(*pairs, strict=True))), [], 0
+        if pairs:
+            labels = merge_labels(labels, *map(np.concatenate, zip(*pairs, strict=True)))
+        turn = -part * tries[table].width
+        return group.loc[near, dealt].assign(label=turned(of[labels[near]], turn), fp=turned(of[near], turn))
+
+    dealt = ["table", "part", "low", "high"]
     every = lambda frames: reduce(DataFrame.unionByName, [df.withColumn("table", F.lit(k)) for k, df in enumerate(frames)])
-    near = every(t.deal(some) for t, some in zip(tries, leaves, strict=True)).groupBy(*by).applyInPandas(mark, f"table int, part int, {_DEALT}")
-    # texts of one fingerprint meet in a group of their own
-    shared = every(some.where("n > 1").select("fp") for some in leaves).select("table", F.lit(-1).alias("part"), F.col("fp").alias("low"), zero.alias("high"), zero.alias("own"), "fp")
+    near = every(t.deal(some) for t, some in zip(tries, leaves, strict=True)).groupBy(*dealt).applyInPandas(mark, "table int, part int, low long, high long, label long, fp long")
+    # leaves that near pairs connect are a group, and so are texts of one fingerprint
+    shared = every(some.where("n > 1").select("fp") for some in leaves).select("table", F.lit(-1).alias("part"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"), F.col("fp").alias("label"), "fp")
+    by = [*dealt, "label"]
     near = materialize(near.unionByName(shared), "near")
     wanted = materialize(each.join(near.select("table", "fp").distinct(), ["table", "fp"]), "wanted")
     asked = wanted.select("content", F.col("node").alias("_node")).distinct()
@@ -497,8 +528,9 @@ def similar_documents(docs: DataFrame, budget: int = WIDE, shingle: int = SHORT,
     met = near.join(found, ["table", "fp"]).join(F.broadcast(blocks) if few else blocks, by, "left")
     own = F.pmod(F.xxhash64("content"), F.coalesce("blocks", F.lit(1))).cast("int")
     met = met.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    met = met.select(*by, F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("other"), "node", "content", "fp", "block", "shingles")
-    links = met.groupBy(*by, "one", "other").applyInPandas(check, "a long, b long")
+    pair = F.least("block", "_other"), F.greatest("block", "_other")
+    met = met.select(F.xxhash64(*by, *pair).alias("gid"), F.when(F.col("part") < 0, 0).otherwise(budget).alias("most"), (F.col("block") != F.col("_other")).alias("apart"), "node", "content", "fp", "block", "shingles")
+    links = met.repartition(parallelism(docs), "gid").sortWithinPartitions("gid").mapInPandas(_check_sorted(least), "a long, b long")
     return fps.join(_components(texts.select("content", "node", "rep"), links).select("content", "component_id"), "content").select("doc_id", "component_id")
 
 
