@@ -64,8 +64,8 @@ def map_by_time(events: DataFrame, stays: DataFrame, *, window: bool = True, bin
         joined = _meeting(events, stays, place(F.col("time")), place(F.col("intime")), place(F.col("outtime")))
     else:
         joined = events.join(stays, "subject_id")
-    if window:
-        joined = joined.where(_within("time", "intime", "outtime"))
+    # whole seconds are cut towards zero: hour 0 would take what comes less than a second before admission
+    joined = joined.where(_within("time", "intime", "outtime") if window else F.col("time") >= F.col("intime"))
     return _placed(joined, whole_hours_between(F.col("intime"), F.col("time")), "time", events)
 
 

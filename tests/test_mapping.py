@@ -44,6 +44,15 @@ def test_window_has_both_ends_and_may_be_open(spark):
     assert free == out | {(7, 3.0)}
 
 
+def test_without_a_window_what_comes_before_admission_goes(spark):
+    """To the microsecond, though hours are counted in whole seconds."""
+    seconds = (-3600.0, -1.5, -1.0, -0.999999, -0.4, -0.000001, 0.0, 0.000001, 3599.999999, 3600.0, 36_000.0)
+    events = spark.createDataFrame([(1, T0 + timedelta(seconds=x), x) for x in seconds], "subject_id long, time timestamp_ntz, numeric_value double")
+    stays = spark.createDataFrame([(1, 7, T0, T0 + timedelta(hours=2))], "subject_id long, stay_id long, intime timestamp_ntz, outtime timestamp_ntz")
+    free = {(r["numeric_value"], r["time"]) for r in mapping.map_by_time(events, stays, window=False).collect()}
+    assert free == {(0.0, 0), (0.000001, 0), (3599.999999, 0), (3600.0, 1), (36_000.0, 10)}
+
+
 def test_grids_differ_on_unknown_length(spark):
     rows = [(1, T0, T0 + timedelta(hours=2, minutes=30)), (2, T0, None), (3, T0, T0 - timedelta(hours=1))]
     times = spark.createDataFrame(rows, "stay_id long, intime timestamp_ntz, outtime timestamp_ntz")
