@@ -3,11 +3,15 @@
 All concepts are aggregated in one grouping by (stay_id, time): one shuffle whatever their
 number, with partial aggregation before it. The result equals full outer joins of one table for
 each concept, because those are unique in (stay_id, time) and a full join has the union of keys.
+
+Medians keep every value until their group is complete, so partial aggregation saves them nothing: their rows
+are dealt by (stay_id, time) first, to as many tasks as the session has shuffle partitions. Otherwise adaptive
+execution goes by shuffled bytes, which for such short rows are a small part of what a task then holds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +23,16 @@ from staygrid.schemas import KEYS
 WIDEST = 128
 
 
+def _dealt(rows: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rows of a stay and hour together, in a number of partitions that isn't lowered, if any aggregate is a median."""
+    if "median" not in names:
+        return rows
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEYS)
+
+
 def hourly(events: DataFrame, name: str, output: str = "value") -> DataFrame:
     """One concept's values, one row for each stay and hour."""
-    return events.groupBy(*KEYS).agg(aggregate(name).alias(output))
+    return _dealt(events, [check(name)]).groupBy(*KEYS).agg(aggregate(name).alias(output))
 
 
 def wide_table(events: DataFrame, aggregates: Mapping[str, str], widest: int = WIDEST) -> DataFrame:
@@ -34,7 +45,7 @@ def wide_table(events: DataFrame, aggregates: Mapping[str, str], widest: int = W
     if not aggregates:
         raise ValueError("no concepts to put side by side")
     names = {c: check(a, c) for c, a in aggregates.items()}
-    rows = events.where(F.col("concept").isin(*names))
+    rows = _dealt(events.where(F.col("concept").isin(*names)), names.values())
     if len(names) <= widest:
         return rows.groupBy(*KEYS).agg(*[aggregate(a, only=F.col("concept") == c).alias(c) for c, a in names.items()])
     kinds = sorted(set(names.values()))

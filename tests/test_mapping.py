@@ -108,6 +108,27 @@ def test_conditional_form_equals_joins(spark):
     assert key(wide.wide_table(events, names)) == key(chain) == key(wide.wide_table(events, names, widest=1))
 
 
+def test_rows_of_medians_are_dealt_to_all_partitions(spark):
+    """However few bytes they take in a shuffle, no task gets them all."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from staygrid.plans import build
+    from staygrid.sources.concept_dict import ConceptDict
+
+    stays = spark.range(40).select(F.col("id").alias("subject_id"), F.col("id").alias("stay_id"), F.lit(0.0).alias("intime_hours"), F.lit(99.0).alias("outtime_hours"))
+    table = spark.range(4000).select((F.col("id") % 40).alias("subject_id"), (F.col("id") % 97).cast("double").alias("time"), F.col("id").cast("double").alias("numeric_value"))
+    events = mapping.map_by_hours(ev.subject_events_in_hours(table.withColumn("concept", F.lit("a"))), stays)
+    everywhere = set(range(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    assert len(everywhere) > 1
+    where = lambda df: {r["p"] for r in df.withColumn("p", F.spark_partition_id()).collect()}
+    assert where(wide.hourly(events, "median")) == where(wide.wide_table(events, {"a": "median", "b": "sum"})) == where(wide.wide_table(events, {"a": "mean", "b": "median"})) == everywhere
+    each = [build.build_all({"heart_rate": table}, build.Stays(stays), d, ConceptDict({"hr": {"aggregate": "median"}}), grid=False, sort=False) for d in ("nwicu", "miiv", "hirid")]
+    both = reduce(lambda a, b: a.unionByName(b), each)
+    assert where(each[0]) == everywhere and both.count() == 3 * each[0].count() == 3 * table.select("subject_id", "time").distinct().count()
+
+
 def test_a_subject_with_many_stays(spark):
     """Bins give what the plain join gives, and events meet few of a subject's thousand stays."""
     from datetime import datetime, timedelta
